@@ -67,6 +67,15 @@ def all_not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
+def ts_type(value):
+    """Spark type of ``ts_literal(value)``."""
+    from pyspark.sql import types as T
+
+    if value is None or (isinstance(value, _dt.datetime) and value.tzinfo is not None):
+        return T.TimestampType()
+    return T.TimestampNTZType()
+
+
 def ts_literal(value) -> Column:
     """A deterministic timestamp literal.
 

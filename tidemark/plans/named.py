@@ -176,3 +176,187 @@ def recon_details(spark, sf):
 def recon_null_profile(spark, sf):
     s, t = customer_nullkey_pair(spark, sf)
     return C.null_profile(s, t)
+
+
+# ---------------------------------------------------------------- loads
+
+from tidemark.operators import loads as L  # noqa: E402
+
+EV_KEYS = ["event_id"]
+
+
+def _stat_row(stats: DataFrame, load_type: str, table: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    return stats.select(
+        F.lit(table).alias("table_name"),
+        F.lit(load_type).alias("operation_type"),
+        *[F.col(c).cast("long").alias(c) for c in L_STAT_COLS],
+    )
+
+
+L_STAT_COLS = ["source_count", "inserted", "updated", "deleted", "active_count", "historical_count"]
+
+
+def events_pair(spark, sf):
+    return _in(spark, sf, I.events_target_sql), _in(spark, sf, I.events_batch_sql)
+
+
+def scd1_pair(spark, sf):
+    return _in(spark, sf, I.scd1_target_sql), _in(spark, sf, I.scd1_source_sql)
+
+
+def scd2_pair(spark, sf):
+    return _in(spark, sf, I.scd2_target_sql), _in(spark, sf, I.scd2_source_sql)
+
+
+def scd2_part_pair(spark, sf):
+    return _in(spark, sf, I.scd2_part_target_sql), _in(spark, sf, I.scd2_part_source_sql)
+
+
+SCD2_ARGS = dict(
+    keys=I.SCD2_KEYS,
+    columns=I.SCD2_COLUMNS,
+    as_of=I.AS_OF,
+    batch_id=I.BATCH_ID,
+    delete_column=I.SCD2_DELETE[0],
+    delete_value=I.SCD2_DELETE[1],
+)
+SCD2P_ARGS = dict(keys=I.SCD2P_KEYS, columns=I.SCD2P_COLUMNS, as_of=I.AS_OF, batch_id=I.BATCH_ID)
+
+
+@query("incremental_first")
+def incremental_first(spark, sf):
+    _, b = events_pair(spark, sf)
+    return L.incremental(None, b, EV_KEYS)
+
+
+@query("incremental_keyed")
+def incremental_keyed(spark, sf):
+    t, b = events_pair(spark, sf)
+    return L.incremental(t, b, EV_KEYS)
+
+
+@query("incremental_new_rows")
+def incremental_new_rows(spark, sf):
+    t, b = events_pair(spark, sf)
+    return L.incremental_new_rows(t, b, EV_KEYS)
+
+
+@query("incremental_append")
+def incremental_append(spark, sf):
+    t, b = events_pair(spark, sf)
+    return L.incremental(t, b, [])
+
+
+@query("scd1_first")
+def scd1_first(spark, sf):
+    _, s = scd1_pair(spark, sf)
+    return L.scd1(None, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
+
+
+@query("scd1_upsert")
+def scd1_upsert(spark, sf):
+    t, s = scd1_pair(spark, sf)
+    return L.scd1(t, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
+
+
+@query("scd1_actions")
+def scd1_actions(spark, sf):
+    from pyspark.sql import functions as F
+
+    t, s = scd1_pair(spark, sf)
+    j = L.scd1_joined(t, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
+    return j.groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n_keys"))
+
+
+@query("scd2_first")
+def scd2_first(spark, sf):
+    _, s = scd2_pair(spark, sf)
+    return L.scd2(None, s, **SCD2_ARGS)
+
+
+@query("scd2_full")
+def scd2_full(spark, sf):
+    t, s = scd2_pair(spark, sf)
+    return L.scd2(t, s, **SCD2_ARGS)
+
+
+def _scd2_rows_for(spark, sf, wanted: str):
+    """State rows written for keys with one action (closed, kept and new rows)."""
+    from pyspark.sql import functions as F
+
+    t, s = scd2_pair(spark, sf)
+    j = L.scd2_joined(t, s, **SCD2_ARGS)
+    rows = L.scd2_state_from_joined(j, t, with_action=True)
+    if wanted in (L.NEW, L.REACTIVATED):
+        hk = L._history(t).select(*I.SCD2_KEYS).distinct().withColumn("_h", F.lit(True))
+        rows = rows.filter(F.col("_action") == L.NEW).join(hk, I.SCD2_KEYS, "left")
+        rows = rows.withColumn(
+            "_action", F.when(F.col("_h").isNotNull(), F.lit(L.REACTIVATED)).otherwise(F.col("_action"))
+        ).drop("_h")
+    return rows.filter(F.col("_action") == wanted).withColumnRenamed("_action", "action")
+
+
+@query("scd2_change")
+def scd2_change(spark, sf):
+    return _scd2_rows_for(spark, sf, L.CHANGED)
+
+
+@query("scd2_delete")
+def scd2_delete(spark, sf):
+    return _scd2_rows_for(spark, sf, L.DELETED)
+
+
+@query("scd2_insert")
+def scd2_insert(spark, sf):
+    return _scd2_rows_for(spark, sf, L.NEW)
+
+
+@query("scd2_reactivate")
+def scd2_reactivate(spark, sf):
+    return _scd2_rows_for(spark, sf, L.REACTIVATED)
+
+
+@query("scd2_counts")
+def scd2_counts(spark, sf):
+    from pyspark.sql import functions as F
+
+    t, s = scd2_pair(spark, sf)
+    acts = L.scd2_actions(t, s, **SCD2_ARGS)
+    return acts.groupBy("action").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.count_if("has_history").alias("n_with_history")
+    )
+
+
+@query("scd2_no_delete")
+def scd2_no_delete(spark, sf):
+    t, s = scd2_part_pair(spark, sf)
+    return L.scd2(t, s, **SCD2P_ARGS)
+
+
+@query("full_refresh")
+def full_refresh(spark, sf):
+    return L.full_refresh(_in(spark, sf, I.part_source_sql))
+
+
+@query("load_stats")
+def load_stats(spark, sf):
+    et, eb = events_pair(spark, sf)
+    pt, ps = scd1_pair(spark, sf)
+    ct, cs = scd2_pair(spark, sf)
+    qt, qs = scd2_part_pair(spark, sf)
+    parts = [
+        _stat_row(L.incremental_stats(et, eb, EV_KEYS), "INCREMENTAL", "events_incremental"),
+        _stat_row(L.incremental_stats(None, eb, EV_KEYS), "INCREMENTAL", "events_first"),
+        _stat_row(L.scd1_stats(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF), "SCD1", "part_current"),
+        _stat_row(L.scd1_stats(None, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF), "SCD1", "part_first"),
+        _stat_row(L.scd2_stats(ct, cs, **SCD2_ARGS), "SCD2", "customer_history"),
+        _stat_row(L.scd2_stats(None, cs, **SCD2_ARGS), "SCD2", "customer_first"),
+        _stat_row(L.scd2_stats(qt, qs, **SCD2P_ARGS), "SCD2", "part_history"),
+        _stat_row(L.full_refresh_stats(_in(spark, sf, I.part_source_sql)), "FULL_REFRESH", "part_snapshot"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -54,3 +54,57 @@ ORACLE["recon_thresholds"] = "\nUNION ALL\n".join(
 )
 ORACLE["recon_details"] = R.issue_rows_sql(ns, nt, CUST_KEYS, CUST_COLS, 10)
 ORACLE["recon_null_profile"] = R.null_profile_sql(ns, nt, sorted(["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]))
+
+# ---------------------------------------------------------------- loads
+from tidemark.plans import oracle_loads as OL  # noqa: E402
+
+EV_KEYS = ["event_id"]
+et, eb = I.events_target_sql(D), I.events_batch_sql(D)
+pt, ps = I.scd1_target_sql(D), I.scd1_source_sql(D)
+ct, csrc = I.scd2_target_sql(D), I.scd2_source_sql(D)
+qt, qs = I.scd2_part_target_sql(D), I.scd2_part_source_sql(D)
+SCD1_TCOLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice", "created_at", "updated_at"]
+SCD2_TCOLS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "is_deleted", *OL.META]
+SCD2P_TCOLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice", *OL.META]
+DEL = I.SCD2_DELETE
+
+ORACLE["incremental_first"] = f"SELECT * FROM ({eb}) b"
+ORACLE["incremental_keyed"] = OL.incremental_state_sql(et, eb, EV_KEYS)
+ORACLE["incremental_new_rows"] = OL.incremental_new_sql(et, eb, EV_KEYS)
+ORACLE["incremental_append"] = f"SELECT * FROM ({et}) t UNION ALL SELECT * FROM ({eb}) b"
+ORACLE["scd1_first"] = OL.scd1_first_sql(ps)
+ORACLE["scd1_upsert"] = OL.scd1_state_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS)
+ORACLE["scd1_actions"] = OL.scd1_actions_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS)
+ORACLE["scd2_first"] = OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)
+ORACLE["scd2_full"] = OL.scd2_state_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)
+for _name, _wanted in (("scd2_change", "changed"), ("scd2_delete", "deleted"), ("scd2_insert", "new"), ("scd2_reactivate", "reactivated")):
+    ORACLE[_name] = OL.scd2_rows_for_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL, _wanted)
+ORACLE["scd2_counts"] = OL.scd2_counts_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)
+ORACLE["scd2_no_delete"] = OL.scd2_state_sql(qt, qs, I.SCD2P_KEYS, I.SCD2P_COLUMNS, SCD2P_TCOLS, None)
+ORACLE["full_refresh"] = I.part_source_sql(D)
+_n = lambda sql: f"(SELECT count(*) FROM ({sql}) x)"
+ORACLE["load_stats"] = "\nUNION ALL\n".join(
+    [
+        OL.simple_stats_select(
+            "events_incremental", "INCREMENTAL", _n(eb), _n(OL.incremental_new_sql(et, eb, EV_KEYS)), 0,
+            f"{_n(et)} + {_n(OL.incremental_new_sql(et, eb, EV_KEYS))}",
+        ),
+        OL.simple_stats_select("events_first", "INCREMENTAL", _n(eb), _n(eb), 0, _n(eb)),
+        f"SELECT * FROM (WITH {OL.scd1_join_cte(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS)} "
+        "SELECT 'part_current' AS table_name, 'SCD1' AS operation_type, "
+        "CAST(count(*) FILTER (WHERE _sp) AS BIGINT) AS source_count, "
+        "CAST(count(*) FILTER (WHERE _sp AND _tp IS NULL) AS BIGINT) AS inserted, "
+        "CAST(count(*) FILTER (WHERE _sp AND _tp) AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted, "
+        "CAST(count(*) AS BIGINT) AS active_count, CAST(0 AS BIGINT) AS historical_count FROM j)",
+        OL.simple_stats_select("part_first", "SCD1", _n(ps), _n(ps), 0, _n(ps)),
+        f"SELECT * FROM (WITH {OL.scd2_cte(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)} "
+        f"{OL.scd2_stats_select('customer_history', 'SCD2')})",
+        OL.simple_stats_select(
+            "customer_first", "SCD2", _n(csrc), _n(OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)), 0,
+            _n(OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)),
+        ),
+        f"SELECT * FROM (WITH {OL.scd2_cte(qt, qs, I.SCD2P_KEYS, I.SCD2P_COLUMNS, SCD2P_TCOLS, None)} "
+        f"{OL.scd2_stats_select('part_history', 'SCD2')})",
+        OL.simple_stats_select("part_snapshot", "FULL_REFRESH", _n(I.part_source_sql(D)), _n(I.part_source_sql(D)), 0, _n(I.part_source_sql(D))),
+    ]
+)
