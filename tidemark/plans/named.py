@@ -360,3 +360,64 @@ def load_stats(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# ---------------------------------------------------------------- sources
+
+from tidemark.sources import shapes as X  # noqa: E402
+from tidemark.sources.tables import load_source  # noqa: E402
+
+
+def _t(spark, sf, name):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+@query("src_table")
+def src_table(spark, sf):
+    I.register_tables(spark, sf, ["customer"])
+    return load_source(spark, {"table": "customer"})
+
+
+@query("src_sql")
+def src_sql(spark, sf):
+    I.register_tables(spark, sf, ["orders"])
+    # SQL wins when both keys are given.
+    return load_source(
+        spark,
+        {
+            "table": "orders",
+            "sql": "SELECT o_orderpriority, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) "
+            "AS DECIMAL(38,2)) AS total_price FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority",
+        },
+    )
+
+
+@query("src_values")
+def src_values(spark, sf):
+    return X.segment_tiers(_t(spark, sf, "customer"))
+
+
+@query("src_customer_orders")
+def src_customer_orders(spark, sf):
+    return X.customer_orders(_t(spark, sf, "customer"), _t(spark, sf, "orders"))
+
+
+@query("src_active_tier")
+def src_active_tier(spark, sf):
+    return X.active_tier(_in(spark, sf, I.customer_flagged_sql), _t(spark, sf, "orders"), I.ORDERS_END, 30)
+
+
+@query("src_customer_360")
+def src_customer_360(spark, sf):
+    return X.customer_360(
+        _in(spark, sf, I.customer_flagged_sql),
+        _t(spark, sf, "orders"),
+        _t(spark, sf, "lineitem"),
+        _t(spark, sf, "part"),
+        I.ORDERS_END,
+    )
+
+
+@query("src_enriched_events")
+def src_enriched_events(spark, sf):
+    return X.enriched_events(_t(spark, sf, "events"), _t(spark, sf, "customer"), I.EVENTS_LAST_DAY)

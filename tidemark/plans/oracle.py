@@ -108,3 +108,45 @@ ORACLE["load_stats"] = "\nUNION ALL\n".join(
         OL.simple_stats_select("part_snapshot", "FULL_REFRESH", _n(I.part_source_sql(D)), _n(I.part_source_sql(D)), 0, _n(I.part_source_sql(D))),
     ]
 )
+
+# ---------------------------------------------------------------- sources (plain SQL as written in load configs)
+_cf = I.customer_flagged_sql(D)
+ORACLE["src_table"] = "SELECT * FROM customer"
+ORACLE["src_sql"] = (
+    "SELECT o_orderpriority, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) "
+    "AS total_price FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority"
+)
+ORACLE["src_values"] = (
+    "SELECT c.c_custkey, c.c_mktsegment, v.segment_tier FROM customer c LEFT JOIN (VALUES "
+    "('AUTOMOBILE', 'B'), ('BUILDING', 'A'), ('FURNITURE', 'C'), ('HOUSEHOLD', 'C'), ('MACHINERY', 'A')) "
+    "AS v(segment, segment_tier) ON c.c_mktsegment = v.segment"
+)
+_x1 = """SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment,
+  CAST(COUNT(o.o_orderkey) AS BIGINT) AS total_orders,
+  CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_amount,
+  MAX(o.o_orderdate) AS last_order_date
+FROM {c} c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
+GROUP BY c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment"""
+ORACLE["src_customer_orders"] = _x1.format(c="customer")
+ORACLE["src_active_tier"] = f"""SELECT c_custkey, UPPER(c_name) AS c_name_upper, c_nationkey,
+  CASE WHEN total_orders > 10 THEN 'VIP' WHEN total_orders > 5 THEN 'Regular' ELSE 'New' END AS customer_tier
+FROM ({_x1.format(c=f"(SELECT * FROM ({_cf}) f WHERE is_deleted = 'N')")}) x
+WHERE last_order_date >= DATE '{I.ORDERS_END}' - INTERVAL 30 DAYS"""
+ORACLE["src_customer_360"] = f"""SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment,
+  CAST(COUNT(DISTINCT o.o_orderkey) AS BIGINT) AS order_count,
+  CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS lifetime_value,
+  CAST(COUNT(DISTINCT p.p_partkey) AS BIGINT) AS unique_products,
+  MAX(o.o_orderdate) AS last_purchase_date,
+  CAST(date_diff('day', CAST(MAX(o.o_orderdate) AS DATE), DATE '{I.ORDERS_END}') AS INTEGER) AS days_since_purchase,
+  CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+    AS avg_order_value
+FROM ({_cf}) c
+LEFT JOIN orders o ON c.c_custkey = o.o_custkey
+LEFT JOIN lineitem li ON o.o_orderkey = li.l_orderkey
+LEFT JOIN part p ON li.l_partkey = p.p_partkey
+WHERE c.is_deleted = 'N'
+GROUP BY c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment"""
+ORACLE["src_enriched_events"] = f"""SELECT e.event_id, e.event_type, e.ts AS event_date, e.user_id AS customer_id,
+  c.c_name, c.c_mktsegment, CAST(e.value AS DECIMAL(18,2)) AS event_value
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+WHERE e.ts >= TIMESTAMP '{I.EVENTS_LAST_DAY}'"""
