@@ -121,9 +121,11 @@ def lineitem_clean_sql(d: Dialect) -> str:
 def lineitem_perturbed_sql(base_sql: str) -> str:
     return f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       CASE WHEN (l_orderkey + l_linenumber) % 23 = 5 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+       CAST(CASE WHEN (l_orderkey + l_linenumber) % 23 = 5 THEN l_quantity + 1 ELSE l_quantity END
+            AS DECIMAL(18,2)) AS l_quantity,
        l_extendedprice,
-       CASE WHEN (l_orderkey + l_linenumber) % 19 = 2 THEN l_discount + 0.01 ELSE l_discount END AS l_discount,
+       CAST(CASE WHEN (l_orderkey + l_linenumber) % 19 = 2 THEN l_discount + 0.01 ELSE l_discount END
+            AS DECIMAL(18,2)) AS l_discount,
        l_returnflag, l_shipdate
 FROM ({base_sql}) b WHERE (l_orderkey + l_linenumber) % 31 <> 7
 UNION ALL
@@ -250,3 +252,62 @@ def spark_input(spark: SparkSession, sf_dir: str, sql_fn) -> DataFrame:
     sql = sql_fn(SPARK) if callable(sql_fn) else sql_fn
     register_tables(spark, sf_dir, tables_in(sql))
     return spark.sql(sql)
+
+
+def schema_drift_target_sql(d: Dialect) -> str:
+    """B1's source schema with drift: a widened key, a double amount, a
+    renamed column and an added one."""
+    return (
+        "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
+        "c_mktsegment AS segment, c_name AS c_comment FROM customer"
+    )
+
+
+# ---------------------------------------------------------------- B8: result history for the report queries
+# Fixed values: (recon_id, recon_name, pair, execution_time, thresholds) of the
+# runs whose results and details the report queries read.
+CUST_LIMITS = {"max_mismatch_percent": 5.0, "max_missing_percent": 2.0}
+LI_LIMITS = {"max_mismatch_percent": 10.0, "max_missing_percent": 5.0}
+HISTORY_RUNS = [
+    ("r01", "customer_recon", "customer", "2026-02-20 08:00:00", CUST_LIMITS),
+    ("r02", "customer_null_keys", "customer_nk", "2026-02-20 08:00:00", CUST_LIMITS),
+    ("r03", "lineitem_recon", "lineitem", "2026-02-20 09:30:00", LI_LIMITS),
+    ("r04", "customer_recon", "customer_same", "2026-02-21 08:00:00", CUST_LIMITS),
+    ("r05", "lineitem_recon", "lineitem_raw", "2026-02-21 10:00:00", LI_LIMITS),
+    ("r06", "customer_recon", "customer", "2026-02-22 08:00:00", CUST_LIMITS),
+    ("r07", "customer_null_keys", "customer_nk", "2026-02-22 08:00:00", CUST_LIMITS),
+    ("r08", "lineitem_recon", "lineitem", "2026-02-22 11:00:00", LI_LIMITS),
+]
+DETAIL_RUNS = ["r01", "r02", "r03", "r06", "r07"]
+REPORT_DAY = "2026-02-22"
+PAIR_KEYS = {
+    "customer": ["c_custkey"],
+    "customer_nk": ["c_custkey"],
+    "customer_same": ["c_custkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "lineitem_raw": ["l_orderkey", "l_linenumber"],
+}
+PAIR_NAMES = {
+    "customer": ("customer_source", "customer_target"),
+    "customer_nk": ("customer_source", "customer_target_nk"),
+    "customer_same": ("customer_source", "customer_source"),
+    "lineitem": ("lineitem_source", "lineitem_target"),
+    "lineitem_raw": ("lineitem_raw", "lineitem_raw_target"),
+}
+
+
+def pair_sql(d: Dialect, pair: str) -> tuple[str, str]:
+    if pair == "customer":
+        return recon_source_sql(d), recon_target_sql(d)
+    if pair == "customer_nk":
+        return recon_source_nullkey_sql(d), recon_target_nullkey_sql(d)
+    if pair == "customer_same":
+        return recon_source_sql(d), recon_source_sql(d)
+    base = lineitem_clean_sql(d) if pair == "lineitem" else lineitem_raw_sql(d)
+    return base, lineitem_perturbed_sql(base)
+
+
+AUDIT_START = "2026-02-22 00:00:00"
+AUDIT_END = "2026-02-22 00:00:05"
+AUDIT_USER = "etl_service"
+JOB_NAME = "scd_multi_load_type_job"

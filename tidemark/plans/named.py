@@ -421,3 +421,121 @@ def src_customer_360(spark, sf):
 @query("src_enriched_events")
 def src_enriched_events(spark, sf):
     return X.enriched_events(_t(spark, sf, "events"), _t(spark, sf, "customer"), I.EVENTS_LAST_DAY)
+
+
+# ---------------------------------------------------------------- schema, records, reports
+
+from tidemark.operators import reports as RP  # noqa: E402
+from tidemark.operators import schema_drift as SD  # noqa: E402
+from tidemark.sinks import records as RC  # noqa: E402
+
+
+def drift_pair(spark, sf):
+    return _in(spark, sf, I.recon_source_sql), _in(spark, sf, I.schema_drift_target_sql)
+
+
+@query("schema_profile")
+def schema_profile(spark, sf):
+    return SD.schema_profile(_in(spark, sf, I.recon_source_sql))
+
+
+@query("schema_drift")
+def schema_drift(spark, sf):
+    s, t = drift_pair(spark, sf)
+    return SD.schema_drift(s, t)
+
+
+@query("schema_summary")
+def schema_summary(spark, sf):
+    s, t = drift_pair(spark, sf)
+    return SD.schema_summary(s, t).unionByName(SD.schema_summary(*customer_pair(spark, sf)))
+
+
+@query("audit_rows")
+def audit_rows(spark, sf):
+    et, eb = events_pair(spark, sf)
+    pt, ps = scd1_pair(spark, sf)
+    ct, cs = scd2_pair(spark, sf)
+    qt, qs = scd2_part_pair(spark, sf)
+    loads = [
+        ("events_incremental", "INCREMENTAL", L.incremental_stats(et, eb, EV_KEYS)),
+        ("part_current", "SCD1", L.scd1_stats(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)),
+        ("customer_history", "SCD2", L.scd2_stats(ct, cs, **SCD2_ARGS)),
+        ("part_history", "SCD2", L.scd2_stats(qt, qs, **SCD2P_ARGS)),
+        ("part_snapshot", "FULL_REFRESH", L.full_refresh_stats(_in(spark, sf, I.part_source_sql))),
+    ]
+    out = None
+    for table, op, st in loads:
+        a = RC.audit_row(
+            st, I.JOB_NAME, I.BATCH_ID, table, op, I.AUDIT_START, I.AUDIT_END, "SUCCESS", None, I.AUDIT_USER
+        )
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+def _pair_frames(spark, sf, pair):
+    s_sql, t_sql = I.pair_sql(I.SPARK, pair)
+    return _in(spark, sf, s_sql), _in(spark, sf, t_sql)
+
+
+def _history_result(spark, sf, run):
+    rid, name, pair, ts, limits = run
+    s, t = _pair_frames(spark, sf, pair)
+    keys = I.PAIR_KEYS[pair]
+    sn, tn = I.PAIR_NAMES[pair]
+    summ = C.with_thresholds(C.reconcile(s, t, keys, source_name=sn, target_name=tn), limits)
+    sch = SD.compare_schemas(s, t)
+    return RC.result_row(summ, rid, name, I.BATCH_ID, ts, sch["status"], sch["summary"], None)
+
+
+def _history_details(spark, sf, run):
+    rid, name, pair, ts, _ = run
+    s, t = _pair_frames(spark, sf, pair)
+    return RC.details_rows(C.issue_rows(s, t, I.PAIR_KEYS[pair]), rid, name, I.BATCH_ID, ts)
+
+
+def result_history(spark, sf):
+    out = None
+    for run in I.HISTORY_RUNS:
+        r = _history_result(spark, sf, run)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def details_history(spark, sf):
+    out = None
+    for run in I.HISTORY_RUNS:
+        if run[0] in I.DETAIL_RUNS:
+            d = _history_details(spark, sf, run)
+            out = d if out is None else out.unionByName(d)
+    return out
+
+
+@query("recon_result_row")
+def recon_result_row(spark, sf):
+    return _history_result(spark, sf, I.HISTORY_RUNS[0])
+
+
+@query("recon_detail_records")
+def recon_detail_records(spark, sf):
+    return _history_details(spark, sf, I.HISTORY_RUNS[1])
+
+
+@query("report_latest")
+def report_latest(spark, sf):
+    return RP.latest_results(result_history(spark, sf), 5)
+
+
+@query("report_details")
+def report_details(spark, sf):
+    return RP.details_for(details_history(spark, sf), "customer_recon", "MISMATCH")
+
+
+@query("report_match_rate_trend")
+def report_match_rate_trend(spark, sf):
+    return RP.match_rate_trend(result_history(spark, sf))
+
+
+@query("report_issue_counts")
+def report_issue_counts(spark, sf):
+    return RP.issue_counts(details_history(spark, sf), I.REPORT_DAY)

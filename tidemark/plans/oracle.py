@@ -150,3 +150,120 @@ ORACLE["src_enriched_events"] = f"""SELECT e.event_id, e.event_type, e.ts AS eve
   c.c_name, c.c_mktsegment, CAST(e.value AS DECIMAL(18,2)) AS event_value
 FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
 WHERE e.ts >= TIMESTAMP '{I.EVENTS_LAST_DAY}'"""
+
+# ---------------------------------------------------------------- schema, records, reports
+_SPARK_TYPE = (
+    "CASE column_type WHEN 'BIGINT' THEN 'LongType()' WHEN 'INTEGER' THEN 'IntegerType()' "
+    "WHEN 'VARCHAR' THEN 'StringType()' WHEN 'DOUBLE' THEN 'DoubleType()' WHEN 'TIMESTAMP' THEN 'TimestampNTZType()' "
+    "WHEN 'DATE' THEN 'DateType()' WHEN 'BOOLEAN' THEN 'BooleanType()' "
+    "ELSE regexp_replace(column_type, 'DECIMAL\\((\\d+),(\\d+)\\)', 'DecimalType(\\1,\\2)') END"
+)
+
+
+def _describe(sql):
+    return f"SELECT column_name, {_SPARK_TYPE} AS data_type, (\"null\" = 'YES') AS nullable FROM (DESCRIBE {sql})"
+
+
+_drift_t = I.schema_drift_target_sql(D)
+ORACLE["schema_profile"] = (
+    f"SELECT column_name, data_type, nullable, CAST(row_number() OVER () - 1 AS INTEGER) AS position "
+    f"FROM ({_describe(cs)})"
+)
+
+
+def _drift_sql(src, tgt):
+    return f"""WITH s AS ({_describe(src)}), t AS ({_describe(tgt)}),
+j AS (SELECT s.column_name AS sn, t.column_name AS tn, s.data_type AS st, t.data_type AS tt, s.nullable AS snl, t.nullable AS tnl
+      FROM s FULL OUTER JOIN t ON s.column_name = t.column_name)
+SELECT sn AS column_name, 'missing_in_target' AS issue_type, CAST(NULL AS VARCHAR) AS source_value, CAST(NULL AS VARCHAR) AS target_value FROM j WHERE tn IS NULL
+UNION ALL SELECT tn, 'extra_in_target', NULL, NULL FROM j WHERE sn IS NULL
+UNION ALL SELECT sn, 'type_mismatch', st, tt FROM j WHERE sn IS NOT NULL AND tn IS NOT NULL AND st <> tt
+UNION ALL SELECT sn, 'nullable_mismatch', lower(CAST(snl AS VARCHAR)), lower(CAST(tnl AS VARCHAR)) FROM j
+  WHERE sn IS NOT NULL AND tn IS NOT NULL AND snl <> tnl"""
+
+
+def _schema_summary_sql(src, tgt):
+    return f"""WITH d AS ({_drift_sql(src, tgt)}),
+c AS (SELECT count(*) FILTER (WHERE issue_type = 'missing_in_target') AS m,
+             count(*) FILTER (WHERE issue_type = 'extra_in_target') AS e,
+             count(*) FILTER (WHERE issue_type = 'type_mismatch') AS ty,
+             count(*) FILTER (WHERE issue_type = 'nullable_mismatch') AS nu FROM d)
+SELECT CASE WHEN m > 0 OR e > 0 OR ty > 0 THEN 'FAILED' ELSE 'PASSED' END AS status,
+  CAST((SELECT count(*) FROM (DESCRIBE {src})) AS BIGINT) AS source_column_count,
+  CAST((SELECT count(*) FROM (DESCRIBE {tgt})) AS BIGINT) AS target_column_count,
+  CAST(m AS BIGINT) AS missing_in_target, CAST(e AS BIGINT) AS extra_in_target,
+  CAST(ty AS BIGINT) AS type_mismatches, CAST(nu AS BIGINT) AS nullable_mismatches,
+  CASE WHEN m + e + ty + nu = 0 THEN 'Schemas are compatible' ELSE concat_ws('; ',
+    CASE WHEN m > 0 THEN CAST(m AS VARCHAR) || ' columns missing in target' END,
+    CASE WHEN e > 0 THEN CAST(e AS VARCHAR) || ' extra columns in target' END,
+    CASE WHEN ty > 0 THEN CAST(ty AS VARCHAR) || ' type mismatches' END,
+    CASE WHEN nu > 0 THEN CAST(nu AS VARCHAR) || ' nullable mismatches' END) END AS summary
+FROM c"""
+
+
+ORACLE["schema_drift"] = _drift_sql(cs, _drift_t)
+ORACLE["schema_summary"] = f"SELECT * FROM ({_schema_summary_sql(cs, _drift_t)})\nUNION ALL\nSELECT * FROM ({_schema_summary_sql(cs, ct)})"
+
+_AUDIT = (
+    f"'{I.JOB_NAME}' AS job_name, '{I.BATCH_ID}' AS batch_id, table_name, operation_type, "
+    f"{D.ts(I.AUDIT_START)} AS start_time, {D.ts(I.AUDIT_END)} AS end_time, "
+    f"CAST(date_diff('microsecond', {D.ts(I.AUDIT_START)}, {D.ts(I.AUDIT_END)}) AS DOUBLE) / 1e6 AS duration_seconds, "
+    "source_count AS source_record_count, inserted AS records_inserted, updated AS records_updated, "
+    "deleted AS records_deleted, active_count AS total_active_records, historical_count AS total_historical_records, "
+    f"'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message, '{I.AUDIT_USER}' AS execution_user, "
+    f"{D.ts(I.AUDIT_END)} AS created_timestamp"
+)
+ORACLE["audit_rows"] = (
+    f"SELECT {_AUDIT} FROM ({ORACLE['load_stats']}) st "
+    "WHERE table_name IN ('events_incremental', 'part_current', 'customer_history', 'part_history', 'part_snapshot')"
+)
+
+
+def _history_result_sql(run, spark_schema_status=("PASSED", "Schemas are compatible")):
+    rid, name, pair, ts, limits = run
+    src, tgt = I.pair_sql(D, pair)
+    keys = I.PAIR_KEYS[pair]
+    sn, tn = I.PAIR_NAMES[pair]
+    cols = LI_COLS if pair.startswith("lineitem") else CUST_COLS
+    summ = R.thresholds_select(R.reconcile_sql(src, tgt, keys, cols, sn, tn), limits)
+    sch_status, sch_summary = spark_schema_status
+    return f"""SELECT '{rid}' AS recon_id, '{name}' AS recon_name, '{I.BATCH_ID}' AS batch_id, {D.ts(ts)} AS execution_time,
+  CASE WHEN '{sch_status}' = 'FAILED' OR status = 'FAILED' THEN 'FAILED' ELSE 'PASSED' END AS status,
+  source_table, target_table, source_count, target_count, matched_count, match_rate, missing_count, extra_count,
+  mismatch_count, source_duplicates, target_duplicates, '{sch_status}' AS schema_status, status AS data_status,
+  'Schema: {sch_summary}; Data: ' || summary AS summary, CAST(NULL AS DOUBLE) AS duration_seconds, threshold_breached
+FROM ({summ}) r"""
+
+
+def _history_details_sql(run):
+    rid, name, pair, ts, _ = run
+    src, tgt = I.pair_sql(D, pair)
+    keys = I.PAIR_KEYS[pair]
+    cols = LI_COLS if pair.startswith("lineitem") else CUST_COLS
+    header = f"'{rid}' AS recon_id, '{name}' AS recon_name, '{I.BATCH_ID}' AS batch_id, {D.ts(ts)} AS execution_time, "
+    return R.issue_rows_sql(src, tgt, keys, cols, 10, header=header)
+
+
+_results_hist = "\nUNION ALL\n".join(f"SELECT * FROM ({_history_result_sql(r)})" for r in I.HISTORY_RUNS)
+_details_hist = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({_history_details_sql(r)})" for r in I.HISTORY_RUNS if r[0] in I.DETAIL_RUNS
+)
+ORACLE["recon_result_row"] = _history_result_sql(I.HISTORY_RUNS[0])
+ORACLE["recon_detail_records"] = _history_details_sql(I.HISTORY_RUNS[1])
+ORACLE["report_latest"] = (
+    "SELECT recon_id, recon_name, status, source_count, target_count, matched_count, match_rate, missing_count, "
+    f"extra_count, mismatch_count, summary FROM ({_results_hist}) h ORDER BY execution_time DESC, recon_id DESC LIMIT 5"
+)
+ORACLE["report_details"] = (
+    f"SELECT * FROM ({_details_hist}) d WHERE recon_name = 'customer_recon' AND issue_type = 'MISMATCH' "
+    "ORDER BY execution_time DESC"
+)
+ORACLE["report_match_rate_trend"] = (
+    "SELECT recon_name, CAST(execution_time AS DATE) AS run_date, "
+    "CAST(SUM(CAST(match_rate AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(match_rate) AS DOUBLE) AS avg_match_rate, "
+    f"CAST(COUNT(*) AS BIGINT) AS run_count FROM ({_results_hist}) h GROUP BY recon_name, CAST(execution_time AS DATE)"
+)
+ORACLE["report_issue_counts"] = (
+    f"SELECT recon_name, issue_type, CAST(COUNT(*) AS BIGINT) AS issue_count FROM ({_details_hist}) d "
+    f"WHERE CAST(execution_time AS DATE) = DATE '{I.REPORT_DAY}' GROUP BY recon_name, issue_type"
+)
