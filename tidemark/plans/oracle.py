@@ -161,7 +161,7 @@ _SPARK_TYPE = (
 
 
 def _describe(sql):
-    return f"SELECT column_name, {_SPARK_TYPE} AS data_type, (\"null\" = 'YES') AS nullable FROM (DESCRIBE {sql})"
+    return f"SELECT column_name, {_SPARK_TYPE} AS data_type, (\"null\" = 'YES') AS nullable FROM (DESCRIBE SELECT * FROM ({sql}) q)"
 
 
 _drift_t = I.schema_drift_target_sql(D)
@@ -172,9 +172,9 @@ ORACLE["schema_profile"] = (
 
 
 def _drift_sql(src, tgt):
-    return f"""WITH s AS ({_describe(src)}), t AS ({_describe(tgt)}),
-j AS (SELECT s.column_name AS sn, t.column_name AS tn, s.data_type AS st, t.data_type AS tt, s.nullable AS snl, t.nullable AS tnl
-      FROM s FULL OUTER JOIN t ON s.column_name = t.column_name)
+    return f"""WITH sd_src AS ({_describe(src)}), sd_tgt AS ({_describe(tgt)}),
+j AS (SELECT a.column_name AS sn, b.column_name AS tn, a.data_type AS st, b.data_type AS tt, a.nullable AS snl, b.nullable AS tnl
+      FROM sd_src a FULL OUTER JOIN sd_tgt b ON a.column_name = b.column_name)
 SELECT sn AS column_name, 'missing_in_target' AS issue_type, CAST(NULL AS VARCHAR) AS source_value, CAST(NULL AS VARCHAR) AS target_value FROM j WHERE tn IS NULL
 UNION ALL SELECT tn, 'extra_in_target', NULL, NULL FROM j WHERE sn IS NULL
 UNION ALL SELECT sn, 'type_mismatch', st, tt FROM j WHERE sn IS NOT NULL AND tn IS NOT NULL AND st <> tt
@@ -189,8 +189,8 @@ c AS (SELECT count(*) FILTER (WHERE issue_type = 'missing_in_target') AS m,
              count(*) FILTER (WHERE issue_type = 'type_mismatch') AS ty,
              count(*) FILTER (WHERE issue_type = 'nullable_mismatch') AS nu FROM d)
 SELECT CASE WHEN m > 0 OR e > 0 OR ty > 0 THEN 'FAILED' ELSE 'PASSED' END AS status,
-  CAST((SELECT count(*) FROM (DESCRIBE {src})) AS BIGINT) AS source_column_count,
-  CAST((SELECT count(*) FROM (DESCRIBE {tgt})) AS BIGINT) AS target_column_count,
+  CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM ({src}) q)) AS BIGINT) AS source_column_count,
+  CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM ({tgt}) q)) AS BIGINT) AS target_column_count,
   CAST(m AS BIGINT) AS missing_in_target, CAST(e AS BIGINT) AS extra_in_target,
   CAST(ty AS BIGINT) AS type_mismatches, CAST(nu AS BIGINT) AS nullable_mismatches,
   CASE WHEN m + e + ty + nu = 0 THEN 'Schemas are compatible' ELSE concat_ws('; ',
@@ -202,7 +202,7 @@ FROM c"""
 
 
 ORACLE["schema_drift"] = _drift_sql(cs, _drift_t)
-ORACLE["schema_summary"] = f"SELECT * FROM ({_schema_summary_sql(cs, _drift_t)})\nUNION ALL\nSELECT * FROM ({_schema_summary_sql(cs, ct)})"
+ORACLE["schema_summary"] = f"SELECT * FROM ({_schema_summary_sql(cs, _drift_t)})\nUNION ALL\nSELECT * FROM ({_schema_summary_sql(cs, I.recon_target_sql(D))})"
 
 _AUDIT = (
     f"'{I.JOB_NAME}' AS job_name, '{I.BATCH_ID}' AS batch_id, table_name, operation_type, "
