@@ -361,6 +361,14 @@ def issue_rows(
     Keys are rendered with ``to_json`` (NULL fields kept)."""
     cols = compare_columns(source.columns, target.columns, keys, include, exclude)
     prof = key_profile(source, target, keys, cols or None, exact)
+    return issue_rows_from_profile(prof, keys, bool(cols), sample_size)
+
+
+def issue_rows_from_profile(
+    prof: DataFrame, keys: Sequence[str], with_columns: bool, sample_size: int = SAMPLE_MISMATCHES
+) -> DataFrame:
+    """Issue samples from an already computed key profile."""
+    cols = with_columns
     ns, nt = F.col("source_rows"), F.col("target_rows")
     kj = _keys_json(keys)
     null_s = F.lit(None).cast("string")

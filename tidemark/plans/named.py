@@ -539,3 +539,126 @@ def report_match_rate_trend(spark, sf):
 @query("report_issue_counts")
 def report_issue_counts(spark, sf):
     return RP.issue_counts(details_history(spark, sf), I.REPORT_DAY)
+
+
+# ---------------------------------------------------------------- jobs (end to end: tables written, swapped, audited)
+
+import uuid as _uuid  # noqa: E402
+
+from tidemark.plans import jobs as JB  # noqa: E402
+from tidemark.sinks import tables as TB  # noqa: E402
+
+
+def _job_database(spark) -> str:
+    db = f"tidemark_job_{_uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    return db
+
+
+LOAD_JOB_TABLES = ["events_incremental", "part_current", "customer_history", "part_history", "part_snapshot"]
+
+
+def load_job_config(db: str) -> dict:
+    S = I.SPARK
+    return {
+        "job": {"name": I.JOB_NAME, "batch_id": I.BATCH_ID},
+        "tables": [
+            {"name": "events_incremental", "source": {"sql": I.events_batch_sql(S)},
+             "target": {"table_name": f"{db}.events_incremental"}, "load_type": "incremental",
+             "scd": {"keys": EV_KEYS}},
+            {"name": "part_current", "source": {"sql": I.scd1_source_sql(S)},
+             "target": {"table_name": f"{db}.part_current"}, "load_type": "scd1",
+             "scd": {"keys": I.SCD1_KEYS, "columns": I.SCD1_COLUMNS}},
+            {"name": "customer_history", "source": {"sql": I.scd2_source_sql(S)},
+             "target": {"table_name": f"{db}.customer_history"}, "load_type": "scd2",
+             "scd": {"keys": I.SCD2_KEYS, "columns": I.SCD2_COLUMNS},
+             "delete_handling": {"enabled": True, "column": I.SCD2_DELETE[0], "value": I.SCD2_DELETE[1]}},
+            {"name": "part_history", "source": {"sql": I.scd2_part_source_sql(S)},
+             "target": {"table_name": f"{db}.part_history"},
+             "scd": {"keys": I.SCD2P_KEYS, "columns": I.SCD2P_COLUMNS}, "delete_handling": {"enabled": False}},
+            {"name": "part_snapshot", "source": {"sql": I.part_source_sql(S)},
+             "target": {"table_name": f"{db}.part_snapshot"}, "load_type": "full_refresh"},
+            {"name": "broken_spec", "source": {}, "target": {"table_name": f"{db}.never_written"},
+             "load_type": "scd1"},
+        ],
+    }
+
+
+def run_load_job(spark, sf):
+    """Stage the previous target states as tables, then run the job."""
+    I.register_tables(spark, sf, ["events", "part", "customer"])
+    db = _job_database(spark)
+    for name, fn in (
+        ("events_incremental", I.events_target_sql),
+        ("part_current", I.scd1_target_sql),
+        ("customer_history", I.scd2_target_sql),
+        ("part_history", I.scd2_part_target_sql),
+    ):
+        TB.create_table(spark, spark.sql(fn(I.SPARK)), f"{db}.{name}")
+    JB.run_loads(spark, load_job_config(db), as_of=I.AS_OF, audit_table=f"{db}.audit", user=I.AUDIT_USER).collect()
+    return db
+
+
+@query("load_job")
+def load_job(spark, sf):
+    from pyspark.sql import functions as F
+
+    db = run_load_job(spark, sf)
+    a = spark.read.table(f"{db}.audit")
+    return a.select(
+        F.substring_index("table_name", ".", -1).alias("table_name"),
+        "operation_type",
+        "status",
+        F.col("source_record_count").alias("source_count"),
+        F.col("records_inserted").alias("inserted"),
+        F.col("records_updated").alias("updated"),
+        F.col("records_deleted").alias("deleted"),
+        F.col("total_active_records").alias("active_count"),
+        F.col("total_historical_records").alias("historical_count"),
+    )
+
+
+@query("load_job_scd2_state")
+def load_job_scd2_state(spark, sf):
+    db = run_load_job(spark, sf)
+    return spark.read.table(f"{db}.customer_history")
+
+
+RECON_JOB_RUNS = [r for r in I.HISTORY_RUNS if r[0] in ("r01", "r02", "r03", "r04")]
+
+
+def recon_job_config(db: str) -> dict:
+    recs = []
+    for rid, name, pair, _, limits in RECON_JOB_RUNS:
+        sn, tn = I.PAIR_NAMES[pair]
+        recs.append({
+            "name": f"{name}_{rid}", "source": {"table": f"tm_{rid}_{sn}"}, "target": {"table": f"tm_{rid}_{tn}"},
+            "keys": I.PAIR_KEYS[pair], "columns_to_compare": [], "exclude_columns": ["created_at", "updated_at"],
+            "validations": {"schema_check": True, "data_comparison": True}, "thresholds": limits,
+        })
+    return {
+        "job": {"name": "data_reconciliation_job", "batch_id": I.BATCH_ID,
+                "results_table": f"{db}.recon_results", "details_table": f"{db}.recon_details"},
+        "reconciliations": recs,
+        "settings": {"sample_mismatches": 10, "enable_detailed_logging": True},
+    }
+
+
+@query("recon_job")
+def recon_job(spark, sf):
+    from pyspark.sql import functions as F
+
+    db = _job_database(spark)
+    for rid, _, pair, _, _ in RECON_JOB_RUNS:
+        s, t = _pair_frames(spark, sf, pair)
+        sn, tn = I.PAIR_NAMES[pair]
+        s.createOrReplaceTempView(f"tm_{rid}_{sn}")
+        t.createOrReplaceTempView(f"tm_{rid}_{tn}")
+    JB.run_reconciliations(spark, recon_job_config(db)).collect()
+    r = spark.read.table(f"{db}.recon_results")
+    return r.select(
+        "recon_name", "status", "source_count", "target_count", "matched_count", "match_rate", "missing_count",
+        "extra_count", "mismatch_count", "source_duplicates", "target_duplicates", "schema_status",
+        "data_status", "threshold_breached",
+        F.regexp_replace("summary", "^Schema: [^;]*; Data: ", "").alias("data_summary"),
+    )

@@ -267,3 +267,31 @@ ORACLE["report_issue_counts"] = (
     f"SELECT recon_name, issue_type, CAST(COUNT(*) AS BIGINT) AS issue_count FROM ({_details_hist}) d "
     f"WHERE CAST(execution_time AS DATE) = DATE '{I.REPORT_DAY}' GROUP BY recon_name, issue_type"
 )
+
+# ---------------------------------------------------------------- jobs
+ORACLE["load_job"] = (
+    "SELECT table_name, operation_type, 'SUCCESS' AS status, source_count, inserted, updated, deleted, "
+    f"active_count, historical_count FROM ({ORACLE['load_stats']}) st "
+    "WHERE table_name IN ('events_incremental', 'part_current', 'customer_history', 'part_history', 'part_snapshot') "
+    "UNION ALL SELECT 'never_written', 'SCD1', 'FAILED', 0, 0, 0, 0, 0, 0"
+)
+ORACLE["load_job_scd2_state"] = ORACLE["scd2_full"]
+
+
+def _recon_job_row(run):
+    rid, name, pair, _, limits = run
+    src, tgt = I.pair_sql(D, pair)
+    keys = I.PAIR_KEYS[pair]
+    cols = LI_COLS if pair.startswith("lineitem") else CUST_COLS
+    sn, tn = I.PAIR_NAMES[pair]
+    summ = R.thresholds_select(R.reconcile_sql(src, tgt, keys, cols, f"tm_{rid}_{sn}", f"tm_{rid}_{tn}"), limits)
+    return f"""SELECT '{name}_{rid}' AS recon_name,
+  CASE WHEN status = 'FAILED' THEN 'FAILED' ELSE 'PASSED' END AS status,
+  source_count, target_count, matched_count, match_rate, missing_count, extra_count, mismatch_count,
+  source_duplicates, target_duplicates, 'PASSED' AS schema_status, status AS data_status, threshold_breached,
+  summary AS data_summary FROM ({summ}) r"""
+
+
+ORACLE["recon_job"] = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({_recon_job_row(r)})" for r in I.HISTORY_RUNS if r[0] in ("r01", "r02", "r03", "r04")
+)
