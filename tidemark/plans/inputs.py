@@ -233,10 +233,24 @@ def customer_flagged_sql(d: Dialect) -> str:
 
 # ---------------------------------------------------------------- Spark side
 
+_HANDLES: dict = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet table as a DataFrame.  The handle (file listing and
+    footer schema) is made once per session and path and then reused, so
+    building a query does not list and open the files again."""
+    key = (id(spark), f"{sf_dir}/{name}.parquet")
+    df = _HANDLES.get(key)
+    if df is None:
+        df = _HANDLES[key] = spark.read.parquet(key[1])
+    return df
+
+
 def register_tables(spark: SparkSession, sf_dir: str, tables=TABLES) -> None:
     """Temp views over the driver's parquet files, named like the tables."""
     for t in tables:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        table(spark, sf_dir, t).createOrReplaceTempView(t)
 
 
 def tables_in(sql: str) -> list[str]:

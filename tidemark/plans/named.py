@@ -369,7 +369,7 @@ from tidemark.sources.tables import load_source  # noqa: E402
 
 
 def _t(spark, sf, name):
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return I.table(spark, sf, name)
 
 
 @query("src_table")
