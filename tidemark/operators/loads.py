@@ -103,7 +103,14 @@ def incremental_new_rows(target: DataFrame | None, source: DataFrame, keys: Sequ
     duplicates inside the batch are all appended)."""
     if target is None or not keys:
         return source
-    return source.join(target.select(*keys), list(keys), "left_anti")
+    # Target keys that occur in the batch, found by a semi join against the
+    # batch's distinct keys: when the planner's size estimate of those keys
+    # is under the broadcast threshold the (large) target's keys stream
+    # through a hash lookup without being shuffled; otherwise it is a
+    # sort-merge join.  The anti join then runs on batch-sized inputs.
+    batch_keys = source.select(*keys).dropDuplicates()
+    hits = target.select(*keys).join(batch_keys, list(keys), "left_semi")
+    return source.join(hits, list(keys), "left_anti")
 
 
 def incremental(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -361,14 +368,25 @@ def scd2_actions(
     acts = j.select(*keys, F.col("_action").alias("action"))
     if not label_reactivated:
         return acts
-    hk = _history(target).select(*keys).distinct().withColumn("_h", F.lit(True))
-    acts = acts.join(hk, list(keys), "left")
-    has_h = F.col("_h").isNotNull()
-    return acts.select(
-        *keys,
-        F.when((F.col("action") == NEW) & has_h, F.lit(REACTIVATED)).otherwise(F.col("action")).alias("action"),
-        has_h.alias("has_history"),
+    return label_history(acts, target, keys, "action")
+
+
+def label_history(rows: DataFrame, target: DataFrame, keys: Sequence[str], action_col: str) -> DataFrame:
+    """Adds ``has_history`` and relabels ``new`` as ``reactivated`` for keys
+    that have a closed version.  History keys are first reduced to the keys
+    present in ``rows`` (a semi join, broadcast when the planner's size
+    estimate of those keys allows), so long histories are not shuffled
+    whole."""
+    wanted = rows.select(*keys).dropDuplicates()
+    hk = (
+        _history(target).select(*keys).join(wanted, list(keys), "left_semi").dropDuplicates()
+        .withColumn("_h", F.lit(True))
     )
+    out = rows.join(hk, list(keys), "left")
+    has_h = F.col("_h").isNotNull()
+    return out.withColumn(
+        action_col, F.when((F.col(action_col) == NEW) & has_h, F.lit(REACTIVATED)).otherwise(F.col(action_col))
+    ).withColumn("has_history", has_h).drop("_h")
 
 
 def stats_from_actions(tagged: DataFrame, kind: str) -> DataFrame:

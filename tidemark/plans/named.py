@@ -290,11 +290,7 @@ def _scd2_rows_for(spark, sf, wanted: str):
     j = L.scd2_joined(t, s, **SCD2_ARGS)
     rows = L.scd2_state_from_joined(j, t, with_action=True)
     if wanted in (L.NEW, L.REACTIVATED):
-        hk = L._history(t).select(*I.SCD2_KEYS).distinct().withColumn("_h", F.lit(True))
-        rows = rows.filter(F.col("_action") == L.NEW).join(hk, I.SCD2_KEYS, "left")
-        rows = rows.withColumn(
-            "_action", F.when(F.col("_h").isNotNull(), F.lit(L.REACTIVATED)).otherwise(F.col("_action"))
-        ).drop("_h")
+        rows = L.label_history(rows.filter(F.col("_action") == L.NEW), t, I.SCD2_KEYS, "_action").drop("has_history")
     return rows.filter(F.col("_action") == wanted).withColumnRenamed("_action", "action")
 
 
