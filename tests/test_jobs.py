@@ -90,3 +90,23 @@ def test_reconciliation_job(spark, db):
     assert res["no_data"].source_count is None and res["no_data"].data_status == "SKIPPED"
     det = sorted(r.issue_type for r in spark.read.table(f"{db}.det").collect())
     assert det == ["EXTRA", "MISMATCH", "MISSING"]
+
+
+def test_validation_switches(spark, db):
+    spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string").createOrReplaceTempView("vs")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").createOrReplaceTempView("vt")
+    cfg = {
+        "job": {"name": "r", "batch_id": "b", "results_table": f"{db}.res", "details_table": f"{db}.det"},
+        "reconciliations": [
+            {"name": "nodup", "source": {"table": "vs"}, "target": {"table": "vt"}, "keys": ["k"],
+             "validations": {"duplicate_check": False, "null_check": True}},
+        ],
+    }
+    out = JB.run_reconciliations(spark, cfg).collect()[0]
+    assert out.overall_status == "PASSED" or out.data_status in ("PASSED", "FAILED")
+    res = spark.read.table(f"{db}.res").collect()[0]
+    assert res.source_duplicates is None and res.target_duplicates is None
+    det = {r.issue_type: r for r in spark.read.table(f"{db}.det").collect()}
+    assert "SOURCE_DUPLICATE" not in det
+    assert det["NULL_DIFFERENCE"].record_keys == '{"column":"v"}'
+    assert (det["NULL_DIFFERENCE"].source_values, det["NULL_DIFFERENCE"].target_values) == ("1", "0")

@@ -252,6 +252,7 @@ def reconcile(
     exact: bool = False,
     source_name: str | None = None,
     target_name: str | None = None,
+    check_duplicates: bool = True,
 ) -> DataFrame:
     """Full reconciliation as one lazy plan -> one summary row.
 
@@ -262,21 +263,27 @@ def reconcile(
     cols = compare_columns(source.columns, target.columns, keys, include, exclude)
     prof = key_profile(source, target, keys, cols or None, exact)
     agg = summarize_profile(prof, keys, bool(cols))
-    return finish_summary(agg, cols, source_name, target_name)
+    return finish_summary(agg, cols, source_name, target_name, check_duplicates)
 
 
 def finish_summary(
-    agg: DataFrame, cols: Sequence[str], source_name: str | None = None, target_name: str | None = None
+    agg: DataFrame,
+    cols: Sequence[str],
+    source_name: str | None = None,
+    target_name: str | None = None,
+    check_duplicates: bool = True,
 ) -> DataFrame:
+    """Rate, status and summary text from the raw counts.  With
+    ``check_duplicates=False`` (the ``duplicate_check: false`` validation)
+    the duplicate counts are NULL and do not fail the status."""
     sc, miss, mism = F.col("source_count"), F.col("missing_count"), F.col("mismatch_count")
     matched = (sc - miss - mism).cast("long")
-    issues = (
-        (F.col("source_duplicates") > 0)
-        | (F.col("target_duplicates") > 0)
-        | (miss > 0)
-        | (F.col("extra_count") > 0)
-        | (mism > 0)
-    )
+    if not check_duplicates:
+        agg = agg.withColumn("source_duplicates", F.lit(None).cast("long")).withColumn(
+            "target_duplicates", F.lit(None).cast("long")
+        )
+    dups = (F.col("source_duplicates") > 0) | (F.col("target_duplicates") > 0)
+    issues = F.coalesce(dups, F.lit(False)) | (miss > 0) | (F.col("extra_count") > 0) | (mism > 0)
     return agg.select(
         F.lit(source_name).cast("string").alias("source_table"),
         F.lit(target_name).cast("string").alias("target_table"),
@@ -426,3 +433,18 @@ def null_profile(source: DataFrame, target: DataFrame, columns: Sequence[str] |
         F.col("target_nulls").cast("long").alias("target_nulls"),
         (F.col("target_nulls") - F.col("source_nulls")).cast("long").alias("null_difference"),
     )
+
+
+NULL_DIFFERENCE = "NULL_DIFFERENCE"
+
+
+def null_difference_rows(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Issue rows (details shape) for columns whose NULL counts differ."""
+    prof = null_profile(source, target, columns)
+    return prof.filter(F.col("null_difference") != 0).select(
+        F.lit(NULL_DIFFERENCE).alias("issue_type"),
+        F.to_json(F.struct(F.col("column_name").alias("column"))).alias("record_keys"),
+        F.col("source_nulls").cast("string").alias("source_values"),
+        F.col("target_nulls").cast("string").alias("target_values"),
+        F.concat(F.lit("NULL count differs for column "), F.col("column_name")).alias("details"),
+    )

@@ -176,7 +176,13 @@ def run_reconciliation(
     execution_time=None,
     root: str | None = None,
 ) -> tuple:
-    """One reconciliation: schema check, data check, thresholds, records."""
+    """One reconciliation: schema check, data check, thresholds, records.
+
+    ``validations``: ``schema_check`` and ``data_comparison`` switch the two
+    checks; ``duplicate_check: false`` leaves duplicates out of the counts
+    and the status; ``null_check: true`` adds NULL_DIFFERENCE detail rows for
+    compared columns whose NULL counts differ.  ``exact_compare: true`` uses
+    the null-safe fingerprint."""
     settings = settings or {}
     recon_id = recon_id or str(uuid.uuid4())
     execution_time = execution_time or dt.datetime.now()
@@ -197,9 +203,11 @@ def run_reconciliation(
     if validations.get("data_comparison", True):
         cols = C.compare_columns(source.columns, target.columns, keys, cfg.get("columns_to_compare"),
                                  cfg.get("exclude_columns"))
-        prof = C.key_profile(source, target, keys, cols or None).persist(StorageLevel.MEMORY_AND_DISK)
+        exact = bool(cfg.get("exact_compare", False))
+        prof = C.key_profile(source, target, keys, cols or None, exact).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            summ = C.finish_summary(C.summarize_profile(prof, keys, bool(cols)), cols, src_name, tgt_name)
+            summ = C.finish_summary(C.summarize_profile(prof, keys, bool(cols)), cols, src_name, tgt_name,
+                                    check_duplicates=validations.get("duplicate_check", True))
             summ = C.with_thresholds(summ, cfg.get("thresholds"), schema_status)
             row = summ.collect()[0].asDict()
             breached, data_status = bool(row["threshold_breached"]), row["status"]
@@ -213,6 +221,10 @@ def run_reconciliation(
                                results_table)
             if logging and details_table:
                 issues = C.issue_rows_from_profile(prof, keys, bool(cols), sample)
+                if not validations.get("duplicate_check", True):
+                    issues = issues.filter(~F.col("issue_type").isin(C.SOURCE_DUPLICATE, C.TARGET_DUPLICATE))
+                if validations.get("null_check", False):
+                    issues = issues.unionByName(C.null_difference_rows(source, target, cols))
                 dr = RC.details_rows(issues, recon_id, cfg["name"], batch_id, execution_time)
                 TB.ensure_table(spark, details_table, RC.DETAILS_SCHEMA, root)
                 TB.append_rows(dr.select(*[F.col(f.name).cast(f.dataType) for f in RC.DETAILS_SCHEMA.fields]),
