@@ -14,10 +14,18 @@ from tidemark.session import get_session  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:]
-spark = get_session("local[8]", **{"spark_sql_shuffle_partitions": "8", "spark_ui_enabled": "false", "spark_ui_showConsoleProgress": "false"})
+if os.environ.get("VANILLA"):
+    # the driver's plain session: no settings of ours
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+else:
+    spark = get_session("local[8]", **{"spark_sql_shuffle_partitions": "8", "spark_ui_enabled": "false",
+                                       "spark_ui_showConsoleProgress": "false"})
 spark.sparkContext.setLogLevel("ERROR")
 con = duck_connection(sf)
 qs, orc = E.queries(), E.oracle_sql()
+print("entry rows:", len(E.entry(spark).collect()), flush=True)
 bad = 0
 for name, fn in qs.items():
     if names and name not in names:

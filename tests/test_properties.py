@@ -113,3 +113,14 @@ def test_incremental_twice_equals_once(spark, tgt_keys, batch_keys):
     once = spark.createDataFrame(once.collect(), once.schema)
     twice = L.incremental(once, b, ["k"])
     assert sorted(r.k for r in twice.collect()) == sorted(set(tgt_keys) | set(batch_keys))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=10), st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=10))
+def test_incremental_new_rows_model(spark, tgt_keys, batch_keys):
+    # NULL keys are always new; duplicates inside the batch are all appended.
+    t = spark.createDataFrame([(k,) for k in tgt_keys], "k int")
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(batch_keys)], "k int, i int")
+    got = sorted(r.i for r in L.incremental_new_rows(t, b, ["k"]).collect())
+    want = sorted(i for i, k in enumerate(batch_keys) if k is None or k not in set(tgt_keys))
+    assert got == want
