@@ -163,7 +163,10 @@ def scd1_joined(
     j = t.alias("t").join(s.alias("s"), keys_equal("t", "s", keys), "full_outer")
     tp, sp = F.col("t._tp").isNotNull(), F.col("s._sp").isNotNull()
     ttypes = {f.name: f.dataType for f in target.schema.fields}
-    tracked = [c for c in columns if c in ttypes]
+    absent = [c for c in [*keys, *columns] if c not in ttypes]
+    if absent:
+        raise ValueError(f"target lacks key or tracked columns {absent}")
+    tracked = list(columns)
     differ = ~F.struct(*[F.col(f"t.{c}").alias(c) for c in tracked]).eqNullSafe(
         F.struct(*[_typed(F.col(f"s.{c}"), ttypes[c]).alias(c) for c in tracked])
     ) if tracked else F.lit(False)
