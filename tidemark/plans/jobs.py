@@ -13,7 +13,6 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from tidemark.operators import loads as L
 from tidemark.operators.schema_drift import compare_schemas
 from tidemark.sinks import records as RC
 from tidemark.sinks import tables as TB
+from tidemark.session import checkpoint_dir
 from tidemark.sources.tables import load_source, read_table
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
@@ -49,6 +49,16 @@ def _row(stats: DataFrame) -> dict:
     return {k: int(r[k] or 0) for k in STAT_KEYS}
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    The new state and its counters are then both read from the same
+    materialization: a lost executor re-reads checkpoint files instead of
+    recomputing from sources that may have changed meanwhile."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _raise_duplicate(e: Exception):
     if L.DUPLICATE_KEY_MESSAGE.split(":")[0] in str(e):
         raise L.DuplicateKeyError(L.DUPLICATE_KEY_MESSAGE) from e
@@ -77,16 +87,13 @@ def run_load(
     exists = target is not None
     try:
         if load_type == "incremental":
-            new = L.incremental_new_rows(target, source, keys).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                n_src, n_new = source.count(), new.count()
-                if not exists:
-                    TB.create_table(spark, new, table, root)
-                elif n_new:
-                    TB.append_rows(new, table)
-                total = spark.read.table(table).count()
-            finally:
-                new.unpersist()
+            new = materialize(L.incremental_new_rows(target, source, keys))
+            n_src, n_new = source.count(), new.count()
+            if not exists:
+                TB.create_table(spark, new, table, root)
+            elif n_new:
+                TB.append_rows(new, table)
+            total = spark.read.table(table).count()
             return dict(source_count=n_src, inserted=n_new, updated=0, deleted=0, active_count=total, historical_count=0)
         if load_type == "full_refresh":
             TB.commit_state(spark, source, table, exists, root)
@@ -98,12 +105,9 @@ def run_load(
                 TB.create_table(spark, state, table, root)
                 n = spark.read.table(table).count()
                 return dict(source_count=n, inserted=n, updated=0, deleted=0, active_count=n, historical_count=0)
-            j = L.scd1_joined(target, source, keys, columns, as_of).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                TB.replace_state(spark, j.drop("_action", "_sp"), table, root)
-                return _row(L.stats_from_actions(j.select("_action", "_sp"), "scd1"))
-            finally:
-                j.unpersist()
+            j = materialize(L.scd1_joined(target, source, keys, columns, as_of))
+            TB.replace_state(spark, j.drop("_action", "_sp"), table, root)
+            return _row(L.stats_from_actions(j.select("_action", "_sp"), "scd1"))
         if load_type == "scd2":
             args = dict(keys=keys, columns=columns, as_of=as_of, batch_id=batch_id, delete_column=del_col,
                         delete_value=del_val)
@@ -113,12 +117,9 @@ def run_load(
                 n = spark.read.table(table).count()
                 return dict(source_count=source.count(), inserted=n, updated=0, deleted=0, active_count=n,
                             historical_count=0)
-            j = L.scd2_joined(target, source, **args).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                TB.replace_state(spark, L.scd2_state_from_joined(j, target), table, root)
-                return _row(L.scd2_stats_from_joined(j, target))
-            finally:
-                j.unpersist()
+            j = materialize(L.scd2_joined(target, source, **args))
+            TB.replace_state(spark, L.scd2_state_from_joined(j, target), table, root)
+            return _row(L.scd2_stats_from_joined(j, target))
     except Exception as e:  # noqa: BLE001
         _raise_duplicate(e)
     raise ValueError(f"Unknown load_type: {load_type}")
@@ -204,33 +205,30 @@ def run_reconciliation(
         cols = C.compare_columns(source.columns, target.columns, keys, cfg.get("columns_to_compare"),
                                  cfg.get("exclude_columns"))
         exact = bool(cfg.get("exact_compare", False))
-        prof = C.key_profile(source, target, keys, cols or None, exact).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            summ = C.finish_summary(C.summarize_profile(prof, keys, bool(cols)), cols, src_name, tgt_name,
-                                    check_duplicates=validations.get("duplicate_check", True))
-            summ = C.with_thresholds(summ, cfg.get("thresholds"), schema_status)
-            row = summ.collect()[0].asDict()
-            breached, data_status = bool(row["threshold_breached"]), row["status"]
-            summary_df = spark.createDataFrame([row], summ.schema)
-            duration = (dt.datetime.now() - start).total_seconds()
-            if logging and results_table:
-                rr = RC.result_row(summary_df, recon_id, cfg["name"], batch_id, execution_time, schema_status,
-                                   schema_summary, duration)
-                TB.ensure_table(spark, results_table, RC.RESULTS_SCHEMA, root)
-                TB.append_rows(rr.select(*[F.col(f.name).cast(f.dataType) for f in RC.RESULTS_SCHEMA.fields]),
-                               results_table)
-            if logging and details_table:
-                issues = C.issue_rows_from_profile(prof, keys, bool(cols), sample)
-                if not validations.get("duplicate_check", True):
-                    issues = issues.filter(~F.col("issue_type").isin(C.SOURCE_DUPLICATE, C.TARGET_DUPLICATE))
-                if validations.get("null_check", False):
-                    issues = issues.unionByName(C.null_difference_rows(source, target, cols))
-                dr = RC.details_rows(issues, recon_id, cfg["name"], batch_id, execution_time)
-                TB.ensure_table(spark, details_table, RC.DETAILS_SCHEMA, root)
-                TB.append_rows(dr.select(*[F.col(f.name).cast(f.dataType) for f in RC.DETAILS_SCHEMA.fields]),
-                               details_table)
-        finally:
-            prof.unpersist()
+        prof = materialize(C.key_profile(source, target, keys, cols or None, exact))
+        summ = C.finish_summary(C.summarize_profile(prof, keys, bool(cols)), cols, src_name, tgt_name,
+                                check_duplicates=validations.get("duplicate_check", True))
+        summ = C.with_thresholds(summ, cfg.get("thresholds"), schema_status)
+        row = summ.collect()[0].asDict()
+        breached, data_status = bool(row["threshold_breached"]), row["status"]
+        summary_df = spark.createDataFrame([row], summ.schema)
+        duration = (dt.datetime.now() - start).total_seconds()
+        if logging and results_table:
+            rr = RC.result_row(summary_df, recon_id, cfg["name"], batch_id, execution_time, schema_status,
+                               schema_summary, duration)
+            TB.ensure_table(spark, results_table, RC.RESULTS_SCHEMA, root)
+            TB.append_rows(rr.select(*[F.col(f.name).cast(f.dataType) for f in RC.RESULTS_SCHEMA.fields]),
+                           results_table)
+        if logging and details_table:
+            issues = C.issue_rows_from_profile(prof, keys, bool(cols), sample)
+            if not validations.get("duplicate_check", True):
+                issues = issues.filter(~F.col("issue_type").isin(C.SOURCE_DUPLICATE, C.TARGET_DUPLICATE))
+            if validations.get("null_check", False):
+                issues = issues.unionByName(C.null_difference_rows(source, target, cols))
+            dr = RC.details_rows(issues, recon_id, cfg["name"], batch_id, execution_time)
+            TB.ensure_table(spark, details_table, RC.DETAILS_SCHEMA, root)
+            TB.append_rows(dr.select(*[F.col(f.name).cast(f.dataType) for f in RC.DETAILS_SCHEMA.fields]),
+                           details_table)
     else:
         duration = (dt.datetime.now() - start).total_seconds()
         if logging and results_table:
