@@ -30,3 +30,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 3 and set(df.columns) >= {"status", "overall_status", "match_rate"}
+
+
+def test_decimal_outputs_listed(spark):
+    from pyspark.sql import types as T
+
+    from tidemark.plans.named import QUERIES
+    from tidemark.plans.oracle import DECIMAL_OUTPUTS
+
+    found = {}
+    for name, fn in QUERIES.items():
+        if name.endswith("_job") or name.startswith("load_job"):
+            continue
+        cols = [f.name for f in fn(spark, SF_ORACLE).schema.fields if isinstance(f.dataType, T.DecimalType)]
+        if cols:
+            found[name] = cols
+    assert found == DECIMAL_OUTPUTS

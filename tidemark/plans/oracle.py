@@ -295,3 +295,28 @@ def _recon_job_row(run):
 ORACLE["recon_job"] = "\nUNION ALL\n".join(
     f"SELECT * FROM ({_recon_job_row(r)})" for r in I.HISTORY_RUNS if r[0] in ("r01", "r02", "r03", "r04")
 )
+
+# ---------------------------------------------------------------- output portability
+# Decimal output columns per query.  Both sides present them as DOUBLE at the
+# registered-query boundary (``__spark_entry__``): the two engines convert a
+# decimal to the same correctly rounded double, while their pandas / Python
+# renderings of decimals differ (Decimal('1.80') vs 1.8).  Kept in sync with
+# the Spark schemas by tests/test_oracle.py.
+DECIMAL_OUTPUTS = {
+    "scd1_first": ["p_retailprice"],
+    "scd1_upsert": ["p_retailprice"],
+    "scd2_no_delete": ["p_retailprice"],
+    "full_refresh": ["p_retailprice"],
+    "src_sql": ["total_price"],
+    "src_customer_orders": ["total_amount"],
+    "src_customer_360": ["lifetime_value"],
+    "src_enriched_events": ["event_value"],
+}
+
+
+def portable_sql(name: str, sql: str) -> str:
+    cols = DECIMAL_OUTPUTS.get(name)
+    if not cols:
+        return sql
+    repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM ({sql}) q"
