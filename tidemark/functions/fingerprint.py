@@ -23,6 +23,33 @@ from pyspark.sql import functions as F
 SEPARATOR = "||"
 
 
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(value) -> str:
+    """A Python value as a SQL literal (strings escaped, None as NULL)."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, (int, float)):
+        return f"CAST({value!r} AS DOUBLE)" if isinstance(value, float) else str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def change_hash_sql(columns: Sequence[str], exact: bool = False, prefix: str | None = None) -> str:
+    """SQL text of ``change_hash``: one expression, parsed once by Spark."""
+    refs = [f"{prefix}.{quote(c)}" if prefix else quote(c) for c in columns]
+    if exact:
+        fields = ", ".join(f"{sql_string(c)}, {r}" for c, r in zip(columns, refs))
+        body = f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
+    else:
+        body = "concat_ws('" + SEPARATOR + "', " + ", ".join(f"CAST({r} AS STRING)" for r in refs) + ")"
+    return f"sha2({body}, 256)"
+
+
 def change_hash(columns: Sequence[str], exact: bool = False, prefix: str | None = None) -> Column:
     """Hex SHA-256 over ``columns`` (cast to string, joined by ``||``).
 

@@ -30,7 +30,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.fingerprint import all_not_null, change_hash
+from tidemark.functions.fingerprint import change_hash_sql, quote, sql_string
 
 # Status words and texts of the reconciliation report.
 PASSED = "PASSED"
@@ -72,11 +72,11 @@ def compare_columns(
     return sorted(cols)
 
 
-def _fingerprint(df: DataFrame, columns: Sequence[str], exact: bool) -> Column:
+def _fingerprint_sql(columns: Sequence[str], exact: bool) -> str:
     # 32 raw bytes instead of 64 hex characters halves what the first exchange moves.
     if not columns:
-        return F.lit(None).cast("binary")
-    return F.unhex(change_hash(columns, exact=exact))
+        return "CAST(NULL AS BINARY)"
+    return f"unhex({change_hash_sql(columns, exact=exact)})"
 
 
 def key_profile(
@@ -93,50 +93,54 @@ def key_profile(
     ``source_versions`` / ``target_versions`` (distinct fingerprints per side),
     ``source_hash`` / ``target_hash`` (smallest fingerprint per side, hex) and
     ``mismatched_pairs``.
+
+    Expressions are handed to Spark as SQL text: each is parsed once on the
+    JVM instead of being assembled call by call from Python.
     """
     keys = list(keys)
     if not keys:
         raise ValueError("reconciliation needs at least one key column")
-    k = [F.col(c) for c in keys]
+    kq = [quote(k) for k in keys]
     if not columns:
-        tagged = source.select(*k, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
-            target.select(*k, F.lit(0).alias("_s"), F.lit(1).alias("_t"))
+        tagged = source.selectExpr(*kq, "1 AS _s", "0 AS _t").unionByName(
+            target.selectExpr(*kq, "0 AS _s", "1 AS _t")
         )
         return tagged.groupBy(*keys).agg(
-            F.sum("_s").cast("long").alias("source_rows"),
-            F.sum("_t").cast("long").alias("target_rows"),
-        )
-    tagged = source.select(
-        *k, _fingerprint(source, columns, exact).alias("_h"), F.lit(1).alias("_s"), F.lit(0).alias("_t")
-    ).unionByName(
-        target.select(
-            *k, _fingerprint(target, columns, exact).alias("_h"), F.lit(0).alias("_s"), F.lit(1).alias("_t")
+            F.expr("CAST(sum(_s) AS BIGINT) AS source_rows"), F.expr("CAST(sum(_t) AS BIGINT) AS target_rows")
         )
+    fp = _fingerprint_sql(columns, exact)
+    tagged = source.selectExpr(*kq, f"{fp} AS _h", "1 AS _s", "0 AS _t").unionByName(
+        target.selectExpr(*kq, f"{fp} AS _h", "0 AS _s", "1 AS _t")
     )
     per_hash = tagged.groupBy(*keys, "_h").agg(
-        F.sum("_s").cast("long").alias("_ns"), F.sum("_t").cast("long").alias("_nt")
+        F.expr("CAST(sum(_s) AS BIGINT) AS _ns"), F.expr("CAST(sum(_t) AS BIGINT) AS _nt")
     )
     prof = per_hash.groupBy(*keys).agg(
-        F.sum("_ns").alias("source_rows"),
-        F.sum("_nt").alias("target_rows"),
-        F.sum(F.col("_ns") * F.col("_nt")).alias("same_pairs"),
-        F.count_if(F.col("_ns") > 0).alias("source_versions"),
-        F.count_if(F.col("_nt") > 0).alias("target_versions"),
-        F.min(F.when(F.col("_ns") > 0, F.col("_h"))).alias("_hs"),
-        F.min(F.when(F.col("_nt") > 0, F.col("_h"))).alias("_ht"),
+        *[
+            F.expr(e)
+            for e in (
+                "sum(_ns) AS source_rows",
+                "sum(_nt) AS target_rows",
+                "sum(_ns * _nt) AS same_pairs",
+                "count_if(_ns > 0) AS source_versions",
+                "count_if(_nt > 0) AS target_versions",
+                "min(CASE WHEN _ns > 0 THEN _h END) AS _hs",
+                "min(CASE WHEN _nt > 0 THEN _h END) AS _ht",
+            )
+        ]
     )
-    return prof.select(
-        *keys,
+    keys_present = " AND ".join(f"{k} IS NOT NULL" for k in kq)
+    return prof.selectExpr(
+        *kq,
         "source_rows",
         "target_rows",
         "same_pairs",
         "source_versions",
         "target_versions",
-        F.lower(F.hex("_hs")).alias("source_hash"),
-        F.lower(F.hex("_ht")).alias("target_hash"),
-        F.when(all_not_null(keys), F.col("source_rows") * F.col("target_rows") - F.col("same_pairs"))
-        .otherwise(F.lit(0).cast("long"))
-        .alias("mismatched_pairs"),
+        "lower(hex(_hs)) AS source_hash",
+        "lower(hex(_ht)) AS target_hash",
+        f"CASE WHEN {keys_present} THEN source_rows * target_rows - same_pairs ELSE CAST(0 AS BIGINT) END"
+        " AS mismatched_pairs",
     )
 
 
@@ -205,42 +209,42 @@ def row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- summary
 
 
-def summary_text(matched: Column, source_count: Column, missing: Column, extra: Column, mismatch: Column) -> Column:
+def summary_text_sql(matched: str, source_count: str, missing: str, extra: str, mismatch: str) -> str:
     """'Perfect match: m/n records' or 'm/n matched; x missing in target; ...'."""
-    ratio = F.concat(matched.cast("string"), F.lit("/"), source_count.cast("string"))
-    issues = F.concat_ws(
-        "; ",
-        F.when(missing > 0, F.concat(missing.cast("string"), F.lit(" missing in target"))),
-        F.when(extra > 0, F.concat(extra.cast("string"), F.lit(" extra in target"))),
-        F.when(mismatch > 0, F.concat(mismatch.cast("string"), F.lit(" mismatched"))),
+    ratio = f"CAST({matched} AS STRING), '/', CAST({source_count} AS STRING)"
+    issues = (
+        f"concat_ws('; ', "
+        f"CASE WHEN {missing} > 0 THEN concat(CAST({missing} AS STRING), ' missing in target') END, "
+        f"CASE WHEN {extra} > 0 THEN concat(CAST({extra} AS STRING), ' extra in target') END, "
+        f"CASE WHEN {mismatch} > 0 THEN concat(CAST({mismatch} AS STRING), ' mismatched') END)"
     )
-    any_issue = (missing > 0) | (extra > 0) | (mismatch > 0)
-    return F.when(any_issue, F.concat(ratio, F.lit(" matched; "), issues)).otherwise(
-        F.concat(F.lit("Perfect match: "), ratio, F.lit(" records"))
+    return (
+        f"CASE WHEN {missing} > 0 OR {extra} > 0 OR {mismatch} > 0 "
+        f"THEN concat({ratio}, ' matched; ', {issues}) "
+        f"ELSE concat('Perfect match: ', {ratio}, ' records') END"
     )
 
 
-def match_rate(matched: Column, source_count: Column) -> Column:
+def match_rate_sql(matched: str, source_count: str) -> str:
     """matched / source * 100, half-even to 2 places; 0.0 for an empty source."""
-    return F.when(
-        source_count > 0, F.bround(matched.cast("double") / source_count.cast("double") * F.lit(100.0), 2)
-    ).otherwise(F.lit(0.0))
+    return (
+        f"CASE WHEN {source_count} > 0 THEN bround(CAST({matched} AS DOUBLE) / CAST({source_count} AS DOUBLE) "
+        f"* CAST(100 AS DOUBLE), 2) ELSE CAST(0 AS DOUBLE) END"
+    )
 
 
 def summarize_profile(prof: DataFrame, keys: Sequence[str], with_columns: bool) -> DataFrame:
     """Global aggregate of a key profile -> the one-row numeric summary."""
-    ns, nt = F.col("source_rows"), F.col("target_rows")
-    mism = F.sum("mismatched_pairs") if with_columns else F.lit(0)
-    agg = prof.agg(
-        F.coalesce(F.sum(ns), F.lit(0)).cast("long").alias("source_count"),
-        F.coalesce(F.sum(nt), F.lit(0)).cast("long").alias("target_count"),
-        F.count_if((ns > 0) & (nt == 0)).cast("long").alias("missing_count"),
-        F.count_if((nt > 0) & (ns == 0)).cast("long").alias("extra_count"),
-        F.coalesce(mism, F.lit(0)).cast("long").alias("mismatch_count"),
-        F.count_if(ns > 1).cast("long").alias("source_duplicates"),
-        F.count_if(nt > 1).cast("long").alias("target_duplicates"),
+    mism = "CAST(coalesce(sum(mismatched_pairs), 0) AS BIGINT)" if with_columns else "CAST(0 AS BIGINT)"
+    return prof.selectExpr(
+        "CAST(coalesce(sum(source_rows), 0) AS BIGINT) AS source_count",
+        "CAST(coalesce(sum(target_rows), 0) AS BIGINT) AS target_count",
+        "CAST(count_if(source_rows > 0 AND target_rows = 0) AS BIGINT) AS missing_count",
+        "CAST(count_if(target_rows > 0 AND source_rows = 0) AS BIGINT) AS extra_count",
+        f"{mism} AS mismatch_count",
+        "CAST(count_if(source_rows > 1) AS BIGINT) AS source_duplicates",
+        "CAST(count_if(target_rows > 1) AS BIGINT) AS target_duplicates",
     )
-    return agg
 
 
 def reconcile(
@@ -276,37 +280,32 @@ def finish_summary(
     """Rate, status and summary text from the raw counts.  With
     ``check_duplicates=False`` (the ``duplicate_check: false`` validation)
     the duplicate counts are NULL and do not fail the status."""
-    sc, miss, mism = F.col("source_count"), F.col("missing_count"), F.col("mismatch_count")
-    matched = (sc - miss - mism).cast("long")
-    if not check_duplicates:
-        agg = agg.withColumn("source_duplicates", F.lit(None).cast("long")).withColumn(
-            "target_duplicates", F.lit(None).cast("long")
-        )
-    dups = (F.col("source_duplicates") > 0) | (F.col("target_duplicates") > 0)
-    issues = F.coalesce(dups, F.lit(False)) | (miss > 0) | (F.col("extra_count") > 0) | (mism > 0)
-    return agg.select(
-        F.lit(source_name).cast("string").alias("source_table"),
-        F.lit(target_name).cast("string").alias("target_table"),
+    m = "(source_count - missing_count - mismatch_count)"
+    if check_duplicates:
+        sd, td = "source_duplicates", "target_duplicates"
+        dups = "source_duplicates > 0 OR target_duplicates > 0"
+    else:
+        sd, td, dups = "CAST(NULL AS BIGINT)", "CAST(NULL AS BIGINT)", "false"
+    issues = f"{dups} OR missing_count > 0 OR extra_count > 0 OR mismatch_count > 0"
+    return agg.selectExpr(
+        f"CAST({sql_string(source_name)} AS STRING) AS source_table",
+        f"CAST({sql_string(target_name)} AS STRING) AS target_table",
         "source_count",
         "target_count",
-        matched.alias("matched_count"),
-        match_rate(matched, sc).alias("match_rate"),
+        f"CAST({m} AS BIGINT) AS matched_count",
+        f"{match_rate_sql(m, 'source_count')} AS match_rate",
         "missing_count",
         "extra_count",
         "mismatch_count",
-        "source_duplicates",
-        "target_duplicates",
-        F.when(issues, F.lit(FAILED)).otherwise(F.lit(PASSED)).alias("status"),
-        summary_text(matched, sc, miss, F.col("extra_count"), mism).alias("summary"),
-        F.lit(",".join(cols)).alias("columns_compared"),
+        f"{sd} AS source_duplicates",
+        f"{td} AS target_duplicates",
+        f"CASE WHEN {issues} THEN '{FAILED}' ELSE '{PASSED}' END AS status",
+        f"{summary_text_sql(m, 'source_count', 'missing_count', 'extra_count', 'mismatch_count')} AS summary",
+        f"{sql_string(','.join(cols))} AS columns_compared",
     )
 
 
-def with_thresholds(
-    summary: DataFrame,
-    thresholds: dict | None = None,
-    schema_status: Column | str | None = None,
-) -> DataFrame:
+def with_thresholds(summary: DataFrame, thresholds: dict | None = None, schema_status: str | None = None) -> DataFrame:
     """Adds ``threshold_breached`` and ``overall_status``.
 
     A threshold is breached when the mismatch or missing share of source rows
@@ -314,43 +313,41 @@ def with_thresholds(
     thresholds, or an empty source, is never a breach.  Overall status:
     THRESHOLD_BREACHED over FAILED (schema or data) over PASSED.
     """
-    sc = F.col("source_count")
     if thresholds is None:
-        breached = F.lit(False)
+        breached = "false"
     else:
-        max_mm = float(thresholds.get("max_mismatch_percent", 100))
-        max_miss = float(thresholds.get("max_missing_percent", 100))
-        pct = lambda c: F.col(c).cast("double") / sc.cast("double") * F.lit(100.0)
-        breached = F.when(sc > 0, (pct("mismatch_count") > max_mm) | (pct("missing_count") > max_miss)).otherwise(
-            F.lit(False)
+        max_mm = sql_string(float(thresholds.get("max_mismatch_percent", 100)))
+        max_miss = sql_string(float(thresholds.get("max_missing_percent", 100)))
+
+        def pct(c):
+            return f"CAST({c} AS DOUBLE) / CAST(source_count AS DOUBLE) * CAST(100 AS DOUBLE)"
+
+        breached = (
+            f"CASE WHEN source_count > 0 THEN {pct('mismatch_count')} > {max_mm} "
+            f"OR {pct('missing_count')} > {max_miss} ELSE false END"
         )
-    if schema_status is None:
-        schema_failed = F.lit(False)
-    else:
-        sch = F.lit(schema_status) if isinstance(schema_status, str) else schema_status
-        schema_failed = F.coalesce(sch == F.lit(FAILED), F.lit(False))
-    data_failed = F.coalesce(F.col("status") == F.lit(FAILED), F.lit(False))
-    out = summary.withColumn("threshold_breached", breached)
-    return out.withColumn(
-        "overall_status",
-        F.when(F.col("threshold_breached"), F.lit(THRESHOLD_BREACHED))
-        .when(schema_failed | data_failed, F.lit(FAILED))
-        .otherwise(F.lit(PASSED)),
+    schema_failed = "false" if schema_status is None else f"({sql_string(schema_status)} = '{FAILED}')"
+    return summary.selectExpr(
+        "*",
+        f"{breached} AS threshold_breached",
+        f"CASE WHEN {breached} THEN '{THRESHOLD_BREACHED}' "
+        f"WHEN {schema_failed} OR coalesce(status = '{FAILED}', false) THEN '{FAILED}' "
+        f"ELSE '{PASSED}' END AS overall_status",
     )
 
 
 # ---------------------------------------------------------------- issue samples
 
 
-def _keys_json(keys: Sequence[str], extra: Sequence[Column] = ()) -> Column:
-    return F.to_json(F.struct(*[F.col(k) for k in keys], *extra), {"ignoreNullFields": "false"})
+def _keys_json_sql(keys: Sequence[str], extra: Sequence[str] = ()) -> str:
+    fields = ", ".join(f"{sql_string(c)}, {quote(c)}" for c in [*keys, *extra])
+    return f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
 
 
-def _first(df: DataFrame, keys: Sequence[str], n: int, *tiebreak: str) -> DataFrame:
+def _first(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     # Ordered top-n: a per-task top-n merged on one task (TakeOrderedAndProject);
     # never a full sort, never more than n rows per task.
-    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(c).asc_nulls_first() for c in tiebreak]
-    return df.orderBy(*order).limit(n)
+    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
 
 
 def issue_rows(
@@ -375,35 +372,36 @@ def issue_rows_from_profile(
     prof: DataFrame, keys: Sequence[str], with_columns: bool, sample_size: int = SAMPLE_MISMATCHES
 ) -> DataFrame:
     """Issue samples from an already computed key profile."""
-    cols = with_columns
-    ns, nt = F.col("source_rows"), F.col("target_rows")
-    kj = _keys_json(keys)
-    null_s = F.lit(None).cast("string")
+    kj = _keys_json_sql(keys)
+    dj = _keys_json_sql(keys, ["cnt"])
+    null_s = "CAST(NULL AS STRING)"
 
     def shape(df, typ, rec, src_v, tgt_v, text):
-        return df.select(
-            F.lit(typ).alias("issue_type"),
-            rec.alias("record_keys"),
-            src_v.alias("source_values"),
-            tgt_v.alias("target_values"),
-            text.alias("details"),
+        return df.selectExpr(
+            f"{sql_string(typ)} AS issue_type",
+            f"{rec} AS record_keys",
+            f"{src_v} AS source_values",
+            f"{tgt_v} AS target_values",
+            f"{text} AS details",
         )
 
+    missing = prof.filter("source_rows > 0 AND target_rows = 0")
+    extra = prof.filter("target_rows > 0 AND source_rows = 0")
     parts = [
-        shape(_first(prof.filter((ns > 0) & (nt == 0)), keys, SAMPLE_MISSING), MISSING, kj, kj, null_s, F.lit(TEXT_MISSING)),
-        shape(_first(prof.filter((nt > 0) & (ns == 0)), keys, SAMPLE_EXTRA), EXTRA, kj, null_s, kj, F.lit(TEXT_EXTRA)),
+        shape(_first(missing, keys, SAMPLE_MISSING), MISSING, kj, kj, null_s, sql_string(TEXT_MISSING)),
+        shape(_first(extra, keys, SAMPLE_EXTRA), EXTRA, kj, null_s, kj, sql_string(TEXT_EXTRA)),
     ]
-    if cols:
-        mm = _first(prof.filter(F.col("mismatched_pairs") > 0), keys, sample_size)
-        parts.append(shape(mm, MISMATCH, kj, F.col("source_hash"), F.col("target_hash"), F.lit(TEXT_MISMATCH)))
-    for side_rows, typ, tmpl, is_src in (
-        (ns, SOURCE_DUPLICATE, TEXT_SOURCE_DUPLICATE, True),
-        (nt, TARGET_DUPLICATE, TEXT_TARGET_DUPLICATE, False),
+    if with_columns:
+        mm = _first(prof.filter("mismatched_pairs > 0"), keys, sample_size)
+        parts.append(shape(mm, MISMATCH, kj, "source_hash", "target_hash", sql_string(TEXT_MISMATCH)))
+    for side, typ, tmpl, is_src in (
+        ("source_rows", SOURCE_DUPLICATE, TEXT_SOURCE_DUPLICATE, True),
+        ("target_rows", TARGET_DUPLICATE, TEXT_TARGET_DUPLICATE, False),
     ):
-        d = _first(prof.filter(side_rows > 1).withColumn("cnt", side_rows), keys, SAMPLE_DUPLICATES)
-        dj = _keys_json(keys, [F.col("cnt")])
+        d = _first(prof.filter(f"{side} > 1").selectExpr(*[quote(k) for k in keys], f"{side} AS cnt"), keys,
+                   SAMPLE_DUPLICATES)
         head, tail = tmpl.split("{n}")
-        text = F.concat(F.lit(head), F.col("cnt").cast("string"), F.lit(tail))
+        text = f"concat({sql_string(head)}, CAST(cnt AS STRING), {sql_string(tail)})"
         parts.append(shape(d, typ, dj, dj if is_src else null_s, null_s if is_src else dj, text))
     out = parts[0]
     for p in parts[1:]:
