@@ -103,6 +103,17 @@ def ts_type(value):
     return T.TimestampNTZType()
 
 
+def ts_sql(value) -> str:
+    """SQL text of ``ts_literal(value)``."""
+    if value is None:
+        return "current_timestamp()"
+    if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            return f"TIMESTAMP {sql_string(value.isoformat(sep=' '))}"
+        value = value.isoformat(sep=" ")
+    return f"to_timestamp_ntz({sql_string(str(value))})"
+
+
 def ts_literal(value) -> Column:
     """A deterministic timestamp literal.
 

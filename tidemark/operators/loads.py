@@ -25,7 +25,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.fingerprint import all_not_null, change_hash, keys_equal, ts_literal, ts_type
+from tidemark.functions.fingerprint import (
+    all_not_null,
+    change_hash_sql,
+    keys_equal,
+    quote,
+    sql_string,
+    ts_literal,
+    ts_sql,
+    ts_type,
+)
 
 # SCD2 metadata columns and flag values.
 HASH = "_hash"
@@ -86,6 +95,21 @@ def _typed(value: Column, dtype: T.DataType | None) -> Column:
     return value.cast(dtype) if dtype is not None else value
 
 
+def _cast_sql(expr: str, dtype: T.DataType | None) -> str:
+    return f"CAST({expr} AS {dtype.simpleString()})" if dtype is not None else expr
+
+
+def _join_flat(t: DataFrame, s: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``t FULL OUTER JOIN s`` on the keys (plain ``=``: NULL keys never
+    match), with every column renamed ``t__x`` / ``s__x`` so the output
+    expressions can be written as plain SQL text."""
+    j = t.alias("t").join(s.alias("s"), keys_equal("t", "s", keys), "full_outer")
+    return j.selectExpr(
+        *[f"t.{quote(c)} AS {quote('t__' + c)}" for c in t.columns],
+        *[f"s.{quote(c)} AS {quote('s__' + c)}" for c in s.columns],
+    )
+
+
 # ---------------------------------------------------------------- full refresh
 
 
@@ -155,43 +179,39 @@ def scd1_joined(
     (matched_changed / matched_equal / inserted / target_only) and the
     output columns of the new state already computed."""
     _validate(keys, columns, source)
-    ts = ts_literal(as_of)
+    ts = ts_sql(as_of)
     src = _scd1_source(source, keys, columns, as_of)
     ins_cols = [*keys, *columns, CREATED_AT, UPDATED_AT]
     s = guard_unique_keys(src.select(*ins_cols), keys).withColumn("_sp", F.lit(True))
     t = target.withColumn("_tp", F.lit(True))
-    j = t.alias("t").join(s.alias("s"), keys_equal("t", "s", keys), "full_outer")
-    tp, sp = F.col("t._tp").isNotNull(), F.col("s._sp").isNotNull()
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     absent = [c for c in [*keys, *columns] if c not in ttypes]
     if absent:
         raise ValueError(f"target lacks key or tracked columns {absent}")
-    tracked = list(columns)
-    differ = ~F.struct(*[F.col(f"t.{c}").alias(c) for c in tracked]).eqNullSafe(
-        F.struct(*[_typed(F.col(f"s.{c}"), ttypes[c]).alias(c) for c in tracked])
-    ) if tracked else F.lit(False)
+    j = _join_flat(t, s, keys)
+    T_, S_ = (lambda c: quote("t__" + c)), (lambda c: quote("s__" + c))
+    tp, sp = f"{T_('_tp')} IS NOT NULL", f"{S_('_sp')} IS NOT NULL"
+    differ = " OR ".join(f"NOT ({T_(c)} <=> {_cast_sql(S_(c), ttypes[c])})" for c in columns) or "false"
     action = (
-        F.when(tp & sp & differ, F.lit(MATCHED_CHANGED))
-        .when(tp & sp, F.lit(MATCHED_EQUAL))
-        .when(sp, F.lit(INSERTED))
-        .otherwise(F.lit(TARGET_ONLY))
+        f"CASE WHEN {tp} AND {sp} AND ({differ}) THEN '{MATCHED_CHANGED}' WHEN {tp} AND {sp} THEN '{MATCHED_EQUAL}' "
+        f"WHEN {sp} THEN '{INSERTED}' ELSE '{TARGET_ONLY}' END"
     )
     outs = []
     for c in target.columns:
         dt = ttypes[c]
         if c in keys:
-            v = F.when(tp, F.col(f"t.{c}")).otherwise(_typed(F.col(f"s.{c}"), dt))
-        elif c in tracked:
-            v = F.when(sp, _typed(F.col(f"s.{c}"), dt)).otherwise(F.col(f"t.{c}"))
+            v = f"CASE WHEN {tp} THEN {T_(c)} ELSE {_cast_sql(S_(c), dt)} END"
+        elif c in columns:
+            v = f"CASE WHEN {sp} THEN {_cast_sql(S_(c), dt)} ELSE {T_(c)} END"
         elif c == CREATED_AT:
-            v = F.when(tp, F.col(f"t.{c}")).otherwise(_typed(F.col(f"s.{c}"), dt))
+            v = f"CASE WHEN {tp} THEN {T_(c)} ELSE {_cast_sql(S_(c), dt)} END"
         elif c == UPDATED_AT:
-            v = F.when(tp & sp, _typed(ts, dt)).when(sp, _typed(F.col(f"s.{c}"), dt)).otherwise(F.col(f"t.{c}"))
+            v = (f"CASE WHEN {tp} AND {sp} THEN {_cast_sql(ts, dt)} WHEN {sp} THEN {_cast_sql(S_(c), dt)} "
+                 f"ELSE {T_(c)} END")
         else:
-            v = F.when(tp, F.col(f"t.{c}")).otherwise(F.lit(None).cast(dt))
-        outs.append(v.alias(c))
-    return j.select(*outs, action.alias("_action"), sp.alias("_sp"))
-
+            v = f"CASE WHEN {tp} THEN {T_(c)} ELSE {_cast_sql('NULL', dt)} END"
+        outs.append(f"{v} AS {quote(c)}")
+    return j.selectExpr(*outs, f"{action} AS _action", f"{sp} AS _sp")
 
 def scd1(
     target: DataFrame | None, source: DataFrame, keys: Sequence[str], columns: Sequence[str], as_of=None
@@ -227,30 +247,31 @@ def _scd2_source(source, keys, columns, delete_column, delete_value, exact) -> t
     carry = [delete_column] if delete_column and delete_column in source.columns else []
     src_cols = [*keys, *columns, *carry]
     flag = (
-        F.col(delete_column).eqNullSafe(F.lit(delete_value))
+        f"{quote(delete_column)} <=> {sql_string(delete_value)}"
         if delete_column is not None and delete_value is not None and delete_column in source.columns
-        else F.lit(False)
+        else "false"
     )
-    s = source.select(*src_cols, change_hash(columns, exact).alias(HASH), flag.alias("_flag"))
+    s = source.selectExpr(*[quote(c) for c in src_cols], f"{change_hash_sql(columns, exact)} AS {HASH}",
+                          f"{flag} AS _flag")
     return s, src_cols
 
-
 def _new_version(src_cols, out_types, ts, batch_id, prefix=""):
-    """Column list of a fresh active version built from source columns."""
-    p = f"{prefix}." if prefix else ""
-    vals = {c: F.col(f"{p}{c}") for c in src_cols}
+    """SQL expressions (name, text) of a fresh active version built from source columns."""
+    def ref(c):
+        return quote(prefix + c)
+
+    vals = {c: ref(c) for c in src_cols}
     vals.update(
         {
-            HASH: F.col(f"{p}{HASH}"),
-            BATCH: F.lit(batch_id).cast("string"),
+            HASH: ref(HASH),
+            BATCH: f"CAST({sql_string(batch_id)} AS STRING)",
             START: ts,
-            END: F.lit(None),
-            ACTIVE: F.lit(YES),
+            END: "NULL",
+            ACTIVE: f"'{YES}'",
             UPDATED: ts,
         }
     )
-    return [_typed(vals.get(c, F.lit(None)), out_types.get(c)).alias(c) for c in out_types]
-
+    return [(c, _cast_sql(vals.get(c, "NULL"), out_types.get(c))) for c in out_types]
 
 def scd2_joined(
     target: DataFrame,
@@ -262,49 +283,62 @@ def scd2_joined(
     delete_column: str | None = None,
     delete_value=None,
     exact: bool = False,
+    label_reactivated: bool = False,
 ) -> DataFrame:
     """Active target rows FULL OUTER JOIN source on the keys.
 
     One row per joined pair with ``_action`` and ``_rows``: the 0-2 output
     rows of the new state for that pair (closed or kept target row; new
     version), as an array of structs in the target's column order.
+
+    With ``label_reactivated`` a new key that has a closed version is tagged
+    ``reactivated``: the source is left-joined with the history keys, first
+    reduced to the source's keys by a semi join (broadcast when the planner's
+    size estimate allows), on the same key partitioning as the main join.
     """
-    ts = ts_literal(as_of)
+    ts = ts_sql(as_of)
     s, src_cols = _scd2_source(source, keys, columns, delete_column, delete_value, exact)
     s = guard_unique_keys(s, keys).withColumn("_sp", F.lit(True))
+    if label_reactivated:
+        hk = (
+            _history(target).select(*keys).join(s.select(*keys).dropDuplicates(), list(keys), "left_semi")
+            .dropDuplicates().withColumn("_h", F.lit(True))
+        )
+        s = s.join(hk, list(keys), "left")
+    else:
+        s = s.withColumn("_h", F.lit(None).cast("boolean"))
     out_types = {f.name: f.dataType for f in target.schema.fields}
     active = target.filter(F.col(ACTIVE) == F.lit(YES)).withColumn("_tp", F.lit(True))
-    j = active.alias("t").join(s.alias("s"), keys_equal("t", "s", keys), "full_outer")
-    tp, sp = F.col("t._tp").isNotNull(), F.col("s._sp").isNotNull()
-    flag = F.coalesce(F.col("s._flag"), F.lit(False))
-    differ = ~F.col(f"t.{HASH}").eqNullSafe(F.col(f"s.{HASH}"))
+    j = _join_flat(active, s, keys)
+    T_, S_ = (lambda c: quote("t__" + c)), (lambda c: quote("s__" + c))
+    tp, sp = f"{T_('_tp')} IS NOT NULL", f"{S_('_sp')} IS NOT NULL"
+    flag = f"coalesce({S_('_flag')}, false)"
+    differ = f"NOT ({T_(HASH)} <=> {S_(HASH)})"
     action = (
-        F.when(tp & sp & flag, F.lit(DELETED))
-        .when(tp & sp & differ, F.lit(CHANGED))
-        .when(tp & sp, F.lit(UNCHANGED))
-        .when(sp & flag, F.lit(SKIPPED))
-        .when(sp, F.lit(NEW))
-        .otherwise(F.lit(TARGET_ONLY))
+        f"CASE WHEN {tp} AND {sp} AND {flag} THEN '{DELETED}' "
+        f"WHEN {tp} AND {sp} AND {differ} THEN '{CHANGED}' "
+        f"WHEN {tp} AND {sp} THEN '{UNCHANGED}' "
+        f"WHEN {sp} AND {flag} THEN '{SKIPPED}' "
+        f"WHEN {sp} AND {S_('_h')} IS NOT NULL THEN '{REACTIVATED}' "
+        f"WHEN {sp} THEN '{NEW}' ELSE '{TARGET_ONLY}' END"
     )
-    j = j.withColumn("_action", action)
-    a = F.col("_action")
-    closing = a.isin(CHANGED, DELETED)
+    j = j.selectExpr("*", f"{action} AS _action")
+    closing = f"_action IN ('{CHANGED}', '{DELETED}')"
     kept = []
     for c, dt in out_types.items():
-        v = F.col(f"t.{c}")
-        if c == END:
-            v = F.when(closing, _typed(ts, dt)).otherwise(v)
+        v = T_(c)
+        if c in (END, UPDATED):
+            v = f"CASE WHEN {closing} THEN {_cast_sql(ts, dt)} ELSE {v} END"
         elif c == ACTIVE:
-            v = F.when(closing, F.lit(NO)).otherwise(v)
-        elif c == UPDATED:
-            v = F.when(closing, _typed(ts, dt)).otherwise(v)
-        kept.append(v.alias(c))
-    first = F.when(tp, F.struct(*kept))
-    second = F.when(a.isin(CHANGED, NEW), F.struct(*_new_version(src_cols, out_types, ts, batch_id, "s")))
-    rows = F.filter(F.array(first, second), lambda x: x.isNotNull())
-    key_out = [F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")).alias(k) for k in keys]
-    return j.select(*key_out, a.alias("_action"), sp.alias("_sp"), rows.alias("_rows"))
-
+            v = f"CASE WHEN {closing} THEN '{NO}' ELSE {v} END"
+        kept.append(f"{sql_string(c)}, {v}")
+    first = f"CASE WHEN {tp} THEN named_struct({', '.join(kept)}) END"
+    new = [f"{sql_string(c)}, {v}" for c, v in _new_version(src_cols, out_types, ts, batch_id, "s__")]
+    second = f"CASE WHEN _action IN ('{CHANGED}', '{NEW}', '{REACTIVATED}') THEN named_struct({', '.join(new)}) END"
+    key_out = [f"coalesce({T_(k)}, {S_(k)}) AS {quote(k)}" for k in keys]
+    return j.selectExpr(
+        *key_out, "_action", f"{sp} AS _sp", f"filter(array({first}, {second}), x -> x IS NOT NULL) AS _rows"
+    )
 
 def _history(target: DataFrame) -> DataFrame:
     return target.filter(~F.col(ACTIVE).eqNullSafe(F.lit(YES)))
@@ -314,13 +348,11 @@ def scd2_first(source, keys, columns, as_of=None, batch_id=None, delete_column=N
     """First load: every unflagged source row becomes an active version
     (a flagged row is skipped, as it would be when loading into an empty
     target)."""
-    ts = ts_literal(as_of)
     s, src_cols = _scd2_source(source, keys, columns, delete_column, delete_value, exact)
-    s = guard_unique_keys(s, keys).filter(~F.col("_flag"))
+    s = guard_unique_keys(s, keys).filter("NOT _flag")
     types = {c: None for c in [*src_cols, *SCD2_META]}
     types[END] = ts_type(as_of)
-    return s.select(*_new_version(src_cols, types, ts, batch_id))
-
+    return s.selectExpr(*[f"{v} AS {quote(c)}" for c, v in _new_version(src_cols, types, ts_sql(as_of), batch_id)])
 
 def scd2(
     target: DataFrame | None,
@@ -342,14 +374,11 @@ def scd2(
 
 def scd2_state_from_joined(joined: DataFrame, target: DataFrame, with_action: bool = False) -> DataFrame:
     cols = target.columns
-    emitted = joined.select(F.explode("_rows").alias("_r"), "_action").select(
-        *[F.col(f"_r.{c}").alias(c) for c in cols], "_action"
-    )
+    emitted = joined.selectExpr("inline(_rows)", "_action")
     hist = _history(target).select(*cols, F.lit(HISTORY).alias("_action"))
     out = emitted.unionByName(hist)
     return out if with_action else out.drop("_action")
 
-
 def scd2_actions(
     target: DataFrame,
     source: DataFrame,
@@ -362,34 +391,27 @@ def scd2_actions(
     exact=False,
     label_reactivated: bool = True,
 ) -> DataFrame:
-    """One row per key touched by the load: keys, ``action`` and
-    ``has_history`` (the key has a closed version).  A new key that has
-    history is labelled ``reactivated``.  The labels need the distinct keys
-    of the closed history (one aggregate-then-join); the load itself does
-    not."""
-    j = scd2_joined(target, source, keys, columns, as_of, batch_id, delete_column, delete_value, exact)
+    """One row per key touched by the load: keys, ``action`` and, with
+    ``label_reactivated``, ``has_history`` (the key has a closed version);
+    a new key that has history is then labelled ``reactivated``."""
+    j = scd2_joined(target, source, keys, columns, as_of, batch_id, delete_column, delete_value, exact,
+                    label_reactivated=label_reactivated)
     acts = j.select(*keys, F.col("_action").alias("action"))
     if not label_reactivated:
         return acts
-    return label_history(acts, target, keys, "action")
+    return with_history_flag(acts, target, keys)
 
 
-def label_history(rows: DataFrame, target: DataFrame, keys: Sequence[str], action_col: str) -> DataFrame:
-    """Adds ``has_history`` and relabels ``new`` as ``reactivated`` for keys
-    that have a closed version.  History keys are first reduced to the keys
-    present in ``rows`` (a semi join, broadcast when the planner's size
-    estimate of those keys allows), so long histories are not shuffled
-    whole."""
+def with_history_flag(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``has_history``: the key has a closed version.  History keys are
+    first reduced to the keys in ``rows`` by a semi join, so long histories
+    are not shuffled whole."""
     wanted = rows.select(*keys).dropDuplicates()
     hk = (
         _history(target).select(*keys).join(wanted, list(keys), "left_semi").dropDuplicates()
-        .withColumn("_h", F.lit(True))
+        .withColumn("has_history", F.lit(True))
     )
-    out = rows.join(hk, list(keys), "left")
-    has_h = F.col("_h").isNotNull()
-    return out.withColumn(
-        action_col, F.when((F.col(action_col) == NEW) & has_h, F.lit(REACTIVATED)).otherwise(F.col(action_col))
-    ).withColumn("has_history", has_h).drop("_h")
+    return rows.join(hk, list(keys), "left").withColumn("has_history", F.coalesce("has_history", F.lit(False)))
 
 
 def stats_from_actions(tagged: DataFrame, kind: str) -> DataFrame:

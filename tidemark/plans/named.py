@@ -287,10 +287,8 @@ def _scd2_rows_for(spark, sf, wanted: str):
     from pyspark.sql import functions as F
 
     t, s = scd2_pair(spark, sf)
-    j = L.scd2_joined(t, s, **SCD2_ARGS)
+    j = L.scd2_joined(t, s, **SCD2_ARGS, label_reactivated=wanted in (L.NEW, L.REACTIVATED))
     rows = L.scd2_state_from_joined(j, t, with_action=True)
-    if wanted in (L.NEW, L.REACTIVATED):
-        rows = L.label_history(rows.filter(F.col("_action") == L.NEW), t, I.SCD2_KEYS, "_action").drop("has_history")
     return rows.filter(F.col("_action") == wanted).withColumnRenamed("_action", "action")
 
 
