@@ -284,6 +284,7 @@ def scd2_joined(
     delete_value=None,
     exact: bool = False,
     label_reactivated: bool = False,
+    with_rows: bool = True,
 ) -> DataFrame:
     """Active target rows FULL OUTER JOIN source on the keys.
 
@@ -336,6 +337,8 @@ def scd2_joined(
     new = [f"{sql_string(c)}, {v}" for c, v in _new_version(src_cols, out_types, ts, batch_id, "s__")]
     second = f"CASE WHEN _action IN ('{CHANGED}', '{NEW}', '{REACTIVATED}') THEN named_struct({', '.join(new)}) END"
     key_out = [f"coalesce({T_(k)}, {S_(k)}) AS {quote(k)}" for k in keys]
+    if not with_rows:  # actions and counters only: skip building the output rows
+        return j.selectExpr(*key_out, "_action", f"{sp} AS _sp")
     return j.selectExpr(
         *key_out, "_action", f"{sp} AS _sp", f"filter(array({first}, {second}), x -> x IS NOT NULL) AS _rows"
     )
@@ -395,7 +398,7 @@ def scd2_actions(
     ``label_reactivated``, ``has_history`` (the key has a closed version);
     a new key that has history is then labelled ``reactivated``."""
     j = scd2_joined(target, source, keys, columns, as_of, batch_id, delete_column, delete_value, exact,
-                    label_reactivated=label_reactivated)
+                    label_reactivated=label_reactivated, with_rows=False)
     acts = j.select(*keys, F.col("_action").alias("action"))
     if not label_reactivated:
         return acts
@@ -416,34 +419,31 @@ def with_history_flag(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -
 
 def stats_from_actions(tagged: DataFrame, kind: str) -> DataFrame:
     """The six load counters from a frame of (_action, _sp[, _hist_n])."""
-    a, sp = F.col("_action"), F.col("_sp")
     if kind == "scd1":
-        return tagged.agg(
-            F.count_if(sp).alias("source_count"),
-            F.count_if(a == INSERTED).alias("inserted"),
-            F.count_if(a.isin(MATCHED_CHANGED, MATCHED_EQUAL)).alias("updated"),
-            F.lit(0).cast("long").alias("deleted"),
-            F.count(F.lit(1)).alias("active_count"),
-            F.lit(0).cast("long").alias("historical_count"),
+        return tagged.selectExpr(
+            "count_if(_sp) AS source_count",
+            f"count_if(_action = '{INSERTED}') AS inserted",
+            f"count_if(_action IN ('{MATCHED_CHANGED}', '{MATCHED_EQUAL}')) AS updated",
+            "CAST(0 AS BIGINT) AS deleted",
+            "count(1) AS active_count",
+            "CAST(0 AS BIGINT) AS historical_count",
         )
-    hn = F.col("_hist_n")
-    return tagged.agg(
-        F.count_if(sp).alias("source_count"),
-        F.count_if(a.isin(NEW, REACTIVATED)).alias("inserted"),
-        F.count_if(a == CHANGED).alias("updated"),
-        F.count_if(a == DELETED).alias("deleted"),
-        F.count_if(a.isin(UNCHANGED, TARGET_ONLY, CHANGED, NEW, REACTIVATED)).alias("active_count"),
-        (F.count_if(a.isin(CHANGED, DELETED)) + F.coalesce(F.sum(hn), F.lit(0))).cast("long").alias("historical_count"),
+    return tagged.selectExpr(
+        "count_if(_sp) AS source_count",
+        f"count_if(_action IN ('{NEW}', '{REACTIVATED}')) AS inserted",
+        f"count_if(_action = '{CHANGED}') AS updated",
+        f"count_if(_action = '{DELETED}') AS deleted",
+        f"count_if(_action IN ('{UNCHANGED}', '{TARGET_ONLY}', '{CHANGED}', '{NEW}', '{REACTIVATED}')) AS active_count",
+        f"CAST(count_if(_action IN ('{CHANGED}', '{DELETED}')) + coalesce(sum(_hist_n), 0) AS BIGINT)"
+        " AS historical_count",
     )
 
-
 def scd2_stats_from_joined(joined: DataFrame, target: DataFrame | None) -> DataFrame:
-    tagged = joined.select("_action", "_sp", F.lit(0).cast("long").alias("_hist_n"))
+    tagged = joined.selectExpr("_action", "_sp", "CAST(0 AS BIGINT) AS _hist_n")
     if target is not None:
-        hist = _history(target).select(
-            F.lit(HISTORY).alias("_action"),
-            F.lit(False).alias("_sp"),
-            F.when(F.col(ACTIVE) == F.lit(NO), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("_hist_n"),
+        hist = _history(target).selectExpr(
+            f"'{HISTORY}' AS _action", "false AS _sp",
+            f"CAST(CASE WHEN {ACTIVE} = '{NO}' THEN 1 ELSE 0 END AS BIGINT) AS _hist_n",
         )
         tagged = tagged.unionByName(hist)
     return stats_from_actions(tagged, "scd2")
@@ -455,7 +455,8 @@ def scd2_stats(target, source, keys, columns, as_of=None, batch_id=None, delete_
         n_src = source.select(F.lit(True).alias("_sp"), F.lit(None).cast("string").alias("_action"), F.lit(0).cast("long").alias("_hist_n"))
         n_new = first.select(F.lit(False).alias("_sp"), F.lit(NEW).alias("_action"), F.lit(0).cast("long").alias("_hist_n"))
         return stats_from_actions(n_src.unionByName(n_new), "scd2")
-    j = scd2_joined(target, source, keys, columns, as_of, batch_id, delete_column, delete_value, exact)
+    j = scd2_joined(target, source, keys, columns, as_of, batch_id, delete_column, delete_value, exact,
+                    with_rows=False)
     return scd2_stats_from_joined(j, target)
 
 
