@@ -63,3 +63,13 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_headline_plans_stay_in_the_jvm(spark, name):
     p = plan(E.queries()[name](spark, SF_SMALL))
     assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
+@pytest.mark.parametrize("name", ["recon_mismatch_all", "recon_details", "recon_summary_fanout"])
+def test_reconciliation_aggregates_are_hash_based(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(E.queries()[name](spark, SF_SMALL))
+        assert "SortAggregate" not in p and "ObjectHashAggregate" not in p, p
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

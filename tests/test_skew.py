@@ -38,3 +38,4 @@ def test_hot_key_listing_is_one_row(spark):
     rows = C.mismatches(base, tgt, ["k"], ["v"]).collect()
     assert len(rows) == 1 and rows[0].mismatched_pairs == n * n
     assert (rows[0].source_versions, rows[0].target_versions) == (3, 3)
+    assert rows[0].source_hash is None and rows[0].target_hash is None  # several versions: no single hash

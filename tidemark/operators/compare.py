@@ -91,8 +91,8 @@ def key_profile(
     Columns: keys, ``source_rows``, ``target_rows`` and, when ``columns`` is
     given, ``same_pairs`` (source x target pairs with equal fingerprints),
     ``source_versions`` / ``target_versions`` (distinct fingerprints per side),
-    ``source_hash`` / ``target_hash`` (smallest fingerprint per side, hex) and
-    ``mismatched_pairs``.
+    ``source_hash`` / ``target_hash`` (the hex fingerprint when the side holds
+    one version of the key, else NULL) and ``mismatched_pairs``.
 
     Expressions are handed to Spark as SQL text: each is parsed once on the
     JVM instead of being assembled call by call from Python.
@@ -115,20 +115,25 @@ def key_profile(
     per_hash = tagged.groupBy(*keys, "_h").agg(
         F.expr("CAST(sum(_s) AS BIGINT) AS _ns"), F.expr("CAST(sum(_t) AS BIGINT) AS _nt")
     )
-    prof = per_hash.groupBy(*keys).agg(
-        *[
-            F.expr(e)
-            for e in (
-                "sum(_ns) AS source_rows",
-                "sum(_nt) AS target_rows",
-                "sum(_ns * _nt) AS same_pairs",
-                "count_if(_ns > 0) AS source_versions",
-                "count_if(_nt > 0) AS target_versions",
-                "min(CASE WHEN _ns > 0 THEN _h END) AS _hs",
-                "min(CASE WHEN _nt > 0 THEN _h END) AS _ht",
-            )
-        ]
-    )
+    # The fingerprint of a side's only version is carried as four 64-bit
+    # chunks summed in decimals: fixed-width buffers keep this aggregation a
+    # hash aggregation (a min over binary would force a sort-based one).
+    chunk = lambda i: f"CAST(conv(hex(substring(_h, {8 * i + 1}, 8)), 16, 10) AS DECIMAL(20,0))"
+    parts = [
+        "sum(_ns) AS source_rows",
+        "sum(_nt) AS target_rows",
+        "sum(_ns * _nt) AS same_pairs",
+        "count_if(_ns > 0) AS source_versions",
+        "count_if(_nt > 0) AS target_versions",
+        *[f"sum(CASE WHEN _ns > 0 THEN {chunk(i)} END) AS _s{i}" for i in range(4)],
+        *[f"sum(CASE WHEN _nt > 0 THEN {chunk(i)} END) AS _t{i}" for i in range(4)],
+    ]
+    prof = per_hash.groupBy(*keys).agg(*[F.expr(e) for e in parts])
+
+    def hex_of(side):
+        pieces = ", ".join(f"lpad(lower(conv(CAST(_{side}{i} AS STRING), 10, 16)), 16, '0')" for i in range(4))
+        return f"concat({pieces})"
+
     keys_present = " AND ".join(f"{k} IS NOT NULL" for k in kq)
     return prof.selectExpr(
         *kq,
@@ -137,8 +142,8 @@ def key_profile(
         "same_pairs",
         "source_versions",
         "target_versions",
-        "lower(hex(_hs)) AS source_hash",
-        "lower(hex(_ht)) AS target_hash",
+        f"CASE WHEN source_versions = 1 THEN {hex_of('s')} END AS source_hash",
+        f"CASE WHEN target_versions = 1 THEN {hex_of('t')} END AS target_hash",
         f"CASE WHEN {keys_present} THEN source_rows * target_rows - same_pairs ELSE CAST(0 AS BIGINT) END"
         " AS mismatched_pairs",
     )
@@ -176,8 +181,8 @@ def mismatches(
     One row per key: keys, ``source_hash``, ``target_hash`` and
     ``mismatched_pairs`` (the number of source x target row pairs with
     different fingerprints; 1 for a key that is unique on both sides).  When a
-    side holds several distinct versions of a key, the hash shown is the
-    smallest one and ``source_versions`` / ``target_versions`` say how many.
+    side holds several distinct versions of a key its hash is NULL and
+    ``source_versions`` / ``target_versions`` say how many there are.
     """
     if not columns:
         prof = key_profile(source, target, keys)

@@ -112,8 +112,10 @@ def mismatches_sql(src, tgt, keys, cols) -> str:
 sh AS (SELECT {ks}, {fp} AS _h FROM s), th AS (SELECT {ks}, {fp} AS _h FROM t),
 p AS (SELECT {_k(keys, 'sh')}, CAST(count(*) AS BIGINT) AS mismatched_pairs
       FROM sh JOIN th ON {_on(keys, 'sh', 'th')} WHERE sh._h <> th._h GROUP BY {_k(keys, 'sh')}),
-ss AS (SELECT {ks}, min(_h) AS source_hash, CAST(count(DISTINCT _h) AS BIGINT) AS source_versions FROM sh GROUP BY {ks}),
-ts AS (SELECT {ks}, min(_h) AS target_hash, CAST(count(DISTINCT _h) AS BIGINT) AS target_versions FROM th GROUP BY {ks})
+ss AS (SELECT {ks}, CASE WHEN count(DISTINCT _h) = 1 THEN min(_h) END AS source_hash,
+             CAST(count(DISTINCT _h) AS BIGINT) AS source_versions FROM sh GROUP BY {ks}),
+ts AS (SELECT {ks}, CASE WHEN count(DISTINCT _h) = 1 THEN min(_h) END AS target_hash,
+             CAST(count(DISTINCT _h) AS BIGINT) AS target_versions FROM th GROUP BY {ks})
 SELECT {_k(keys, 'p')}, ss.source_hash, ts.target_hash, p.mismatched_pairs, ss.source_versions, ts.target_versions
 FROM p JOIN ss ON {_on(keys, 'p', 'ss')} JOIN ts ON {_on(keys, 'p', 'ts')}"""
 
