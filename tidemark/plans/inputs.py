@@ -325,3 +325,22 @@ AUDIT_START = "2026-02-22 00:00:00"
 AUDIT_END = "2026-02-22 00:00:05"
 AUDIT_USER = "etl_service"
 JOB_NAME = "scd_multi_load_type_job"
+
+
+def recon_shift_source_sql(d: Dialect) -> str:
+    """B1's source with c_mktsegment NULL where c_custkey % 23 = 7."""
+    return (
+        "SELECT c_custkey, c_name, c_nationkey, c_acctbal, "
+        "CASE WHEN c_custkey % 23 = 7 THEN NULL ELSE c_mktsegment END AS c_mktsegment "
+        f"FROM ({recon_source_sql(d)}) s"
+    )
+
+
+def recon_shift_target_sql(d: Dialect) -> str:
+    """The same rows, where % 23 = 7 the name moved into c_mktsegment and
+    c_name is NULL: the separator-joined fingerprint cannot see the change."""
+    return (
+        "SELECT c_custkey, CASE WHEN c_custkey % 23 = 7 THEN NULL ELSE c_name END AS c_name, c_nationkey, "
+        "c_acctbal, CASE WHEN c_custkey % 23 = 7 THEN c_name ELSE c_mktsegment END AS c_mktsegment "
+        f"FROM ({recon_source_sql(d)}) s"
+    )

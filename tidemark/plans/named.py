@@ -156,6 +156,31 @@ def recon_summary_identical(spark, sf):
     return C.reconcile(s, s, CUST_KEYS, source_name="customer_source", target_name="customer_source")
 
 
+def shift_pair(spark, sf):
+    return _in(spark, sf, I.recon_shift_source_sql), _in(spark, sf, I.recon_shift_target_sql)
+
+
+@query("recon_summary_shift_plain")
+def recon_summary_shift_plain(spark, sf):
+    """The reference's fingerprint: a value moved next to a NULL goes unseen."""
+    s, t = shift_pair(spark, sf)
+    return C.reconcile(s, t, CUST_KEYS, source_name="customer_shift_source", target_name="customer_shift_target")
+
+
+@query("recon_summary_exact")
+def recon_summary_exact(spark, sf):
+    """The null-safe fingerprint sees it."""
+    s, t = shift_pair(spark, sf)
+    return C.reconcile(s, t, CUST_KEYS, exact=True, source_name="customer_shift_source",
+                       target_name="customer_shift_target")
+
+
+@query("recon_mismatch_exact")
+def recon_mismatch_exact(spark, sf):
+    s, t = shift_pair(spark, sf)
+    return C.mismatches(s, t, CUST_KEYS, C.compare_columns(s.columns, t.columns, CUST_KEYS), exact=True)
+
+
 @query("recon_thresholds")
 def recon_thresholds(spark, sf):
     s, t = customer_pair(spark, sf)

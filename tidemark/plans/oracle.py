@@ -36,6 +36,12 @@ ORACLE["recon_summary_null_keys"] = R.reconcile_sql(ns, nt, CUST_KEYS, CUST_COLS
 ORACLE["recon_summary_composite"] = R.reconcile_sql(ls, lt, LI_KEYS, LI_COLS, "lineitem_source", "lineitem_target")
 ORACLE["recon_summary_fanout"] = R.reconcile_sql(rs, rt, LI_KEYS, LI_COLS, "lineitem_raw", "lineitem_raw_target")
 ORACLE["recon_summary_identical"] = R.reconcile_sql(cs, cs, CUST_KEYS, CUST_COLS, "customer_source", "customer_source")
+_hs, _ht = I.recon_shift_source_sql(D), I.recon_shift_target_sql(D)
+ORACLE["recon_summary_shift_plain"] = R.reconcile_sql(_hs, _ht, CUST_KEYS, CUST_COLS, "customer_shift_source", "customer_shift_target")
+ORACLE["recon_summary_exact"] = R.reconcile_sql(
+    _hs, _ht, CUST_KEYS, CUST_COLS, "customer_shift_source", "customer_shift_target", exact=True
+)
+ORACLE["recon_mismatch_exact"] = R.mismatches_sql(_hs, _ht, CUST_KEYS, CUST_COLS, exact=True)
 ORACLE["recon_thresholds"] = "\nUNION ALL\n".join(
     [
         R.thresholds_select(

@@ -30,9 +30,15 @@ def _summary_text(m: str, n: str, miss: str, extra: str, mism: str) -> str:
   ELSE 'Perfect match: ' || CAST({m} AS VARCHAR) || '/' || CAST({n} AS VARCHAR) || ' records' END"""
 
 
-def counts_cte(src: str, tgt: str, keys: Sequence[str], cols: Sequence[str]) -> str:
+def exact_fingerprint(cols: Sequence[str]) -> str:
+    """SHA-256 of the JSON object of the compared values (NULLs kept)."""
+    fields = ", ".join(f"{c} := {c}" for c in cols)
+    return f"sha256(CAST(to_json(struct_pack({fields})) AS VARCHAR))"
+
+
+def counts_cte(src: str, tgt: str, keys: Sequence[str], cols: Sequence[str], exact: bool = False) -> str:
     """CTEs s, t, c: c holds the seven raw counts, reference style."""
-    fp = DUCK.fingerprint(cols) if cols else "NULL"
+    fp = (exact_fingerprint(cols) if exact else DUCK.fingerprint(cols)) if cols else "NULL"
     ks = _k(keys)
     mism = (
         f"(SELECT count(*) FROM (SELECT {ks}, {fp} AS _h FROM s) a JOIN (SELECT {ks}, {fp} AS _h FROM t) b "
@@ -67,8 +73,8 @@ def summary_select(cols: Sequence[str], source_name: str | None, target_name: st
 FROM c"""
 
 
-def reconcile_sql(src, tgt, keys, cols, source_name=None, target_name=None) -> str:
-    return f"WITH {counts_cte(src, tgt, keys, cols)}\n{summary_select(cols, source_name, target_name)}"
+def reconcile_sql(src, tgt, keys, cols, source_name=None, target_name=None, exact=False) -> str:
+    return f"WITH {counts_cte(src, tgt, keys, cols, exact)}\n{summary_select(cols, source_name, target_name)}"
 
 
 def thresholds_select(summary_rel: str, thresholds: dict | None, schema_status: str | None = None) -> str:
@@ -105,8 +111,8 @@ def except_sql(a, b, keys) -> str:
     return f"WITH a AS ({a}), b AS ({b}) SELECT {ks} FROM a EXCEPT SELECT {ks} FROM b"
 
 
-def mismatches_sql(src, tgt, keys, cols) -> str:
-    fp = DUCK.fingerprint(cols)
+def mismatches_sql(src, tgt, keys, cols, exact=False) -> str:
+    fp = exact_fingerprint(cols) if exact else DUCK.fingerprint(cols)
     ks = _k(keys)
     return f"""WITH s AS ({src}), t AS ({tgt}),
 sh AS (SELECT {ks}, {fp} AS _h FROM s), th AS (SELECT {ks}, {fp} AS _h FROM t),
