@@ -124,3 +124,62 @@ def test_incremental_new_rows_model(spark, tgt_keys, batch_keys):
     got = sorted(r.i for r in L.incremental_new_rows(t, b, ["k"]).collect())
     want = sorted(i for i, k in enumerate(batch_keys) if k is None or k not in set(tgt_keys))
     assert got == want
+
+
+import datetime as _dt  # noqa: E402
+import hashlib  # noqa: E402
+
+T_SCHEMA = (
+    "k int, v string, del string, _hash string, batch_id string, effective_start_date timestamp_ntz, "
+    "effective_end_date timestamp_ntz, is_active string, updated_timestamp timestamp_ntz"
+)
+_T0, _TH, _AS = _dt.datetime(2026, 1, 1), _dt.datetime(2025, 6, 1), _dt.datetime(2026, 2, 1)
+
+
+def _h(v):
+    return hashlib.sha256(("" if v is None else v).encode()).hexdigest()
+
+
+def scd2_model(target, source):
+    """The decision table of SURVEY 2.12 (our contract), row by row."""
+    out = [r for r in target if r[7] != "Y"]
+    active = {r[0]: r for r in target if r[7] == "Y" and r[0] is not None}
+    out += [r for r in target if r[7] == "Y" and r[0] is None]
+    seen = set()
+    for k, v, d in source:
+        flag = d == "Y"
+        new = (k, v, d, _h(v), "b1", _AS, None, "Y", _AS)
+        t = active.get(k) if k is not None else None
+        if t is None:
+            if not flag:
+                out.append(new)
+            continue
+        seen.add(k)
+        closed = t[:6] + (_AS, "N", _AS)
+        if flag:
+            out.append(closed)
+        elif _h(v) != t[3]:
+            out += [closed, new]
+        else:
+            out.append(t)
+    out += [t for k, t in active.items() if k not in seen]
+    return sorted(out, key=repr)
+
+
+hist_rows = st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["a", "b", None])), max_size=6)
+act_rows = st.dictionaries(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from(["a", "b", None]), max_size=6)
+src_rows = st.dictionaries(st.integers(0, 7), st.tuples(st.sampled_from(["a", "b", "c", None]),
+                                                        st.sampled_from(["Y", "N", None])), max_size=7)
+
+
+@SETTINGS
+@given(hist_rows, act_rows, src_rows, st.booleans())
+def test_scd2_matches_decision_table_model(spark, hist, act, src, null_key_source):
+    target = [(k, v, "N", _h(v), "bh", _TH, _T0, "N", _T0) for k, v in hist]
+    target += [(k, v, "N", _h(v), "b0", _T0, None, "Y", _T0) for k, v in act.items()]
+    source = [(k, v, d) for k, (v, d) in src.items()] + ([(None, "z", "N")] if null_key_source else [])
+    t = spark.createDataFrame(target, T_SCHEMA)
+    s = spark.createDataFrame(source, "k int, v string, del string")
+    got = L.scd2(t, s, keys=["k"], columns=["v"], as_of="2026-02-01 00:00:00", batch_id="b1",
+                 delete_column="del", delete_value="Y").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == scd2_model(target, source)
