@@ -49,9 +49,11 @@ def test_reference_demo(spark, tmp_path):
     path = tmp_path / "recon_config.yaml"
     path.write_text(CONFIG.format(db=db))
 
-    runs = {r.recon_name: r for r in run_reconciliation(spark, str(path)).collect()}
-    assert runs["customer_recon"].overall_status == "THRESHOLD_BREACHED"
-    assert runs["product_recon"].overall_status == "PASSED"
+    out = run_reconciliation(spark, str(path))
+    assert (out["total"], out["passed"], out["failed"]) == (2, 1, 1)
+    runs = {r["recon_name"]: r for r in out["results"]}
+    assert runs["customer_recon"]["overall_status"] == "THRESHOLD_BREACHED"
+    assert runs["product_recon"]["overall_status"] == "PASSED"
 
     res = {r.recon_name: r for r in spark.read.table(f"{db}.recon_results").collect()}
     c = res["customer_recon"]
@@ -70,7 +72,7 @@ def test_reference_demo(spark, tmp_path):
     assert counts == []
 
     # running only one reconciliation adds one more result row
-    run_reconciliation(spark, str(path), ["customer_recon"]).collect()
+    assert run_reconciliation(spark, str(path), ["customer_recon"])["total"] == 1
     assert spark.read.table(f"{db}.recon_results").count() == 3
 
     # the components on their own
@@ -110,10 +112,10 @@ def test_reference_load_demo(spark, tmp_path):
     create_table(spark, ps, f"{db}.product_source")
     path = tmp_path / "scd.yaml"
     path.write_text(SCD_CONFIG.format(db=db, batch="2026-02-22"))
-    out = {r.name: r for r in run_scd_job(spark, str(path), as_of="2026-02-22 00:00:00",
-                                          audit_table=f"{db}.scd_job_audit").collect()}
-    assert out["customer_history"].status == "SUCCESS" and out["customer_history"].inserted == 4
-    assert out["product_current"].status == "SUCCESS" and out["product_current"].active_count == 4
+    job = run_scd_job(spark, str(path), as_of="2026-02-22 00:00:00", audit_table=f"{db}.scd_job_audit")
+    assert (job["tables_processed"], job["tables_succeeded"], job["tables_failed"]) == (2, 2, 0)
+    out = {r["name"]: r for r in job["results"]}
+    assert out["customer_history"]["inserted"] == 4 and out["product_current"]["active_count"] == 4
 
     # next day: Bob moves, David is deleted, Eve arrives; one product changes price
     day2 = [(1, "Alice", "alice@example.com", "LA", "N"), (2, "Bob", "bob@example.com", "NYC", "N"),
@@ -123,10 +125,10 @@ def test_reference_load_demo(spark, tmp_path):
     spark.sql(f"ALTER TABLE {db}.customer SET LOCATION '{table_location(spark, f'{db}.customer_day2')}'")
     spark.catalog.refreshTable(f"{db}.customer")
     path.write_text(SCD_CONFIG.format(db=db, batch="2026-02-23"))
-    out = {r.name: r for r in run_scd_job(spark, str(path), ["customer_history"], as_of="2026-02-23 00:00:00",
-                                          audit_table=f"{db}.scd_job_audit").collect()}
-    c = out["customer_history"]
-    assert (c.inserted, c.updated, c.deleted, c.active_count, c.historical_count) == (1, 1, 1, 4, 2)
+    job = run_scd_job(spark, str(path), ["customer_history"], as_of="2026-02-23 00:00:00",
+                      audit_table=f"{db}.scd_job_audit")
+    c = job["results"][0]
+    assert (c["inserted"], c["updated"], c["deleted"], c["active_count"], c["historical_count"]) == (1, 1, 1, 4, 2)
     hist = spark.read.table(f"{db}.customer_target")
     assert hist.filter("customer_id = 2").count() == 2 and hist.filter("customer_id = 2 AND is_active = 'Y'").collect()[0].city == "NYC"
     assert hist.filter("customer_id = 4 AND is_active = 'Y'").count() == 0

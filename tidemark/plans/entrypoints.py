@@ -32,12 +32,23 @@ def load_config(config) -> dict:
         return yaml.safe_load(f)
 
 
-def run_scd_job(spark: SparkSession, config, table_names: Sequence[str] | None = None, **kw) -> DataFrame:
-    return run_loads(spark, load_config(config), table_names, **kw)
-
-
-def run_reconciliation(spark: SparkSession, config, recon_names: Sequence[str] | None = None, **kw) -> DataFrame:
-    return run_reconciliations(spark, load_config(config), recon_names, **kw)
+def run_scd_job(spark: SparkSession, config, table_names: Sequence[str] | None = None, **kw) -> dict:
+    """Run the load specs; returns the tally (processed / succeeded / failed)
+    plus one result dict per spec (status, error, the six counters)."""
+    rows = [r.asDict() for r in run_loads(spark, load_config(config), table_names, **kw).collect()]
+    ok = sum(r["status"] == "SUCCESS" for r in rows)
+    return {"tables_processed": len(rows), "tables_succeeded": ok, "tables_failed": len(rows) - ok, "results": rows}
+
+
+def run_reconciliation(spark: SparkSession, config, recon_names: Sequence[str] | None = None, **kw) -> dict:
+    """Run the reconciliations; returns job name, batch id, total / passed /
+    failed (anything not PASSED is failed) and one result dict per run."""
+    cfg = load_config(config)
+    rows = [r.asDict() for r in run_reconciliations(spark, cfg, recon_names, **kw).collect()]
+    passed = sum(r["overall_status"] == C.PASSED for r in rows)
+    job = cfg["job"]
+    return {"job_name": job.get("name"), "batch_id": job.get("batch_id"), "total": len(rows), "passed": passed,
+            "failed": len(rows) - passed, "results": rows}
 
 
 def reconcile_tables(
