@@ -110,3 +110,23 @@ def test_validation_switches(spark, db):
     assert "SOURCE_DUPLICATE" not in det
     assert det["NULL_DIFFERENCE"].record_keys == '{"column":"v"}'
     assert (det["NULL_DIFFERENCE"].source_values, det["NULL_DIFFERENCE"].target_values) == ("1", "0")
+
+
+def test_jobs_with_clock_time_keep_types_across_runs(spark, db):
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").createOrReplaceTempView("clk")
+    specs = [
+        {"name": "h2", "source": {"table": "clk"}, "target": {"table_name": f"{db}.h2"}, "load_type": "scd2",
+         "scd": {"keys": ["k"], "columns": ["v"]}},
+        {"name": "h1", "source": {"table": "clk"}, "target": {"table_name": f"{db}.h1"}, "load_type": "scd1",
+         "scd": {"keys": ["k"], "columns": ["v"]}},
+    ]
+    JB.run_loads(spark, _cfg(db, specs)).collect()  # as_of=None: current_timestamp()
+    spark.createDataFrame([(1, "z"), (3, "c")], "k int, v string").createOrReplaceTempView("clk")
+    rows = {r.name: r for r in JB.run_loads(spark, _cfg(db, specs)).collect()}
+    assert rows["h2"].status == "SUCCESS" and (rows["h2"].inserted, rows["h2"].updated) == (1, 1)
+    assert rows["h1"].status == "SUCCESS" and (rows["h1"].inserted, rows["h1"].updated) == (1, 1)
+    h2 = spark.read.table(f"{db}.h2")
+    assert dict(h2.dtypes)["effective_end_date"] == "timestamp"
+    closed = h2.filter("is_active = 'N'").collect()[0]
+    reopened = h2.filter("k = 1 AND is_active = 'Y'").collect()[0]
+    assert closed.effective_end_date == reopened.effective_start_date  # one clock reading per load
