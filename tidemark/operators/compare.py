@@ -424,7 +424,7 @@ def null_profile(source: DataFrame, target: DataFrame, columns: Sequence[str] |
 
     def counts(df, side):
         row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        stack = ", ".join(f"'{c}', `{c}`" for c in cols)
+        stack = ", ".join(f"{sql_string(c)}, {quote(c)}" for c in cols)
         return row.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, {side}_nulls)")
 
     s = counts(source, "source")
