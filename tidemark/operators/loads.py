@@ -343,6 +343,15 @@ def scd2_joined(
         *key_out, "_action", f"{sp} AS _sp", f"filter(array({first}, {second}), x -> x IS NOT NULL) AS _rows"
     )
 
+def scd2_changes(joined: DataFrame) -> DataFrame:
+    """Only the rows a load changes: active versions it closes and versions
+    it opens, each tagged with ``_action``.  This is what a table format with
+    MERGE needs (match closed rows on keys + ``effective_start_date``, insert
+    the rest): O(batch) to write instead of the whole state."""
+    touched = joined.filter(F.col("_action").isin(CHANGED, DELETED, NEW, REACTIVATED))
+    return touched.selectExpr("inline(_rows)", "_action")
+
+
 def _history(target: DataFrame) -> DataFrame:
     return target.filter(~F.col(ACTIVE).eqNullSafe(F.lit(YES)))
 

@@ -337,6 +337,12 @@ def scd2_reactivate(spark, sf):
     return _scd2_rows_for(spark, sf, L.REACTIVATED)
 
 
+@query("scd2_change_set")
+def scd2_change_set(spark, sf):
+    t, s = scd2_pair(spark, sf)
+    return L.scd2_changes(L.scd2_joined(t, s, **SCD2_ARGS)).withColumnRenamed("_action", "action")
+
+
 @query("scd2_counts")
 def scd2_counts(spark, sf):
     from pyspark.sql import functions as F

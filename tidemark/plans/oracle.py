@@ -85,6 +85,11 @@ ORACLE["scd2_first"] = OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)
 ORACLE["scd2_full"] = OL.scd2_state_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)
 for _name, _wanted in (("scd2_change", "changed"), ("scd2_delete", "deleted"), ("scd2_insert", "new"), ("scd2_reactivate", "reactivated")):
     ORACLE[_name] = OL.scd2_rows_for_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL, _wanted)
+_cs_rows = OL.scd2_rows_sql(I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL, with_action=True)
+ORACLE["scd2_change_set"] = (
+    f"WITH {OL.scd2_cte(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)}, r AS ({_cs_rows}) "
+    "SELECT * FROM r WHERE action IN ('changed', 'deleted', 'new')"
+)
 ORACLE["scd2_counts"] = OL.scd2_counts_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)
 ORACLE["scd2_no_delete"] = OL.scd2_state_sql(qt, qs, I.SCD2P_KEYS, I.SCD2P_COLUMNS, SCD2P_TCOLS, None)
 ORACLE["full_refresh"] = I.part_source_sql(D)
