@@ -213,6 +213,13 @@ def scd1_joined(
         outs.append(f"{v} AS {quote(c)}")
     return j.selectExpr(*outs, f"{action} AS _action", f"{sp} AS _sp")
 
+def scd1_changes(joined: DataFrame) -> DataFrame:
+    """Only the rows an SCD1 load writes: every matched key (its update
+    time moves even when nothing else changed) and every inserted key, with
+    ``_action``.  What a table format with MERGE needs: O(batch) to write."""
+    return joined.filter(F.col("_action") != TARGET_ONLY).drop("_sp")
+
+
 def scd1(
     target: DataFrame | None, source: DataFrame, keys: Sequence[str], columns: Sequence[str], as_of=None
 ) -> DataFrame:

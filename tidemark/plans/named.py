@@ -286,6 +286,13 @@ def scd1_upsert(spark, sf):
     return L.scd1(t, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
 
 
+@query("scd1_change_set")
+def scd1_change_set(spark, sf):
+    t, s = scd1_pair(spark, sf)
+    j = L.scd1_joined(t, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
+    return L.scd1_changes(j).withColumnRenamed("_action", "action")
+
+
 @query("scd1_actions")
 def scd1_actions(spark, sf):
     from pyspark.sql import functions as F

@@ -80,6 +80,7 @@ ORACLE["incremental_new_rows"] = OL.incremental_new_sql(et, eb, EV_KEYS)
 ORACLE["incremental_append"] = f"SELECT * FROM ({et}) t UNION ALL SELECT * FROM ({eb}) b"
 ORACLE["scd1_first"] = OL.scd1_first_sql(ps)
 ORACLE["scd1_upsert"] = OL.scd1_state_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS)
+ORACLE["scd1_change_set"] = OL.scd1_state_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS, change_set=True)
 ORACLE["scd1_actions"] = OL.scd1_actions_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS)
 ORACLE["scd2_first"] = OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)
 ORACLE["scd2_full"] = OL.scd2_state_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)
@@ -316,6 +317,7 @@ ORACLE["recon_job"] = "\nUNION ALL\n".join(
 DECIMAL_OUTPUTS = {
     "scd1_first": ["p_retailprice"],
     "scd1_upsert": ["p_retailprice"],
+    "scd1_change_set": ["p_retailprice"],
     "scd2_no_delete": ["p_retailprice"],
     "full_refresh": ["p_retailprice"],
     "src_sql": ["total_price"],

@@ -41,7 +41,7 @@ j AS (SELECT t.*, {", ".join(f"s.{c} AS s_{c}" for c in [*keys, *cols, "created_
       FROM t FULL OUTER JOIN s ON {_on(keys, 't', 's')})"""
 
 
-def scd1_state_sql(tgt, src, keys, cols, target_cols):
+def scd1_state_sql(tgt, src, keys, cols, target_cols, change_set=False):
     outs = []
     for c in target_cols:
         if c in keys:
@@ -54,6 +54,9 @@ def scd1_state_sql(tgt, src, keys, cols, target_cols):
             outs.append(f"CASE WHEN _tp AND _sp THEN {AS_OF} WHEN _sp THEN s_updated_at ELSE updated_at END AS updated_at")
         else:
             outs.append(f"CASE WHEN _tp THEN {c} END AS {c}")
+    if change_set:  # the rows a MERGE writes: matched and inserted keys, with their action
+        outs.append(f"{scd1_action_expr(cols)} AS action")
+        return f"WITH {scd1_join_cte(tgt, src, keys, cols)}\nSELECT {', '.join(outs)} FROM j WHERE _sp"
     return f"WITH {scd1_join_cte(tgt, src, keys, cols)}\nSELECT {', '.join(outs)} FROM j"
 
 
