@@ -200,3 +200,13 @@ def test_scd2_change_set_applied_to_old_state_gives_new_state(spark, hist, act,
     kept = [r for r in target if not (r[7] == "Y" and r[0] in closed_keys)]
     merged = sorted(kept + changes, key=repr)
     assert merged == sorted((tuple(r) for r in L.scd2(t, s, **args).collect()), key=repr)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=10), st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=10))
+def test_incremental_tagged_agrees_with_new_rows(spark, tgt_keys, batch_keys):
+    t = spark.createDataFrame([(k,) for k in tgt_keys], "k int")
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(batch_keys)], "k int, i int")
+    tagged = L.incremental_tagged(t, b, ["k"]).collect()
+    assert len(tagged) == len(batch_keys)
+    assert sorted(r.i for r in tagged if r._new) == sorted(r.i for r in L.incremental_new_rows(t, b, ["k"]).collect())

@@ -137,6 +137,19 @@ def incremental_new_rows(target: DataFrame | None, source: DataFrame, keys: Sequ
     return source.join(hits, list(keys), "left_anti")
 
 
+def incremental_tagged(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Every source row with ``_new``: true when it would be appended.  One
+    plan gives both the rows to append and the counters."""
+    if target is None or not keys:
+        return source.withColumn("_new", F.lit(True))
+    batch_keys = source.select(*keys).dropDuplicates()
+    hits = (
+        target.select(*keys).join(batch_keys, list(keys), "left_semi").dropDuplicates()
+        .withColumn("_hit", F.lit(True))
+    )
+    return source.join(hits, list(keys), "left").withColumn("_new", F.col("_hit").isNull()).drop("_hit")
+
+
 def incremental(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """New state: target plus the new rows (append by column name)."""
     new = incremental_new_rows(target, source, keys)

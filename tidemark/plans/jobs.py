@@ -87,8 +87,9 @@ def run_load(
     exists = target is not None
     try:
         if load_type == "incremental":
-            new = materialize(L.incremental_new_rows(target, source, keys))
-            n_src, n_new = source.count(), new.count()
+            tagged = materialize(L.incremental_tagged(target, source, keys))
+            new = tagged.filter("_new").drop("_new").select(*source.columns)
+            n_src, n_new = tagged.count(), new.count()
             if not exists:
                 TB.create_table(spark, new, table, root)
             elif n_new:
