@@ -91,10 +91,6 @@ def guard_unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _typed(value: Column, dtype: T.DataType | None) -> Column:
-    return value.cast(dtype) if dtype is not None else value
-
-
 def _cast_sql(expr: str, dtype: T.DataType | None) -> str:
     return f"CAST({expr} AS {dtype.simpleString()})" if dtype is not None else expr
 
