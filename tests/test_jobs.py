@@ -130,3 +130,16 @@ def test_jobs_with_clock_time_keep_types_across_runs(spark, db):
     closed = h2.filter("is_active = 'N'").collect()[0]
     reopened = h2.filter("k = 1 AND is_active = 'Y'").collect()[0]
     assert closed.effective_end_date == reopened.effective_start_date  # one clock reading per load
+
+
+def test_reconciliation_without_detail_logging(spark, db):
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").createOrReplaceTempView("nl_s")
+    spark.createDataFrame([(1, "a"), (2, "x")], "k int, v string").createOrReplaceTempView("nl_t")
+    cfg = {
+        "job": {"name": "r", "batch_id": "b", "results_table": f"{db}.res", "details_table": f"{db}.det"},
+        "reconciliations": [{"name": "q", "source": {"table": "nl_s"}, "target": {"table": "nl_t"}, "keys": ["k"]}],
+        "settings": {"enable_detailed_logging": False},
+    }
+    out = JB.run_reconciliations(spark, cfg).collect()[0]
+    assert out.data_status == "FAILED" and out.overall_status == "FAILED"
+    assert not spark.catalog.tableExists(f"{db}.res") and not spark.catalog.tableExists(f"{db}.det")

@@ -206,7 +206,9 @@ def run_reconciliation(
         cols = C.compare_columns(source.columns, target.columns, keys, cfg.get("columns_to_compare"),
                                  cfg.get("exclude_columns"))
         exact = bool(cfg.get("exact_compare", False))
-        prof = materialize(C.key_profile(source, target, keys, cols or None, exact))
+        prof = C.key_profile(source, target, keys, cols or None, exact)
+        if logging and details_table:  # read twice (summary, samples): materialize once
+            prof = materialize(prof)
         summ = C.finish_summary(C.summarize_profile(prof, keys, bool(cols)), cols, src_name, tgt_name,
                                 check_duplicates=validations.get("duplicate_check", True))
         summ = C.with_thresholds(summ, cfg.get("thresholds"), schema_status)
