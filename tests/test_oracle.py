@@ -46,3 +46,19 @@ def test_decimal_outputs_listed(spark):
         if cols:
             found[name] = cols
     assert found == DECIMAL_OUTPUTS
+
+
+def test_date_outputs_listed(spark):
+    from pyspark.sql import types as T
+
+    from tidemark.plans.named import QUERIES
+    from tidemark.plans.oracle import DATE_OUTPUTS
+
+    found = {}
+    for name, fn in QUERIES.items():
+        if name.endswith("_job") or name.startswith("load_job"):
+            continue
+        cols = [f.name for f in fn(spark, SF_ORACLE).schema.fields if isinstance(f.dataType, T.DateType)]
+        if cols:
+            found[name] = cols
+    assert found == DATE_OUTPUTS

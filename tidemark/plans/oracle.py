@@ -327,9 +327,15 @@ DECIMAL_OUTPUTS = {
 }
 
 
+# Date output columns per query: presented as ISO text ('YYYY-MM-DD') on both
+# sides, since pandas renders a DuckDB DATE as a timestamp and a Spark date
+# as a date.
+DATE_OUTPUTS = {"report_match_rate_trend": ["run_date"]}
+
+
 def portable_sql(name: str, sql: str) -> str:
-    cols = DECIMAL_OUTPUTS.get(name)
-    if not cols:
+    repl = [f"CAST({c} AS DOUBLE) AS {c}" for c in DECIMAL_OUTPUTS.get(name, [])]
+    repl += [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in DATE_OUTPUTS.get(name, [])]
+    if not repl:
         return sql
-    repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
-    return f"SELECT * REPLACE ({repl}) FROM ({sql}) q"
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql}) q"
