@@ -1,6 +1,7 @@
 """Benchmark the headline queries.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_RUNS=3 BENCH_ONLY=recon_fused,scd2_one_plan python bench.py   # fewer runs / a subset
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query runs fully (noop sink for table states; collect for one-row
