@@ -13,15 +13,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the folder that spark.checkpoint.dir names, and
-    forget its lineage.  Only a local session may go without that setting."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names.  Only a local session may go without
+    that setting; it gets a temporary folder."""
     sc = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and sc._jsc.sc().getCheckpointDir().isEmpty():
-        if not sc.master.startswith("local["):
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if not at and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoints-"))
+        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="tidemark-checkpoints-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder, and forget its lineage."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
