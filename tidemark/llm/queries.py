@@ -5,17 +5,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, mixing, sharding
+from tidemark.llm import bpe, fingerprints, mixing, quality, sharding, toxicity, training_order
 from tidemark.llm.common import read
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from three quarters of the labels."""
+    return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus mixed to square-root source weights, in training order."""
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences, each in its keyed global slot."""
+    return training_order.training_order(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores and spans of all documents, learnt from two thirds of the labels."""
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded, as digests."""
+    return bpe.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of near-equal bytes, equal texts together."""
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
@@ -26,6 +47,6 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mix, op8_sharding, op10_fingerprint)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op10_fingerprint)}
 
 LLM_ORACLE: dict[str, str] = {"op2_mix": mixing.MIX_SQL}
