@@ -65,3 +65,49 @@ def prefix_sums(df: DataFrame, by: list[str], order: list[str], n_rows: int, siz
     if size:
         out = out.withColumn("_before", F.col("_before") + F.col("_s0"))
     return out.drop("_bucket", "_ob", "_n0", "_s0", *[f"_by{i}" for i in range(len(by))])
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b: long, not null): the smallest node
+    that links reach.
+
+    Alternating large-star and small-star rounds: each node's larger, then smaller
+    neighbours are linked to the smallest one, until nothing changes; that takes about as
+    many rounds as the logarithm of the longest chain.  A hub's neighbours are rows of a
+    join, never one task's list; minima are taken before the shuffle."""
+    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).distinct())
+    seen = None
+    while True:
+        # a materialised table of minima, so that a hub's join partition can be split
+        both = now.unionByName(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        low = cut(both.groupBy(F.col("x").alias("_k")).agg(F.min("y").alias("_m")).select("_k", F.least("_k", "_m").alias("_m")))
+        large = both.join(low, both["x"] == low["_k"]).where("y > x").select(F.col("y").alias("x"), F.col("_m").alias("y")).distinct()
+        large = cut(large)
+        low = cut(large.groupBy(F.col("x").alias("_k")).agg(F.min("y").alias("_m")))
+        small = large.join(low, large["x"] == low["_k"]).where("y <> _m").select(F.col("y").alias("x"), F.col("_m").alias("y"))
+        now = cut(small.unionByName(low.select(F.col("_k").alias("x"), F.col("_m").alias("y"))).distinct())
+        state = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first()
+        if state == seen or state["n"] == 0:
+            break
+        seen = state
+    nodes = now.select(F.col("x").alias("node"), F.col("y").alias("root"))
+    return nodes.unionByName(now.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct())
+
+
+def cells(members: DataFrame, key: str, id_col: str, per_block: int = 256) -> DataFrame:
+    """Deals the members of each ``key`` to cells in which every pair of them meets, once.
+
+    A key's members are cut by a hash of their id into blocks of about ``per_block``; a
+    cell holds two blocks (or one, with itself), and a member goes to as many cells as its
+    key has blocks.  Adds ``_cell`` and ``_block`` (0 or 1: the cell's first or second);
+    keys of one member are left out.  ``members`` must be materialised."""
+    sizes = cut(members.groupBy(F.col(key).alias("_ck")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    sized = members.join(sizes, members[key] == sizes["_ck"]).drop("_ck").withColumn("_of", F.ceil(F.col("_n") / per_block).cast("int"))
+    mine = sized.withColumn("_b", F.pmod(F.xxhash64(id_col, F.lit("block")), F.col("_of")).cast("int"))
+    each = mine.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
+    return each.select(
+        *members.columns,
+        F.xxhash64(key, F.least("_b", "_j"), F.greatest("_b", "_j")).alias("_cell"),
+        F.when(F.col("_b") > F.col("_j"), 1).otherwise(0).alias("_block"),
+        (F.col("_b") == F.col("_j")).alias("_own"),
+    )

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, fingerprints, mixing, quality, sharding, toxicity, training_order
+from tidemark.llm import bpe, embedding_dedup, fingerprints, mixing, quality, sharding, toxicity, training_order
 from tidemark.llm.common import read
 
 
@@ -22,6 +22,11 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked with those of their label at cosine 0.98 or more."""
+    return embedding_dedup.link_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences, each in its keyed global slot."""
     return training_order.training_order(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -47,6 +52,6 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op10_fingerprint)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op10_fingerprint)}
 
-LLM_ORACLE: dict[str, str] = {"op2_mix": mixing.MIX_SQL}
+LLM_ORACLE: dict[str, str] = {"op2_mix": mixing.MIX_SQL, "op3_embedding_dedup": embedding_dedup.LINK_SQL}
