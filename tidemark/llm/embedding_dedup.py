@@ -190,8 +190,8 @@ LINK_SQL = """
 with recursive v as (
     select vec_id, label, embedding::double[] as e from embeddings
     where label is not null and len(embedding) > 0
-      and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
-      and len(list_filter(embedding, x -> x <> 0)) > 0
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), l as materialized (
     select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
     where list_cosine_similarity(a.e, b.e) >= 0.98

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embedding_dedup, fingerprints, mixing, quality, sharding, toxicity, training_order
+from tidemark.llm import bpe, embedding_dedup, fingerprints, minhash_dedup, mixing, quality, sharding, toxicity, training_order
 from tidemark.llm.common import read
 
 
@@ -47,11 +47,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents linked at five-word shingle similarity 0.75 or more."""
+    return minhash_dedup.link_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k fingerprints of all documents and of their edited texts."""
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op10_fingerprint)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op9_minhash, op10_fingerprint)}
 
 LLM_ORACLE: dict[str, str] = {"op2_mix": mixing.MIX_SQL, "op3_embedding_dedup": embedding_dedup.LINK_SQL}
