@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.labels import labelled_sample, remainder
 from tidemark.llm.quality import logistic
 
-PER_CLASS, MAX_CHARS = 2500, 20_000
+PER_CLASS, MAX_CHARS = 1500, 10_000
 #: A word or beginning marks toxic words if it stands between at least this many different
 #: pairs of neighbours in toxic sample documents (and this share of their number), and this
 #: many times as often, by different neighbours, as in other documents.  Neighbours are
@@ -89,6 +89,19 @@ def words_of(raws: list[bytes]) -> Words:
     return Words(h, start, end, doc, chain)
 
 
+def words_in_parts(texts: list[str]) -> Words:
+    """words_of() many texts, part by part to bound memory."""
+    raws = [t.encode("utf-8", "replace") for t in texts]
+    part = np.cumsum([len(r) for r in raws]) // PIECE_BYTES
+    found, chains = [], 0
+    for k in np.unique(part):
+        members = np.flatnonzero(part == k)
+        w = words_of([raws[i] for i in members])
+        found.append(Words(w.hash, w.start.astype(np.int32), w.end.astype(np.int32), members[w.doc].astype(np.int32), (w.chain + chains).astype(np.int32)))
+        chains += int(w.chain.max()) + 1 if len(w.chain) else 0
+    return Words(*(np.concatenate([getattr(w, f) for w in found]) for f in ("hash", "start", "end", "doc", "chain")))
+
+
 @dataclass(frozen=True)
 class ToxicModel:
     known: np.ndarray  # sorted hashes of the features with weights
@@ -140,10 +153,13 @@ def marginals(e: np.ndarray, chain: np.ndarray, move: np.ndarray) -> tuple[np.nd
 
 def _columns_known(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Positions of the hashes in ``known``; len(known) for others."""
-    if not len(known):
-        return np.zeros(hashes.shape, np.int64)
-    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-    return np.where(known[at] == hashes, at, len(known))
+    out = np.full(hashes.shape, len(known), np.int32)
+    for k in range(hashes.shape[1] if len(known) else 0):
+        h = hashes[:, k]
+        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        hit = known[at] == h
+        out[hit, k] = at[hit]
+    return out
 
 
 def _markers(w: Words, y: np.ndarray) -> np.ndarray:
@@ -158,9 +174,12 @@ def _markers(w: Words, y: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             context = (before[use] * np.uint64(3) + whole[use]) * _MULT + after[use]
         _, one = np.unique(context, return_index=True)
-        f = w.hash[use][one].ravel()
-        f, n = np.unique(f[f != 0], return_counts=True)
-        counts.append((f, n, len(one)))
+        one = np.flatnonzero(use)[one]
+        found = [np.unique(w.hash[one, c], return_counts=True) for c in range(w.hash.shape[1])]
+        f, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(f)  # a hash belongs to one length of beginning
+        f, n = f[order], n[order]
+        counts.append((f[f != 0], n[f != 0], len(one)))
     (f0, n0, all0), (f1, n1, all1) = counts
     at = np.minimum(np.searchsorted(f0, f1), max(0, len(f0) - 1))
     clean = np.where(f0[at] == f1, n0[at], 0) if len(f0) else np.zeros(len(f1))
@@ -176,7 +195,7 @@ def fit(sample: pd.DataFrame) -> ToxicModel:
     none = ToxicModel(np.empty(0, np.uint64), np.empty(0), OTHER_WORDS, np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))
     if sample["y"].nunique() < 2:
         return none
-    w = words_of([t.encode("utf-8", "replace") for t in sample["text"]])
+    w = words_in_parts(list(sample["text"]))
     y = sample["y"].to_numpy()
     known = _markers(w, y)
     if not len(known):
