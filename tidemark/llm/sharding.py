@@ -38,6 +38,7 @@ def propagate(linked: DataFrame, shards: int, share: float, rounds: int) -> Data
         if not any(x > 0.001 * share for x in room):
             rank = F.struct(F.col("s"), F.xxhash64("grp", "shard"))
         goal = held.groupBy("grp").agg(F.max_by("shard", rank).alias("_to"), F.count(F.lit(1)).alias("_in")).where("_in > 1").select(F.col("grp").alias("_g"), "_to")
+        goal = cut(goal)  # a table of its own, so that a hot group's partition of the join can be split
         want = (
             linked.join(goal, linked["grp"] == goal["_g"], "left")
             .drop("_g")
@@ -86,6 +87,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 4, id_col: s
     base = cut(base.withColumn("rid", F.monotonically_increasing_id()))
     total = base.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()
     groups = base.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1").withColumnRenamed("grp", "_g")
+    groups = cut(groups)
     rows = cut(base.join(groups, base["grp"] == groups["_g"], "left").drop("_g").withColumn("group_rows", F.coalesce("group_rows", F.lit(1))))
     linked = rows.where("group_rows > 1").select("rid", "grp", "size", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int").alias("shard"))
     share = total["s"] / shards
