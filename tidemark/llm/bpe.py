@@ -24,6 +24,8 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_batches
+
 NONE = np.int32(2**31 - 1)
 #: Pieces of up to this many symbols are encoded side by side.
 WIDE = 64
@@ -304,9 +306,11 @@ def loaded(path: str) -> WordBpe:
 
 
 def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and with ``keep_ids`` the ids) of every
-    whole text; a null text is as an empty one: no ids, and the hashes of nothing.  Equal
-    ids and repeated rows are rows of their own.  ``path`` must exist on every executor."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and with ``keep_ids`` the ids,
+    little-endian unsigned 32-bit integers) of every whole text.
+
+    A null text is as an empty one: no ids, and the hashes of nothing.  Equal ids and
+    repeated rows are rows of their own.  ``path`` must exist on every executor."""
     sha = lambda b: hashlib.sha256(b).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -319,9 +323,9 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> Data
                     n.append(count)
                     ids_sha.append(sha(raw))
                     text_sha.append(sha(decoded.encode("utf-8", "replace")))
-                    ids.append(np.frombuffer(raw, "<u4").astype(np.int32) if keep_ids else None)
+                    ids.append(raw)
                 out = {"doc_id": rows["doc_id"].to_numpy(), "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": text_sha}
                 yield pd.DataFrame(out | ({"ids": ids} if keep_ids else {})).astype({"doc_id": "Int64"})
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, schema)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if keep_ids else "")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(map_batches, run, schema)

@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from math import ceil
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers of this session find this package where the driver found it (an
+    installed package, or one sent with the job, needs no help)."""
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if home not in (had := env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))).split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [home, had]))
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """mapInPandas() with workers that can import this package."""
+    let_workers_import(df.sparkSession)
+    return df.mapInPandas(fn, schema)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cells, components, cut
+from tidemark.llm.common import cells, components, cut, map_batches
 
 #: Hashes per bucket: so many that unrelated vectors seldom share one (up to about 10^6
 #: vectors a label at 64 dimensions; one more for each factor of a hundred beyond).
@@ -116,7 +116,7 @@ def link_vectors(vectors: DataFrame, least: float = 0.98, tables: int = TABLES,
                 found = buckets(x, tables, probes, hashes)
                 yield pd.DataFrame({"rid": part["rid"].to_numpy(), "_label": part["_label"].astype(str).to_numpy(), "_d": d, "_unit": list(x), "_copies": part["_copies"].to_numpy(), "_at": list(found.reshape(len(x), -1))})
 
-    unit = cut(distinct.select("rid", "_label", "_vec", "_copies").mapInPandas(hashed, "rid long, _label string, _d int, _unit array<double>, _copies long, _at array<long>"))
+    unit = cut(distinct.select("rid", "_label", "_vec", "_copies").transform(map_batches, hashed, "rid long, _label string, _d int, _unit array<double>, _copies long, _at array<long>"))
     # a member of its own buckets and of the ones it probes, by table
     where = F.expr(f"explode(transform(_at, (b, i) -> named_struct('t', i div {1 + probes}, 'b', b, 'own', i % {1 + probes} = 0)))")
     members = unit.select("rid", "_label", "_d", where.alias("_w")).select("rid", F.xxhash64("_label", "_d", "_w.t", "_w.b").alias("_bucket"), (F.col("_w.b") * 64 + F.col("_w.t")).alias("_place"), F.col("_w.own").alias("_at_home"))
@@ -168,7 +168,7 @@ def link_vectors(vectors: DataFrame, least: float = 0.98, tables: int = TABLES,
         if rest is not None and len(rest):
             yield verify(rest)
 
-    links = cut(full.repartition("_cell").sortWithinPartitions("_cell").mapInPandas(by_cell, "rid long, links long, other long"))
+    links = cut(full.repartition("_cell").sortWithinPartitions("_cell").transform(map_batches, by_cell, "rid long, links long, other long"))
     gained = links.groupBy("rid").agg(F.sum("links").alias("_gained"))
     roots = components(links.select(F.col("rid").alias("a"), F.col("other").alias("b")))
     known = distinct.select("rid", "_k1", "_k2", "_copies", "_least")

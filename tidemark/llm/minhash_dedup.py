@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cells, components, cut
+from tidemark.llm.common import cells, components, cut, map_batches
 from tidemark.llm.shingles import mixed, shingle_set
 
 #: 32 bands of 4 samples meet at similarity 0.75 but for 5 in a million.
@@ -164,17 +164,18 @@ def _cross_pairs(best_only: bool, least: float, bits: int):
     return run
 
 
-def link_documents(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with _dkey, which tells rows apart that differ in id or text."""
+    return docs.withColumn("_dkey", F.unhex(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"))))
 
-    Null texts, and texts without words, have no shingles, link with nothing, and are their
-    own component.  Repeated ids are rows of their own.  A row without an id can link
-    others; its component is the smallest id it reaches (null: none) and it is kept only if
-    it has no id, no component and no twin: never, so that ``kept`` is false."""
+
+def _rooted(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, _dkey, n_shingles of every row; _root, a number that rows of one component
+    share (null without shingles); component_id, the smallest id of the component."""
     least, bits = percent / 100, most_bits(percent / 100 - MARGIN)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    texts = texts.withColumn("_dkey", F.unhex(F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.coalesce("_text", F.lit(""))).cast("binary"))))
-    rows = cut(texts.mapInPandas(_described, _DESCRIBED))
+    texts = _keyed(texts, "doc_id", "_text")
+    rows = cut(texts.transform(map_batches, _described, _DESCRIBED))
 
     sets = (
         rows.where("n_shingles > 0")
@@ -198,7 +199,7 @@ def link_documents(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", t
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left, right = (found.select(F.col("rid").alias(x), F.col("_text").alias(f"_text_{x}")) for x in "ab")
-        return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "_text_a", "_text_b").mapInPandas(_confirm(percent), "a long, b long"))
+        return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "_text_a", "_text_b").transform(map_batches, _confirm(percent), "a long, b long"))
 
     star = member.where("rid <> _hub").select(F.col("rid").alias("a"), F.col("_hub").alias("b")).distinct()
     for x in "ab":
@@ -216,7 +217,7 @@ def link_documents(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", t
         open_ = cut(placed.join(mixed_up, placed["_bucket"] == mixed_up["_mb"]).select("rid", "_bucket"))
         dealt = cells(open_, "_bucket", "rid").drop("_bucket")
         dealt = dealt.join(rooted, "rid").repartition("_cell").sortWithinPartitions("_cell")
-        pairs = dealt.mapInPandas(_cross_pairs(best_only, least, bits), "a long, b long").distinct()
+        pairs = dealt.transform(map_batches, _cross_pairs(best_only, least, bits), "a long, b long").distinct()
         pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
         links = cut(links.unionByName(confirmed(pairs)))
@@ -225,7 +226,32 @@ def link_documents(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", t
     known = sets.join(roots, sets["rid"] == roots["_node"], "left").withColumn("_root", F.coalesce("_to", "rid"))
     known = cut(known.select(F.col("_n_shingles").alias("_j0"), F.col("_s1").alias("_j1"), F.col("_s2").alias("_j2"), "_root", "_least"))
     low = cut(known.groupBy(F.col("_root").alias("_r")).agg(F.min("_least").alias("component_id")))
-    known = cut(known.join(low, known["_root"] == low["_r"]).select("_j0", "_j1", "_j2", "component_id"))
-    out = rows.select("doc_id", "n_shingles", "_s1", "_s2").join(known, (F.col("n_shingles") == F.col("_j0")) & (F.col("_s1") == F.col("_j1")) & (F.col("_s2") == F.col("_j2")), "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("_j0").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    known = cut(known.join(low, known["_root"] == low["_r"]).select("_j0", "_j1", "_j2", "_root", "component_id"))
+    out = rows.select("doc_id", "_dkey", "n_shingles", "_s1", "_s2").join(known, (F.col("n_shingles") == F.col("_j0")) & (F.col("_s1") == F.col("_j1")) & (F.col("_s2") == F.col("_j2")), "left")
+    return out.select("doc_id", "_dkey", "n_shingles", "_root", F.when(F.col("_j0").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def link_documents(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Null texts, and texts without words, have no shingles, link with nothing, and are their
+    own component.  Repeated ids are rows of their own.  A row without an id can link
+    others; its component is the smallest id that it reaches (null: none), and it isn't
+    kept."""
+    out = _rooted(docs, percent, id_col, text_col).drop("_dkey", "_root")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def keep_one(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of which one of each component stays: the one with
+    the smallest id, then (equal ids, or none) with the smallest hash, and of repeated rows
+    one.  Rows without shingles all stay."""
+    rows = cut(_rooted(docs, percent, id_col, text_col).select("doc_id", "_dkey", "_root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_dkey")).alias("f")
+    stay = rows.where("_root is not null").groupBy("_root").agg(first).select(F.col("f._dkey").alias("_stay"), F.lit(True).alias("_once"))
+    bare = rows.where("_root is null").select(F.col("_dkey").alias("_stay"), F.lit(False).alias("_once")).distinct()
+    stay = cut(stay.unionByName(bare))
+    keyed = _keyed(docs, id_col, text_col)
+    nth = F.row_number().over(Window.partitionBy("_dkey").orderBy("_dkey"))
+    kept = keyed.join(stay, keyed["_dkey"] == stay["_stay"]).withColumn("_nth", nth)
+    return kept.where("_nth = 1 or not _once").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_batches
 from tidemark.llm.labels import labelled_sample, remainder
 
 BLOCK = 2048
@@ -124,4 +125,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mo
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= threshold).astype("int32"), "size_difference": d})
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder(F.col("doc_id"), mod) == held_out, F.lit(True)).alias("held_out"), "text")
-    return ids.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int, size_difference double")
+    return ids.transform(map_batches, run, "doc_id long, held_out boolean, score double, predicted int, size_difference double")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embedding_dedup, fingerprints, minhash_dedup, mixing, quality, sharding, toxicity, training_order
+from tidemark.llm import bpe, embedding_dedup, fingerprints, minhash_dedup, mixing, quality, sharding, suffix_dedup, toxicity, training_order
 from tidemark.llm.common import read
 
 
@@ -27,6 +27,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 100-byte strings that start earlier, as digests."""
+    return suffix_dedup.repeated_strings(read(spark, sf_dir, "documents"))
+
+
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences, each in its keyed global slot."""
     return training_order.training_order(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -57,6 +62,6 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op9_minhash, op10_fingerprint)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op4_suffix_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op9_minhash, op10_fingerprint)}
 
 LLM_ORACLE: dict[str, str] = {"op2_mix": mixing.MIX_SQL, "op3_embedding_dedup": embedding_dedup.LINK_SQL}

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_batches
 from tidemark.llm.labels import labelled_sample, remainder
 from tidemark.llm.quality import logistic
 
@@ -269,7 +270,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, m
     held out.  Equal ids and repeated rows are rows of their own.  The model is fitted to
     a bounded sample, see labelled_sample()."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder(F.col("doc_id"), mod) == held_out, F.lit(True)).alias("held_out"), "text")
-    return ids.mapInPandas(
+    return ids.transform(
+        map_batches,
         scorer(docs, labels, mod, held_out, per_class, max_chars, threshold, ["doc_id", "held_out"]),
         "doc_id long, held_out boolean, score double, predicted int, toxic_spans array<struct<start: int, end: int>>",
     )
@@ -278,7 +280,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, m
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: int = 3, held_out: int = 1, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> DataFrame:
     """The rows of ``docs``, all columns, that score below the threshold."""
     run = scorer(docs, labels, mod, held_out, per_class, max_chars, threshold, docs.columns, keep=True)
-    return docs.mapInPandas(run, docs.schema)
+    return docs.transform(map_batches, run, docs.schema)
 
 
 def scorer(docs, labels, mod, held_out, per_class, max_chars, threshold, columns, keep=False):

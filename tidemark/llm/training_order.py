@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, map_batches
 
 SEQUENCE, SHARD_SLOTS, ROUNDS = 512, 8192, 6
 #: The usual pattern that splits text before the merges of this vocabulary (a fixed value).
@@ -109,7 +109,7 @@ def sequences(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
 
     COLS = ["doc_id", "part", "n_tokens", "record", "_task", "_nth"]
     schema = "doc_id long, part int, n_tokens int, record binary, _task int, _nth long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(map_batches, run, schema)
 
 
 def training_order(docs: DataFrame, path: str, key: str = "order-1", length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> DataFrame:
@@ -170,7 +170,7 @@ def write_shards(ordered: DataFrame, uri: str, done: set[int] | None = None) ->
             yield pd.DataFrame([close()], columns=["shard", "n_records", "n_bytes", "sha256"])
 
     dealt = rest.select("shard", "slot", "record").repartition(n, "shard").sortWithinPartitions("shard", "slot")
-    return dealt.mapInPandas(run, "shard long, n_records long, n_bytes long, sha256 string")
+    return dealt.transform(map_batches, run, "shard long, n_records long, n_bytes long, sha256 string")
 
 
 def read_slots(uri: str, first: int, n: int, length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> np.ndarray:
