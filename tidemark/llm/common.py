@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
 from math import ceil
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def let_workers_import(spark: SparkSession) -> None:
@@ -21,9 +24,33 @@ def let_workers_import(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, fn, schema) -> DataFrame:
-    """mapInPandas() with workers that can import this package."""
+    """mapInPandas() with workers that can import this package, and with nullable longs that
+    stay exact: pandas would make them floating point where a batch has a null; here they
+    are nullable integers then."""
     let_workers_import(df.sparkSession)
-    return df.mapInPandas(fn, schema)
+    longs = [f.name for f in df.schema.fields if isinstance(f.dataType, T.LongType) and f.nullable]
+    if not longs:
+        return df.mapInPandas(fn, schema)
+    nulls = sum((F.when(F.col(q(c)).isNull(), 1 << i).otherwise(0) for i, c in enumerate(longs)), F.lit(0))
+    filled = [F.coalesce(F.col(q(c)), F.lit(0)).alias(c) if c in longs else F.col(q(c)) for c in df.columns]
+
+    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            which = pdf.pop("__nulls").to_numpy()
+            for i, c in enumerate(longs):
+                if (gone := (which >> i & 1).astype(bool)).any():
+                    column = pd.array(pdf[c].to_numpy(), dtype="Int64")
+                    column[gone] = pd.NA
+                    pdf[c] = column
+            yield pdf
+
+    return df.select(*filled, nulls.cast("int").alias("__nulls")).mapInPandas(lambda batches: fn(exact(batches)), schema)
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """mapInArrow() with workers that can import this package."""
+    let_workers_import(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -26,12 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import cut, map_batches
+from tidemark.llm.common import cut, map_arrow, map_batches
 
 WINDOW, ANCHOR = 100, 24
 #: Bytes that make a symbol of the construction; a window is a whole number of them.
@@ -254,23 +256,26 @@ def _described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, _text, _tx (a hash of the text) and _r1, _r2, which rows are joined by: the
     id (without one: the text's hash), and a few bits of the text's hash, so that rows of
     one id and different texts spread."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    return _referenced(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")))
+
+
+def _referenced(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("_tx", F.xxhash64("_text"))
     return rows.withColumn("_r1", F.coalesce("doc_id", "_tx")).withColumn("_r2", F.col("_tx").bitwiseAND(F.lit(32767)).cast("int"))
 
 
 def _packed(rows: DataFrame, others: list[str]) -> DataFrame:
     """The text as compressed UTF-8 bytes (_z), to be shuffled."""
-    fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    keep = ["doc_id", "_tx", "_r1", "_r2", *others]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for pdf in batches:
-            z = [pack.compress(_raw(t)) for t in pdf["_text"]]
-            yield pdf[["doc_id", "_tx", "_r1", "_r2", *others]].astype({"doc_id": "Int64"}).assign(_z=z)
+        for batch in batches:
+            z = pa.array([pack.compress(_raw(t)) for t in batch.column("_text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], z], names=[*keep, "_z"])
 
-    schema = "doc_id long, _tx long, _r1 long, _r2 int, " + "".join(f"`{c}` {fields[c]}, " for c in others) + "_z binary"
-    return rows.select("_text", "doc_id", "_tx", "_r1", "_r2", *others).transform(map_batches, run, schema)
+    schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField("_z", T.BinaryType())])
+    return rows.select("_text", *keep).transform(map_arrow, run, schema)
 
 
 def _unpacked(pdf: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
@@ -383,19 +388,23 @@ def removed_bytes(raw: bytes, covered: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _finished(columns: list[str], text: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+def _finished(columns: list[str], as_text: bool):
+    """The rows' ``columns``, with the digests of what is left or with the text left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pdf = batch.select(["_z", "_tx", "_anchors", "_firsts", "_ranges", "_copy"]).to_pandas()
+            at = 0
             for part, raws in _unpacked(pdf):
                 covered = [np.zeros(max(0, len(r) - WINDOW + 1), bool) for r in raws]
                 tx = part["_tx"].to_numpy()
-                firsts, ranges = part["_firsts"].tolist(), part["_ranges"].tolist()
+                firsts = part["_firsts"].tolist()
                 for i, lo, hi, _ in _runs_of(part, raws):
                     kept = {w["start"] for w in firsts[i] if w["_tx"] == tx[i]} if firsts[i] is not None else ()
                     for a, b in zip(lo.tolist(), hi.tolist(), strict=True):
                         if a not in kept:
                             covered[i][a:b] = True
-                for i, some in enumerate(ranges):
+                for i, some in enumerate(part["_ranges"]):
                     for w in some if some is not None else ():
                         if w["_tx"] == tx[i]:
                             covered[i][w["start"] : w["start"] + w["n"]] = True
@@ -403,16 +412,20 @@ def _finished(columns: list[str], text: str | None):
                     covered[i] |= copy > 1
                 gone = [removed_bytes(r, c) for r, c in zip(raws, covered, strict=True)]
                 rest = [np.frombuffer(r, np.uint8)[~g].tobytes() for r, g in zip(raws, gone, strict=True)]
-                out = part[columns].copy()
-                if text is not None:
+                same = batch.slice(at, len(raws))
+                at += len(raws)
+                if as_text:
+                    had = same.column("_had").to_pylist()
                     # a character of which some bytes are removed is removed
-                    out[text] = [None if r is None else b.decode("utf-8", "ignore") for r, b in zip(part["_had"].map({True: 1, False: None}).replace({np.nan: None}), rest, strict=True)]
+                    new = {"_text": pa.array([b.decode("utf-8", "ignore") if h else None for h, b in zip(had, rest, strict=True)], pa.string())}
                 else:
-                    out["n_bytes"] = [len(r) for r in raws]
-                    out["n_removed"] = [int(g.sum()) for g in gone]
-                    out["n_spans"] = [int((np.diff(g.astype(np.int8), prepend=0) == 1).sum()) for g in gone]
-                    out["kept_sha256"] = [hashlib.sha256(b).hexdigest() for b in rest]
-                yield out.astype({"doc_id": "Int64"}) if "doc_id" in out else out
+                    new = {
+                        "n_bytes": pa.array([len(r) for r in raws], pa.int64()),
+                        "n_removed": pa.array([int(g.sum()) for g in gone], pa.int64()),
+                        "n_spans": pa.array([int((np.diff(g.astype(np.int8), prepend=0) == 1).sum()) for g in gone], pa.int64()),
+                        "kept_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in rest], pa.string()),
+                    }
+                yield pa.RecordBatch.from_arrays([*[same.column(c) for c in columns], *new.values()], names=[*columns, *new])
 
     return run
 
@@ -461,7 +474,7 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A null text is as an empty one.  Rows without an id come last; rows of equal ids, or
     none, come in the order of a hash of their texts, and of repeated rows one comes first."""
     plan = _removal_plan(_described(docs, id_col, text_col), [])
-    return plan.transform(map_batches, _finished(["doc_id"], None), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return plan.transform(map_arrow, _finished(["doc_id"], False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -469,12 +482,11 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A character that loses some of its bytes goes as a whole; null texts stay null."""
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    rows = _described(docs, id_col, text_col)
     extra = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"), F.col(text_col).isNotNull().alias("_had"), *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(others)])
-    rows = extra.withColumn("_tx", F.xxhash64("_text")).withColumn("_r1", F.coalesce("doc_id", "_tx")).withColumn("_r2", F.col("_tx").bitwiseAND(F.lit(32767)).cast("int"))
+    rows = _referenced(extra)
     names = [f"_o{i}" for i in range(len(others))]
     plan = _removal_plan(rows, ["_had", *names])
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    out = plan.transform(map_batches, _finished(["doc_id", *names], "_text"), "doc_id long, " + "".join(f"{c} {kinds[c]}, " for c in names) + "_text string")
+    schema = T.StructType([rows.schema[c] for c in ["doc_id", *names]] + [T.StructField("_text", T.StringType())])
+    out = plan.transform(map_arrow, _finished(["doc_id", *names], True), schema)
     back = {id_col: F.col("doc_id"), text_col: F.col("_text")} | {c: F.col(f"_o{i}") for i, c in enumerate(others)}
     return out.select(*[back[c].alias(c) for c in docs.columns])

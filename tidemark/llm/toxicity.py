@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches
+from tidemark.llm.common import map_arrow, map_batches
 from tidemark.llm.labels import labelled_sample, remainder
 from tidemark.llm.quality import logistic
 
@@ -262,6 +263,21 @@ def tag(texts: list[str | None], model: ToxicModel, likely: float = 0.5) -> tupl
     return model.score(expected), spans
 
 
+def _parts(texts: list[str | None]) -> Iterator[slice]:
+    """Consecutive texts of about PIECE_BYTES together."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= PIECE_BYTES or i == len(texts) - 1:
+            yield slice(at, i + 1)
+            at, size = i + 1, 0
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, mod: int, held_out: int, per_class: int, max_chars: int):
+    """A broadcast model: a few words and weights, bounded by the sample."""
+    return docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(docs, labels, "toxic", mod, held_out, per_class, max_chars)))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: int = 3, held_out: int = 1, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> DataFrame:
     """doc_id, held_out, score, predicted and toxic_spans (array of start and end, code
     points) for every row of ``docs``; the score reads nothing but the whole text.
@@ -269,33 +285,29 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, m
     Null and empty texts have no toxic words and score as such.  A row without an id is
     held out.  Equal ids and repeated rows are rows of their own.  The model is fitted to
     a bounded sample, see labelled_sample()."""
+    model = _fitted(docs, labels, mod, held_out, per_class, max_chars)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            for at in _parts(texts):
+                score, spans = tag(texts[at], model.value)
+                spans = [[{"start": a, "end": b} for a, b in x] for x in spans]
+                yield pdf.iloc[at][["doc_id", "held_out"]].assign(score=score, predicted=(score >= threshold).astype("int32"), toxic_spans=spans)
+
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(remainder(F.col("doc_id"), mod) == held_out, F.lit(True)).alias("held_out"), "text")
-    return ids.transform(
-        map_batches,
-        scorer(docs, labels, mod, held_out, per_class, max_chars, threshold, ["doc_id", "held_out"]),
-        "doc_id long, held_out boolean, score double, predicted int, toxic_spans array<struct<start: int, end: int>>",
-    )
+    return ids.transform(map_batches, run, "doc_id long, held_out boolean, score double, predicted int, toxic_spans array<struct<start: int, end: int>>")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mod: int = 3, held_out: int = 1, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> DataFrame:
     """The rows of ``docs``, all columns, that score below the threshold."""
-    run = scorer(docs, labels, mod, held_out, per_class, max_chars, threshold, docs.columns, keep=True)
-    return docs.transform(map_batches, run, docs.schema)
-
+    model = _fitted(docs, labels, mod, held_out, per_class, max_chars)
 
-def scorer(docs, labels, mod, held_out, per_class, max_chars, threshold, columns, keep=False):
-    model = fit(labelled_sample(docs, labels, "toxic", mod, held_out, per_class, max_chars))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few words and weights: bounded by the sample
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for at in _parts(texts):
+                score, _ = tag(texts[at], model.value)
+                yield batch.slice(at.start, at.stop - at.start).filter(pa.array(score < threshold))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        for pdf in batches:
-            size = pdf["text"].str.len().fillna(0).to_numpy().cumsum() // PIECE_BYTES
-            for _, part in pdf.groupby(size, sort=False):
-                score, spans = tag(part["text"].tolist(), m)
-                if keep:
-                    yield part[score < threshold]
-                else:
-                    yield part[columns].assign(score=score, predicted=(score >= threshold).astype("int32"), toxic_spans=[[{"start": a, "end": b} for a, b in x] for x in spans])
-
-    return run
+    return docs.transform(map_arrow, run, docs.schema)
