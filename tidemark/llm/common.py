@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from math import ceil
 from pathlib import Path
@@ -70,9 +71,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, and forget its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a table in the shared folder, and forget its lineage.
+
+    A table has its real size.  checkpoint() would keep the planner's estimate, and over
+    rounds of joins, each estimated as the product of its sides, that number alone grows
+    beyond the driver's memory."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/table-{uuid.uuid4()}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
 
 
 def q(name: str) -> str:
