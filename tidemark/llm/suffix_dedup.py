@@ -6,7 +6,8 @@ transform and the common prefixes of many strings.
    one anchor are a run, and the bytes that they span a read, under 2 * WINDOW long.  A
    window can only be repeated if its anchor is, so that runs of unrepeated anchors are done.
 2. Equal reads.  Of reads with equal bytes, found by their digests, all but the first have
-   every window repeated.  The first ones, of anchors with several different reads, go on.
+   every window repeated.  The first ones go on if an anchor with half a window's other bytes,
+   before or after it, is that of another such read too: every window has as many on one side.
 3. Construction.  Reads are dealt to tasks by anchor.  For a block of them, written in
    symbols of several bytes, the transform of the collection is built column by column: each round inserts one symbol of every read,
    at the place that the rank of that symbol gives, and updates the common prefix lengths
@@ -36,10 +37,12 @@ from pyspark.sql import types as T
 from tidemark.llm.common import cut, map_arrow, map_batches
 
 WINDOW, ANCHOR = 100, 24
+#: Beside its anchor, a window has at least this many bytes on one side.
+HALF = (WINDOW - ANCHOR) // 2
 #: Bytes that make a symbol of the construction; a window is a whole number of them.
 SYMBOL = 5
 #: Reads of one anchor that a block takes, at most, and bytes of reads from which it is full.
-ANCHOR_READS, BLOCK_BYTES = 2048, 1 << 18
+ANCHOR_READS, BLOCK_BYTES = 8192, 1 << 18
 #: Texts are searched for anchors in parts of about this many bytes (whole documents).
 PART_BYTES = 1 << 20
 
@@ -77,14 +80,14 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - size)], x[width - size :]) if size < width else x
 
 
-def find_runs(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def find_runs(raws: list[bytes], context: bool = False) -> tuple[np.ndarray, ...]:
     """Runs of windows with one anchor: text number, first window, end (exclusive), and
-    the anchor in 48 bits."""
+    the anchor in 48 bits; with ``context`` also hashes of the anchor with the HALF bytes
+    before it, and with those after it (0: the run's read doesn't have as many)."""
     size = np.array([len(r) for r in raws], np.int64)
     long = np.flatnonzero(size >= WINDOW)
     if not len(long):
-        none = np.empty(0, np.int64)
-        return none, none, none, none
+        return (np.empty(0, np.int64),) * (6 if context else 4)
     ends = np.cumsum(size[long])
     begins = ends - size[long]
     b = np.frombuffer(b"".join([raws[i] for i in long]), np.uint8)
@@ -100,7 +103,17 @@ def find_runs(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     lo = np.flatnonzero(new)
     doc = np.searchsorted(ends, lo, side="right")
     hi = np.minimum(np.append(lo[1:], len(b)), ends[doc] - WINDOW + 1)
-    return long[doc], lo - begins[doc], hi - begins[doc], (low[lo] >> np.uint64(16)).astype(np.int64)
+    runs = long[doc], lo - begins[doc], hi - begins[doc], (low[lo] >> np.uint64(16)).astype(np.int64)
+    if not context:
+        return runs
+    around = _short_hashes(b, ANCHOR + HALF).view(np.int64) | 1
+    at = np.empty(len(lo), np.int64)
+    for k in range(0, len(lo), 4096):  # bounds memory
+        some = lo[k : k + 4096]
+        at[k : k + 4096] = some + h[some[:, None] + np.arange(WINDOW - ANCHOR + 1)].argmin(1)
+    before = np.where(at - HALF >= lo, around[np.maximum(at - HALF, 0)], 0)
+    after = np.where(at + ANCHOR + HALF <= hi + WINDOW - 1, around[np.minimum(at, len(around) - 1)], 0)
+    return *runs, before, after
 
 
 def _parts(pdf: pd.DataFrame, size: pd.Series) -> Iterator[pd.DataFrame]:
@@ -300,33 +313,35 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"anchor": anchor, "_r1": part["_r1"].to_numpy()[doc], "_r2": part["_r2"].to_numpy()[doc]})
 
 
-def _runs_of(part: pd.DataFrame, raws: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each row with repeated anchors (_anchors): row, and first window, end and anchor of
-    its runs of these."""
-    doc, lo, hi, anchor = find_runs(raws)
+def _runs_of(part: pd.DataFrame, raws: list[bytes], context: bool = False) -> Iterator[tuple]:
+    """For each row with repeated anchors (_anchors): row, and what find_runs() says of its
+    runs of these."""
+    doc, *runs = find_runs(raws, context)
     begin, end = np.searchsorted(doc, np.arange(len(raws))), np.searchsorted(doc, np.arange(len(raws)), side="right")
     for i, some in enumerate(part["_anchors"]):
         if some is not None and len(some) and end[i] > begin[i]:
             at = slice(begin[i], end[i])
-            keep = np.isin(anchor[at], np.asarray(some))
-            yield i, lo[at][keep], hi[at][keep], anchor[at][keep]
+            keep = np.isin(runs[2][at], np.asarray(some))
+            yield i, *[r[at][keep] for r in runs]
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row for each run of a repeated anchor, with its read's digest."""
     for pdf in batches:
         for part, raws in _unpacked(pdf):
-            out = {k: [] for k in ("anchor", "digest", "row", "start", "n")}
-            for i, lo, hi, anchor in _runs_of(part, raws):
+            out = {k: [] for k in ("anchor", "digest", "row", "start", "n", "before", "after")}
+            for i, lo, hi, anchor, before, after in _runs_of(part, raws, context=True):
                 raw = raws[i]
                 out["anchor"].append(anchor)
+                out["before"].append(before)
+                out["after"].append(after)
                 out["digest"].extend([xxhash.xxh3_128_digest(raw[a : b + WINDOW - 1]) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])
                 out["row"].append(np.full(len(lo), i))
                 out["start"].append(lo)
                 out["n"].append(hi - lo)
             if out["row"]:
                 row = np.concatenate(out["row"])
-                yield pd.DataFrame({"anchor": np.concatenate(out["anchor"]), "digest": out["digest"], "doc_id": part["doc_id"].to_numpy()[row], "_tx": part["_tx"].to_numpy()[row], "start": np.concatenate(out["start"]), "n": np.concatenate(out["n"])}).astype({"doc_id": "Int64"})
+                yield pd.DataFrame({"anchor": np.concatenate(out["anchor"]), "digest": out["digest"], "doc_id": part["doc_id"].to_numpy()[row], "_tx": part["_tx"].to_numpy()[row], **{k: np.concatenate(out[k]) for k in ("start", "n", "before", "after")}}).astype({"doc_id": "Int64"})
 
 
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -440,15 +455,23 @@ def _removal_plan(rows: DataFrame, others: list[str]) -> DataFrame:
     packed = _packed(rows, others)
     joined = lambda other, how, a="_m1", b="_m2": packed.join(other, (packed["_r1"] == other[a]) & (packed["_r2"] == other[b]), how)
 
-    runs = joined(mine, "inner").select("doc_id", "_tx", "_z", "_anchors").transform(map_batches, _digests, "anchor long, digest binary, doc_id long, _tx long, start int, n int")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_tx", "start", "n")
+    runs = joined(mine, "inner").select("doc_id", "_tx", "_z", "_anchors").transform(map_batches, _digests, "anchor long, digest binary, doc_id long, _tx long, start int, n int, before long, after long")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_tx", "start", "n", "before", "after")
     first = runs.groupBy("anchor", "digest").agg(F.min(place).alias("f"))
-    first = cut(first.select("anchor", F.col("f.doc_id").alias("doc_id"), F.col("f._tx").alias("_tx"), F.col("f.start").alias("start"), F.col("f.n").alias("n")))
-    several = cut(first.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1"))
+    first = cut(first.select("anchor", *[F.col(f"f.{c}").alias(c) for c in ("doc_id", "_tx", "start", "n", "before", "after")]))
+    # which anchors with half a window's other bytes on one side belong to several reads
+    sides = [("before", F.lit(0)), ("after", F.lit(1))]
+    half = [first.where(f"{c} <> 0").select(F.xxhash64("anchor", c, k).alias("_half")) for c, k in sides]
+    shared = cut(half[0].unionByName(half[1]).groupBy("_half").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_half"))
     keyed = lambda df: df.withColumn("_m1", F.coalesce("doc_id", "_tx")).withColumn("_m2", F.col("_tx").bitwiseAND(F.lit(32767)).cast("int"))
     firsts = keyed(first).groupBy("_m1", "_m2").agg(F.collect_list(F.struct("_tx", "start")).alias("_firsts"))
 
-    wanted = first.join(several, first["anchor"] == several["_a"]).withColumn("many", F.col("_c") > ANCHOR_READS)
+    either = F.array_compact(F.array(*[F.when(F.col(c) != 0, F.xxhash64("anchor", c, k)) for c, k in sides]))
+    wanted = first.select("anchor", "doc_id", "_tx", "start", "n", F.explode(either).alias("_h"))
+    wanted = wanted.join(shared, wanted["_h"] == shared["_half"]).drop("_h", "_half").distinct()
+    wanted = cut(wanted)
+    crowds = cut(wanted.groupBy(F.col("anchor").alias("_a")).agg(F.count(F.lit(1)).alias("_c")).where(f"_c > {ANCHOR_READS}"))
+    wanted = wanted.join(crowds, wanted["anchor"] == crowds["_a"], "left").withColumn("many", F.col("_a").isNotNull())
     wanted = keyed(wanted).groupBy("_m1", "_m2").agg(F.collect_list(F.struct("_tx", "anchor", "many", "start", "n")).alias("_wanted"))
     reads = joined(wanted, "inner").select("doc_id", "_tx", "_z", "_wanted").transform(map_batches, _slices, "anchor long, many boolean, doc_id long, _tx long, start int, read binary")
     reads = cut(reads)
