@@ -150,3 +150,55 @@ def test_null_source_keys_insert_and_never_match(spark):
 def test_compare_columns_rules():
     assert C.compare_columns(["k", "a", "B", "c"], ["k", "a", "b", "c"], ["k"], ["a", "c", "zz"], ["c"]) == ["a"]
     assert C.compare_columns(["k", "b", "a"], ["k", "a", "b"], ["k"]) == ["a", "b"]
+
+
+def test_column_decisions_say_why():
+    made = C.column_decisions(["k", "a", "b", "only_s", "X"], ["k", "a", "b", "only_t", "x"], ["k"], ["a", "x", "zz"], ["b"])
+    assert made == {"k": "key", "a": "compared", "b": "excluded", "only_s": "one_sided", "only_t": "one_sided",
+                    "X": "one_sided", "x": "one_sided", "zz": "unknown"}
+    folded = C.column_decisions(["K", "X"], ["k", "x"], ["k"], match_case=False)
+    assert folded == {"K": "key", "X": "compared"}
+
+
+def test_exact_sees_microseconds(spark):
+    s = spark.createDataFrame([(1, "2026-01-01 00:00:00.123456")], "k int, t string").selectExpr("k", "CAST(t AS TIMESTAMP_NTZ) AS t")
+    t = spark.createDataFrame([(1, "2026-01-01 00:00:00.123999")], "k int, t string").selectExpr("k", "CAST(t AS TIMESTAMP_NTZ) AS t")
+    assert C.reconcile(s, t, ["k"], exact=True).collect()[0].mismatch_count == 1
+    keys = [r.record_keys for r in C.issue_rows(s, t, ["t"]).orderBy("issue_type").collect()]
+    assert keys == ['{"t":"2026-01-01T00:00:00.123999"}', '{"t":"2026-01-01T00:00:00.123456"}']
+
+
+def test_delete_column_is_resolved_or_refused(spark):
+    t = _target(spark, [(1, "a", "N", _h("a"), "b0", T0, None, "Y", T0)])
+    s = spark.createDataFrame([(1, "a", "Y")], "k int, v string, del string")
+    acts = lambda name: L.scd2_actions(t, s, as_of="2026-02-01 00:00:00", **{**ARGS, "delete_column": name}).collect()
+    assert acts("DEL")[0].action == "deleted"
+    with pytest.raises(ValueError, match="is_gone"):
+        acts("is_gone")
+
+
+def test_pairs_beyond_64_bits_do_not_fail(spark):
+    big = "CAST(4000000000 AS BIGINT)"
+    prof = spark.range(1).selectExpr(f"{big} AS source_rows", f"{big} AS target_rows",
+                                     "CAST(16000000000000000000 AS DECIMAL(38,0)) AS mismatched_pairs")
+    assert C.summarize_profile(prof, ["k"], True).collect()[0].mismatch_count == C.LONG_MAX
+
+
+def test_key_names_with_dots(spark):
+    s = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], ["a.b", "v"])
+    t = spark.createDataFrame([(1, "x"), (3, "c")], ["a.b", "v"])
+    r = C.reconcile(s, t, ["a.b"]).collect()[0]
+    assert (r.missing_count, r.extra_count, r.mismatch_count, r.source_duplicates) == (1, 1, 1, 1)
+    assert C.issue_rows(s, t, ["a.b"]).count() == 4
+    assert L.incremental(t, s, ["a.b"]).count() == 4
+    assert L.scd1(L.scd1(None, t, ["a.b"], ["v"]), s.dropDuplicates(), ["a.b"], ["v"]).count() == 3
+
+
+def test_issues_of_keys_with_several_versions_carry_hashes(spark):
+    s = spark.createDataFrame([(1, "a"), (1, "b"), (2, "x")], "k int, v string")
+    t = spark.createDataFrame([(1, "a"), (2, "x")], "k int, v string")
+    rows = C.issue_rows(s, t, ["k"]).filter("issue_type = 'MISMATCH'").collect()
+    # only b differs from a row of the other side, and a (target) from b (source)
+    assert {(r.source_values, r.target_values) for r in rows} == {(_h("b"), None), (_h("a"), _h("a"))}
+    v = {r.fingerprint: (r.source_rows, r.target_rows) for r in C.mismatch_versions(s, t, ["k"], ["v"]).collect()}
+    assert v == {_h("a"): (1, 1), _h("b"): (1, 0)}

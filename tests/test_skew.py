@@ -39,3 +39,17 @@ def test_hot_key_listing_is_one_row(spark):
     assert len(rows) == 1 and rows[0].mismatched_pairs == n * n
     assert (rows[0].source_versions, rows[0].target_versions) == (3, 3)
     assert rows[0].source_hash is None and rows[0].target_hash is None  # several versions: no single hash
+
+
+def test_null_keys_are_dealt_to_all_tasks(spark):
+    """A third of the rows have no key: they never match, so nothing needs
+    them in one place."""
+    from tidemark.operators import loads as L
+
+    n, parts = 90_000, 8
+    rows = spark.range(n).selectExpr("CASE WHEN id % 3 <> 0 THEN id END AS k", "CAST(id AS STRING) AS v")
+    guarded = L.guard_unique_keys(rows, ["k"])
+    dealt = L._with_spread(rows, ["k"]).repartition(parts, "k", L.SPREAD)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == parts and max(sizes) < 2 * n / parts
+    assert guarded.count() == n

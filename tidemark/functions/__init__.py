@@ -1,10 +1,10 @@
 from tidemark.functions.fingerprint import (
     SEPARATOR,
     all_not_null,
-    change_hash,
+    change_hash_sql,
     keys_equal,
-    rows_differ,
+    resolve,
     ts_literal,
 )
 
-__all__ = ["SEPARATOR", "all_not_null", "change_hash", "keys_equal", "rows_differ", "ts_literal"]
+__all__ = ["SEPARATOR", "all_not_null", "change_hash_sql", "keys_equal", "resolve", "ts_literal"]

@@ -30,7 +30,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.fingerprint import change_hash_sql, quote, sql_string
+from tidemark.functions.fingerprint import case_sensitive, change_hash_sql, quote, sql_string
 
 # Status words and texts of the reconciliation report.
 PASSED = "PASSED"
@@ -47,10 +47,52 @@ TEXT_EXTRA = "Record exists in target but not in source"
 TEXT_MISMATCH = "Record values differ between source and target"
 TEXT_SOURCE_DUPLICATE = "Duplicate key found in source (count: {n})"
 TEXT_TARGET_DUPLICATE = "Duplicate key found in target (count: {n})"
-SAMPLE_DUPLICATES = 5
-SAMPLE_MISSING = 10
-SAMPLE_EXTRA = 10
-SAMPLE_MISMATCHES = 10
+
+# What happens to a column in a comparison.
+COMPARED, KEY, ONE_SIDED, NOT_INCLUDED, EXCLUDED, UNKNOWN = (
+    "compared",
+    "key",
+    "one_sided",
+    "not_included",
+    "excluded",
+    "unknown",
+)
+#: A 64-bit count's largest value: counts of pairs are computed in 38 digits
+#: and reported as this when they are larger.
+LONG_MAX = 9223372036854775807
+
+
+def column_decisions(
+    source_columns: Iterable[str],
+    target_columns: Iterable[str],
+    keys: Sequence[str],
+    include: Sequence[str] | None = None,
+    exclude: Sequence[str] | None = None,
+    match_case: bool = True,
+) -> dict[str, str]:
+    """What the comparison does with every name that it is given, and why.
+
+    A name is looked at once, in this order: a key; on one side only (or, when
+    it is merely asked for, ``unknown``); excluded; left out of a non-empty
+    ``include``; else compared.  ``match_case=False`` takes names that differ
+    in case as one, reported as the source spells it."""
+    fold = (lambda x: x) if match_case else str.lower
+    sides = [{fold(c): c for c in reversed(list(cols))} for cols in (source_columns, target_columns)]
+    asked = {fold(c): c for c in [*(include or []), *(exclude or [])]}
+    is_key, left_out, wanted = ({fold(c) for c in names or []} for names in (keys, exclude, include))
+
+    def decide(name: str) -> str:
+        if name in is_key:
+            return KEY
+        held = sum(name in side for side in sides)
+        if held < 2:
+            return ONE_SIDED if held else UNKNOWN
+        if name in left_out:
+            return EXCLUDED
+        return NOT_INCLUDED if wanted and name not in wanted else COMPARED
+
+    spelled = {**asked, **sides[1], **sides[0]}
+    return {spelling: decide(name) for name, spelling in spelled.items()}
 
 
 def compare_columns(
@@ -59,17 +101,11 @@ def compare_columns(
     keys: Sequence[str],
     include: Sequence[str] | None = None,
     exclude: Sequence[str] | None = None,
+    match_case: bool = True,
 ) -> list[str]:
-    """Columns whose values are compared: common non-key columns, narrowed to
-    ``include`` when it is non-empty, minus ``exclude``; sorted; names are
-    case-sensitive and unknown names are ignored."""
-    cols = set(source_columns) & set(target_columns)
-    cols -= set(keys)
-    if include:
-        cols &= set(include)
-    if exclude:
-        cols -= set(exclude)
-    return sorted(cols)
+    """The compared columns of ``column_decisions``, sorted."""
+    made = column_decisions(source_columns, target_columns, keys, include, exclude, match_case)
+    return sorted(name for name, decision in made.items() if decision == COMPARED)
 
 
 def _fingerprint_sql(columns: Sequence[str], exact: bool) -> str:
@@ -79,6 +115,26 @@ def _fingerprint_sql(columns: Sequence[str], exact: bool) -> str:
     return f"unhex({change_hash_sql(columns, exact=exact)})"
 
 
+def _names(keys: Sequence[str]) -> list[str]:
+    if not keys:
+        raise ValueError("reconciliation needs at least one key column")
+    return [quote(k) for k in keys]
+
+
+def fingerprint_counts(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], exact: bool = False
+) -> DataFrame:
+    """Rows per side (``_ns``, ``_nt``) of every key and fingerprint (``_h``,
+    32 bytes)."""
+    kq, fp = _names(keys), _fingerprint_sql(columns, exact)
+    tagged = source.selectExpr(*kq, f"{fp} AS _h", "1 AS _s", "0 AS _t").unionByName(
+        target.selectExpr(*kq, f"{fp} AS _h", "0 AS _s", "1 AS _t")
+    )
+    return tagged.groupBy(*[F.col(k) for k in kq], "_h").agg(
+        F.expr("CAST(sum(_s) AS BIGINT) AS _ns"), F.expr("CAST(sum(_t) AS BIGINT) AS _nt")
+    )
+
+
 def key_profile(
     source: DataFrame,
     target: DataFrame,
@@ -89,52 +145,45 @@ def key_profile(
     """One row per key seen on either side.
 
     Columns: keys, ``source_rows``, ``target_rows`` and, when ``columns`` is
-    given, ``same_pairs`` (source x target pairs with equal fingerprints),
-    ``source_versions`` / ``target_versions`` (distinct fingerprints per side),
-    ``source_hash`` / ``target_hash`` (the hex fingerprint when the side holds
-    one version of the key, else NULL) and ``mismatched_pairs``.
+    given, ``same_pairs`` (source x target pairs with equal fingerprints; 0 for
+    NULL keys), ``source_versions`` / ``target_versions`` (distinct
+    fingerprints per side), ``source_hash`` / ``target_hash`` (the hex
+    fingerprint when the side holds one version of the key, else NULL) and
+    ``mismatched_pairs``.  Pairs are counted in 38 digits: a key may hold
+    billions of rows on both sides.
 
     Expressions are handed to Spark as SQL text: each is parsed once on the
     JVM instead of being assembled call by call from Python.
     """
-    keys = list(keys)
-    if not keys:
-        raise ValueError("reconciliation needs at least one key column")
-    kq = [quote(k) for k in keys]
+    kq = _names(keys)
     if not columns:
         tagged = source.selectExpr(*kq, "1 AS _s", "0 AS _t").unionByName(
             target.selectExpr(*kq, "0 AS _s", "1 AS _t")
         )
-        return tagged.groupBy(*keys).agg(
+        return tagged.groupBy(*[F.col(k) for k in kq]).agg(
             F.expr("CAST(sum(_s) AS BIGINT) AS source_rows"), F.expr("CAST(sum(_t) AS BIGINT) AS target_rows")
         )
-    fp = _fingerprint_sql(columns, exact)
-    tagged = source.selectExpr(*kq, f"{fp} AS _h", "1 AS _s", "0 AS _t").unionByName(
-        target.selectExpr(*kq, f"{fp} AS _h", "0 AS _s", "1 AS _t")
-    )
-    per_hash = tagged.groupBy(*keys, "_h").agg(
-        F.expr("CAST(sum(_s) AS BIGINT) AS _ns"), F.expr("CAST(sum(_t) AS BIGINT) AS _nt")
-    )
+    per_hash = fingerprint_counts(source, target, keys, columns, exact)
     # The fingerprint of a side's only version is carried as four 64-bit
-    # chunks summed in decimals: fixed-width buffers keep this aggregation a
-    # hash aggregation (a min over binary would force a sort-based one).
-    chunk = lambda i: f"CAST(conv(hex(substring(_h, {8 * i + 1}, 8)), 16, 10) AS DECIMAL(20,0))"
+    # chunks under XOR: with one version that is the chunk itself, and the
+    # fixed-width buffers keep this a hash aggregation.
+    chunk = lambda i: f"CAST(conv(hex(substring(_h, {8 * i + 1}, 8)), 16, -10) AS BIGINT)"
+    keyed = " AND ".join(f"{k} IS NOT NULL" for k in kq)
+    pairs = lambda a, b: f"CAST({a} AS DECIMAL(19,0)) * CAST({b} AS DECIMAL(19,0))"
     parts = [
         "sum(_ns) AS source_rows",
         "sum(_nt) AS target_rows",
-        "sum(_ns * _nt) AS same_pairs",
+        f"sum(CASE WHEN {keyed} THEN {pairs('_ns', '_nt')} ELSE CAST(0 AS DECIMAL(38,0)) END) AS same_pairs",
         "count_if(_ns > 0) AS source_versions",
         "count_if(_nt > 0) AS target_versions",
-        *[f"sum(CASE WHEN _ns > 0 THEN {chunk(i)} END) AS _s{i}" for i in range(4)],
-        *[f"sum(CASE WHEN _nt > 0 THEN {chunk(i)} END) AS _t{i}" for i in range(4)],
+        *[f"bit_xor(CASE WHEN _ns > 0 THEN {chunk(i)} END) AS _s{i}" for i in range(4)],
+        *[f"bit_xor(CASE WHEN _nt > 0 THEN {chunk(i)} END) AS _t{i}" for i in range(4)],
     ]
-    prof = per_hash.groupBy(*keys).agg(*[F.expr(e) for e in parts])
+    prof = per_hash.groupBy(*[F.col(k) for k in kq]).agg(*[F.expr(e) for e in parts])
 
     def hex_of(side):
-        pieces = ", ".join(f"lpad(lower(conv(CAST(_{side}{i} AS STRING), 10, 16)), 16, '0')" for i in range(4))
-        return f"concat({pieces})"
+        return "lower(concat(" + ", ".join(f"lpad(hex(_{side}{i}), 16, '0')" for i in range(4)) + "))"
 
-    keys_present = " AND ".join(f"{k} IS NOT NULL" for k in kq)
     return prof.selectExpr(
         *kq,
         "source_rows",
@@ -144,29 +193,33 @@ def key_profile(
         "target_versions",
         f"CASE WHEN source_versions = 1 THEN {hex_of('s')} END AS source_hash",
         f"CASE WHEN target_versions = 1 THEN {hex_of('t')} END AS target_hash",
-        f"CASE WHEN {keys_present} THEN source_rows * target_rows - same_pairs ELSE CAST(0 AS BIGINT) END"
-        " AS mismatched_pairs",
+        f"CASE WHEN {keyed} THEN {pairs('source_rows', 'target_rows')} - same_pairs "
+        "ELSE CAST(0 AS DECIMAL(38,0)) END AS mismatched_pairs",
     )
 
 
+def _as_long(expr: str) -> str:
+    return f"CAST(least({expr}, CAST({LONG_MAX} AS DECIMAL(38,0))) AS BIGINT)"
+
+
 # ---------------------------------------------------------------- issue lists
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (NULL is a key value); column ``cnt``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
+    return df.groupBy(*[F.col(k) for k in _names(keys)]).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
 
 
 def missing_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct source keys absent from the target (NULL matches NULL)."""
     prof = key_profile(source, target, keys)
-    return prof.filter((F.col("source_rows") > 0) & (F.col("target_rows") == 0)).select(*keys)
+    return prof.filter((F.col("source_rows") > 0) & (F.col("target_rows") == 0)).select(*_names(keys))
 
 
 def extra_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct target keys absent from the source (NULL matches NULL)."""
     prof = key_profile(source, target, keys)
-    return prof.filter((F.col("target_rows") > 0) & (F.col("source_rows") == 0)).select(*keys)
+    return prof.filter((F.col("target_rows") > 0) & (F.col("source_rows") == 0)).select(*_names(keys))
 
 
 def mismatches(
@@ -182,22 +235,51 @@ def mismatches(
     ``mismatched_pairs`` (the number of source x target row pairs with
     different fingerprints; 1 for a key that is unique on both sides).  When a
     side holds several distinct versions of a key its hash is NULL and
-    ``source_versions`` / ``target_versions`` say how many there are.
+    ``source_versions`` / ``target_versions`` say how many there are;
+    ``mismatch_versions`` lists them.
     """
+    kq = _names(keys)
     if not columns:
-        prof = key_profile(source, target, keys)
-        return prof.filter(F.lit(False)).select(
-            *keys,
-            F.lit(None).cast("string").alias("source_hash"),
-            F.lit(None).cast("string").alias("target_hash"),
-            F.lit(0).cast("long").alias("mismatched_pairs"),
-            F.lit(0).cast("long").alias("source_versions"),
-            F.lit(0).cast("long").alias("target_versions"),
-        )
+        none = key_profile(source, target, keys).filter(F.lit(False))
+        types = {"source_hash": "STRING", "target_hash": "STRING", "mismatched_pairs": "BIGINT",
+                 "source_versions": "BIGINT", "target_versions": "BIGINT"}
+        return none.selectExpr(*kq, *[f"CAST(NULL AS {t}) AS {c}" for c, t in types.items()])
     prof = key_profile(source, target, keys, columns, exact)
-    return prof.filter(F.col("mismatched_pairs") > 0).select(
-        *keys, "source_hash", "target_hash", "mismatched_pairs", "source_versions", "target_versions"
+    return prof.filter(F.col("mismatched_pairs") > 0).selectExpr(
+        *kq, "source_hash", "target_hash", f"{_as_long('mismatched_pairs')} AS mismatched_pairs",
+        "source_versions", "target_versions"
+    )
+
+
+def _versions_of(per_hash: DataFrame, prof: DataFrame, keys: Sequence[str], only: str) -> DataFrame:
+    """Fingerprints of the mismatched keys in ``prof`` that fulfil ``only``,
+    with a differing row on the other side."""
+    kq = _names(keys)
+    held = [f"_k{i}" for i in range(len(kq))]
+    picked = prof.filter(f"mismatched_pairs > 0 AND ({only})").selectExpr(
+        *[f"{k} AS {h}" for k, h in zip(kq, held)], "source_rows AS _N", "target_rows AS _M"
     )
+    on = None
+    for k, h in zip(kq, held):
+        c = per_hash[k] == picked[h]
+        on = c if on is None else on & c
+    return per_hash.join(picked, on).filter("(_ns > 0 AND _M > _nt) OR (_nt > 0 AND _N > _ns)").selectExpr(
+        *kq, "lower(hex(_h)) AS fingerprint", "_ns AS source_rows", "_nt AS target_rows"
+    )
+
+
+def mismatch_versions(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], exact: bool = False
+) -> DataFrame:
+    """The mismatch relation in linear size: one row per key with mismatched
+    pairs and fingerprint that differs from a row of the other side, with the
+    number of ``source_rows`` and ``target_rows`` that have it.  Every
+    mismatched pair is one of these rows' fingerprints against another's.
+
+    The rows of a key are joined with its totals, never gathered, so that the
+    planner can split a hot key."""
+    per_hash = fingerprint_counts(source, target, keys, columns, exact)
+    return _versions_of(per_hash, key_profile(source, target, keys, columns, exact), keys, "true")
 
 
 def row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -238,10 +320,16 @@ def match_rate_sql(matched: str, source_count: str) -> str:
     )
 
 
-def summarize_profile(prof: DataFrame, keys: Sequence[str], with_columns: bool) -> DataFrame:
-    """Global aggregate of a key profile -> the one-row numeric summary."""
-    mism = "CAST(coalesce(sum(mismatched_pairs), 0) AS BIGINT)" if with_columns else "CAST(0 AS BIGINT)"
-    return prof.selectExpr(
+SUMMARY_COUNTS = (
+    "source_count long, target_count long, missing_count long, extra_count long, mismatch_count long, "
+    "source_duplicates long, target_duplicates long"
+)
+
+
+def summary_exprs(with_columns: bool) -> list[str]:
+    """The numbers of the summary as aggregates over a key profile."""
+    mism = _as_long("coalesce(sum(mismatched_pairs), 0)") if with_columns else "CAST(0 AS BIGINT)"
+    return [
         "CAST(coalesce(sum(source_rows), 0) AS BIGINT) AS source_count",
         "CAST(coalesce(sum(target_rows), 0) AS BIGINT) AS target_count",
         "CAST(count_if(source_rows > 0 AND target_rows = 0) AS BIGINT) AS missing_count",
@@ -249,7 +337,12 @@ def summarize_profile(prof: DataFrame, keys: Sequence[str], with_columns: bool)
         f"{mism} AS mismatch_count",
         "CAST(count_if(source_rows > 1) AS BIGINT) AS source_duplicates",
         "CAST(count_if(target_rows > 1) AS BIGINT) AS target_duplicates",
-    )
+    ]
+
+
+def summarize_profile(prof: DataFrame, keys: Sequence[str], with_columns: bool) -> DataFrame:
+    """Global aggregate of a key profile -> the one-row numeric summary."""
+    return prof.selectExpr(*summary_exprs(with_columns))
 
 
 def reconcile(
@@ -269,7 +362,7 @@ def reconcile(
     matched_count, match_rate, missing_count, extra_count, mismatch_count,
     source_duplicates, target_duplicates, status, summary, columns_compared.
     """
-    cols = compare_columns(source.columns, target.columns, keys, include, exclude)
+    cols = compare_columns(source.columns, target.columns, keys, include, exclude, case_sensitive(source))
     prof = key_profile(source, target, keys, cols or None, exact)
     agg = summarize_profile(prof, keys, bool(cols))
     return finish_summary(agg, cols, source_name, target_name, check_duplicates)
@@ -341,18 +434,20 @@ def with_thresholds(summary: DataFrame, thresholds: dict | None = None, schema_s
     )
 
 
-# ---------------------------------------------------------------- issue samples
-
+# ---------------------------------------------------------------- issues
 
-def _keys_json_sql(keys: Sequence[str], extra: Sequence[str] = ()) -> str:
-    fields = ", ".join(f"{sql_string(c)}, {quote(c)}" for c in [*keys, *extra])
-    return f"to_json(named_struct({fields}), map('ignoreNullFields', 'false'))"
 
-
-def _first(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    # Ordered top-n: a per-task top-n merged on one task (TakeOrderedAndProject);
-    # never a full sort, never more than n rows per task.
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(n)
+def _keys_json_sql(keys: Sequence[str], extra: dict[str, str] | None = None) -> str:
+    """The keys (and ``extra``: name -> column) as a JSON object: NULL fields
+    kept, times to the microsecond."""
+    named = [*((k, k) for k in keys), *(extra or {}).items()]
+    fields = ", ".join(f"{sql_string(n)}, {quote(c)}" for n, c in named)
+    options = {
+        "ignoreNullFields": "false",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    return f"to_json(named_struct({fields}), map({', '.join(sql_string(x) for kv in options.items() for x in kv)}))"
 
 
 def issue_rows(
@@ -361,56 +456,91 @@ def issue_rows(
     keys: Sequence[str],
     include: Sequence[str] | None = None,
     exclude: Sequence[str] | None = None,
-    sample_size: int = SAMPLE_MISMATCHES,
+    sample_size: int | dict[str, int] | None = None,
     exact: bool = False,
 ) -> DataFrame:
-    """Sample issue rows: issue_type, record_keys, source_values,
-    target_values, details.  Samples are the first keys in key order: 10
-    missing, 10 extra, ``sample_size`` mismatches, 5 duplicates per side.
-    Keys are rendered with ``to_json`` (NULL fields kept)."""
-    cols = compare_columns(source.columns, target.columns, keys, include, exclude)
+    """Every issue as a row: issue_type, record_keys, source_values,
+    target_values, details.
+
+    A key gives one row for each thing that is wrong with it.  A mismatched key
+    with one version on either side is one row with both fingerprints; one with
+    several versions is a row per fingerprint, on the side or sides that have
+    it.  Keys are rendered with ``to_json`` (NULL fields kept).
+    ``sample_size`` asks for the first so many rows of each type in key order
+    instead, or of the types that it names."""
+    cols = compare_columns(source.columns, target.columns, keys, include, exclude, case_sensitive(source))
     prof = key_profile(source, target, keys, cols or None, exact)
-    return issue_rows_from_profile(prof, keys, bool(cols), sample_size)
+    per_hash = fingerprint_counts(source, target, keys, cols, exact) if cols else None
+    return issue_rows_from_profile(prof, per_hash, keys, sample_size)
 
 
 def issue_rows_from_profile(
-    prof: DataFrame, keys: Sequence[str], with_columns: bool, sample_size: int = SAMPLE_MISMATCHES
+    prof: DataFrame,
+    per_hash: DataFrame | None,
+    keys: Sequence[str],
+    sample_size: int | dict[str, int] | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """Issue samples from an already computed key profile."""
+    """``issue_rows`` from a key profile and its fingerprint counts (None:
+    nothing is compared).  ``totals`` is the profile again, for the rows of
+    keys with several versions, where ``prof`` is observed and so may be read
+    only once."""
+    kq = _names(keys)
     kj = _keys_json_sql(keys)
-    dj = _keys_json_sql(keys, ["cnt"])
-    null_s = "CAST(NULL AS STRING)"
-
-    def shape(df, typ, rec, src_v, tgt_v, text):
-        return df.selectExpr(
-            f"{sql_string(typ)} AS issue_type",
-            f"{rec} AS record_keys",
-            f"{src_v} AS source_values",
-            f"{tgt_v} AS target_values",
-            f"{text} AS details",
-        )
+    none = "CAST(NULL AS STRING)"
 
-    missing = prof.filter("source_rows > 0 AND target_rows = 0")
-    extra = prof.filter("target_rows > 0 AND source_rows = 0")
-    parts = [
-        shape(_first(missing, keys, SAMPLE_MISSING), MISSING, kj, kj, null_s, sql_string(TEXT_MISSING)),
-        shape(_first(extra, keys, SAMPLE_EXTRA), EXTRA, kj, null_s, kj, sql_string(TEXT_EXTRA)),
+    def issue(when, typ, rec, src_v, tgt_v, text):
+        row = ", ".join(
+            f"'{n}', {v}"
+            for n, v in (("issue_type", sql_string(typ)), ("record_keys", rec), ("source_values", src_v),
+                         ("target_values", tgt_v), ("details", text))
+        )
+        return f"CASE WHEN {when} THEN named_struct({row}) END"
+
+    def repeated(side, typ, template):
+        cnt = f"{side}_rows"
+        rec = _keys_json_sql(keys, {"cnt": cnt})
+        head, tail = template.split("{n}")
+        text = f"concat({sql_string(head)}, CAST({cnt} AS STRING), {sql_string(tail)})"
+        return issue(f"{cnt} > 1", typ, rec, rec if side == "source" else none, none if side == "source" else rec, text)
+
+    wrong = [
+        issue("source_rows > 0 AND target_rows = 0", MISSING, kj, kj, none, sql_string(TEXT_MISSING)),
+        issue("target_rows > 0 AND source_rows = 0", EXTRA, kj, none, kj, sql_string(TEXT_EXTRA)),
+        repeated("source", SOURCE_DUPLICATE, TEXT_SOURCE_DUPLICATE),
+        repeated("target", TARGET_DUPLICATE, TEXT_TARGET_DUPLICATE),
     ]
-    if with_columns:
-        mm = _first(prof.filter("mismatched_pairs > 0"), keys, sample_size)
-        parts.append(shape(mm, MISMATCH, kj, "source_hash", "target_hash", sql_string(TEXT_MISMATCH)))
-    for side, typ, tmpl, is_src in (
-        ("source_rows", SOURCE_DUPLICATE, TEXT_SOURCE_DUPLICATE, True),
-        ("target_rows", TARGET_DUPLICATE, TEXT_TARGET_DUPLICATE, False),
-    ):
-        d = _first(prof.filter(f"{side} > 1").selectExpr(*[quote(k) for k in keys], f"{side} AS cnt"), keys,
-                   SAMPLE_DUPLICATES)
-        head, tail = tmpl.split("{n}")
-        text = f"concat({sql_string(head)}, CAST(cnt AS STRING), {sql_string(tail)})"
-        parts.append(shape(d, typ, dj, dj if is_src else null_s, null_s if is_src else dj, text))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    keep = "source_rows <> 1 OR target_rows <> 1"
+    single = "source_versions = 1 AND target_versions = 1"
+    if per_hash is not None:
+        wrong.append(issue(f"mismatched_pairs > 0 AND {single}", MISMATCH, kj, "source_hash", "target_hash",
+                           sql_string(TEXT_MISMATCH)))
+        keep += " OR mismatched_pairs > 0"
+    # one pass over the keys with an issue: each gives its rows from one expression
+    order = [f"_order{i}" for i in range(len(kq))]
+    ordered = [f"{k} AS {o}" for k, o in zip(kq, order)]
+    out = prof.filter(keep).selectExpr(*ordered, f"inline(filter(array({', '.join(wrong)}), x -> x IS NOT NULL))")
+    if per_hash is not None:
+        several = _versions_of(per_hash, prof if totals is None else totals, keys, f"NOT ({single})")
+        side = lambda n: f"CASE WHEN {n}_rows > 0 THEN fingerprint END AS {n}_values"
+        out = out.unionByName(
+            several.selectExpr(*ordered, f"'{MISMATCH}' AS issue_type", f"{kj} AS record_keys", side("source"),
+                               side("target"), f"{sql_string(TEXT_MISMATCH)} AS details")
+        )
+    if sample_size is not None:
+        out = _sampled(out, order, sample_size)
+    return out.select("issue_type", "record_keys", "source_values", "target_values", "details")
+
+
+def _sampled(rows: DataFrame, order: Sequence[str], size: int | dict[str, int]) -> DataFrame:
+    """The first rows of each issue type in key order: a top-n per task merged
+    on one task, never a full sort."""
+    types = [MISSING, EXTRA, MISMATCH, SOURCE_DUPLICATE, TARGET_DUPLICATE]
+    sizes = size if isinstance(size, dict) else dict.fromkeys(types, size)
+    by = [F.col(k).asc_nulls_first() for k in order] + [F.col("source_values").asc_nulls_last(), F.col("target_values")]
+    out = rows.filter(~F.col("issue_type").isin(list(sizes)))
+    for typ, n in sizes.items():
+        out = out.unionByName(rows.filter(F.col("issue_type") == typ).orderBy(*by).limit(int(n)))
     return out
 
 
@@ -423,7 +553,7 @@ def null_profile(source: DataFrame, target: DataFrame, columns: Sequence[str] |
     cols = columns or sorted(set(source.columns) & set(target.columns))
 
     def counts(df, side):
-        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        row = df.agg(*[F.count_if(F.col(quote(c)).isNull()).alias(c) for c in cols])
         stack = ", ".join(f"{sql_string(c)}, {quote(c)}" for c in cols)
         return row.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, {side}_nulls)")
 

@@ -10,9 +10,12 @@ Scale notes
 * SCD1 and SCD2 join only the *active* target rows with the source, on the
   keys (one exchange per side).  Closed history is passed through without a
   shuffle, so a key with a long history never weighs on the join.
-* The duplicate-source-key check is a windowed count over the source keys.
-  It needs the same hash partitioning and key order the sort-merge join
-  needs, so it adds no exchange and no sort of its own.
+* The duplicate-source-key check numbers the rows of each source key.  It
+  needs the same hash partitioning and key order the sort-merge join needs,
+  so it adds no exchange and no sort of its own.
+* Rows with a NULL key never match, yet plain hashing of the keys would deal
+  all of them to one task.  A further join column, 0 for complete keys and a
+  hash of the row for others, spreads them (``_spread``).
 * A changed key emits two rows (closed + new version) from one joined row
   via ``explode``; the join is computed once.
 """
@@ -30,6 +33,7 @@ from tidemark.functions.fingerprint import (
     change_hash_sql,
     keys_equal,
     quote,
+    resolve,
     sql_string,
     ts_literal,
     ts_sql,
@@ -75,17 +79,35 @@ def _validate(keys: Sequence[str], columns: Sequence[str] | None, source: DataFr
         raise ValueError(f"source lacks columns {missing}")
 
 
+SPREAD = "_spread"
+
+
+def _with_spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``_spread``: 0 where every key is set, else a hash of the row.  As
+    a join and window column it leaves what matches as it is (a NULL key
+    matches nothing) and deals the rows with NULL keys to all tasks."""
+    row = ", ".join(quote(f.name) for f in df.schema.fields if not _holds_map(f.dataType))
+    complete = " AND ".join(f"{quote(k)} IS NOT NULL" for k in keys)
+    return df.withColumn(SPREAD, F.expr(f"CASE WHEN {complete} THEN 0L ELSE xxhash64({row}) END"))
+
+
+def _holds_map(dtype: T.DataType) -> bool:
+    return "map<" in dtype.simpleString()
+
+
 def guard_unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fails the query (``raise_error``) when a non-NULL key repeats.
+    """``source`` with ``_spread``; fails the query (``raise_error``) at the
+    second row of a complete key.
 
-    The windowed count is partitioned and ordered by the keys, exactly what
-    the following sort-merge join on the keys requires, so Spark reuses the
+    The row number is partitioned by the keys and ``_spread``, which is what
+    the following sort-merge join on them requires, so Spark reuses the
     exchange and the sort.  NULL keys never match and are inserted as they
     come (MERGE semantics), so they are not checked.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(k) for k in keys]))
+    kc = [F.col(quote(k)) for k in keys]
+    n = F.row_number().over(Window.partitionBy(*kc, SPREAD).orderBy(*kc, SPREAD))
     bad = (F.col("_key_rows") > 1) & all_not_null(keys)
-    checked = source.withColumn("_key_rows", n)
+    checked = _with_spread(source, keys).withColumn("_key_rows", n)
     return checked.filter(F.when(bad, F.raise_error(F.lit(DUPLICATE_KEY_MESSAGE))).otherwise(F.lit(True))).drop(
         "_key_rows"
     )
@@ -97,12 +119,14 @@ def _cast_sql(expr: str, dtype: T.DataType | None) -> str:
 
 def _join_flat(t: DataFrame, s: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``t FULL OUTER JOIN s`` on the keys (plain ``=``: NULL keys never
-    match), with every column renamed ``t__x`` / ``s__x`` so the output
-    expressions can be written as plain SQL text."""
-    j = t.alias("t").join(s.alias("s"), keys_equal("t", "s", keys), "full_outer")
+    match) and ``_spread``, with every column renamed ``t__x`` / ``s__x`` so
+    the output expressions can be written as plain SQL text."""
+    t = _with_spread(t, keys)
+    on = keys_equal("t", "s", [*keys, SPREAD])
+    j = t.alias("t").join(s.alias("s"), on, "full_outer")
     return j.selectExpr(
-        *[f"t.{quote(c)} AS {quote('t__' + c)}" for c in t.columns],
-        *[f"s.{quote(c)} AS {quote('s__' + c)}" for c in s.columns],
+        *[f"t.{quote(c)} AS {quote('t__' + c)}" for c in t.columns if c != SPREAD],
+        *[f"s.{quote(c)} AS {quote('s__' + c)}" for c in s.columns if c != SPREAD],
     )
 
 
@@ -128,9 +152,9 @@ def incremental_new_rows(target: DataFrame | None, source: DataFrame, keys: Sequ
     # is under the broadcast threshold the (large) target's keys stream
     # through a hash lookup without being shuffled; otherwise it is a
     # sort-merge join.  The anti join then runs on batch-sized inputs.
-    batch_keys = source.select(*keys).dropDuplicates()
-    hits = target.select(*keys).join(batch_keys, list(keys), "left_semi")
-    return source.join(hits, list(keys), "left_anti")
+    batch_keys = source.select(*[quote(k) for k in keys]).dropDuplicates()
+    hits = target.select(*[quote(k) for k in keys]).join(batch_keys, list(keys), "left_semi").withColumn(SPREAD, F.lit(0).cast("long"))
+    return _with_spread(source, keys).join(hits, [*keys, SPREAD], "left_anti").select(*[quote(c) for c in source.columns])
 
 
 def incremental_tagged(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -138,12 +162,13 @@ def incremental_tagged(target: DataFrame | None, source: DataFrame, keys: Sequen
     plan gives both the rows to append and the counters."""
     if target is None or not keys:
         return source.withColumn("_new", F.lit(True))
-    batch_keys = source.select(*keys).dropDuplicates()
+    batch_keys = source.select(*[quote(k) for k in keys]).dropDuplicates()
     hits = (
-        target.select(*keys).join(batch_keys, list(keys), "left_semi").dropDuplicates()
-        .withColumn("_hit", F.lit(True))
+        target.select(*[quote(k) for k in keys]).join(batch_keys, list(keys), "left_semi").dropDuplicates()
+        .withColumn("_hit", F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long"))
     )
-    return source.join(hits, list(keys), "left").withColumn("_new", F.col("_hit").isNull()).drop("_hit")
+    tagged = _with_spread(source, keys).join(hits, [*keys, SPREAD], "left").withColumn("_new", F.col("_hit").isNull())
+    return tagged.select(*[quote(c) for c in source.columns], "_new")
 
 
 def incremental(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -191,7 +216,7 @@ def scd1_joined(
     ts = ts_sql(as_of)
     src = _scd1_source(source, keys, columns, as_of)
     ins_cols = [*keys, *columns, CREATED_AT, UPDATED_AT]
-    s = guard_unique_keys(src.select(*ins_cols), keys).withColumn("_sp", F.lit(True))
+    s = guard_unique_keys(src.select(*[quote(c) for c in ins_cols]), keys).withColumn("_sp", F.lit(True))
     t = target.withColumn("_tp", F.lit(True))
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     absent = [c for c in [*keys, *columns] if c not in ttypes]
@@ -236,7 +261,7 @@ def scd1(
     ``updated_at`` (= ``as_of``) when it lacks them."""
     if target is None:
         _validate(keys, columns, source)
-        return guard_unique_keys(_scd1_source(source, keys, columns, as_of), keys)
+        return guard_unique_keys(_scd1_source(source, keys, columns, as_of), keys).drop(SPREAD)
     return scd1_joined(target, source, keys, columns, as_of).drop("_action", "_sp")
 
 
@@ -259,14 +284,13 @@ def scd1_stats(target, source, keys, columns, as_of=None) -> DataFrame:
 
 
 def _scd2_source(source, keys, columns, delete_column, delete_value, exact) -> tuple[DataFrame, list[str]]:
+    """Keys, tracked columns, the delete column, hash and flag.  The delete
+    column is resolved as the session resolves names; a name that the source
+    lacks is an error, not a load without deletes."""
     _validate(keys, columns, source)
-    carry = [delete_column] if delete_column and delete_column in source.columns else []
-    src_cols = [*keys, *columns, *carry]
-    flag = (
-        f"{quote(delete_column)} <=> {sql_string(delete_value)}"
-        if delete_column is not None and delete_value is not None and delete_column in source.columns
-        else "false"
-    )
+    carry = [resolve(source, delete_column)] if delete_column else []
+    src_cols = [*keys, *columns, *[c for c in carry if c not in columns]]
+    flag = f"{quote(carry[0])} <=> {sql_string(delete_value)}" if carry and delete_value is not None else "false"
     s = source.selectExpr(*[quote(c) for c in src_cols], f"{change_hash_sql(columns, exact)} AS {HASH}",
                           f"{flag} AS _flag")
     return s, src_cols
@@ -318,10 +342,11 @@ def scd2_joined(
     s = guard_unique_keys(s, keys).withColumn("_sp", F.lit(True))
     if label_reactivated:
         hk = (
-            _history(target).select(*keys).join(s.select(*keys).dropDuplicates(), list(keys), "left_semi")
-            .dropDuplicates().withColumn("_h", F.lit(True))
+            _history(target).select(*[quote(k) for k in keys])
+            .join(s.select(*[quote(k) for k in keys]).dropDuplicates(), list(keys), "left_semi")
+            .dropDuplicates().withColumn("_h", F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long"))
         )
-        s = s.join(hk, list(keys), "left")
+        s = s.join(hk, [*keys, SPREAD], "left")
     else:
         s = s.withColumn("_h", F.lit(None).cast("boolean"))
     out_types = {f.name: f.dataType for f in target.schema.fields}
@@ -372,6 +397,11 @@ def _history(target: DataFrame) -> DataFrame:
     return target.filter(~F.col(ACTIVE).eqNullSafe(F.lit(YES)))
 
 
+def closed_rows(target: DataFrame) -> DataFrame:
+    """The versions of an SCD2 target that no load touches."""
+    return _history(target)
+
+
 def scd2_first(source, keys, columns, as_of=None, batch_id=None, delete_column=None, delete_value=None, exact=False):
     """First load: every unflagged source row becomes an active version
     (a flagged row is skipped, as it would be when loading into an empty
@@ -400,10 +430,14 @@ def scd2(
     return scd2_state_from_joined(j, target)
 
 
-def scd2_state_from_joined(joined: DataFrame, target: DataFrame, with_action: bool = False) -> DataFrame:
-    cols = target.columns
+def scd2_state_from_joined(
+    joined: DataFrame, target: DataFrame, with_action: bool = False, history: DataFrame | None = None
+) -> DataFrame:
+    """History (``history``: the closed rows of ``target``, if they are at
+    hand) and the rows that the joined pairs give."""
+    cols = [quote(c) for c in target.columns]
     emitted = joined.selectExpr("inline(_rows)", "_action")
-    hist = _history(target).select(*cols, F.lit(HISTORY).alias("_action"))
+    hist = (history if history is not None else _history(target)).select(*cols, F.lit(HISTORY).alias("_action"))
     out = emitted.unionByName(hist)
     return out if with_action else out.drop("_action")
 
@@ -424,7 +458,7 @@ def scd2_actions(
     a new key that has history is then labelled ``reactivated``."""
     j = scd2_joined(target, source, keys, columns, as_of, batch_id, delete_column, delete_value, exact,
                     label_reactivated=label_reactivated, with_rows=False)
-    acts = j.select(*keys, F.col("_action").alias("action"))
+    acts = j.select(*[quote(k) for k in keys], F.col("_action").alias("action"))
     if not label_reactivated:
         return acts
     return with_history_flag(acts, target, keys)
@@ -434,34 +468,48 @@ def with_history_flag(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -
     """Adds ``has_history``: the key has a closed version.  History keys are
     first reduced to the keys in ``rows`` by a semi join, so long histories
     are not shuffled whole."""
-    wanted = rows.select(*keys).dropDuplicates()
+    kq = [quote(k) for k in keys]
     hk = (
-        _history(target).select(*keys).join(wanted, list(keys), "left_semi").dropDuplicates()
-        .withColumn("has_history", F.lit(True))
+        _history(target).select(*kq).join(rows.select(*kq).dropDuplicates(), list(keys), "left_semi").dropDuplicates()
+        .withColumn("has_history", F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long"))
     )
-    return rows.join(hk, list(keys), "left").withColumn("has_history", F.coalesce("has_history", F.lit(False)))
+    flagged = _with_spread(rows, keys).join(hk, [*keys, SPREAD], "left")
+    return flagged.select(*[quote(c) for c in rows.columns], F.coalesce("has_history", F.lit(False)).alias("has_history"))
 
 
-def stats_from_actions(tagged: DataFrame, kind: str) -> DataFrame:
-    """The six load counters from a frame of (_action, _sp[, _hist_n])."""
+def counter_exprs(kind: str) -> list[str]:
+    """The load counters as aggregates over ``_action`` and ``_sp``; for SCD2
+    without the closed versions that were there before (``history_exprs``)."""
     if kind == "scd1":
-        return tagged.selectExpr(
+        return [
             "count_if(_sp) AS source_count",
             f"count_if(_action = '{INSERTED}') AS inserted",
             f"count_if(_action IN ('{MATCHED_CHANGED}', '{MATCHED_EQUAL}')) AS updated",
             "CAST(0 AS BIGINT) AS deleted",
             "count(1) AS active_count",
             "CAST(0 AS BIGINT) AS historical_count",
-        )
-    return tagged.selectExpr(
+        ]
+    return [
         "count_if(_sp) AS source_count",
         f"count_if(_action IN ('{NEW}', '{REACTIVATED}')) AS inserted",
         f"count_if(_action = '{CHANGED}') AS updated",
         f"count_if(_action = '{DELETED}') AS deleted",
         f"count_if(_action IN ('{UNCHANGED}', '{TARGET_ONLY}', '{CHANGED}', '{NEW}', '{REACTIVATED}')) AS active_count",
-        f"CAST(count_if(_action IN ('{CHANGED}', '{DELETED}')) + coalesce(sum(_hist_n), 0) AS BIGINT)"
-        " AS historical_count",
-    )
+        f"count_if(_action IN ('{CHANGED}', '{DELETED}')) AS historical_count",
+    ]
+
+
+HISTORY_EXPR = f"count_if({ACTIVE} = '{NO}') AS closed_before"
+
+
+def stats_from_actions(tagged: DataFrame, kind: str) -> DataFrame:
+    """The six load counters from a frame of (_action, _sp[, _hist_n])."""
+    exprs = counter_exprs(kind)
+    if kind == "scd2":
+        closed = exprs.pop().rsplit(" AS ", 1)[0]
+        exprs.append(f"CAST({closed} + coalesce(sum(_hist_n), 0) AS BIGINT) AS historical_count")
+    return tagged.selectExpr(*exprs)
+
 
 def scd2_stats_from_joined(joined: DataFrame, target: DataFrame | None) -> DataFrame:
     tagged = joined.selectExpr("_action", "_sp", "CAST(0 AS BIGINT) AS _hist_n")

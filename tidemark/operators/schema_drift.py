@@ -1,15 +1,19 @@
-"""Schema comparison (column names, type strings, nullability).
+"""Schema comparison: the gate before a reconciliation.
 
-Schemas are metadata: one entry per column, bounded by the table width and
-available from the analyzed plan without running a job.  The comparison is
-therefore done once on the driver (``compare_schemas``) and handed out as
-small DataFrames (``schema_profile``, ``schema_drift``, ``schema_summary``)
-that compose with the rest of a reconciliation report.  No data is read.
+Schemas are metadata, bounded by the table width and known from the analyzed
+plan; no data is read.  The two schemas are laid side by side as one map from
+column path to its two fields, nested struct fields included, and each entry
+of the map yields its issue, if it has one.  Counts, status and text follow
+from the issues.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # Issue names, statuses and summary fragments of the schema check.
 MISSING_IN_TARGET = "missing_in_target"
@@ -18,79 +22,72 @@ TYPE_MISMATCH = "type_mismatch"
 NULLABLE_MISMATCH = "nullable_mismatch"
 COMPATIBLE = "Schemas are compatible"
 PASSED, FAILED = "PASSED", "FAILED"
-
-PROFILE_SCHEMA = "column_name string, data_type string, nullable boolean, position int"
-DRIFT_SCHEMA = "column_name string, issue_type string, source_value string, target_value string"
-SUMMARY_SCHEMA = (
-    "status string, source_column_count long, target_column_count long, missing_in_target long, "
-    "extra_in_target long, type_mismatches long, nullable_mismatches long, summary string"
-)
+TEXTS = {
+    MISSING_IN_TARGET: "{n} columns missing in target",
+    EXTRA_IN_TARGET: "{n} extra columns in target",
+    TYPE_MISMATCH: "{n} type mismatches",
+    NULLABLE_MISMATCH: "{n} nullable mismatches",
+}
 
 
-def schema_info(df: DataFrame) -> dict[str, dict]:
-    """name -> {"type": str(dataType), "nullable": bool}."""
-    return {f.name: {"type": str(f.dataType), "nullable": bool(f.nullable)} for f in df.schema.fields}
+@dataclass(frozen=True)
+class SchemaIssue:
+    """One difference; a nested field's column is its path (``a.b``)."""
 
+    column: str
+    kind: str
+    source_value: object = None
+    target_value: object = None
 
-def compare_schemas(source: DataFrame, target: DataFrame) -> dict:
-    """Missing / extra columns (case-sensitive, order ignored), type and
-    nullability differences on common columns.  Status is FAILED on missing,
-    extra or type differences; nullability alone does not fail."""
-    s, t = schema_info(source), schema_info(target)
-    common = sorted(set(s) & set(t))
-    missing = sorted(set(s) - set(t))
-    extra = sorted(set(t) - set(s))
-    types = [(c, s[c]["type"], t[c]["type"]) for c in common if s[c]["type"] != t[c]["type"]]
-    nulls = [(c, s[c]["nullable"], t[c]["nullable"]) for c in common if s[c]["nullable"] != t[c]["nullable"]]
-    parts = []
-    if missing:
-        parts.append(f"{len(missing)} columns missing in target")
-    if extra:
-        parts.append(f"{len(extra)} extra columns in target")
-    if types:
-        parts.append(f"{len(types)} type mismatches")
-    if nulls:
-        parts.append(f"{len(nulls)} nullable mismatches")
-    return {
-        "status": FAILED if (missing or extra or types) else PASSED,
-        "source_column_count": len(s),
-        "target_column_count": len(t),
-        "common_columns": common,
-        "missing_in_target": missing,
-        "extra_in_target": extra,
-        "type_mismatches": types,
-        "nullable_mismatches": nulls,
-        "summary": "; ".join(parts) if parts else COMPATIBLE,
-    }
 
+def _struct(dtype: T.DataType) -> T.StructType | None:
+    """The struct inside a column type: itself, or an array's elements."""
+    while isinstance(dtype, T.ArrayType):
+        dtype = dtype.elementType
+    return dtype if isinstance(dtype, T.StructType) else None
 
-def schema_profile(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """One row per column: name, type string, nullable, position."""
-    spark = spark or df.sparkSession
-    rows = [(f.name, str(f.dataType), bool(f.nullable), i) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
+def schema_issues(source: T.StructType, target: T.StructType, path: str = "") -> Iterator[SchemaIssue]:
+    """The differences in order of name (case-sensitive, positions ignored).
+    A column whose type differs is one issue; when both sides are structs the
+    fields that make them differ follow under it."""
+    pairs: dict[str, list] = {}
+    for side, schema in enumerate((source, target)):
+        for field in schema.fields:
+            pairs.setdefault(field.name, [None, None])[side] = field
+    for name, (s, t) in sorted(pairs.items()):
+        column = path + name
+        if s is None or t is None:
+            yield SchemaIssue(column, EXTRA_IN_TARGET if s is None else MISSING_IN_TARGET)
+            continue
+        if str(s.dataType) != str(t.dataType):
+            yield SchemaIssue(column, TYPE_MISMATCH, str(s.dataType), str(t.dataType))
+            if (a := _struct(s.dataType)) and (b := _struct(t.dataType)):
+                yield from schema_issues(a, b, column + ".")
+        if s.nullable != t.nullable:
+            yield SchemaIssue(column, NULLABLE_MISMATCH, s.nullable, t.nullable)
 
-def schema_drift(source: DataFrame, target: DataFrame) -> DataFrame:
-    """One row per issue: column_name, issue_type, source_value, target_value."""
-    r = compare_schemas(source, target)
-    rows = [(c, MISSING_IN_TARGET, None, None) for c in r["missing_in_target"]]
-    rows += [(c, EXTRA_IN_TARGET, None, None) for c in r["extra_in_target"]]
-    rows += [(c, TYPE_MISMATCH, a, b) for c, a, b in r["type_mismatches"]]
-    rows += [(c, NULLABLE_MISMATCH, str(a).lower(), str(b).lower()) for c, a, b in r["nullable_mismatches"]]
-    return source.sparkSession.createDataFrame(rows, DRIFT_SCHEMA)
 
+def compare_schemas(source: DataFrame, target: DataFrame) -> dict:
+    """Status, counts, the columns by kind of issue, and a summary text.
 
-def schema_summary(source: DataFrame, target: DataFrame) -> DataFrame:
-    r = compare_schemas(source, target)
-    row = (
-        r["status"],
-        r["source_column_count"],
-        r["target_column_count"],
-        len(r["missing_in_target"]),
-        len(r["extra_in_target"]),
-        len(r["type_mismatches"]),
-        len(r["nullable_mismatches"]),
-        r["summary"],
-    )
-    return source.sparkSession.createDataFrame([row], SUMMARY_SCHEMA)
+    Status is FAILED on missing, extra or differing types; nullability alone
+    does not fail.  The lists and counts are of top-level columns;
+    ``nested_issues`` holds what was found inside structs."""
+    issues = list(schema_issues(source.schema, target.schema))
+    top = [i for i in issues if i.column in source.columns or i.column in target.columns]
+    kinds = {kind: [i for i in top if i.kind == kind] for kind in TEXTS}
+    said = [text.format(n=len(kinds[kind])) for kind, text in TEXTS.items() if kinds[kind]]
+    values = lambda kind: [(i.column, i.source_value, i.target_value) for i in kinds[kind]]
+    return {
+        "status": FAILED if any(i.kind != NULLABLE_MISMATCH for i in top) else PASSED,
+        "source_column_count": len(source.columns),
+        "target_column_count": len(target.columns),
+        "common_columns": sorted(set(source.columns).intersection(target.columns)),
+        "missing_in_target": [i.column for i in kinds[MISSING_IN_TARGET]],
+        "extra_in_target": [i.column for i in kinds[EXTRA_IN_TARGET]],
+        "type_mismatches": values(TYPE_MISMATCH),
+        "nullable_mismatches": values(NULLABLE_MISMATCH),
+        "nested_issues": [i for i in issues if i not in top],
+        "summary": "; ".join(said) or COMPATIBLE,
+    }

@@ -58,9 +58,10 @@ def reconcile_tables(
     keys: Sequence[str],
     columns_to_compare: Sequence[str] | None = None,
     exclude_columns: Sequence[str] | None = None,
-    sample_size: int = 10,
+    sample_size: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(summary row, issue sample rows) for two catalog tables."""
+    """(summary row, issue rows) for two catalog tables; ``sample_size`` asks
+    for the first so many issues of each type instead of all."""
     s, t = spark.read.table(source_table), spark.read.table(target_table)
     summary = C.reconcile(s, t, keys, columns_to_compare, exclude_columns,
                           source_name=source_table, target_name=target_table)

@@ -16,6 +16,7 @@ or projection over whole tables, never a row cap.
 from __future__ import annotations
 
 import re
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,6 +167,94 @@ SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
 FROM customer WHERE c_custkey % 41 <> 9"""
 
 
+def scd2_first_source_sql(d: Dialect) -> str:
+    """Every customer, as a first load sees them."""
+    return """
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
+       CASE WHEN c_custkey % 31 = 6 THEN 'Y' WHEN c_custkey % 37 = 8 THEN NULL ELSE 'N' END AS is_deleted
+FROM customer"""
+
+
+# Loads whose keys and tracked values are NULL in places: a third of the rows
+# have a NULL key on both sides (they match nothing), some names are NULL.
+def scd2_nullkey_target_sql(d: Dialect) -> str:
+    cols = "c_name, c_nationkey, c_mktsegment, is_deleted, _hash, batch_id, effective_start_date, effective_end_date, is_active, updated_timestamp"
+    return f"SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS c_custkey, {cols} FROM ({scd2_target_sql(d)}) t"
+
+
+def scd2_nullkey_source_sql(d: Dialect) -> str:
+    return (
+        "SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS c_custkey, "
+        "CASE WHEN c_custkey % 19 <> 4 THEN c_name END AS c_name, c_nationkey, c_mktsegment, is_deleted "
+        f"FROM ({scd2_source_sql(d)}) s"
+    )
+
+
+def scd1_nullkey_target_sql(d: Dialect) -> str:
+    return (
+        "SELECT CASE WHEN p_partkey % 3 <> 0 THEN p_partkey END AS p_partkey, p_name, "
+        "CASE WHEN p_partkey % 17 <> 5 THEN p_brand END AS p_brand, p_type, p_size, p_retailprice, created_at, updated_at "
+        f"FROM ({scd1_target_sql(d)}) t"
+    )
+
+
+def scd1_nullkey_source_sql(d: Dialect) -> str:
+    return (
+        "SELECT CASE WHEN p_partkey % 3 <> 0 THEN p_partkey END AS p_partkey, p_name, p_brand, p_type, "
+        f"CASE WHEN p_partkey % 13 <> 7 THEN p_size END AS p_size, p_retailprice FROM ({scd1_source_sql(d)}) s"
+    )
+
+
+# A keyed append whose batch repeats keys and has rows without one.
+def events_dup_batch_sql(d: Dialect) -> str:
+    return (
+        "SELECT CASE WHEN event_id % 5 <> 0 THEN event_id END AS event_id, ts, user_id, event_type, value, props FROM events "
+        "UNION ALL SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE event_id % 6 = 1"
+    )
+
+
+# SCD2 and SCD1 on a composite key: the line items, one row a key.
+LI_SCD_KEYS = ["l_orderkey", "l_linenumber"]
+LI_SCD_COLUMNS = ["l_quantity", "l_returnflag"]
+
+
+def scd2_line_source_sql(d: Dialect) -> str:
+    return f"SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM ({lineitem_clean_sql(d)}) l WHERE (l_orderkey + l_linenumber) % 13 <> 4"
+
+
+def scd2_line_target_sql(d: Dialect) -> str:
+    fp = d.fingerprint(LI_SCD_COLUMNS)
+    return f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, {fp} AS _hash, '{BATCH_PREV}' AS batch_id,
+       {d.ts(T0)} AS effective_start_date, {d.null_ts} AS effective_end_date, 'Y' AS is_active,
+       {d.ts(T0)} AS updated_timestamp
+FROM (SELECT l_orderkey, l_linenumber,
+             CAST(CASE WHEN (l_orderkey + l_linenumber) % 7 = 2 THEN l_quantity + 1 ELSE l_quantity END AS DECIMAL(18,2))
+                 AS l_quantity, l_returnflag
+      FROM ({lineitem_clean_sql(d)}) l WHERE (l_orderkey + l_linenumber) % 11 <> 3) a"""
+
+
+def scd1_line_target_sql(d: Dialect) -> str:
+    return f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, {d.ts(T0)} AS created_at, {d.ts(T0)} AS updated_at
+FROM ({scd2_line_target_sql(d)}) t"""
+
+
+# Events whose times differ only below the millisecond (event_id % 9 = 4).
+EV_TIME_COLS = ["event_type", "ts"]
+
+
+def events_times_sql(d: Dialect) -> str:
+    return "SELECT event_id, ts + INTERVAL 123456 MICROSECONDS AS ts, event_type FROM events"
+
+
+def events_shifted_times_sql(d: Dialect) -> str:
+    return (
+        "SELECT event_id, ts + CASE WHEN event_id % 9 = 4 THEN INTERVAL 123999 MICROSECONDS "
+        "ELSE INTERVAL 123456 MICROSECONDS END AS ts, event_type FROM events"
+    )
+
+
 # SCD2 without a delete flag (X5): part history, four tracked columns.
 SCD2P_KEYS = ["p_partkey"]
 SCD2P_COLUMNS = ["p_name", "p_brand", "p_type", "p_retailprice"]
@@ -196,6 +285,10 @@ def scd2_part_source_sql(d: Dialect) -> str:
 
 # ---------------------------------------------------------------- B5: incremental events
 
+def events_sql(d: Dialect) -> str:
+    return "SELECT * FROM events"
+
+
 def events_target_sql(d: Dialect) -> str:
     return "SELECT * FROM events WHERE event_id % 2 = 0"
 
@@ -218,6 +311,10 @@ SELECT p_partkey, p_name, p_brand, p_type,
 FROM ({part_source_sql(d)}) p WHERE p_partkey % 5 <> 1"""
 
 
+def scd1_first_source_sql(d: Dialect) -> str:
+    return part_source_sql(d)
+
+
 def scd1_source_sql(d: Dialect) -> str:
     return f"SELECT * FROM ({part_source_sql(d)}) p WHERE p_partkey % 9 <> 4"
 
@@ -233,18 +330,17 @@ def customer_flagged_sql(d: Dialect) -> str:
 
 # ---------------------------------------------------------------- Spark side
 
-_HANDLES: dict = {}
+_HANDLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table as a DataFrame.  The handle (file listing and
     footer schema) is made once per session and path and then reused, so
     building a query does not list and open the files again."""
-    key = (id(spark), f"{sf_dir}/{name}.parquet")
-    df = _HANDLES.get(key)
-    if df is None:
-        df = _HANDLES[key] = spark.read.parquet(key[1])
-    return df
+    mine, path = _HANDLES.setdefault(spark, {}), f"{sf_dir}/{name}.parquet"
+    if path not in mine:
+        mine[path] = spark.read.parquet(path)
+    return mine[path]
 
 
 def register_tables(spark: SparkSession, sf_dir: str, tables=TABLES) -> None:
@@ -268,15 +364,6 @@ def spark_input(spark: SparkSession, sf_dir: str, sql_fn) -> DataFrame:
     return spark.sql(sql)
 
 
-def schema_drift_target_sql(d: Dialect) -> str:
-    """B1's source schema with drift: a widened key, a double amount, a
-    renamed column and an added one."""
-    return (
-        "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
-        "c_mktsegment AS segment, c_name AS c_comment FROM customer"
-    )
-
-
 # ---------------------------------------------------------------- B8: result history for the report queries
 # Fixed values: (recon_id, recon_name, pair, execution_time, thresholds) of the
 # runs whose results and details the report queries read.
@@ -292,7 +379,6 @@ HISTORY_RUNS = [
     ("r07", "customer_null_keys", "customer_nk", "2026-02-22 08:00:00", CUST_LIMITS),
     ("r08", "lineitem_recon", "lineitem", "2026-02-22 11:00:00", LI_LIMITS),
 ]
-DETAIL_RUNS = ["r01", "r02", "r03", "r06", "r07"]
 REPORT_DAY = "2026-02-22"
 PAIR_KEYS = {
     "customer": ["c_custkey"],

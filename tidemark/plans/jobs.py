@@ -11,20 +11,23 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.fingerprint import case_sensitive, change_hash_sql
+
 from tidemark.operators import compare as C
 from tidemark.operators import loads as L
 from tidemark.operators.schema_drift import compare_schemas
 from tidemark.sinks import records as RC
 from tidemark.sinks import tables as TB
-from tidemark.session import checkpoint_dir
 from tidemark.sources.tables import load_source, read_table
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
+#: Fixed value: the audit table of jobs that name none.
+DEFAULT_AUDIT_TABLE = "scd_job_audit"
 STAT_KEYS = ["source_count", "inserted", "updated", "deleted", "active_count", "historical_count"]
 LOAD_RESULT_SCHEMA = (
     "name string, table_name string, load_type string, status string, error_message string, "
@@ -44,19 +47,12 @@ def select_specs(specs: Sequence[dict], names: Sequence[str] | None, what: str)
     return chosen
 
 
-def _row(stats: DataFrame) -> dict:
-    r = stats.collect()[0].asDict()
-    return {k: int(r[k] or 0) for k in STAT_KEYS}
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
-
-    The new state and its counters are then both read from the same
-    materialization: a lost executor re-reads checkpoint files instead of
-    recomputing from sources that may have changed meanwhile."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _observed(df: DataFrame, exprs: Sequence[str]) -> tuple[DataFrame, Callable[[], dict]]:
+    """``df``, and its aggregates once an action on it has ended: they are
+    gathered while its rows stream by, so that nothing is computed twice or
+    stored in between."""
+    seen = Observation()
+    return df.observe(seen, *[F.expr(e) for e in exprs]), lambda: {k: int(v or 0) for k, v in seen.get.items()}
 
 
 def _raise_duplicate(e: Exception):
@@ -74,8 +70,11 @@ def run_load(
     root: str | None = None,
 ) -> dict:
     """Apply one load spec to its target table with ``source``; returns the
-    six counters.  The target is read once, the new state is written as a
-    snapshot (or appended), and the counters come from the same plan."""
+    six counters.  The new state is written once (as a snapshot, or appended)
+    and the counters are observed in that write.
+
+    ``exact: true`` in the spec's ``scd`` part uses the null-safe fingerprint;
+    a target whose fingerprints were made the other way is refused."""
     table = spec["target"]["table_name"]
     load_type = spec.get("load_type", "scd2")
     scd = spec.get("scd", {}) or {}
@@ -83,63 +82,82 @@ def run_load(
     dh = spec.get("delete_handling") or {}
     del_col = dh.get("column") if dh.get("enabled") else None
     del_val = dh.get("value") if dh.get("enabled") else None
+    exact = bool(scd.get("exact", False))
     target = read_table(spark, table)
     exists = target is not None
+    count = ["count(1) AS n"]
+    all_new = lambda n: dict(source_count=n, inserted=n, updated=0, deleted=0, active_count=n, historical_count=0)
     try:
         if load_type == "incremental":
-            tagged = materialize(L.incremental_tagged(target, source, keys))
-            new = tagged.filter("_new").drop("_new").select(*source.columns)
-            n_src, n_new = tagged.count(), new.count()
-            if not exists:
-                TB.create_table(spark, new, table, root)
-            elif n_new:
-                TB.append_rows(new, table)
-            total = spark.read.table(table).count()
-            return dict(source_count=n_src, inserted=n_new, updated=0, deleted=0, active_count=total, historical_count=0)
+            if not exists or not keys:
+                rows, got = _observed(source, count)
+                TB.append_rows(rows, table) if exists else TB.create_table(spark, rows, table, root)
+                out = all_new(got()["n"])
+            else:
+                tagged, got = _observed(L.incremental_tagged(target, source, keys), ["count(1) AS n", "count_if(_new) AS new"])
+                TB.append_rows(tagged.filter("_new").drop("_new"), table)
+                out = {**all_new(got()["n"]), "inserted": got()["new"]}
+            return {**out, "active_count": spark.read.table(table).count()} if exists else out
         if load_type == "full_refresh":
-            TB.commit_state(spark, source, table, exists, root)
-            n = spark.read.table(table).count()
-            return dict(source_count=n, inserted=n, updated=0, deleted=0, active_count=n, historical_count=0)
+            rows, got = _observed(source, count)
+            TB.commit_state(spark, rows, table, exists, root)
+            return all_new(got()["n"])
         if load_type == "scd1":
             if not exists:
-                state = L.scd1(None, source, keys, columns, as_of)
-                TB.create_table(spark, state, table, root)
-                n = spark.read.table(table).count()
-                return dict(source_count=n, inserted=n, updated=0, deleted=0, active_count=n, historical_count=0)
-            j = materialize(L.scd1_joined(target, source, keys, columns, as_of))
-            TB.replace_state(spark, j.drop("_action", "_sp"), table, root)
-            return _row(L.stats_from_actions(j.select("_action", "_sp"), "scd1"))
+                rows, got = _observed(L.scd1(None, source, keys, columns, as_of), count)
+                TB.create_table(spark, rows, table, root)
+                return all_new(got()["n"])
+            joined, got = _observed(L.scd1_joined(target, source, keys, columns, as_of), L.counter_exprs("scd1"))
+            TB.replace_state(spark, joined.drop("_action", "_sp"), table, root)
+            return got()
         if load_type == "scd2":
             args = dict(keys=keys, columns=columns, as_of=as_of, batch_id=batch_id, delete_column=del_col,
-                        delete_value=del_val)
+                        delete_value=del_val, exact=exact)
             if not exists:
-                state = L.scd2(None, source, **args)
+                rows, seen = _observed(source, count)
+                state, got = _observed(L.scd2(None, rows, **args), count)
                 TB.create_table(spark, state, table, root)
-                n = spark.read.table(table).count()
-                return dict(source_count=source.count(), inserted=n, updated=0, deleted=0, active_count=n,
-                            historical_count=0)
-            j = materialize(L.scd2_joined(target, source, **args))
-            TB.replace_state(spark, L.scd2_state_from_joined(j, target), table, root)
-            return _row(L.scd2_stats_from_joined(j, target))
+                return {**all_new(got()["n"]), "source_count": seen()["n"]}
+            _same_hash_kind(target, columns, exact, table)
+            joined, got = _observed(L.scd2_joined(target, source, **args), L.counter_exprs("scd2"))
+            closed, before = _observed(L.closed_rows(target), [L.HISTORY_EXPR])
+            TB.replace_state(spark, L.scd2_state_from_joined(joined, target, history=closed), table, root)
+            out = got()
+            return {**out, "historical_count": out["historical_count"] + before()["closed_before"]}
     except Exception as e:  # noqa: BLE001
         _raise_duplicate(e)
     raise ValueError(f"Unknown load_type: {load_type}")
 
 
+def _same_hash_kind(target: DataFrame, columns: Sequence[str], exact: bool, table: str) -> None:
+    """Refuses an SCD2 target whose fingerprints were made the other way: every
+    unchanged row would look changed.  One row with a NULL or the separator in
+    no tracked column tells, as its two fingerprints differ."""
+    if not set(columns) <= set(target.columns):
+        return
+    plain, strict = (change_hash_sql(columns, exact=e) for e in (False, True))
+    one = target.filter(f"{L.ACTIVE} = '{L.YES}'").selectExpr(f"{L.HASH} = {plain} AS p", f"{L.HASH} = {strict} AS e").first()
+    if one is not None and (one["p"], one["e"]) == ((True, False) if exact else (False, True)):
+        raise ValueError(f"{table} holds {'plain' if exact else 'exact'} fingerprints; load it as it was made, or rebuild it")
+
+
 def run_loads(
     spark: SparkSession,
     config: dict,
     names: Sequence[str] | None = None,
     as_of=None,
-    audit_table: str | None = None,
+    audit_table: str | bool | None = None,
     user: str | None = None,
     root: str | None = None,
 ) -> DataFrame:
     """Run the selected load specs in order; one failure does not stop the
-    rest.  Appends one audit row per spec when ``audit_table`` is given
-    (audit write errors are reported in the result, not raised).  Returns one
-    row per spec with status, error and the six counters."""
+    rest.  Appends one audit row per spec to ``audit_table``: the argument,
+    else the job's ``audit_table``, else ``DEFAULT_AUDIT_TABLE`` (``False``:
+    none).  Audit write errors are reported in the result, not raised.  Returns
+    one row per spec with status, error and the six counters."""
     job = config["job"]
+    if audit_table is None:
+        audit_table = job.get("audit_table", DEFAULT_AUDIT_TABLE)
     specs = select_specs(config["tables"], names, "tables")
     out = []
     for spec in specs:
@@ -182,8 +200,11 @@ def run_reconciliation(
 
     ``validations``: ``schema_check`` and ``data_comparison`` switch the two
     checks; ``duplicate_check: false`` leaves duplicates out of the counts
-    and the status; ``null_check: true`` adds NULL_DIFFERENCE detail rows for
-    compared columns whose NULL counts differ.  ``exact_compare: true`` uses
+    and the status; ``row_count_check: false`` leaves the row counts
+    out of the result row;
+    ``null_check: true`` adds NULL_DIFFERENCE detail rows for compared columns
+    whose NULL counts differ.  Every issue is listed unless the settings'
+    ``sample_mismatches`` asks for a sample of the mismatches.  ``exact_compare: true`` uses
     the null-safe fingerprint."""
     settings = settings or {}
     recon_id = recon_id or str(uuid.uuid4())
@@ -199,39 +220,52 @@ def run_reconciliation(
     else:
         schema_status, schema_summary = C.SKIPPED, "Schema check disabled"
     keys = cfg["keys"]
-    sample = int(settings.get("sample_mismatches", 10))
+    sample = settings.get("sample_mismatches")
     logging = settings.get("enable_detailed_logging", True)
     breached, data_status = False, C.SKIPPED
     if validations.get("data_comparison", True):
         cols = C.compare_columns(source.columns, target.columns, keys, cfg.get("columns_to_compare"),
-                                 cfg.get("exclude_columns"))
+                                 cfg.get("exclude_columns"), case_sensitive(source))
         exact = bool(cfg.get("exact_compare", False))
         prof = C.key_profile(source, target, keys, cols or None, exact)
-        if logging and details_table:  # read twice (summary, samples): materialize once
-            prof = materialize(prof)
-        summ = C.finish_summary(C.summarize_profile(prof, keys, bool(cols)), cols, src_name, tgt_name,
-                                check_duplicates=validations.get("duplicate_check", True))
-        summ = C.with_thresholds(summ, cfg.get("thresholds"), schema_status)
-        row = summ.collect()[0].asDict()
-        breached, data_status = bool(row["threshold_breached"]), row["status"]
-        summary_df = spark.createDataFrame([row], summ.schema)
-        duration = (dt.datetime.now() - start).total_seconds()
-        if logging and results_table:
-            rr = RC.result_row(summary_df, recon_id, cfg["name"], batch_id, execution_time, schema_status,
-                               schema_summary, duration)
-            TB.ensure_table(spark, results_table, RC.RESULTS_SCHEMA, root)
-            TB.append_rows(rr.select(*[F.col(f.name).cast(f.dataType) for f in RC.RESULTS_SCHEMA.fields]),
-                           results_table)
+        duplicates, rows_too = validations.get("duplicate_check", True), validations.get("row_count_check", True)
         if logging and details_table:
-            issues = C.issue_rows_from_profile(prof, keys, bool(cols), sample)
-            if not validations.get("duplicate_check", True):
+            # one job: the numbers are observed on the profile while the issues, which are
+            # all that is kept of it, stream to the details table; a sample reads it per type
+            per_hash = C.fingerprint_counts(source, target, keys, cols, exact) if cols else None
+            if sample:
+                counts = C.summarize_profile(prof, keys, bool(cols))
+                issues = C.issue_rows_from_profile(prof, per_hash, keys, {C.MISMATCH: int(sample)})
+            else:
+                watched, got = _observed(prof, C.summary_exprs(bool(cols)))
+                issues = C.issue_rows_from_profile(watched, per_hash, keys, totals=prof)
+            if not duplicates:
                 issues = issues.filter(~F.col("issue_type").isin(C.SOURCE_DUPLICATE, C.TARGET_DUPLICATE))
             if validations.get("null_check", False):
                 issues = issues.unionByName(C.null_difference_rows(source, target, cols))
+            RC.require_not_null({"recon_id": recon_id, "recon_name": cfg["name"], "batch_id": batch_id,
+                                 "execution_time": execution_time}, RC.DETAILS_SCHEMA)
             dr = RC.details_rows(issues, recon_id, cfg["name"], batch_id, execution_time)
             TB.ensure_table(spark, details_table, RC.DETAILS_SCHEMA, root)
             TB.append_rows(dr.select(*[F.col(f.name).cast(f.dataType) for f in RC.DETAILS_SCHEMA.fields]),
                            details_table)
+            if not sample:
+                counts = spark.createDataFrame([got()], C.SUMMARY_COUNTS)
+        else:
+            counts = C.summarize_profile(prof, keys, bool(cols))
+        summ = C.finish_summary(counts, cols, src_name, tgt_name, duplicates)
+        summ = C.with_thresholds(summ, cfg.get("thresholds"), schema_status)
+        row = summ.collect()[0].asDict()
+        breached, data_status = bool(row["threshold_breached"]), row["status"]
+        duration = (dt.datetime.now() - start).total_seconds()
+        if logging and results_table:
+            if not rows_too:
+                row.update(source_count=None, target_count=None)
+            rr = RC.result_row(spark.createDataFrame([row], summ.schema), recon_id, cfg["name"], batch_id,
+                               execution_time, schema_status, schema_summary, duration)
+            TB.ensure_table(spark, results_table, RC.RESULTS_SCHEMA, root)
+            TB.append_rows(rr.select(*[F.col(f.name).cast(f.dataType) for f in RC.RESULTS_SCHEMA.fields]),
+                           results_table)
     else:
         duration = (dt.datetime.now() - start).total_seconds()
         if logging and results_table:

@@ -181,6 +181,41 @@ def recon_mismatch_exact(spark, sf):
     return C.mismatches(s, t, CUST_KEYS, C.compare_columns(s.columns, t.columns, CUST_KEYS), exact=True)
 
 
+@query("recon_mismatch_exact_timestamps")
+def recon_mismatch_exact_timestamps(spark, sf):
+    """Times that differ below the millisecond differ."""
+    s, t = _in(spark, sf, I.events_times_sql), _in(spark, sf, I.events_shifted_times_sql)
+    return C.mismatches(s, t, ["event_id"], I.EV_TIME_COLS, exact=True)
+
+
+def _versions(pair, keys):
+    s, t = pair
+    return C.mismatch_versions(s, t, keys, C.compare_columns(s.columns, t.columns, keys))
+
+
+@query("recon_mismatch_versions")
+def recon_mismatch_versions(spark, sf):
+    return _versions(customer_pair(spark, sf), CUST_KEYS)
+
+
+@query("recon_mismatch_versions_lineitem")
+def recon_mismatch_versions_lineitem(spark, sf):
+    """Line items as they are: keys with several versions on either side."""
+    return _versions(lineitem_raw_pair(spark, sf), LI_KEYS)
+
+
+@query("recon_issues")
+def recon_issues(spark, sf):
+    """Every issue of the customer pair and of the pair with NULL keys."""
+    a = C.issue_rows(*customer_pair(spark, sf), CUST_KEYS)
+    return a.unionByName(C.issue_rows(*customer_nullkey_pair(spark, sf), CUST_KEYS))
+
+
+@query("recon_issues_lineitem")
+def recon_issues_lineitem(spark, sf):
+    return C.issue_rows(*lineitem_raw_pair(spark, sf), LI_KEYS)
+
+
 @query("recon_thresholds")
 def recon_thresholds(spark, sf):
     s, t = customer_pair(spark, sf)
@@ -194,7 +229,7 @@ def recon_thresholds(spark, sf):
 @query("recon_details")
 def recon_details(spark, sf):
     s, t = customer_nullkey_pair(spark, sf)
-    return C.issue_rows(s, t, CUST_KEYS, sample_size=10)
+    return C.issue_rows(s, t, CUST_KEYS, sample_size=10)  # the first of each type: the feature
 
 
 @query("recon_null_profile")
@@ -252,8 +287,7 @@ SCD2P_ARGS = dict(keys=I.SCD2P_KEYS, columns=I.SCD2P_COLUMNS, as_of=I.AS_OF, bat
 
 @query("incremental_first")
 def incremental_first(spark, sf):
-    _, b = events_pair(spark, sf)
-    return L.incremental(None, b, EV_KEYS)
+    return L.incremental(None, _in(spark, sf, I.events_sql), EV_KEYS)
 
 
 @query("incremental_keyed")
@@ -270,13 +304,19 @@ def incremental_new_rows(spark, sf):
 
 @query("incremental_append")
 def incremental_append(spark, sf):
-    t, b = events_pair(spark, sf)
-    return L.incremental(t, b, [])
+    whole = _in(spark, sf, I.events_sql)
+    return L.incremental(whole, whole, [])
+
+
+@query("incremental_hard_batch")
+def incremental_hard_batch(spark, sf):
+    """A batch with repeated and NULL keys."""
+    return L.incremental(_in(spark, sf, I.events_target_sql), _in(spark, sf, I.events_dup_batch_sql), EV_KEYS)
 
 
 @query("scd1_first")
 def scd1_first(spark, sf):
-    _, s = scd1_pair(spark, sf)
+    s = _in(spark, sf, I.scd1_first_source_sql)
     return L.scd1(None, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
 
 
@@ -286,6 +326,38 @@ def scd1_upsert(spark, sf):
     return L.scd1(t, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
 
 
+@query("scd1_null_keys")
+def scd1_null_keys(spark, sf):
+    """A third of the rows without a key on both sides, and NULL tracked values."""
+    t, s = _in(spark, sf, I.scd1_nullkey_target_sql), _in(spark, sf, I.scd1_nullkey_source_sql)
+    return L.scd1(t, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
+
+
+@query("scd1_composite")
+def scd1_composite(spark, sf):
+    t, s = _in(spark, sf, I.scd1_line_target_sql), _in(spark, sf, I.scd2_line_source_sql)
+    return L.scd1(t, s, I.LI_SCD_KEYS, I.LI_SCD_COLUMNS, as_of=I.AS_OF)
+
+
+@query("scd2_null_keys")
+def scd2_null_keys(spark, sf):
+    t, s = _in(spark, sf, I.scd2_nullkey_target_sql), _in(spark, sf, I.scd2_nullkey_source_sql)
+    return L.scd2(t, s, **SCD2_ARGS)
+
+
+@query("scd2_composite")
+def scd2_composite(spark, sf):
+    t, s = _in(spark, sf, I.scd2_line_target_sql), _in(spark, sf, I.scd2_line_source_sql)
+    return L.scd2(t, s, keys=I.LI_SCD_KEYS, columns=I.LI_SCD_COLUMNS, as_of=I.AS_OF, batch_id=I.BATCH_ID)
+
+
+@query("scd2_delete_case")
+def scd2_delete_case(spark, sf):
+    """The delete column named in another case than the source spells it."""
+    t, s = scd2_pair(spark, sf)
+    return L.scd2(t, s, **{**SCD2_ARGS, "delete_column": I.SCD2_DELETE[0].upper()})
+
+
 @query("scd1_change_set")
 def scd1_change_set(spark, sf):
     t, s = scd1_pair(spark, sf)
@@ -304,8 +376,7 @@ def scd1_actions(spark, sf):
 
 @query("scd2_first")
 def scd2_first(spark, sf):
-    _, s = scd2_pair(spark, sf)
-    return L.scd2(None, s, **SCD2_ARGS)
+    return L.scd2(None, _in(spark, sf, I.scd2_first_source_sql), **SCD2_ARGS)
 
 
 @query("scd2_full")
@@ -380,11 +451,11 @@ def load_stats(spark, sf):
     qt, qs = scd2_part_pair(spark, sf)
     parts = [
         _stat_row(L.incremental_stats(et, eb, EV_KEYS), "INCREMENTAL", "events_incremental"),
-        _stat_row(L.incremental_stats(None, eb, EV_KEYS), "INCREMENTAL", "events_first"),
+        _stat_row(L.incremental_stats(None, _in(spark, sf, I.events_sql), EV_KEYS), "INCREMENTAL", "events_first"),
         _stat_row(L.scd1_stats(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF), "SCD1", "part_current"),
-        _stat_row(L.scd1_stats(None, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF), "SCD1", "part_first"),
+        _stat_row(L.scd1_stats(None, _in(spark, sf, I.scd1_first_source_sql), I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF), "SCD1", "part_first"),
         _stat_row(L.scd2_stats(ct, cs, **SCD2_ARGS), "SCD2", "customer_history"),
-        _stat_row(L.scd2_stats(None, cs, **SCD2_ARGS), "SCD2", "customer_first"),
+        _stat_row(L.scd2_stats(None, _in(spark, sf, I.scd2_first_source_sql), **SCD2_ARGS), "SCD2", "customer_first"),
         _stat_row(L.scd2_stats(qt, qs, **SCD2P_ARGS), "SCD2", "part_history"),
         _stat_row(L.full_refresh_stats(_in(spark, sf, I.part_source_sql)), "FULL_REFRESH", "part_snapshot"),
     ]
@@ -462,27 +533,6 @@ from tidemark.operators import schema_drift as SD  # noqa: E402
 from tidemark.sinks import records as RC  # noqa: E402
 
 
-def drift_pair(spark, sf):
-    return _in(spark, sf, I.recon_source_sql), _in(spark, sf, I.schema_drift_target_sql)
-
-
-@query("schema_profile")
-def schema_profile(spark, sf):
-    return SD.schema_profile(_in(spark, sf, I.recon_source_sql))
-
-
-@query("schema_drift")
-def schema_drift(spark, sf):
-    s, t = drift_pair(spark, sf)
-    return SD.schema_drift(s, t)
-
-
-@query("schema_summary")
-def schema_summary(spark, sf):
-    s, t = drift_pair(spark, sf)
-    return SD.schema_summary(s, t).unionByName(SD.schema_summary(*customer_pair(spark, sf)))
-
-
 @query("audit_rows")
 def audit_rows(spark, sf):
     et, eb = events_pair(spark, sf)
@@ -537,9 +587,8 @@ def result_history(spark, sf):
 def details_history(spark, sf):
     out = None
     for run in I.HISTORY_RUNS:
-        if run[0] in I.DETAIL_RUNS:
-            d = _history_details(spark, sf, run)
-            out = d if out is None else out.unionByName(d)
+        d = _history_details(spark, sf, run)
+        out = d if out is None else out.unionByName(d)
     return out
 
 
@@ -656,7 +705,8 @@ def load_job_scd2_state(spark, sf):
     return spark.read.table(f"{db}.customer_history")
 
 
-RECON_JOB_RUNS = [r for r in I.HISTORY_RUNS if r[0] in ("r01", "r02", "r03", "r04")]
+#: One run of every pair.
+RECON_JOB_RUNS = I.HISTORY_RUNS[:5]
 
 
 def recon_job_config(db: str) -> dict:
@@ -672,14 +722,11 @@ def recon_job_config(db: str) -> dict:
         "job": {"name": "data_reconciliation_job", "batch_id": I.BATCH_ID,
                 "results_table": f"{db}.recon_results", "details_table": f"{db}.recon_details"},
         "reconciliations": recs,
-        "settings": {"sample_mismatches": 10, "enable_detailed_logging": True},
+        "settings": {"enable_detailed_logging": True},
     }
 
 
-@query("recon_job")
-def recon_job(spark, sf):
-    from pyspark.sql import functions as F
-
+def run_recon_job(spark, sf):
     db = _job_database(spark)
     for rid, _, pair, _, _ in RECON_JOB_RUNS:
         s, t = _pair_frames(spark, sf, pair)
@@ -687,6 +734,21 @@ def recon_job(spark, sf):
         s.createOrReplaceTempView(f"tm_{rid}_{sn}")
         t.createOrReplaceTempView(f"tm_{rid}_{tn}")
     JB.run_reconciliations(spark, recon_job_config(db)).collect()
+    return db
+
+
+@query("recon_job_details")
+def recon_job_details(spark, sf):
+    """The details table that the job leaves: every issue, as written."""
+    db = run_recon_job(spark, sf)
+    return spark.read.table(f"{db}.recon_details").select("recon_name", "issue_type", "record_keys", "source_values", "target_values", "details")
+
+
+@query("recon_job")
+def recon_job(spark, sf):
+    from pyspark.sql import functions as F
+
+    db = run_recon_job(spark, sf)
     r = spark.read.table(f"{db}.recon_results")
     return r.select(
         "recon_name", "status", "source_count", "target_count", "matched_count", "match_rate", "missing_count",

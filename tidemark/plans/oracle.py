@@ -42,6 +42,15 @@ ORACLE["recon_summary_exact"] = R.reconcile_sql(
     _hs, _ht, CUST_KEYS, CUST_COLS, "customer_shift_source", "customer_shift_target", exact=True
 )
 ORACLE["recon_mismatch_exact"] = R.mismatches_sql(_hs, _ht, CUST_KEYS, CUST_COLS, exact=True)
+ORACLE["recon_mismatch_exact_timestamps"] = R.mismatches_sql(
+    I.events_times_sql(D), I.events_shifted_times_sql(D), ["event_id"], I.EV_TIME_COLS, exact=True
+)
+ORACLE["recon_mismatch_versions"] = R.mismatch_versions_sql(cs, ct, CUST_KEYS, CUST_COLS)
+ORACLE["recon_mismatch_versions_lineitem"] = R.mismatch_versions_sql(rs, rt, LI_KEYS, LI_COLS)
+ORACLE["recon_issues"] = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({R.issue_rows_sql(a, b, CUST_KEYS, CUST_COLS)})" for a, b in ((cs, ct), (ns, nt))
+)
+ORACLE["recon_issues_lineitem"] = R.issue_rows_sql(rs, rt, LI_KEYS, LI_COLS)
 ORACLE["recon_thresholds"] = "\nUNION ALL\n".join(
     [
         R.thresholds_select(
@@ -74,16 +83,33 @@ SCD2_TCOLS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "is_deleted"
 SCD2P_TCOLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice", *OL.META]
 DEL = I.SCD2_DELETE
 
-ORACLE["incremental_first"] = f"SELECT * FROM ({eb}) b"
+ORACLE["incremental_first"] = "SELECT * FROM events"
 ORACLE["incremental_keyed"] = OL.incremental_state_sql(et, eb, EV_KEYS)
 ORACLE["incremental_new_rows"] = OL.incremental_new_sql(et, eb, EV_KEYS)
-ORACLE["incremental_append"] = f"SELECT * FROM ({et}) t UNION ALL SELECT * FROM ({eb}) b"
-ORACLE["scd1_first"] = OL.scd1_first_sql(ps)
+ORACLE["incremental_append"] = "SELECT * FROM events UNION ALL SELECT * FROM events"
+ORACLE["incremental_hard_batch"] = OL.incremental_state_sql(et, I.events_dup_batch_sql(D), EV_KEYS)
+ps1, csrc1 = I.scd1_first_source_sql(D), I.scd2_first_source_sql(D)
+ORACLE["scd1_first"] = OL.scd1_first_sql(ps1)
+ORACLE["scd1_null_keys"] = OL.scd1_state_sql(
+    I.scd1_nullkey_target_sql(D), I.scd1_nullkey_source_sql(D), I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS
+)
+ORACLE["scd1_composite"] = OL.scd1_state_sql(
+    I.scd1_line_target_sql(D), I.scd2_line_source_sql(D), I.LI_SCD_KEYS, I.LI_SCD_COLUMNS,
+    [*I.LI_SCD_KEYS, *I.LI_SCD_COLUMNS, "created_at", "updated_at"],
+)
 ORACLE["scd1_upsert"] = OL.scd1_state_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS)
 ORACLE["scd1_change_set"] = OL.scd1_state_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS, change_set=True)
 ORACLE["scd1_actions"] = OL.scd1_actions_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS)
-ORACLE["scd2_first"] = OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)
+ORACLE["scd2_first"] = OL.scd2_first_sql(csrc1, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)
 ORACLE["scd2_full"] = OL.scd2_state_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)
+ORACLE["scd2_delete_case"] = ORACLE["scd2_full"]
+ORACLE["scd2_null_keys"] = OL.scd2_state_sql(
+    I.scd2_nullkey_target_sql(D), I.scd2_nullkey_source_sql(D), I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL
+)
+ORACLE["scd2_composite"] = OL.scd2_state_sql(
+    I.scd2_line_target_sql(D), I.scd2_line_source_sql(D), I.LI_SCD_KEYS, I.LI_SCD_COLUMNS,
+    [*I.LI_SCD_KEYS, *I.LI_SCD_COLUMNS, *OL.META],
+)
 for _name, _wanted in (("scd2_change", "changed"), ("scd2_delete", "deleted"), ("scd2_insert", "new"), ("scd2_reactivate", "reactivated")):
     ORACLE[_name] = OL.scd2_rows_for_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL, _wanted)
 _cs_rows = OL.scd2_rows_sql(I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL, with_action=True)
@@ -101,19 +127,19 @@ ORACLE["load_stats"] = "\nUNION ALL\n".join(
             "events_incremental", "INCREMENTAL", _n(eb), _n(OL.incremental_new_sql(et, eb, EV_KEYS)), 0,
             f"{_n(et)} + {_n(OL.incremental_new_sql(et, eb, EV_KEYS))}",
         ),
-        OL.simple_stats_select("events_first", "INCREMENTAL", _n(eb), _n(eb), 0, _n(eb)),
+        OL.simple_stats_select("events_first", "INCREMENTAL", *[_n("SELECT * FROM events")] * 2, 0, _n("SELECT * FROM events")),
         f"SELECT * FROM (WITH {OL.scd1_join_cte(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS)} "
         "SELECT 'part_current' AS table_name, 'SCD1' AS operation_type, "
         "CAST(count(*) FILTER (WHERE _sp) AS BIGINT) AS source_count, "
         "CAST(count(*) FILTER (WHERE _sp AND _tp IS NULL) AS BIGINT) AS inserted, "
         "CAST(count(*) FILTER (WHERE _sp AND _tp) AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted, "
         "CAST(count(*) AS BIGINT) AS active_count, CAST(0 AS BIGINT) AS historical_count FROM j)",
-        OL.simple_stats_select("part_first", "SCD1", _n(ps), _n(ps), 0, _n(ps)),
+        OL.simple_stats_select("part_first", "SCD1", _n(ps1), _n(ps1), 0, _n(ps1)),
         f"SELECT * FROM (WITH {OL.scd2_cte(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)} "
         f"{OL.scd2_stats_select('customer_history', 'SCD2')})",
         OL.simple_stats_select(
-            "customer_first", "SCD2", _n(csrc), _n(OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)), 0,
-            _n(OL.scd2_first_sql(csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)),
+            "customer_first", "SCD2", _n(csrc1), _n(OL.scd2_first_sql(csrc1, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)), 0,
+            _n(OL.scd2_first_sql(csrc1, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)),
         ),
         f"SELECT * FROM (WITH {OL.scd2_cte(qt, qs, I.SCD2P_KEYS, I.SCD2P_COLUMNS, SCD2P_TCOLS, None)} "
         f"{OL.scd2_stats_select('part_history', 'SCD2')})",
@@ -164,58 +190,6 @@ FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
 WHERE e.ts >= TIMESTAMP '{I.EVENTS_LAST_DAY}'"""
 
 # ---------------------------------------------------------------- schema, records, reports
-_SPARK_TYPE = (
-    "CASE column_type WHEN 'BIGINT' THEN 'LongType()' WHEN 'INTEGER' THEN 'IntegerType()' "
-    "WHEN 'VARCHAR' THEN 'StringType()' WHEN 'DOUBLE' THEN 'DoubleType()' WHEN 'TIMESTAMP' THEN 'TimestampNTZType()' "
-    "WHEN 'DATE' THEN 'DateType()' WHEN 'BOOLEAN' THEN 'BooleanType()' "
-    "ELSE regexp_replace(column_type, 'DECIMAL\\((\\d+),(\\d+)\\)', 'DecimalType(\\1,\\2)') END"
-)
-
-
-def _describe(sql):
-    return f"SELECT column_name, {_SPARK_TYPE} AS data_type, (\"null\" = 'YES') AS nullable FROM (DESCRIBE SELECT * FROM ({sql}) q)"
-
-
-_drift_t = I.schema_drift_target_sql(D)
-ORACLE["schema_profile"] = (
-    f"SELECT column_name, data_type, nullable, CAST(row_number() OVER () - 1 AS INTEGER) AS position "
-    f"FROM ({_describe(cs)})"
-)
-
-
-def _drift_sql(src, tgt):
-    return f"""WITH sd_src AS ({_describe(src)}), sd_tgt AS ({_describe(tgt)}),
-j AS (SELECT a.column_name AS sn, b.column_name AS tn, a.data_type AS st, b.data_type AS tt, a.nullable AS snl, b.nullable AS tnl
-      FROM sd_src a FULL OUTER JOIN sd_tgt b ON a.column_name = b.column_name)
-SELECT sn AS column_name, 'missing_in_target' AS issue_type, CAST(NULL AS VARCHAR) AS source_value, CAST(NULL AS VARCHAR) AS target_value FROM j WHERE tn IS NULL
-UNION ALL SELECT tn, 'extra_in_target', NULL, NULL FROM j WHERE sn IS NULL
-UNION ALL SELECT sn, 'type_mismatch', st, tt FROM j WHERE sn IS NOT NULL AND tn IS NOT NULL AND st <> tt
-UNION ALL SELECT sn, 'nullable_mismatch', lower(CAST(snl AS VARCHAR)), lower(CAST(tnl AS VARCHAR)) FROM j
-  WHERE sn IS NOT NULL AND tn IS NOT NULL AND snl <> tnl"""
-
-
-def _schema_summary_sql(src, tgt):
-    return f"""WITH d AS ({_drift_sql(src, tgt)}),
-c AS (SELECT count(*) FILTER (WHERE issue_type = 'missing_in_target') AS m,
-             count(*) FILTER (WHERE issue_type = 'extra_in_target') AS e,
-             count(*) FILTER (WHERE issue_type = 'type_mismatch') AS ty,
-             count(*) FILTER (WHERE issue_type = 'nullable_mismatch') AS nu FROM d)
-SELECT CASE WHEN m > 0 OR e > 0 OR ty > 0 THEN 'FAILED' ELSE 'PASSED' END AS status,
-  CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM ({src}) q)) AS BIGINT) AS source_column_count,
-  CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM ({tgt}) q)) AS BIGINT) AS target_column_count,
-  CAST(m AS BIGINT) AS missing_in_target, CAST(e AS BIGINT) AS extra_in_target,
-  CAST(ty AS BIGINT) AS type_mismatches, CAST(nu AS BIGINT) AS nullable_mismatches,
-  CASE WHEN m + e + ty + nu = 0 THEN 'Schemas are compatible' ELSE concat_ws('; ',
-    CASE WHEN m > 0 THEN CAST(m AS VARCHAR) || ' columns missing in target' END,
-    CASE WHEN e > 0 THEN CAST(e AS VARCHAR) || ' extra columns in target' END,
-    CASE WHEN ty > 0 THEN CAST(ty AS VARCHAR) || ' type mismatches' END,
-    CASE WHEN nu > 0 THEN CAST(nu AS VARCHAR) || ' nullable mismatches' END) END AS summary
-FROM c"""
-
-
-ORACLE["schema_drift"] = _drift_sql(cs, _drift_t)
-ORACLE["schema_summary"] = f"SELECT * FROM ({_schema_summary_sql(cs, _drift_t)})\nUNION ALL\nSELECT * FROM ({_schema_summary_sql(cs, I.recon_target_sql(D))})"
-
 _AUDIT = (
     f"'{I.JOB_NAME}' AS job_name, '{I.BATCH_ID}' AS batch_id, table_name, operation_type, "
     f"{D.ts(I.AUDIT_START)} AS start_time, {D.ts(I.AUDIT_END)} AS end_time, "
@@ -253,12 +227,12 @@ def _history_details_sql(run):
     keys = I.PAIR_KEYS[pair]
     cols = LI_COLS if pair.startswith("lineitem") else CUST_COLS
     header = f"'{rid}' AS recon_id, '{name}' AS recon_name, '{I.BATCH_ID}' AS batch_id, {D.ts(ts)} AS execution_time, "
-    return R.issue_rows_sql(src, tgt, keys, cols, 10, header=header)
+    return R.issue_rows_sql(src, tgt, keys, cols, header=header)
 
 
 _results_hist = "\nUNION ALL\n".join(f"SELECT * FROM ({_history_result_sql(r)})" for r in I.HISTORY_RUNS)
 _details_hist = "\nUNION ALL\n".join(
-    f"SELECT * FROM ({_history_details_sql(r)})" for r in I.HISTORY_RUNS if r[0] in I.DETAIL_RUNS
+    f"SELECT * FROM ({_history_details_sql(r)})" for r in I.HISTORY_RUNS
 )
 ORACLE["recon_result_row"] = _history_result_sql(I.HISTORY_RUNS[0])
 ORACLE["recon_detail_records"] = _history_details_sql(I.HISTORY_RUNS[1])
@@ -305,9 +279,18 @@ def _recon_job_row(run):
 
 
 ORACLE["recon_job"] = "\nUNION ALL\n".join(
-    f"SELECT * FROM ({_recon_job_row(r)})" for r in I.HISTORY_RUNS if r[0] in ("r01", "r02", "r03", "r04")
+    f"SELECT * FROM ({_recon_job_row(r)})" for r in I.HISTORY_RUNS[:5]
 )
 
+
+def _recon_job_detail(run):
+    rid, name, pair, _, _ = run
+    cols = LI_COLS if pair.startswith("lineitem") else CUST_COLS
+    return R.issue_rows_sql(*I.pair_sql(D, pair), I.PAIR_KEYS[pair], cols, header=f"'{name}_{rid}' AS recon_name, ")
+
+
+ORACLE["recon_job_details"] = "\nUNION ALL\n".join(f"SELECT * FROM ({_recon_job_detail(r)})" for r in I.HISTORY_RUNS[:5])
+
 # ---------------------------------------------------------------- output portability
 # Decimal output columns per query.  Both sides present them as DOUBLE at the
 # registered-query boundary (``__spark_entry__``): the two engines convert a
@@ -319,6 +302,9 @@ DECIMAL_OUTPUTS = {
     "scd1_upsert": ["p_retailprice"],
     "scd1_change_set": ["p_retailprice"],
     "scd2_no_delete": ["p_retailprice"],
+    "scd1_null_keys": ["p_retailprice"],
+    "scd1_composite": ["l_quantity"],
+    "scd2_composite": ["l_quantity"],
     "full_refresh": ["p_retailprice"],
     "src_sql": ["total_price"],
     "src_customer_orders": ["total_amount"],

@@ -10,6 +10,7 @@ from tidemark.plans import inputs as I
 
 D = I.DUCK
 AS_OF = D.ts(I.AS_OF)
+# The SCD2 metadata columns.
 META = ["_hash", "batch_id", "effective_start_date", "effective_end_date", "is_active", "updated_timestamp"]
 
 
@@ -76,65 +77,50 @@ def scd1_actions_sql(tgt, src, keys, cols):
 
 
 # ---------------------------------------------------------------- SCD2
+# One relation per row of the decision table, from semi and anti joins: which
+# active target rows have a source row, and which source rows have an active
+# target row.  The state is put together from these relations.
+
+def _matches(a, b, keys):
+    return f"EXISTS (SELECT 1 FROM {b} WHERE {_on(keys, a, b)})"
+
 
 def scd2_cte(tgt, src, keys, cols, target_cols, delete=None):
-    """CTEs: tg (target), h (history), act (joined pairs with action)."""
-    carry = [delete[0]] if delete else []
-    src_cols = [*keys, *cols, *carry]
+    """CTEs: tg (target), h (closed versions), act_t (active versions), s
+    (source with hash and flag), and the outcomes deleted, changed, unchanged,
+    target_only (of active versions), skipped, opened (of source rows)."""
     flag = f"({delete[0]} IS NOT DISTINCT FROM '{delete[1]}')" if delete else "FALSE"
-    fp = D.fingerprint(cols)
-    t_sel = ", ".join(f"a.{c} AS t_{c}" for c in target_cols)
-    s_sel = ", ".join(f"s.{c} AS s_{c}" for c in [*src_cols, "_hash"])
+    src_cols = ", ".join([*keys, *cols, *([delete[0]] if delete else [])])
+    other_hash = f"EXISTS (SELECT 1 FROM s WHERE {_on(keys, 'act_t', 's')} AND s._hash IS DISTINCT FROM act_t._hash AND NOT s._flag)"
+    flagged = f"EXISTS (SELECT 1 FROM s WHERE {_on(keys, 'act_t', 's')} AND s._flag)"
+    same = f"EXISTS (SELECT 1 FROM s WHERE {_on(keys, 'act_t', 's')} AND s._hash IS NOT DISTINCT FROM act_t._hash AND NOT s._flag)"
     return f"""tg AS ({tgt}), sr AS ({src}),
-s AS (SELECT {", ".join(src_cols)}, {fp} AS _hash, {flag} AS _flag, TRUE AS _sp FROM sr),
-a AS (SELECT *, TRUE AS _tp FROM tg WHERE is_active = 'Y'),
+s AS (SELECT {src_cols}, {D.fingerprint(cols)} AS _hash, {flag} AS _flag FROM sr),
+act_t AS (SELECT * FROM tg WHERE is_active = 'Y'),
 h AS (SELECT * FROM tg WHERE is_active IS DISTINCT FROM 'Y'),
-j AS (SELECT {t_sel}, {s_sel}, a._tp, s._sp, s._flag FROM a FULL OUTER JOIN s ON {_on(keys, 'a', 's')}),
-act AS (SELECT *, CASE
-    WHEN _tp AND _sp AND _flag THEN 'deleted'
-    WHEN _tp AND _sp AND t__hash IS DISTINCT FROM s__hash THEN 'changed'
-    WHEN _tp AND _sp THEN 'unchanged'
-    WHEN _sp AND _flag THEN 'skipped'
-    WHEN _sp THEN 'new'
-    ELSE 'target_only' END AS action FROM j)"""
+deleted AS (SELECT * FROM act_t WHERE {flagged}),
+changed AS (SELECT * FROM act_t WHERE {other_hash}),
+unchanged AS (SELECT * FROM act_t WHERE {same}),
+target_only AS (SELECT * FROM act_t WHERE NOT {_matches('act_t', 's', keys)}),
+fresh AS (SELECT * FROM s WHERE NOT _flag AND NOT {_matches('s', 'act_t', keys)}),
+skipped AS (SELECT * FROM s WHERE _flag AND NOT {_matches('s', 'act_t', keys)}),
+successor AS (SELECT * FROM s WHERE {_matches('s', 'changed', keys)})"""
 
 
 def scd2_rows_sql(keys, cols, target_cols, delete=None, with_action=False):
-    """SELECT list producing the new state from act + h (after scd2_cte)."""
-    carry = [delete[0]] if delete else []
-    src_cols = [*keys, *cols, *carry]
-    closing = "action IN ('changed', 'deleted')"
-    kept = []
-    for c in target_cols:
-        if c == "effective_end_date":
-            kept.append(f"CASE WHEN {closing} THEN {AS_OF} ELSE t_{c} END AS {c}")
-        elif c == "is_active":
-            kept.append(f"CASE WHEN {closing} THEN 'N' ELSE t_{c} END AS {c}")
-        elif c == "updated_timestamp":
-            kept.append(f"CASE WHEN {closing} THEN {AS_OF} ELSE t_{c} END AS {c}")
-        else:
-            kept.append(f"t_{c} AS {c}")
-    new = []
-    for c in target_cols:
-        if c in src_cols or c == "_hash":
-            new.append(f"s_{c} AS {c}")
-        elif c == "batch_id":
-            new.append(f"'{I.BATCH_ID}' AS batch_id")
-        elif c in ("effective_start_date", "updated_timestamp"):
-            new.append(f"{AS_OF} AS {c}")
-        elif c == "effective_end_date":
-            new.append(f"{D.null_ts} AS {c}")
-        elif c == "is_active":
-            new.append("'Y' AS is_active")
-        else:
-            new.append(f"NULL AS {c}")
-    a1 = ", action" if with_action else ""
-    a2 = ", 'history' AS action" if with_action else ""
-    return (
-        f"SELECT {', '.join(kept)}{a1} FROM act WHERE _tp\n"
-        f"UNION ALL SELECT {', '.join(new)}{a1} FROM act WHERE action IN ('changed', 'new')\n"
-        f"UNION ALL SELECT {', '.join(target_cols)}{a2} FROM h"
-    )
+    """The new state, as a union of the outcomes (after scd2_cte)."""
+    given = {*keys, *cols, "_hash", *([delete[0]] if delete else [])}
+    closing = {"effective_end_date": AS_OF, "updated_timestamp": AS_OF, "is_active": "'N'"}
+    opening = {"batch_id": f"'{I.BATCH_ID}'", "effective_start_date": AS_OF, "updated_timestamp": AS_OF,
+               "effective_end_date": D.null_ts, "is_active": "'Y'"}
+    closed = ", ".join(f"{closing.get(c, c)} AS {c}" for c in target_cols)
+    opened = ", ".join(f"{c if c in given else opening.get(c, 'NULL')} AS {c}" for c in target_cols)
+    kept = ", ".join(target_cols)
+    parts = [(closed, "deleted", "deleted"), (closed, "changed", "changed"), (opened, "successor", "changed"),
+             (opened, "fresh", "new"), (kept, "unchanged", "unchanged"), (kept, "target_only", "target_only"),
+             (kept, "h", "history")]
+    tag = lambda a: f", '{a}' AS action" if with_action else ""
+    return "\nUNION ALL ".join(f"SELECT {cols_}{tag(a)} FROM {rel}" for cols_, rel, a in parts)
 
 
 def scd2_state_sql(tgt, src, keys, cols, target_cols, delete=None):
@@ -156,10 +142,12 @@ def scd2_rows_for_sql(tgt, src, keys, cols, target_cols, delete, wanted):
 
 
 def scd2_counts_sql(tgt, src, keys, cols, target_cols, delete):
-    kc = ", ".join(f"COALESCE(t_{k}, s_{k}) AS {k}" for k in keys)
+    ks = ", ".join(keys)
     cond = " AND ".join(f"hh.{k} = r.{k}" for k in keys)
-    return f"""WITH {scd2_cte(tgt, src, keys, cols, target_cols, delete)},
-r AS (SELECT {kc}, action FROM act),
+    outcomes = (("deleted", "deleted"), ("changed", "changed"), ("unchanged", "unchanged"),
+                ("target_only", "target_only"), ("fresh", "new"), ("skipped", "skipped"))
+    rows = " UNION ALL ".join(f"SELECT {ks}, '{a}' AS action FROM {rel}" for rel, a in outcomes)
+    return f"""WITH {scd2_cte(tgt, src, keys, cols, target_cols, delete)}, r AS ({rows}),
 lab AS (SELECT {_reactivation(keys)} AS action, EXISTS (SELECT 1 FROM h hh WHERE {cond}) AS has_history FROM r)
 SELECT action, CAST(count(*) AS BIGINT) AS n_keys, CAST(count(*) FILTER (WHERE has_history) AS BIGINT) AS n_with_history
 FROM lab GROUP BY action"""
@@ -177,15 +165,12 @@ def scd2_first_sql(src, keys, cols, delete=None):
 
 
 def scd2_stats_select(table, op):
+    n = lambda rel, where="true": f"(SELECT count(*) FROM {rel} WHERE {where})"
     return f"""SELECT '{table}' AS table_name, '{op}' AS operation_type,
-  CAST(count(*) FILTER (WHERE _sp) AS BIGINT) AS source_count,
-  CAST(count(*) FILTER (WHERE action = 'new') AS BIGINT) AS inserted,
-  CAST(count(*) FILTER (WHERE action = 'changed') AS BIGINT) AS updated,
-  CAST(count(*) FILTER (WHERE action = 'deleted') AS BIGINT) AS deleted,
-  CAST(count(*) FILTER (WHERE action IN ('unchanged', 'target_only', 'changed', 'new')) AS BIGINT) AS active_count,
-  CAST(count(*) FILTER (WHERE action IN ('changed', 'deleted'))
-       + (SELECT count(*) FILTER (WHERE is_active = 'N') FROM h) AS BIGINT) AS historical_count
-FROM act"""
+  CAST({n('s')} AS BIGINT) AS source_count, CAST({n('fresh')} AS BIGINT) AS inserted,
+  CAST({n('changed')} AS BIGINT) AS updated, CAST({n('deleted')} AS BIGINT) AS deleted,
+  CAST({n('unchanged')} + {n('target_only')} + {n('changed')} + {n('fresh')} AS BIGINT) AS active_count,
+  CAST({n('changed')} + {n('deleted')} + {n('h', "is_active = 'N'")} AS BIGINT) AS historical_count"""
 
 
 def simple_stats_select(table, op, n_src, n_ins, n_upd, n_active):

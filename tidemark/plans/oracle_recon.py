@@ -31,9 +31,9 @@ def _summary_text(m: str, n: str, miss: str, extra: str, mism: str) -> str:
 
 
 def exact_fingerprint(cols: Sequence[str]) -> str:
-    """SHA-256 of the JSON object of the compared values (NULLs kept)."""
-    fields = ", ".join(f"{c} := {c}" for c in cols)
-    return f"sha256(CAST(to_json(struct_pack({fields})) AS VARCHAR))"
+    """SHA-256 of every value's text behind its length, and a mark for NULL."""
+    text = lambda c: f"CAST({c} AS VARCHAR)"
+    return "sha256(" + " || ".join(f"coalesce(length({text(c)}) || ':' || {text(c)}, 'N;')" for c in cols) + ")"
 
 
 def counts_cte(src: str, tgt: str, keys: Sequence[str], cols: Sequence[str], exact: bool = False) -> str:
@@ -130,34 +130,56 @@ def _json(keys, extra=()) -> str:
     return "CAST(to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in [*keys, *extra]) + ")) AS VARCHAR)"
 
 
-def issue_rows_sql(src, tgt, keys, cols, sample_size=10, header: str = "") -> str:
-    """Sample issue rows (A3), first keys in key order per issue type."""
+def versions_cte(keys, cols) -> str:
+    """CTEs sh, th (fingerprinted sides s, t), v (rows per side of each key and
+    fingerprint) and mv: those with a differing row of the same key on the
+    other side."""
+    fp, ks = DUCK.fingerprint(cols), _k(keys)
+    return f"""sh AS (SELECT {ks}, {fp} AS _h FROM s), th AS (SELECT {ks}, {fp} AS _h FROM t),
+v AS (SELECT {ks}, _h, CAST(sum(a) AS BIGINT) AS ns, CAST(sum(b) AS BIGINT) AS nt
+      FROM (SELECT *, 1 AS a, 0 AS b FROM sh UNION ALL SELECT *, 0, 1 FROM th) u GROUP BY {ks}, _h),
+mv AS (SELECT * FROM v WHERE EXISTS (SELECT 1 FROM v w WHERE {_on(keys, 'w', 'v')} AND w._h <> v._h
+       AND ((v.ns > 0 AND w.nt > 0) OR (v.nt > 0 AND w.ns > 0))))"""
+
+
+def mismatch_versions_sql(src, tgt, keys, cols) -> str:
+    return (f"WITH s AS ({src}), t AS ({tgt}), {versions_cte(keys, cols)}\n"
+            f"SELECT {_k(keys)}, _h AS fingerprint, ns AS source_rows, nt AS target_rows FROM mv")
+
+
+def issue_rows_sql(src, tgt, keys, cols, sample_size=None, header: str = "") -> str:
+    """Issue rows (A3): all, or the first ``sample_size`` in key order of each
+    type."""
     ks = _k(keys)
+    kj, dj, null = _json(keys), _json(keys, ["cnt"]), "CAST(NULL AS VARCHAR)"
     order = ", ".join(f"{k} ASC NULLS FIRST" for k in keys)
-    kj = _json(keys)
-    dj = _json(keys, ["cnt"])
+    cut = f" ORDER BY {order}, source_values ASC NULLS LAST, target_values ASC NULLS FIRST LIMIT {int(sample_size)}" if sample_size else ""
+
+    def issue(typ, rec, sv, tv, text, rel):
+        return (f"SELECT issue_type, record_keys, source_values, target_values, details FROM (SELECT {ks}, '{typ}' AS issue_type, "
+                f"{rec} AS record_keys, {sv} AS source_values, {tv} AS target_values, {text} AS details FROM ({rel}) x{cut})")
+
     parts = [
-        f"SELECT * FROM (SELECT 'MISSING' AS issue_type, {kj} AS record_keys, {kj} AS source_values, "
-        f"CAST(NULL AS VARCHAR) AS target_values, 'Record exists in source but not in target' AS details "
-        f"FROM (SELECT {ks} FROM s EXCEPT SELECT {ks} FROM t) x ORDER BY {order} LIMIT 10)",
-        f"SELECT * FROM (SELECT 'EXTRA', {kj}, CAST(NULL AS VARCHAR), {kj}, 'Record exists in target but not in source' "
-        f"FROM (SELECT {ks} FROM t EXCEPT SELECT {ks} FROM s) x ORDER BY {order} LIMIT 10)",
+        issue("MISSING", kj, kj, null, "'Record exists in source but not in target'", f"SELECT {ks} FROM s EXCEPT SELECT {ks} FROM t"),
+        issue("EXTRA", kj, null, kj, "'Record exists in target but not in source'", f"SELECT {ks} FROM t EXCEPT SELECT {ks} FROM s"),
     ]
+    ctes = f"s AS ({src}), t AS ({tgt})"
     if cols:
-        parts.append(
-            f"SELECT * FROM (SELECT 'MISMATCH', {kj}, source_hash, target_hash, "
-            f"'Record values differ between source and target' FROM ({mismatches_sql(src, tgt, keys, cols)}) x "
-            f"ORDER BY {order} LIMIT {int(sample_size)})"
-        )
+        ctes += f", {versions_cte(keys, cols)}"
+        ctes += f""",
+several AS (SELECT {ks} FROM v GROUP BY {ks} HAVING count(*) FILTER (WHERE ns > 0) > 1 OR count(*) FILTER (WHERE nt > 0) > 1),
+single AS (SELECT {_k(keys, 'a')}, a._h AS sv, b._h AS tv FROM mv a JOIN mv b ON {_on(keys, 'a', 'b')} AND a.ns > 0 AND b.nt > 0
+           WHERE NOT EXISTS (SELECT 1 FROM several e WHERE {_on(keys, 'e', 'a')})),
+apart AS (SELECT {_k(keys, 'm')}, CASE WHEN ns > 0 THEN _h END AS sv, CASE WHEN nt > 0 THEN _h END AS tv FROM mv m
+          WHERE EXISTS (SELECT 1 FROM several e WHERE {_on(keys, 'e', 'm')}))"""
+        parts.append(issue("MISMATCH", kj, "sv", "tv", "'Record values differ between source and target'",
+                           "SELECT * FROM single UNION ALL SELECT * FROM apart"))
     for side, typ, word in (("s", "SOURCE_DUPLICATE", "source"), ("t", "TARGET_DUPLICATE", "target")):
-        sv, tv = (dj, "CAST(NULL AS VARCHAR)") if side == "s" else ("CAST(NULL AS VARCHAR)", dj)
-        parts.append(
-            f"SELECT * FROM (SELECT '{typ}', {dj}, {sv}, {tv}, "
-            f"'Duplicate key found in {word} (count: ' || CAST(cnt AS VARCHAR) || ')' "
-            f"FROM ({duplicates_sql(f'SELECT * FROM {side}', keys)}) x ORDER BY {order} LIMIT 5)"
-        )
-    body = "\nUNION ALL\n".join(parts)
-    return f"WITH s AS ({src}), t AS ({tgt}), issues AS ({body})\nSELECT {header}issue_type, record_keys, source_values, target_values, details FROM issues"
+        text = f"'Duplicate key found in {word} (count: ' || CAST(cnt AS VARCHAR) || ')'"
+        rel = duplicates_sql(f"SELECT * FROM {side}", keys)
+        parts.append(issue(typ, dj, dj if side == "s" else null, null if side == "s" else dj, text, rel))
+    body = "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
+    return f"WITH {ctes}, issues AS ({body})\nSELECT {header}issue_type, record_keys, source_values, target_values, details FROM issues"
 
 
 def null_profile_sql(src, tgt, cols) -> str:

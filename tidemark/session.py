@@ -30,8 +30,8 @@ def get_session(master: str | None = None, app: str = "tidemark", **conf) -> Spa
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is.  Only
-    when it is unset (local tests) is a fresh temporary folder set.
+    On a cluster the setting names shared storage and is used as is; without
+    it, this raises.  Only a local session gets a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -39,6 +39,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

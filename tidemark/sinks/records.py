@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.fingerprint import ts_literal
 
+# The schemas of the audit, result and detail tables.
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("job_name", T.StringType()),
@@ -87,6 +88,13 @@ STAT_COLUMNS = {
 }
 
 
+def require_not_null(values: dict, schema: T.StructType) -> None:
+    """ValueError for a declared NOT NULL column that would be written NULL."""
+    absent = [f.name for f in schema.fields if not f.nullable and f.name in values and values[f.name] is None]
+    if absent:
+        raise ValueError(f"NOT NULL columns without a value: {absent}")
+
+
 def _seconds(start, end) -> float | None:
     def parse(v):
         return dt.datetime.fromisoformat(v) if isinstance(v, str) else v
@@ -102,7 +110,7 @@ def _lit_str(v) -> Column:
 
 
 def audit_row(
-    stats: DataFrame | None,
+    stats: DataFrame,
     job_name: str,
     batch_id: str,
     table_name: str,
@@ -115,9 +123,7 @@ def audit_row(
     created=None,
 ) -> DataFrame:
     """One 17-column audit row.  ``stats`` is a one-row frame of the six load
-    counters (None for a failed load: counters are 0, as in the reference)."""
-    if stats is None:
-        raise ValueError("stats frame required; use audit_row_failed for loads that did not run")
+    counters (all 0 for a load that failed)."""
     return stats.select(
         _lit_str(job_name).alias("job_name"),
         _lit_str(batch_id).alias("batch_id"),
@@ -148,6 +154,8 @@ def result_row(
 
     ``status`` is FAILED when the schema or the data check failed, else
     PASSED; a threshold breach is kept in ``threshold_breached``."""
+    require_not_null({"recon_id": recon_id, "recon_name": recon_name, "batch_id": batch_id,
+                      "execution_time": execution_time}, RESULTS_SCHEMA)
     data_status = F.col("status")
     failed = (F.lit(schema_status) == F.lit("FAILED")) | (data_status == F.lit("FAILED"))
     breached = F.col("threshold_breached") if "threshold_breached" in summary.columns else F.lit(False)
@@ -195,7 +203,7 @@ def skipped_result_row(spark, recon_id, recon_name, batch_id, execution_time, sc
 
 
 def details_rows(issues: DataFrame, recon_id: str, recon_name: str, batch_id: str, execution_time) -> DataFrame:
-    """Issue sample rows (``compare.issue_rows``) under the run's identity."""
+    """Issue rows (``compare.issue_rows``) under the run's identity."""
     return issues.select(
         _lit_str(recon_id).alias("recon_id"),
         _lit_str(recon_name).alias("recon_name"),

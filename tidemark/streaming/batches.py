@@ -2,10 +2,13 @@
 
 A load takes a batch DataFrame, so a stream applies it per micro-batch with
 ``foreachBatch``.  Each call runs the same one-plan load as a batch job on
-the rows of that micro-batch.  A micro-batch replayed after a failure is
-safe for keyed incremental loads (rows already appended are found by the
-anti join) and for SCD1 / SCD2 (a replayed state change finds the target
-already changed and leaves it as is).
+the rows of that micro-batch.
+
+What a replay of a micro-batch after a failure does: rows with complete keys
+are safe, since keyed appends find them in the target and SCD1 / SCD2 find the
+target already changed.  Rows with NULL keys, and appends without keys, match
+nothing by definition, so a replay writes them again; give such streams a key,
+or a sink that knows epochs.
 """
 
 from __future__ import annotations
