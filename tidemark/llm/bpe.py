@@ -324,7 +324,7 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> Data
                     ids_sha.append(sha(raw))
                     text_sha.append(sha(decoded.encode("utf-8", "replace")))
                     ids.append(raw)
-                out = {"doc_id": rows["doc_id"].to_numpy(), "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": text_sha}
+                out = {"doc_id": rows["doc_id"].array, "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": text_sha}
                 yield pd.DataFrame(out | ({"ids": ids} if keep_ids else {})).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if keep_ids else "")

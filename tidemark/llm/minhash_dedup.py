@@ -7,9 +7,10 @@ sets; pairs that meet in a bucket and pass that test are confirmed on their full
 
 Documents with equal sets are compared as one.  In each bucket the members are first
 paired with its smallest one.  Where a bucket's members are still in different components
-after that, each is paired with its likeliest counterpart of every other component there,
-and in the end with all of them, so that no link that could join two components goes
-untested; pairs within a component needn't be tested.
+after that, each is paired with its likeliest counterpart of another component there.  What
+is apart even then is dealt to cells in which every pair of it meets, with the texts: there
+pairs are tested from the likeliest on, unless a link has joined their components by then.
+So no link that could join two components goes untested, and pairs are never listed.
 """
 
 from __future__ import annotations
@@ -91,7 +92,7 @@ def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             k = samples(s)
             bands.append(_band_keys(k))
             sketch.append(odd_sketch(k))
-        yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "_dkey": pdf["_dkey"].to_numpy(), "n_shingles": n, "_s1": s1, "_s2": s2, "_bands": bands, "_sketch": sketch}).astype({"doc_id": "Int64"})
+        yield pd.DataFrame({"doc_id": pdf["doc_id"].array, "_dkey": pdf["_dkey"].to_numpy(), "n_shingles": n, "_s1": s1, "_s2": s2, "_bands": bands, "_sketch": sketch}).astype({"doc_id": "Int64"})
 
 
 _DESCRIBED = "doc_id long, _dkey binary, n_shingles long, _s1 long, _s2 long, _bands array<long>, _sketch array<long>"
@@ -115,51 +116,92 @@ def _confirm(percent: int):
     return run
 
 
-def _cross_pairs(best_only: bool, least: float, bits: int):
-    """Pairs of a cell's members of different components whose sizes and sketches allow the
-    similarity; with ``best_only`` the likeliest one for each member and other component."""
-
-    def of(pdf: pd.DataFrame) -> pd.DataFrame:
-        rid, root, n, block = (pdf[c].to_numpy() for c in ("rid", "_root", "_n_shingles", "_block"))
-        sketch = np.stack(pdf["_sketch"].to_numpy()).view(np.uint64)
-        own, cell = pdf["_own"].to_numpy(), pdf["_cell"].to_numpy()
+def _apart(pdf: pd.DataFrame, least: float, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each cell of the frame: pairs (as positions) of members of different components
+    whose sizes and sketches allow the similarity, and their sketches' distance."""
+    root, n, block = (pdf[c].to_numpy() for c in ("_root", "_n_shingles", "_block"))
+    sketch = np.stack(pdf["_sketch"].to_numpy()).view(np.uint64)
+    own, cell = pdf["_own"].to_numpy(), pdf["_cell"].to_numpy()
+    start = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1))
+    for lo, hi in zip(start, [*start[1:], len(cell)], strict=True):
+        if (root[lo:hi] == root[lo]).all():
+            continue
+        left = np.arange(lo, hi) if own[lo] else lo + np.flatnonzero(block[lo:hi] == 0)
+        right = np.arange(lo, hi) if own[lo] else lo + np.flatnonzero(block[lo:hi] == 1)
         found = []
-        start = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1))
-        for lo, hi in zip(start, [*start[1:], len(cell)], strict=True):
-            if (root[lo:hi] == root[lo]).all():
-                continue
-            left = np.arange(lo, hi) if own[lo] else lo + np.flatnonzero(block[lo:hi] == 0)
-            right = np.arange(lo, hi) if own[lo] else lo + np.flatnonzero(block[lo:hi] == 1)
-            apart = root[left][:, None] != root[right]
-            small, large = np.minimum(n[left][:, None], n[right]), np.maximum(n[left][:, None], n[right])
-            a, b = np.nonzero(apart & (small >= least * large))
+        for k in range(0, len(left), 64):  # bounds memory
+            rows = left[k : k + 64]
+            small, large = np.minimum(n[rows][:, None], n[right]), np.maximum(n[rows][:, None], n[right])
+            a, b = np.nonzero((root[rows][:, None] != root[right]) & (small >= least * large))
+            a, b = rows[a], right[b]
             if own[lo]:
                 a, b = a[a < b], b[a < b]
-            a, b = left[a], right[b]
             differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1)
             ok = differ <= bits
-            a, b, differ = a[ok], b[ok], differ[ok]
-            if best_only and len(a):
-                pairs = pd.DataFrame({"a": np.r_[a, b], "b": np.r_[b, a], "d": np.r_[differ, differ]})
-                pairs["r"] = root[pairs["b"]]
-                pairs = pairs.sort_values("d", kind="stable").drop_duplicates(["a", "r"])
-                a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
-            found.append((rid[a], rid[b]))
-        if not found:
-            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+            found.append((a[ok], b[ok], differ[ok]))
+        yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _by_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole cells at a time: a cell, bounded in size, may go over the end of a batch."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        done = (pdf["_cell"] != pdf["_cell"].iloc[-1]).to_numpy()
+        rest = pdf[~done].reset_index(drop=True)
+        if done.any():
+            yield pdf[done].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield rest
+
+
+def _likeliest(least: float, bits: int):
+    """The likeliest counterpart of each member in another component of its cell."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None  # a cell, bounded in size, may go over the end of a batch
-        for pdf in batches:
-            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            done = (pdf["_cell"] != pdf["_cell"].iloc[-1]).to_numpy()
-            rest = pdf[~done].reset_index(drop=True)
-            if done.any():
-                yield of(pdf[done].reset_index(drop=True))
-        if rest is not None and len(rest):
-            yield of(rest)
+        for pdf in _by_cell(batches):
+            rid, out = pdf["rid"].to_numpy(), []
+            for a, b, differ in _apart(pdf, least, bits):
+                pairs = pd.DataFrame({"x": np.r_[a, b], "y": np.r_[b, a], "d": np.r_[differ, differ]})
+                best = pairs.sort_values(["d", "y"], kind="stable").drop_duplicates("x")
+                x, y = rid[best["x"]], rid[best["y"]]
+                out.append(pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y)}).drop_duplicates())
+            if out:
+                yield pd.concat(out, ignore_index=True)
+
+    return run
+
+
+def _joining(least: float, bits: int, percent: int):
+    """Links that join components of a cell, tested on full sets."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _by_cell(batches):
+            rid, texts, out = pdf["rid"].to_numpy(), pdf["_text"].tolist(), []
+            for a, b, differ in _apart(pdf, least, bits):
+                up: dict = {r: r for r in pdf["_root"].to_numpy()[np.r_[a, b]].tolist()}
+                root = pdf["_root"].to_numpy()
+
+                def find(x, up=up):
+                    while up[x] != x:
+                        up[x] = up[up[x]]
+                        x = up[x]
+                    return x
+
+                sets: dict[int, frozenset] = {}
+                for i in np.argsort(differ, kind="stable").tolist():
+                    x, y = int(a[i]), int(b[i])
+                    p, q = find(int(root[x])), find(int(root[y]))
+                    if p == q:
+                        continue
+                    for m in (x, y):
+                        if m not in sets:
+                            sets[m] = frozenset(shingle_set(texts[m]).tolist())
+                    both = len(sets[x] & sets[y])
+                    if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                        up[max(p, q)] = min(p, q)
+                        out.append((max(rid[x], rid[y]), min(rid[x], rid[y])))
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return run
 
@@ -208,19 +250,27 @@ def _rooted(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFr
     tested = cut(star.where(f"100 * least(_na, _nb) >= {percent} * greatest(_na, _nb) and {differ} <= {bits}").select("a", "b"))
     links = confirmed(tested)
 
-    for best_only in (True, False):
+    def still_open(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """All members with their roots, and the memberships of buckets that aren't in one
+        component."""
         roots = cut(components(links).select(F.col("node").alias("_node"), F.col("root").alias("_to")))
-        rooted = light.join(roots, light["rid"] == roots["_node"], "left").select("rid", "_n_shingles", "_sketch", F.coalesce("_to", "rid").alias("_root"))
-        rooted = cut(rooted)
-        placed = member.select("rid", "_bucket").join(rooted.select("rid", "_root"), "rid")
-        mixed_up = cut(placed.groupBy(F.col("_bucket").alias("_mb")).agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_mb"))
-        open_ = cut(placed.join(mixed_up, placed["_bucket"] == mixed_up["_mb"]).select("rid", "_bucket"))
-        dealt = cells(open_, "_bucket", "rid").drop("_bucket")
-        dealt = dealt.join(rooted, "rid").repartition("_cell").sortWithinPartitions("_cell")
-        pairs = dealt.transform(map_batches, _cross_pairs(best_only, least, bits), "a long, b long").distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(pairs)
-        links = cut(links.unionByName(confirmed(pairs)))
+        rooted = cut(light.join(roots, light["rid"] == roots["_node"], "left").select("rid", "_n_shingles", "_sketch", F.coalesce("_to", "rid").alias("_root")))
+        placed = member.select("rid", "_bucket", "_hub").join(rooted.select("rid", "_root"), "rid")
+        apart = cut(placed.groupBy(F.col("_bucket").alias("_mb")).agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_mb"))
+        return rooted, cut(placed.join(apart, placed["_bucket"] == apart["_mb"]).select("rid", "_bucket", "_hub"))
+
+    rooted, open_ = still_open(links)
+    dealt = cells(open_.select("rid", "_bucket"), "_bucket", "rid").drop("_bucket").join(rooted, "rid")
+    pairs = dealt.repartition("_cell").sortWithinPartitions("_cell").transform(map_batches, _likeliest(least, bits), "a long, b long").distinct()
+    links = cut(links.unionByName(confirmed(pairs.join(tested, ["a", "b"], "left_anti"))))
+
+    rooted, open_ = still_open(links)
+    # buckets that share members make a cluster; any two of it may be linked
+    cluster = components(open_.where("rid <> _hub").select(F.col("rid").alias("a"), F.col("_hub").alias("b")))
+    cluster = cut(cluster.select(F.col("node").alias("rid"), F.col("root").alias("_cluster")))
+    dealt = cells(cluster, "_cluster", "rid", per_block=512).drop("_cluster").join(rooted, "rid").join(found, "rid")
+    dealt = dealt.repartition("_cell").sortWithinPartitions("_cell")
+    links = cut(links.unionByName(dealt.transform(map_batches, _joining(least, bits, percent), "a long, b long")))
 
     roots = cut(components(links).select(F.col("node").alias("_node"), F.col("root").alias("_to")))
     known = sets.join(roots, sets["rid"] == roots["_node"], "left").withColumn("_root", F.coalesce("_to", "rid"))

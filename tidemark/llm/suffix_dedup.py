@@ -341,7 +341,7 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out["n"].append(hi - lo)
             if out["row"]:
                 row = np.concatenate(out["row"])
-                yield pd.DataFrame({"anchor": np.concatenate(out["anchor"]), "digest": out["digest"], "doc_id": part["doc_id"].to_numpy()[row], "_tx": part["_tx"].to_numpy()[row], **{k: np.concatenate(out[k]) for k in ("start", "n", "before", "after")}}).astype({"doc_id": "Int64"})
+                yield pd.DataFrame({"anchor": np.concatenate(out["anchor"]), "digest": out["digest"], "doc_id": part["doc_id"].array[row], "_tx": part["_tx"].to_numpy()[row], **{k: np.concatenate(out[k]) for k in ("start", "n", "before", "after")}}).astype({"doc_id": "Int64"})
 
 
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -100,14 +100,14 @@ def sequences(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
                 for part, at in enumerate(range(0, len(ids), length)):
                     some = ids[at : at + length]
                     record = some if len(some) == length else np.concatenate([some, np.full(length - len(some), pad, "<u2")])
-                    rows.append((None if pd.isna(doc_id) else int(doc_id), part, len(some), record.tobytes(), task, nth))
+                    rows.append((pd.NA if pd.isna(doc_id) else int(doc_id), part, len(some), record.tobytes(), task, nth))
                     nth += 1
                     if len(rows) >= 2000:
-                        yield pd.DataFrame(rows, columns=COLS).astype({"doc_id": "Int64"})
+                        yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
                         rows = []
-            yield pd.DataFrame(rows, columns=COLS).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
-    COLS = ["doc_id", "part", "n_tokens", "record", "_task", "_nth"]
+    columns = ["doc_id", "part", "n_tokens", "record", "_task", "_nth"]
     schema = "doc_id long, part int, n_tokens int, record binary, _task int, _nth long"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(map_batches, run, schema)
 
