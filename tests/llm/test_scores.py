@@ -50,11 +50,11 @@ def test_edge_rows_have_scores(score, docs, empty, labels, no_labels):
     assert {r.score for r in score(docs, no_labels).collect()} == {0.5}
 
 
-def test_keep_clean_returns_rows_as_they_are(spark, docs, labels):
+def test_keep_clean_returns_rows_as_they_are(spark, docs):
     text = "you idiot and clown"
-    train = spark.createDataFrame([(i, f"{'fine words ' * 3}{i} {'you idiot' if i % 2 else 'my friend'} {i * 7} end") for i in range(400)], "doc_id long, text string")
+    train = spark.createDataFrame([(i, f"{'fine words ' * 3}{i} {'idiot' if i % 2 else 'friend'} {i * 7} and you end") for i in range(400)], "doc_id long, text string")
     marks = spark.range(400).selectExpr("id AS doc_id", "cast(id % 2 as int) AS toxic")
-    both = docs.withColumn("text", docs["text"]).unionByName(spark.createDataFrame([(77, text, "en", "a", 1, 0, "x")], docs.schema))
+    both = docs.unionByName(spark.createDataFrame([(77, text, "en", "a", 1, 0, "x")], docs.schema))
     sample = toxicity.labelled_sample(train, marks, "toxic", 3, 1, 500, 1000)
     model = toxicity.fit(sample)
     score, spans = toxicity.tag(["all is well", "Ünï: you IDIOT!", None], model)

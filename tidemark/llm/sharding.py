@@ -1,8 +1,8 @@
 """Sharding by balanced label propagation.
 
 Documents start in a shard that a hash deals out.  In each round every linked document
-prefers the shard that holds most bytes of its group, and moves there as far as the
-quotas allow: the room left in that shard plus what leaves it in exchange.  Which of
+prefers the shard where most bytes of its group are or could be, and moves there as far as
+the quotas allow: the room left in that shard plus what leaves it in exchange.  Which of
 the documents that want to move may do so is decided on a histogram of hashes (group
 first, so that a group moves as one; then document, so that a group larger than a shard
 splits).  At the end the documents without links fill each shard up to an equal share of
@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, prefix_sums
 
-GROUP_BINS, ROW_BINS = 512, 32
+GROUP_BINS, ROW_BINS = 512, 64
+#: A shard has room if this share of it is free.
+ROOMY = 0.05
 
 
 def _totals(df: DataFrame, shards: int) -> list[int]:
@@ -29,21 +31,28 @@ def propagate(linked: DataFrame, shards: int, share: float, rounds: int) -> Data
     after ``rounds`` rounds; no shard's bytes grow beyond ``share`` but by what an exchange
     of unequal documents adds."""
     per_shard = lambda xs: F.element_at(F.array(*[F.lit(float(x)) for x in xs]), F.col("_to") + 1)
+    load = None
     for _ in range(rounds):
-        load = _totals(linked, shards)
+        before, load = load, _totals(linked, shards)
+        if load == before:
+            break  # the last round moved nothing
         room = [max(0.0, share - x) for x in load]
-        held = linked.groupBy("grp", "shard").agg(F.sum("size").alias("s"))
-        # the shard with most bytes of the group; a full one only if no other has any room for it
-        rank = F.struct(F.element_at(F.array(*[F.lit(x > 0.001 * share) for x in room]), F.col("shard") + 1), F.col("s"), F.xxhash64("grp", "shard"))
-        if not any(x > 0.001 * share for x in room):
-            rank = F.struct(F.col("s"), F.xxhash64("grp", "shard"))
-        goal = held.groupBy("grp").agg(F.max_by("shard", rank).alias("_to"), F.count(F.lit(1)).alias("_in")).where("_in > 1").select(F.col("grp").alias("_g"), "_to")
-        goal = cut(goal)  # a table of its own, so that a hot group's partition of the join can be split
+        held = cut(linked.groupBy("grp", "shard").agg(F.sum("size").alias("s")))
+        whole = held.groupBy(F.col("grp").alias("_w")).agg(F.sum("s").alias("_whole"), F.count(F.lit(1)).alias("_in")).where("_in > 1")
+        held = cut(held.join(cut(whole), held["grp"] == F.col("_w")).drop("_w", "_in"))
+        # the shard with room where most of the group can be: what is there, and what fits in;
+        # where no shard has room, documents are only exchanged
+        free = F.element_at(F.array(*[F.lit(x) for x in room]), F.col("shard") + 1)
+        roomy = F.lit(True) if max(room) < ROOMY * share else free >= ROOMY * share
+        rank = F.struct(roomy.alias("r"), (F.col("s") + F.least(free, F.col("_whole") - F.col("s"))).alias("p"), F.col("s"), F.xxhash64("grp", "shard").alias("h"))
+        goal = cut(held.groupBy(F.col("grp").alias("_g")).agg(F.max_by("shard", rank).alias("_to"), F.max_by("s", rank).alias("_there")))
+        # documents leave the shards that hold less of the group than the goal does
+        moves = held.join(goal, held["grp"] == goal["_g"]).where("shard <> _to and s <= _there")
+        moves = cut(moves.select("_g", F.col("shard").alias("_from"), "_to"))  # tables of their own, so that a hot group's partition of a join can be split
         want = (
-            linked.join(goal, linked["grp"] == goal["_g"], "left")
-            .drop("_g")
-            .withColumn("_to", F.when(F.col("_to") != F.col("shard"), F.col("_to")))
-            .withColumn("_bin", F.pmod(F.xxhash64("grp"), F.lit(GROUP_BINS)) * ROW_BINS + F.pmod(F.xxhash64("rid"), F.lit(ROW_BINS)))
+            linked.join(moves, (linked["grp"] == moves["_g"]) & (linked["shard"] == moves["_from"]), "left")
+            .drop("_g", "_from")
+            .withColumn("_bin", F.pmod(F.xxhash64("grp"), F.lit(GROUP_BINS)) * ROW_BINS + F.pmod(F.xxhash64("rid", F.lit("bin")), F.lit(ROW_BINS)))
         )
         want = cut(want)
         bins = want.where("_to is not null").groupBy("shard", "_to", "_bin").agg(F.sum("size").alias("s"))
@@ -71,7 +80,7 @@ def propagate(linked: DataFrame, shards: int, share: float, rounds: int) -> Data
     return linked
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 4, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 6, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, size (UTF-8 bytes plus 1), text_crc32, law ``bytes``,
     shard, slot (gapless in the shard), grown_shard (null: the law is not ``key``), and
     group_rows (rows with an equal text).
