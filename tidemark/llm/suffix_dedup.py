@@ -37,14 +37,15 @@ from pyspark.sql import types as T
 from tidemark.llm.common import cut, map_arrow, map_batches
 
 WINDOW, ANCHOR = 100, 24
-#: Beside its anchor, a window has at least this many bytes on one side.
+#: Beside its anchor, a window has at least this many bytes on one side (ANCHOR is more than
+#: half of it, so that three short hashes tell of all bytes of both).
 HALF = (WINDOW - ANCHOR) // 2
 #: Bytes that make a symbol of the construction; a window is a whole number of them.
 SYMBOL = 5
 #: Reads of one anchor that a block takes, at most, and bytes of reads from which it is full.
-ANCHOR_READS, BLOCK_BYTES = 8192, 1 << 18
+ANCHOR_READS, BLOCK_BYTES = 4096, 1 << 18
 #: Texts are searched for anchors in parts of about this many bytes (whole documents).
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 
 _BASE = 0x100000001B3 | 1
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -106,13 +107,27 @@ def find_runs(raws: list[bytes], context: bool = False) -> tuple[np.ndarray, ...
     runs = long[doc], lo - begins[doc], hi - begins[doc], (low[lo] >> np.uint64(16)).astype(np.int64)
     if not context:
         return runs
-    around = _short_hashes(b, ANCHOR + HALF).view(np.int64) | 1
-    at = np.empty(len(lo), np.int64)
-    for k in range(0, len(lo), 4096):  # bounds memory
-        some = lo[k : k + 4096]
-        at[k : k + 4096] = some + h[some[:, None] + np.arange(WINDOW - ANCHOR + 1)].argmin(1)
-    before = np.where(at - HALF >= lo, around[np.maximum(at - HALF, 0)], 0)
-    after = np.where(at + ANCHOR + HALF <= hi + WINDOW - 1, around[np.minimum(at, len(around) - 1)], 0)
+    # the anchor's place: the last of the window where the smallest hash has just come down,
+    # the first of the run's last window where it is about to drop out, else to be looked for
+    width = WINDOW - ANCHOR + 1
+    down = np.zeros(len(lo), bool)
+    down[1:] = valid[lo[1:] - 1] & (low[lo[1:]] < low[lo[1:] - 1])
+    out = h[hi - 1] == low[lo]
+    at = np.where(down, lo + width - 1, hi - 1)
+    rest = np.flatnonzero(~down & ~out)
+    for k in range(0, len(rest), 4096):  # bounds memory
+        some = lo[rest[k : k + 4096]]
+        at[rest[k : k + 4096]] = some + h[some[:, None] + np.arange(width)].argmin(1)
+
+    def around(i: np.ndarray) -> np.ndarray:
+        """Hash of ANCHOR + HALF bytes, of short hashes that overlap."""
+        i = np.clip(i, 0, len(h) - HALF - 1)
+        with np.errstate(over="ignore"):
+            x = (h[i] * _MULT + h[i + HALF // 2]) * _MULT + h[i + HALF]
+        return (x ^ (x >> np.uint64(31))).view(np.int64) | 1
+
+    before = np.where(at - HALF >= lo, around(at - HALF), 0)
+    after = np.where(at + ANCHOR + HALF <= hi + WINDOW - 1, around(at), 0)
     return *runs, before, after
 
 
@@ -154,11 +169,24 @@ class _Files:
 
 
 def _range_min(x: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Minimum of x[first .. last] for each pair."""
+    """Minimum of x[first .. last] for each pair, in order of ``first``: the stretches
+    between ranges, which are read too, then add up to x at most."""
     if not len(first):
         return np.empty(0, x.dtype)
-    pairs = np.stack([first, last + 1], axis=1).ravel()
-    return np.minimum.reduceat(np.append(x, x.dtype.type(255)), pairs)[::2]
+    order = np.argsort(first)
+    pairs = np.stack([first[order], last[order] + 1], axis=1).ravel()
+    out = np.empty(len(first), x.dtype)
+    out[order] = np.minimum.reduceat(np.append(x, x.dtype.type(255)), pairs)[::2]
+    return out
+
+
+def _stable_order(symbols: np.ndarray) -> np.ndarray:
+    """Positions in stable order of symbol; 16 bits at a time, which numpy sorts by radix."""
+    order = np.argsort((symbols & 0xFFFF).astype(np.uint16), kind="stable").astype(np.int32)
+    if symbols.dtype != np.uint16:
+        high = (symbols >> 16).astype(np.uint16)
+        order = order[np.argsort(high[order], kind="stable")]
+    return order
 
 
 def build(symbols: np.ndarray, size: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +211,7 @@ def build(symbols: np.ndarray, size: np.ndarray, folder: str) -> tuple[np.ndarra
         place, active = every.copy(), np.flatnonzero(size > 0)
         for j in range(1, int(size.max(initial=0)) + 1):
             t, p, s = files.read()
-            by_symbol = np.argsort(t, kind="stable").astype(np.int32)
+            by_symbol = _stable_order(t)
             rank = np.empty(len(t), np.int32)
             rank[by_symbol] = np.arange(len(t), dtype=np.int32)
             at = place[active]
@@ -316,7 +344,7 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _runs_of(part: pd.DataFrame, raws: list[bytes], context: bool = False) -> Iterator[tuple]:
     """For each row with repeated anchors (_anchors): row, and what find_runs() says of its
     runs of these."""
-    doc, *runs = find_runs(raws, context)
+    doc, *runs = find_runs([r if a is not None and len(a) else b"" for r, a in zip(raws, part["_anchors"], strict=True)], context)
     begin, end = np.searchsorted(doc, np.arange(len(raws))), np.searchsorted(doc, np.arange(len(raws)), side="right")
     for i, some in enumerate(part["_anchors"]):
         if some is not None and len(some) and end[i] > begin[i]:
