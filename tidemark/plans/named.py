@@ -756,3 +756,33 @@ def recon_job(spark, sf):
         "data_status", "threshold_breached",
         F.regexp_replace("summary", "^Schema: [^;]*; Data: ", "").alias("data_summary"),
     )
+
+
+SEGMENT_COLUMNS = {"c_custkey": "BIGINT", "c_mktsegment": "STRING", "c_acctbal": "DECIMAL(18,2)", "loaded_on": "DATE"}
+
+
+@query("table_lifecycle")
+def table_lifecycle(spark, sf):
+    """Tables made, filled, replaced and dropped: typed DDL, INSERT SELECT of
+    all customers and INSERT VALUES, a replacement with other columns that
+    reads the table itself, and a drop that takes only its own table."""
+    name = f"{_job_database(spark)}.segments"
+    for x in (name, f"{name}_scratch"):
+        TB.drop_table(spark, x)
+        TB.create_typed(spark, x, SEGMENT_COLUMNS)
+    customers = _t(spark, sf, "customer").selectExpr(
+        "c_custkey", "c_mktsegment", "CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal", "DATE '2026-02-22' AS loaded_on"
+    )
+    TB.append_rows(customers, name)
+    TB.insert_values(spark, name, [(-1, "IT'S NEW", "12.50", "2026-02-23"), (-2, None, None, None)])
+    TB.append_rows(spark.read.table(name), f"{name}_scratch")
+    doubled = spark.read.table(name).unionByName(spark.read.table(name))
+    by_segment = doubled.groupBy("c_mktsegment", "loaded_on").agg({"c_acctbal": "sum", "c_custkey": "count"})
+    TB.replace_table_as(
+        spark,
+        by_segment.selectExpr("c_mktsegment", "CAST(loaded_on AS STRING) AS loaded_on",
+                              "CAST(`sum(c_acctbal)` AS DOUBLE) AS balance", "`count(c_custkey)` AS n_rows"),
+        name,
+    )
+    TB.drop_table(spark, f"{name}_scratch")
+    return spark.read.table(name)

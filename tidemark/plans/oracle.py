@@ -291,6 +291,12 @@ def _recon_job_detail(run):
 
 ORACLE["recon_job_details"] = "\nUNION ALL\n".join(f"SELECT * FROM ({_recon_job_detail(r)})" for r in I.HISTORY_RUNS[:5])
 
+ORACLE["table_lifecycle"] = """WITH t AS (
+  SELECT c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, '2026-02-22' AS loaded_on FROM customer
+  UNION ALL SELECT 'IT''S NEW', 12.50, '2026-02-23' UNION ALL SELECT NULL, NULL, NULL)
+SELECT c_mktsegment, loaded_on, CAST(2 * sum(c_acctbal) AS DOUBLE) AS balance, CAST(2 * count(*) AS BIGINT) AS n_rows
+FROM t GROUP BY c_mktsegment, loaded_on"""
+
 # ---------------------------------------------------------------- output portability
 # Decimal output columns per query.  Both sides present them as DOUBLE at the
 # registered-query boundary (``__spark_entry__``): the two engines convert a

@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.fingerprint import quote, sql_string
+
 DEFAULT_FORMAT = "parquet"
 
 
@@ -55,6 +58,43 @@ def replace_state(spark: SparkSession, df: DataFrame, name: str, root: str | Non
     return path
 
 
+def create_typed(spark: SparkSession, name: str, columns: dict[str, str], fmt: str = DEFAULT_FORMAT) -> None:
+    """An empty table with the declared column types, unless it exists."""
+    ddl = ", ".join(f"{quote(c)} {kind}" for c, kind in columns.items())
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING {fmt}")
+
+
+def insert_values(spark: SparkSession, name: str, rows: Sequence[Sequence]) -> None:
+    """INSERT INTO ... VALUES: literal rows, cast to the table's types."""
+    if rows:
+        target = spark.read.table(name)
+        values = ", ".join("(" + ", ".join(sql_string(v) for v in row) + ")" for row in rows)
+        typed = ", ".join(f"CAST(col{i + 1} AS {f.dataType.simpleString()}) AS {quote(f.name)}" for i, f in enumerate(target.schema.fields))
+        append_rows(spark.sql(f"SELECT {typed} FROM VALUES {values}"), name)
+
+
+def replace_table_as(spark: SparkSession, df: DataFrame, name: str, root: str | None = None, fmt: str = DEFAULT_FORMAT) -> str:
+    """CREATE OR REPLACE TABLE ... AS: the table, of whatever columns it had,
+    becomes ``df`` (which may read it).  The new files are written first; then
+    the name moves to them: in one step where the columns stay as they are,
+    else by dropping the entry and making it again."""
+    if not spark.catalog.tableExists(name):
+        return create_table(spark, df, name, root, fmt)
+    had = [(f.name, f.dataType) for f in spark.read.table(name).schema.fields]
+    if had == [(f.name, f.dataType) for f in df.schema.fields]:
+        return replace_state(spark, df, name, root, fmt)
+    path = _snapshot_path(spark, name, root)
+    df.write.format(fmt).mode("errorifexists").save(path)
+    drop_table(spark, name)
+    spark.catalog.createTable(name, path=path, source=fmt)
+    return path
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """DROP TABLE IF EXISTS."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def commit_state(spark: SparkSession, df: DataFrame, name: str, exists: bool, root: str | None = None) -> str:
     return replace_state(spark, df, name, root) if exists else create_table(spark, df, name, root)
 
