@@ -123,24 +123,27 @@ def components(edges: DataFrame) -> DataFrame:
     that links reach.
 
     Alternating large-star and small-star rounds: each node's larger, then smaller
-    neighbours are linked to the smallest one, until nothing changes; that takes about as
-    many rounds as the logarithm of the longest chain.  A hub's neighbours are rows of a
-    join, never one task's list; minima are taken before the shuffle."""
+    neighbours are linked to the smallest one, until all links are from a node to its
+    root; that takes about as many rounds as the logarithm of the longest chain.  A hub's
+    neighbours are rows of a join, never one task's list; minima are taken before the
+    shuffle."""
+
+    def state(df: DataFrame):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("x").alias("nodes"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first()
+
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).distinct())
-    seen = None
     while True:
         # a materialised table of minima, so that a hub's join partition can be split
         both = now.unionByName(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
         low = cut(both.groupBy(F.col("x").alias("_k")).agg(F.min("y").alias("_m")).select("_k", F.least("_k", "_m").alias("_m")))
         large = both.join(low, both["x"] == low["_k"]).where("y > x").select(F.col("y").alias("x"), F.col("_m").alias("y")).distinct()
         large = cut(large)
-        low = cut(large.groupBy(F.col("x").alias("_k")).agg(F.min("y").alias("_m")))
-        small = large.join(low, large["x"] == low["_k"]).where("y <> _m").select(F.col("y").alias("x"), F.col("_m").alias("y"))
-        now = cut(small.unionByName(low.select(F.col("_k").alias("x"), F.col("_m").alias("y"))).distinct())
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("x", "y")).alias("h")).first()
-        if state == seen or state["n"] == 0:
-            break
-        seen = state
+        made = state(large)
+        if made["n"] == made["nodes"] and made == state(now):
+            break  # every node has one link, and that is to the smallest of its neighbours' neighbours
+        least = large.groupBy(F.col("x").alias("_k")).agg(F.min("y").alias("_m"))
+        small = large.join(least, large["x"] == least["_k"]).where("y <> _m").select(F.col("y").alias("x"), F.col("_m").alias("y"))
+        now = cut(small.unionByName(least.select(F.col("_k").alias("x"), F.col("_m").alias("y"))).distinct())
     nodes = now.select(F.col("x").alias("node"), F.col("y").alias("root"))
     return nodes.unionByName(now.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct())
 

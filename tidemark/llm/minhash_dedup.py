@@ -6,10 +6,10 @@ count of two sketches' XOR estimates how many samples differ, precisely so for s
 sets; pairs that meet in a bucket and pass that test are confirmed on their full sets.
 
 Documents with equal sets are compared as one.  In each bucket the members are first
-paired with its smallest one.  Where a bucket's members are still in different components
-after that, each is paired with its likeliest counterpart of another component there.  What
-is apart even then is dealt to cells in which every pair of it meets, with the texts: there
-pairs are tested from the likeliest on, unless a link has joined their components by then.
+paired with its smallest one.  Buckets whose members are in different components even after
+that are put together by their members, and dealt to cells in which every two members meet,
+with their texts: there pairs of different components are tested, from the likeliest on,
+unless a link has joined the two by then.
 So no link that could join two components goes untested, and pairs are never listed.
 """
 
@@ -155,23 +155,6 @@ def _by_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rest
 
 
-def _likeliest(least: float, bits: int):
-    """The likeliest counterpart of each member in another component of its cell."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _by_cell(batches):
-            rid, out = pdf["rid"].to_numpy(), []
-            for a, b, differ in _apart(pdf, least, bits):
-                pairs = pd.DataFrame({"x": np.r_[a, b], "y": np.r_[b, a], "d": np.r_[differ, differ]})
-                best = pairs.sort_values(["d", "y"], kind="stable").drop_duplicates("x")
-                x, y = rid[best["x"]], rid[best["y"]]
-                out.append(pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y)}).drop_duplicates())
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    return run
-
-
 def _joining(least: float, bits: int, percent: int):
     """Links that join components of a cell, tested on full sets."""
 
@@ -250,23 +233,13 @@ def _rooted(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFr
     tested = cut(star.where(f"100 * least(_na, _nb) >= {percent} * greatest(_na, _nb) and {differ} <= {bits}").select("a", "b"))
     links = confirmed(tested)
 
-    def still_open(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """All members with their roots, and the memberships of buckets that aren't in one
-        component."""
-        roots = cut(components(links).select(F.col("node").alias("_node"), F.col("root").alias("_to")))
-        rooted = cut(light.join(roots, light["rid"] == roots["_node"], "left").select("rid", "_n_shingles", "_sketch", F.coalesce("_to", "rid").alias("_root")))
-        placed = member.select("rid", "_bucket", "_hub").join(rooted.select("rid", "_root"), "rid")
-        apart = cut(placed.groupBy(F.col("_bucket").alias("_mb")).agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_mb"))
-        return rooted, cut(placed.join(apart, placed["_bucket"] == apart["_mb"]).select("rid", "_bucket", "_hub"))
-
-    rooted, open_ = still_open(links)
-    dealt = cells(open_.select("rid", "_bucket"), "_bucket", "rid").drop("_bucket").join(rooted, "rid")
-    pairs = dealt.repartition("_cell").sortWithinPartitions("_cell").transform(map_batches, _likeliest(least, bits), "a long, b long").distinct()
-    links = cut(links.unionByName(confirmed(pairs.join(tested, ["a", "b"], "left_anti"))))
-
-    rooted, open_ = still_open(links)
+    roots = cut(components(links).select(F.col("node").alias("_node"), F.col("root").alias("_to")))
+    rooted = cut(light.join(roots, light["rid"] == roots["_node"], "left").select("rid", "_n_shingles", "_sketch", F.coalesce("_to", "rid").alias("_root")))
+    placed = member.join(rooted.select("rid", "_root"), "rid")
+    apart = cut(placed.groupBy(F.col("_bucket").alias("_mb")).agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_mb"))
     # buckets that share members make a cluster; any two of it may be linked
-    cluster = components(open_.where("rid <> _hub").select(F.col("rid").alias("a"), F.col("_hub").alias("b")))
+    placed = placed.join(apart, placed["_bucket"] == apart["_mb"]).where("rid <> _hub")
+    cluster = components(placed.select(F.col("rid").alias("a"), F.col("_hub").alias("b")))
     cluster = cut(cluster.select(F.col("node").alias("rid"), F.col("root").alias("_cluster")))
     dealt = cells(cluster, "_cluster", "rid", per_block=512).drop("_cluster").join(rooted, "rid").join(found, "rid")
     dealt = dealt.repartition("_cell").sortWithinPartitions("_cell")
