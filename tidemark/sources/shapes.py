@@ -64,17 +64,21 @@ def customer_360(
     customer.  As in the plain query, amounts are summed after the line-item
     join, so each order's amount counts once per line item (at least once).
 
-    Plan: line items are reduced to (order, #lines) and to distinct
-    (order, part) pairs of known parts before meeting the orders, so the
-    fan-out is arithmetic (amount x lines) rather than rows.
+    Plan: line items meet the parts once and are reduced to (order, part)
+    with the rows each stands for; both the lines per order and the known
+    parts per order are read from that one exchange, so the fan-out is
+    arithmetic (amount x lines) rather than rows.
     """
     li = lineitem.select("l_orderkey", "l_partkey")
     # Parts per key (1 when keys are unique): each line fans out that many
     # times in the plain join, or once when its part is unknown.
     pc = part.groupBy(F.col("p_partkey")).agg(F.count(F.lit(1)).alias("_pn"))
-    li_f = li.join(pc, li.l_partkey == pc.p_partkey, "left")
-    lines = li_f.groupBy("l_orderkey").agg(F.sum(F.coalesce(F.col("_pn"), F.lit(1))).alias("_lines"))
-    known = li_f.filter(F.col("_pn").isNotNull())
+    pairs = li.join(pc, li.l_partkey == pc.p_partkey, "left").groupBy("l_orderkey", "l_partkey").agg(
+        F.sum(F.coalesce(F.col("_pn"), F.lit(1))).alias("_rows"), F.max("_pn").alias("_known")
+    )
+    lines = pairs.groupBy("l_orderkey").agg(F.sum(F.when(F.coalesce("_known", F.lit(1)) > 0, F.col("_rows"))).alias("_lines"))
+    # both branches use both aggregates, so that they are the same subplan
+    known = pairs.filter("_known IS NOT NULL AND _rows > 0")
     o = orders.select(
         "o_orderkey", "o_custkey", F.col("o_totalprice").cast(MONEY).alias("_amt"), "o_orderdate"
     )
@@ -89,7 +93,6 @@ def customer_360(
     )
     cust_parts = (
         known.select("l_orderkey", "l_partkey")
-        .distinct()
         .join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("_pc"))
         .agg(F.count_distinct("l_partkey").alias("_parts"))
