@@ -1,6 +1,7 @@
-"""The reference's demo, end to end: four small tables, the YAML config,
+"""The reference's demo, end to end: four small tables, the job configs,
 results and details tables, then the report queries over them."""
 
+import json
 import uuid
 
 from tidemark.operators import reports as RP
@@ -8,36 +9,23 @@ from tidemark.plans.entrypoints import compare_table_schemas, reconcile_tables,
 from tidemark.sinks.tables import create_table, table_location
 from test_golden import CUST_SCHEMA, PROD, PROD_SCHEMA, SRC, TGT, _frames
 
-CONFIG = """
-job:
-  name: data_reconciliation_job
-  batch_id: "2026-02-23"
-  results_table: {db}.recon_results
-  details_table: {db}.recon_details
-reconciliations:
-  - name: customer_recon
-    source: {{table: {db}.customer_source}}
-    target: {{table: {db}.customer_target}}
-    keys: [customer_id]
-    columns_to_compare: []
-    exclude_columns: [created_at, updated_at, last_modified]
-    validations: {{schema_check: true, row_count_check: true, data_comparison: true, null_check: true, duplicate_check: true}}
-    thresholds: {{max_mismatch_percent: 5.0, max_missing_percent: 2.0}}
-  - name: product_recon
-    source: {{table: {db}.product_source}}
-    target: {{table: {db}.product_current}}
-    keys: [product_id]
-    columns_to_compare: [product_name, category, price, description]
-    exclude_columns: []
-    validations: {{schema_check: true, data_comparison: true}}
-    thresholds: {{max_mismatch_percent: 1.0, max_missing_percent: 0.5}}
-settings:
-  sample_mismatches: 10
-  enable_detailed_logging: true
-"""
-
-
-def test_reference_demo(spark, tmp_path):
+
+def _recon_job(db):
+    """Only what this test needs; everything else is left to the defaults."""
+    def run(what, target, key, **limits):
+        return {"name": f"{what}_recon", "source": {"table": f"{db}.{what}_source"}, "target": {"table": f"{db}.{target}"},
+                "keys": [key], "thresholds": limits}
+
+    return {
+        "job": {"name": "demo", "batch_id": "b1", "results_table": f"{db}.recon_results", "details_table": f"{db}.recon_details"},
+        "reconciliations": [
+            run("customer", "customer_target", "customer_id", max_mismatch_percent=5.0),
+            run("product", "product_current", "product_id", max_missing_percent=0.5),
+        ],
+    }
+
+
+def test_reference_demo(spark):
     db = f"demo_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {db}")
     cs, ct = _frames(spark, SRC, TGT, CUST_SCHEMA)
@@ -46,10 +34,7 @@ def test_reference_demo(spark, tmp_path):
     create_table(spark, ct, f"{db}.customer_target")
     create_table(spark, ps, f"{db}.product_source")
     create_table(spark, spark.read.table(f"{db}.product_source"), f"{db}.product_current")  # CTAS copy
-    path = tmp_path / "recon_config.yaml"
-    path.write_text(CONFIG.format(db=db))
-
-    out = run_reconciliation(spark, str(path))
+    out = run_reconciliation(spark, _recon_job(db))
     assert (out["total"], out["passed"], out["failed"]) == (2, 1, 1)
     runs = {r["recon_name"]: r for r in out["results"]}
     assert runs["customer_recon"]["overall_status"] == "THRESHOLD_BREACHED"
@@ -72,7 +57,7 @@ def test_reference_demo(spark, tmp_path):
     assert counts == []
 
     # running only one reconciliation adds one more result row
-    assert run_reconciliation(spark, str(path), ["customer_recon"])["total"] == 1
+    assert run_reconciliation(spark, _recon_job(db), ["customer_recon"])["total"] == 1
     assert spark.read.table(f"{db}.recon_results").count() == 3
 
     # the components on their own
@@ -82,23 +67,13 @@ def test_reference_demo(spark, tmp_path):
     assert sch["status"] == "PASSED" and sch["summary"] == "Schemas are compatible"
 
 
-SCD_CONFIG = """
-job:
-  name: scd_multi_load_type_job
-  batch_id: "{batch}"
-tables:
-  - name: customer_history
-    source: {{table: {db}.customer}}
-    target: {{table_name: {db}.customer_target}}
-    load_type: scd2
-    scd: {{keys: [customer_id], columns: [customer_name, email, city]}}
-    delete_handling: {{enabled: true, column: is_deleted, value: Y}}
-  - name: product_current
-    source: {{table: {db}.product_source}}
-    target: {{table_name: {db}.product_current}}
-    load_type: scd1
-    scd: {{keys: [product_id], columns: [product_name, category, price, description]}}
-"""
+def _load_job(db, batch):
+    history = {"name": "customer_history", "source": {"table": f"{db}.customer"}, "target": {"table_name": f"{db}.customer_target"},
+               "scd": {"keys": ["customer_id"], "columns": ["customer_name", "email", "city"]},
+               "delete_handling": {"enabled": True, "column": "is_deleted", "value": "Y"}}
+    current = {"name": "product_current", "source": {"table": f"{db}.product_source"}, "target": {"table_name": f"{db}.product_current"},
+               "load_type": "scd1", "scd": {"keys": ["product_id"], "columns": ["price", "category"]}}
+    return {"job": {"name": "demo", "batch_id": batch}, "tables": [history, current]}
 
 
 def test_reference_load_demo(spark, tmp_path):
@@ -111,7 +86,7 @@ def test_reference_load_demo(spark, tmp_path):
     create_table(spark, cust, f"{db}.customer")
     create_table(spark, ps, f"{db}.product_source")
     path = tmp_path / "scd.yaml"
-    path.write_text(SCD_CONFIG.format(db=db, batch="2026-02-22"))
+    path.write_text(json.dumps(_load_job(db, "d1")))  # JSON is YAML
     job = run_scd_job(spark, str(path), as_of="2026-02-22 00:00:00", audit_table=f"{db}.scd_job_audit")
     assert (job["tables_processed"], job["tables_succeeded"], job["tables_failed"]) == (2, 2, 0)
     out = {r["name"]: r for r in job["results"]}
@@ -124,8 +99,7 @@ def test_reference_load_demo(spark, tmp_path):
     create_table(spark, spark.createDataFrame(day2, CUST_SCHEMA + ", is_deleted string"), f"{db}.customer_day2")
     spark.sql(f"ALTER TABLE {db}.customer SET LOCATION '{table_location(spark, f'{db}.customer_day2')}'")
     spark.catalog.refreshTable(f"{db}.customer")
-    path.write_text(SCD_CONFIG.format(db=db, batch="2026-02-23"))
-    job = run_scd_job(spark, str(path), ["customer_history"], as_of="2026-02-23 00:00:00",
+    job = run_scd_job(spark, _load_job(db, "d2"), ["customer_history"], as_of="2026-02-23 00:00:00",
                       audit_table=f"{db}.scd_job_audit")
     c = job["results"][0]
     assert (c["inserted"], c["updated"], c["deleted"], c["active_count"], c["historical_count"]) == (1, 1, 1, 4, 2)
