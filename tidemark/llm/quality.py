@@ -24,7 +24,7 @@ BLOCK = 2048
 PER_CLASS, MAX_CHARS = 3000, 20_000
 DICT_BYTES = 65_536
 #: A text of this many bytes counts half by its own difference and half by the labels' share.
-HALF_BYTES = 48
+HALF_BYTES = 100
 
 
 @dataclass(frozen=True)
