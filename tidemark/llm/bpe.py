@@ -30,9 +30,9 @@ NONE = np.int32(2**31 - 1)
 #: Pieces of up to this many symbols are encoded side by side.
 WIDE = 64
 #: Words whose ids a worker remembers; past it, it forgets them all and goes on.
-REMEMBER = 400_000
+REMEMBER = 120_000
 #: Text is encoded in parts of about this many characters (whole documents).
-PART_CHARS = 1 << 20
+PART_CHARS = 1 << 19
 
 #: Unicode white space, as code points.
 _SPACE = regex.compile("[" + "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]+")

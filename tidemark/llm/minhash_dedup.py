@@ -101,17 +101,16 @@ _DESCRIBED = "doc_id long, _dkey binary, n_shingles long, _s1 long, _s2 long, _b
 def _confirm(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = {}
-            for side in ("a", "b"):
-                for rid, text in zip(pdf[side], pdf[f"_text_{side}"], strict=True):
-                    if rid not in sets:
-                        sets[rid] = shingle_set(text)
-            sure = []
-            for a, b in zip(pdf["a"], pdf["b"], strict=True):
-                x, y = sets[a], sets[b]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                sure.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pdf.loc[np.array(sure, bool), ["a", "b"]]
+            for at in range(0, len(pdf), 500):  # bounds the sets that are held
+                part, sets, sure = pdf.iloc[at : at + 500], {}, []
+                for side in ("a", "b"):
+                    for rid, text in zip(part[side], part[f"_text_{side}"], strict=True):
+                        if rid not in sets:
+                            sets[rid] = shingle_set(text)
+                for a, b in zip(part["a"], part["b"], strict=True):
+                    both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                    sure.append(100 * both >= percent * (len(sets[a]) + len(sets[b]) - both))
+                yield part.loc[np.array(sure, bool), ["a", "b"]]
 
     return run
 

@@ -39,7 +39,7 @@ OTHER_WORDS, START = -14.0, 4.0
 #: Added to a document's sum before its logarithm.
 LEAST_SUM = 1e-3
 #: Text is read in pieces of about this many bytes (whole documents) to bound memory.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
