@@ -40,8 +40,9 @@ WINDOW, ANCHOR = 100, 24
 #: Beside its anchor, a window has at least this many bytes on one side (ANCHOR is more than
 #: half of it, so that three short hashes tell of all bytes of both).
 HALF = (WINDOW - ANCHOR) // 2
-#: Bytes that make a symbol of the construction; a window is a whole number of them.
-SYMBOL = 5
+#: Bytes that make a symbol of the construction (5, or that doubled); a window is a whole
+#: number of them.
+SYMBOL = 20
 #: Reads of one anchor that a block takes, at most, and bytes of reads from which it is full.
 ANCHOR_READS, BLOCK_BYTES = 4096, 1 << 18
 #: Texts are searched for anchors in parts of about this many bytes (whole documents).
@@ -245,6 +246,21 @@ def build(symbols: np.ndarray, size: np.ndarray, folder: str) -> tuple[np.ndarra
         files.close()
 
 
+def _names(b: np.ndarray) -> np.ndarray:
+    """A number for the SYMBOL bytes from each position on, equal only for equal bytes: of
+    five bytes first, then of pairs of numbers, twice as many bytes each time."""
+    size = 5
+    word = np.zeros(max(0, len(b) - size + 1), np.uint64)
+    for k in range(size):
+        word |= b[k : len(b) - size + 1 + k].astype(np.uint64) << np.uint64(8 * k)
+    while True:
+        name, _ = pd.factorize(word)
+        if size == SYMBOL:
+            return name
+        word = (name[:-size].astype(np.uint64) << np.uint64(32)) | name[size:].astype(np.uint64)
+        size *= 2
+
+
 def _phases(reads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The reads as strings of SYMBOL-byte symbols: symbols (numbered from 1), and each
     string's size, read and first byte.
@@ -260,14 +276,11 @@ def _phases(reads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     read = np.repeat(np.arange(len(reads)), SYMBOL)
     first = (anchor[read] - np.tile(np.arange(SYMBOL), len(reads))) % SYMBOL
     count = (size[read] - first) // SYMBOL
-    word = np.zeros(max(0, len(b) - SYMBOL + 1), np.uint64)
-    for k in range(SYMBOL):
-        word |= b[k : len(b) - SYMBOL + 1 + k].astype(np.uint64) << np.uint64(8 * k)
+    name = _names(b)
     ends = np.cumsum(count)
     nth = np.arange(ends[-1]) - np.repeat(ends - count, count)
-    words = word[np.repeat(begins[read] + first, count) + SYMBOL * nth]
-    _, symbols = np.unique(words, return_inverse=True)
-    return symbols + 1, count, read, first
+    symbols = name[np.repeat(begins[read] + first, count) + SYMBOL * nth]
+    return symbols.astype(np.int64) + 1, count, read, first
 
 
 def repeated_starts(reads: list[bytes], doc: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -436,17 +449,18 @@ def _finished(columns: list[str], as_text: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pdf = batch.select(["_z", "_tx", "_anchors", "_firsts", "_ranges", "_copy"]).to_pandas()
+            pdf = batch.select(["_z", "_tx", "_anchors", "_first_tx", "_firsts", "_ranges", "_copy"]).to_pandas()
             at = 0
             for part, raws in _unpacked(pdf):
                 covered = [np.zeros(max(0, len(r) - WINDOW + 1), bool) for r in raws]
                 tx = part["_tx"].to_numpy()
-                firsts = part["_firsts"].tolist()
+                firsts, first_tx = part["_firsts"].tolist(), part["_first_tx"].tolist()
                 for i, lo, hi, _ in _runs_of(part, raws):
-                    kept = {w["start"] for w in firsts[i] if w["_tx"] == tx[i]} if firsts[i] is not None else ()
-                    for a, b in zip(lo.tolist(), hi.tolist(), strict=True):
-                        if a not in kept:
-                            covered[i][a:b] = True
+                    later = np.ones(len(lo), bool) if firsts[i] is None else ~np.isin(lo, firsts[i][first_tx[i] == tx[i]])
+                    edge = np.zeros(len(covered[i]) + 1, np.int64)
+                    np.add.at(edge, lo[later], 1)
+                    np.add.at(edge, hi[later], -1)
+                    covered[i] = np.cumsum(edge[:-1]) > 0
                 for i, some in enumerate(part["_ranges"]):
                     for w in some if some is not None else ():
                         if w["_tx"] == tx[i]:
@@ -493,6 +507,7 @@ def _removal_plan(rows: DataFrame, others: list[str]) -> DataFrame:
     shared = cut(half[0].unionByName(half[1]).groupBy("_half").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_half"))
     keyed = lambda df: df.withColumn("_m1", F.coalesce("doc_id", "_tx")).withColumn("_m2", F.col("_tx").bitwiseAND(F.lit(32767)).cast("int"))
     firsts = keyed(first).groupBy("_m1", "_m2").agg(F.collect_list(F.struct("_tx", "start")).alias("_firsts"))
+    firsts = firsts.select("_m1", "_m2", F.col("_firsts._tx").alias("_first_tx"), F.col("_firsts.start").alias("_firsts"))
 
     either = F.array_compact(F.array(*[F.when(F.col(c) != 0, F.xxhash64("anchor", c, k)) for c, k in sides]))
     wanted = first.select("anchor", "doc_id", "_tx", "start", "n", F.explode(either).alias("_h"))
