@@ -357,13 +357,17 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _runs_of(part: pd.DataFrame, raws: list[bytes], context: bool = False) -> Iterator[tuple]:
     """For each row with repeated anchors (_anchors): row, and what find_runs() says of its
     runs of these."""
-    doc, *runs = find_runs([r if a is not None and len(a) else b"" for r, a in zip(raws, part["_anchors"], strict=True)], context)
-    begin, end = np.searchsorted(doc, np.arange(len(raws))), np.searchsorted(doc, np.arange(len(raws)), side="right")
-    for i, some in enumerate(part["_anchors"]):
-        if some is not None and len(some) and end[i] > begin[i]:
-            at = slice(begin[i], end[i])
-            keep = np.isin(runs[2][at], np.asarray(some))
-            yield i, *[r[at][keep] for r in runs]
+    known = [a if a is not None and len(a) else None for a in part["_anchors"]]
+    doc, *runs = find_runs([r if a is not None else b"" for r, a in zip(raws, known, strict=True)], context)
+    if not len(doc):
+        return
+    # row and anchor as one number: a part has few rows, and an anchor 48 bits
+    listed = np.concatenate([(i << 48) | np.asarray(a, np.int64) for i, a in enumerate(known) if a is not None])
+    keep = np.isin((doc << 48) | runs[2], listed)
+    doc, runs = doc[keep], [r[keep] for r in runs]
+    begin = np.flatnonzero(np.diff(doc, prepend=-1))
+    for lo, hi in zip(begin, [*begin[1:], len(doc)], strict=True):
+        yield int(doc[lo]), *[r[lo:hi] for r in runs]
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -437,7 +441,7 @@ def _window_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def removed_bytes(raw: bytes, covered: np.ndarray) -> np.ndarray:
     """Which bytes are under a covered window start."""
-    edge = np.zeros(len(raw) + 1, np.int64)
+    edge = np.zeros(len(raw) + 1, np.int32)
     starts = np.flatnonzero(covered)
     edge[starts] += 1
     edge[starts + WINDOW] -= 1
@@ -452,23 +456,27 @@ def _finished(columns: list[str], as_text: bool):
             pdf = batch.select(["_z", "_tx", "_anchors", "_first_tx", "_firsts", "_ranges", "_copy"]).to_pandas()
             at = 0
             for part, raws in _unpacked(pdf):
-                covered = [np.zeros(max(0, len(r) - WINDOW + 1), bool) for r in raws]
+                covered: dict[int, np.ndarray] = {}  # of rows with a covered window: rises and falls at window starts
+                edge_of = lambda i: covered.setdefault(i, np.zeros(len(raws[i]) + 1, np.int32))  # noqa: B023, E731
                 tx = part["_tx"].to_numpy()
                 firsts, first_tx = part["_firsts"].tolist(), part["_first_tx"].tolist()
                 for i, lo, hi, _ in _runs_of(part, raws):
                     later = np.ones(len(lo), bool) if firsts[i] is None else ~np.isin(lo, firsts[i][first_tx[i] == tx[i]])
-                    edge = np.zeros(len(covered[i]) + 1, np.int64)
-                    np.add.at(edge, lo[later], 1)
-                    np.add.at(edge, hi[later], -1)
-                    covered[i] = np.cumsum(edge[:-1]) > 0
+                    if later.any():
+                        np.add.at(edge_of(i), lo[later], 1)
+                        np.add.at(edge_of(i), hi[later], -1)
                 for i, some in enumerate(part["_ranges"]):
                     for w in some if some is not None else ():
                         if w["_tx"] == tx[i]:
-                            covered[i][w["start"] : w["start"] + w["n"]] = True
+                            edge_of(i)[w["start"]] += 1
+                            edge_of(i)[w["start"] + w["n"]] -= 1
                 for i, copy in enumerate(part["_copy"]):
-                    covered[i] |= copy > 1
-                gone = [removed_bytes(r, c) for r, c in zip(raws, covered, strict=True)]
-                rest = [np.frombuffer(r, np.uint8)[~g].tobytes() for r, g in zip(raws, gone, strict=True)]
+                    if copy > 1 and len(raws[i]) >= WINDOW:
+                        edge_of(i)[0] += 1
+                        edge_of(i)[len(raws[i]) - WINDOW + 1] -= 1
+                gone = {i: removed_bytes(raws[i], np.cumsum(e[: len(raws[i]) - WINDOW + 1]) > 0) for i, e in covered.items()}
+                rest = [np.frombuffer(r, np.uint8)[~gone[i]].tobytes() if i in gone else r for i, r in enumerate(raws)]
+                spans = {i: int((np.diff(g.astype(np.int8), prepend=0) == 1).sum()) for i, g in gone.items()}
                 same = batch.slice(at, len(raws))
                 at += len(raws)
                 if as_text:
@@ -478,8 +486,8 @@ def _finished(columns: list[str], as_text: bool):
                 else:
                     new = {
                         "n_bytes": pa.array([len(r) for r in raws], pa.int64()),
-                        "n_removed": pa.array([int(g.sum()) for g in gone], pa.int64()),
-                        "n_spans": pa.array([int((np.diff(g.astype(np.int8), prepend=0) == 1).sum()) for g in gone], pa.int64()),
+                        "n_removed": pa.array([len(r) - len(x) for r, x in zip(raws, rest, strict=True)], pa.int64()),
+                        "n_spans": pa.array([spans.get(i, 0) for i in range(len(raws))], pa.int64()),
                         "kept_sha256": pa.array([hashlib.sha256(b).hexdigest() for b in rest], pa.string()),
                     }
                 yield pa.RecordBatch.from_arrays([*[same.column(c) for c in columns], *new.values()], names=[*columns, *new])
