@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import tempfile
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -102,3 +103,34 @@ def test_order_shards_and_resumed_reads(spark, docs, empty):
     assert training_order.training_order(empty, RANKS).count() == 0
     parts = training_order.training_order(docs, RANKS).collect()
     assert {r.doc_id for r in parts} >= {1, 2, 6, 7, None, 2**60 + 1} and 3 not in {r.doc_id for r in parts}
+
+
+def test_the_query_writes_its_shards(spark, docs, empty, monkeypatch):
+    from tidemark.llm.common import shared_dir
+    from tidemark.llm.queries import LLM_QUERIES
+
+    folders = lambda: set(Path(shared_dir(spark).removeprefix("file:")).glob("shards-*"))
+    had = folders()
+    rows = LLM_QUERIES["op5_training_order"](spark, "/root/testdata/sf0.001").collect()
+    (made,) = folders() - had
+    assert rows == training_order.training_order(read(spark, "/root/testdata/sf0.001", "documents"), RANKS).collect()
+    assert [r.slot for r in rows] == list(range(len(rows)))
+    assert [p.name for p in sorted(made.glob("*.bin"))] == ["shard-00000000.bin"]
+    assert (made / "shard-00000000.bin").read_bytes() == b"".join(r.record for r in rows)
+    monkeypatch.setattr(training_order, "WAVE_SHARDS", 2)  # several waves, of several shards
+    df = read(spark, "/root/testdata/sf0.001", "documents")
+    at = "file://" + tempfile.mkdtemp(prefix="shards-")
+    want = training_order.training_order(df, RANKS, length=64, shard_slots=50).collect()
+    got = training_order.materialise(df, RANKS, at, length=64, shard_slots=50)
+    assert got.collect() == want and [x.tobytes() for x in training_order.read_slots(at, 0, len(want), 64, 50)] == [r.record for r in want]
+    (Path(at.removeprefix("file://")) / "shard-00000002.bin").write_bytes(bytes(50 * 128))
+    assert sum(not any(r.record) for r in got.collect()) == 50  # what is returned is what the files hold
+    order = lambda rows: sorted(rows, key=str)
+    assert order(training_order.materialise(docs, RANKS).collect()) == order(training_order.training_order(docs, RANKS).collect())
+    assert training_order.materialise(empty, RANKS).count() == 0
+
+
+def test_shards_need_whole_partitions(spark):
+    out = training_order.training_order(read(spark, "/root/testdata/sf0.001", "documents"), RANKS, length=64, shard_slots=50)
+    with pytest.raises(Exception, match="whole shards in slot order"):
+        training_order.write_shards(out.where("slot <> 60"), "file://" + tempfile.mkdtemp(prefix="shards-")).collect()

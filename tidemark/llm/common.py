@@ -70,7 +70,7 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Materialise ``df`` as a table in the shared folder, and forget its lineage.
 
     A table has its real size.  checkpoint() would keep the planner's estimate, and over
@@ -78,7 +78,7 @@ def cut(df: DataFrame) -> DataFrame:
     beyond the driver's memory."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/table-{uuid.uuid4()}"
-    df.write.parquet(at)
+    df.write.parquet(at, compression=compression)
     return spark.read.schema(df.schema).parquet(at)
 
 

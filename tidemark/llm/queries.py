@@ -33,8 +33,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as token sequences, each in its keyed global slot."""
-    return training_order.training_order(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    """All documents as token sequences in shard files, each in its keyed global slot, read back."""
+    return training_order.materialise(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

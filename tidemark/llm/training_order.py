@@ -4,28 +4,38 @@ fixed-stride records.
 Every text becomes token ids, cut into sequences of a fixed length (the last one padded);
 every sequence has a number, gapless from 0, and a keyed Feistel permutation with
 cycle-walking maps the numbers one to one to global slots.  Slots are range-partitioned
-into shards; a record's place in its shard follows from its slot alone, so that a reader
-can seek to any step and go on from there, and a shard can be written again by itself.
+into shards, whose files the partitions write; a record's place in its shard follows from
+its slot alone, so that a reader can seek to any step and go on from there, and a shard can
+be written again by itself.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, map_batches
+from tidemark.llm.common import cut, map_arrow, map_batches, shared_dir
 
 SEQUENCE, SHARD_SLOTS, ROUNDS = 512, 8192, 6
+#: Shards are written in up to so many waves, each of so many shards at least: the shuffle
+#: then holds a wave's records and not all.
+WAVES, WAVE_SHARDS = 4, 16
+#: What is kept of a record beside its shard.
+INDEX = ["doc_id", "part", "n_tokens"]
 #: The usual pattern that splits text before the merges of this vocabulary (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -112,13 +122,12 @@ def sequences(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(map_batches, run, schema)
 
 
-def training_order(docs: DataFrame, path: str, key: str = "order-1", length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """slot, shard, byte_offset (in the shard), doc_id, part, n_tokens, record: every sequence
-    in its place, range-partitioned by slot and sorted.
+def _placed(docs: DataFrame, path: str, key: str, length: int, shard_slots: int) -> tuple[DataFrame, int]:
+    """Every sequence with its slot, shard and byte_offset, where it was encoded; and their number.
 
     The encoded sequences are written to the shared folder once, so that the numbers stay
     as they are if an executor is lost; their count per task is all that the driver sees."""
-    made = cut(sequences(docs, path, length))
+    made = cut(sequences(docs, path, length), compression="zstd")
     counts = {r["_task"]: r["n"] for r in made.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row an input task
     base, total = {}, 0
     for task in sorted(counts):
@@ -131,46 +140,132 @@ def training_order(docs: DataFrame, path: str, key: str = "order-1", length: int
 
     placed = made.withColumn("slot", slot_of("_task", "_nth")).drop("_task", "_nth")
     placed = placed.withColumn("shard", F.expr(f"slot div {shard_slots}")).withColumn("byte_offset", F.expr(f"slot % {shard_slots} * {stride}"))
-    return placed.select("slot", "shard", "byte_offset", "doc_id", "part", "n_tokens", "record").repartitionByRange("slot").sortWithinPartitions("slot")
+    return placed.select("slot", "shard", "byte_offset", *INDEX, "record"), total
 
 
-def write_shards(ordered: DataFrame, uri: str, done: set[int] | None = None) -> DataFrame:
-    """Writes shard-NNNNNNNN.bin files under ``uri`` (any file system that pyarrow opens and
-    all executors share) and returns shard, n_records, n_bytes, sha256.
+def _tasks(spark: SparkSession, n_shards: int) -> int:
+    return max(1, min(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _ranged(placed: DataFrame, first: int, end: int) -> DataFrame:
+    """The shards from ``first`` to before ``end``: whole ones, in slot order, in partitions
+    of equal ranges, which need no sample because slots have no gaps."""
+    n = _tasks(placed.sparkSession, end - first)
+    some = placed.where(F.col("shard").between(first, end - 1))
+    return some.repartitionById(n, F.expr(f"cast((shard - {first}) * {n} div {max(1, end - first)} as int)")).sortWithinPartitions("slot")
+
+
+def training_order(docs: DataFrame, path: str, key: str = "order-1", length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """slot, shard, byte_offset (in the shard), doc_id, part, n_tokens, record: every sequence
+    in its place, range-partitioned by slot at the bounds of shards, and sorted."""
+    placed, total = _placed(docs, path, key, length, shard_slots)
+    return _ranged(placed, 0, -(-total // shard_slots))
 
-    A shard is one task's, which holds one record at a time: tasks get whole shards, in
-    slot order.  A file appears under its name only when complete, so that an attempt that
-    was lost leaves nothing that counts.  Shards in ``done`` are left as they are."""
+
+def write_shards(ordered: DataFrame, uri: str, done: set[int] | None = None) -> DataFrame:
+    """Writes shard-NNNNNNNN.bin files, and beside each its records' ids as
+    index-NNNNNNNN.parquet, under ``uri`` (any file system that pyarrow opens and all
+    executors share) and returns shard, n_records, n_bytes, sha256.
+
+    ``ordered`` is as training_order() returns it: each partition writes its shards, batch
+    by batch, and no record is shuffled again.  A file appears under its name only when
+    complete, the shard after its index, so that an attempt that was lost leaves nothing
+    that counts.  Shards in ``done`` are left as they are."""
     rest = ordered.where(~F.col("shard").isin(sorted(done))) if done else ordered
-    n = max(1, rest.agg(F.count_distinct("shard")).first()[0])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(uri)
         fs.create_dir(root, recursive=True)
-        shard, out, sha, records, size, attempt = None, None, None, 0, 0, TaskContext.get().taskAttemptId()
+        shard, out, sha, size, index, attempt = None, None, None, 0, [], TaskContext.get().taskAttemptId()
 
-        def close() -> tuple:
+        def close() -> dict:
             out.close()
+            ids = pa.Table.from_batches(index)
+            pq.write_table(ids, f"{root}/_{shard:08d}.{attempt}.index", filesystem=fs, compression="zstd")
+            fs.move(f"{root}/_{shard:08d}.{attempt}.index", f"{root}/index-{shard:08d}.parquet")
             fs.move(f"{root}/_{shard:08d}.{attempt}", f"{root}/shard-{shard:08d}.bin")
-            return shard, records, size, sha.hexdigest()
+            return {"shard": shard, "n_records": len(ids), "n_bytes": size, "sha256": sha.hexdigest()}
 
-        for pdf in batches:
+        for batch in batches:
             closed = []
-            for k, record in zip(pdf["shard"], pdf["record"], strict=True):
-                if k != shard:
+            shards, offsets = (batch.column(c).to_numpy() for c in ("shard", "byte_offset"))
+            begin = np.flatnonzero(np.diff(shards, prepend=-1)).tolist()
+            for lo, hi in zip(begin, [*begin[1:], len(shards)], strict=True):
+                if shards[lo] != shard:
                     if shard is not None:
                         closed.append(close())
-                    shard, sha, records, size = int(k), hashlib.sha256(), 0, 0
+                    shard, sha, size, index = int(shards[lo]), hashlib.sha256(), 0, []
                     out = fs.open_output_stream(f"{root}/_{shard:08d}.{attempt}")
-                out.write(record)
-                sha.update(record)
-                records, size = records + 1, size + len(record)
-            yield pd.DataFrame(closed, columns=["shard", "n_records", "n_bytes", "sha256"])
+                records = batch.column("record").slice(lo, hi - lo).to_pylist()
+                if (offsets[lo:hi] != size + np.cumsum([0, *map(len, records[:-1])])).any():
+                    raise ValueError("a partition must hold whole shards in slot order")
+                raw = b"".join(records)
+                out.write(raw)
+                sha.update(raw)
+                size += len(raw)
+                index.append(pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo) for c in INDEX], names=INDEX))
+            if closed:
+                yield pa.RecordBatch.from_pylist(closed, schema=written)
         if shard is not None:
-            yield pd.DataFrame([close()], columns=["shard", "n_records", "n_bytes", "sha256"])
+            yield pa.RecordBatch.from_pylist([close()], schema=written)
 
-    dealt = rest.select("shard", "slot", "record").repartition(n, "shard").sortWithinPartitions("shard", "slot")
-    return dealt.transform(map_batches, run, "shard long, n_records long, n_bytes long, sha256 string")
+    written = pa.schema([("shard", pa.int64()), ("n_records", pa.int64()), ("n_bytes", pa.int64()), ("sha256", pa.string())])
+    return rest.select("shard", "byte_offset", *INDEX, "record").transform(map_arrow, run, "shard long, n_records long, n_bytes long, sha256 string")
+
+
+def read_shards(spark: SparkSession, uri: str, n_shards: int, length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The columns and the order of training_order(), read from the first ``n_shards``
+    shards that write_shards() left under ``uri``."""
+    stride, step = 2 * length, 1024
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for shard in batch.column("id").to_pylist():
+                ids = pq.read_table(f"{root}/index-{shard:08d}.parquet", filesystem=fs, partitioning=None).combine_chunks()
+                with fs.open_input_stream(f"{root}/shard-{shard:08d}.bin") as f:
+                    for at in range(0, len(ids), step):
+                        some = ids.slice(at, step)
+                        n = len(some)
+                        if len(raw := f.read(n * stride)) < n * stride:
+                            raise ValueError(f"shard {shard} is cut short")
+                        here = np.arange(at, at + n)
+                        record = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * stride, stride, dtype=np.int32)), pa.py_buffer(raw)])
+                        columns = [pa.array(shard * shard_slots + here), pa.array(np.full(n, shard)), pa.array(here * stride)]
+                        yield pa.RecordBatch.from_arrays([*columns, *[some.column(c).combine_chunks() for c in INDEX], record], names=["slot", "shard", "byte_offset", *INDEX, "record"])
+
+    shards = spark.range(0, n_shards, 1, _tasks(spark, n_shards))
+    return shards.transform(map_arrow, run, "slot long, shard long, byte_offset long, doc_id long, part int, n_tokens int, record binary")
+
+
+@contextmanager
+def _shuffles_go(spark: SparkSession):
+    """Each query's shuffle files go when it ends, and not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    had = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if had is None else spark.conf.set(name, had)
+
+
+def materialise(docs: DataFrame, path: str, uri: str | None = None, key: str = "order-1", length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """Writes every sequence to its place in the shards under ``uri`` (by default a new
+    folder in the shared one), and returns what read_shards() reads there."""
+    spark = docs.sparkSession
+    uri = uri or f"{shared_dir(spark)}/shards-{uuid.uuid4()}"
+    placed, total = _placed(docs, path, key, length, shard_slots)
+    n_shards = -(-total // shard_slots)
+    waves = min(WAVES, -(-n_shards // WAVE_SHARDS))
+    written = 0
+    with _shuffles_go(spark):
+        for k in range(waves):
+            wave = write_shards(_ranged(placed, n_shards * k // waves, n_shards * (k + 1) // waves), uri)
+            written += wave.agg(F.sum("n_records")).first()[0]
+    if written != total:
+        raise ValueError(f"{written} of {total} sequences were written")
+    return read_shards(spark, uri, n_shards, length, shard_slots)
 
 
 def read_slots(uri: str, first: int, n: int, length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> np.ndarray:
