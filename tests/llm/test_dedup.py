@@ -65,6 +65,23 @@ def test_minhash_links_are_the_exact_ones(spark, which):
     assert got == want
 
 
+def test_minhash_cells_hold_what_shares_a_bucket(spark, monkeypatch):
+    """Each text shares shingles with the next ones, below the threshold: buckets form a
+    chain, of which no cell holds more than a few members."""
+    words = [f"w{i}" for i in range(6000)]
+    docs = spark.createDataFrame([(i, " ".join(words[i * 25 : i * 25 + 104])) for i in range(200)], "doc_id long, text string")
+    dealt = []
+
+    def spy(members, key, id_col, **more):
+        dealt.extend(r["count"] for r in members.groupBy(key).count().collect())
+        return common.cells(members, key, id_col, **more)
+
+    monkeypatch.setattr(minhash_dedup, "cells", spy)
+    got = minhash_dedup.link_documents(docs).collect()
+    assert all(r.component_id == r.doc_id for r in got) and len(got) == 200
+    assert dealt and max(dealt) < 10
+
+
 def test_minhash_edges(docs, empty):
     rows = minhash_dedup.link_documents(docs).collect()
     assert len(rows) == docs.count()

@@ -6,10 +6,11 @@ count of two sketches' XOR estimates how many samples differ, precisely so for s
 sets; pairs that meet in a bucket and pass that test are confirmed on their full sets.
 
 Documents with equal sets are compared as one.  In each bucket the members are first
-paired with its smallest one.  Buckets whose members are in different components even after
-that are put together by their members, and dealt to cells in which every two members meet,
-with their texts: there pairs of different components are tested, from the likeliest on,
-unless a link has joined the two by then.
+paired with its smallest one.  The members of a bucket that are in different components even
+after that are dealt to cells in which every two of them meet, with their texts: there pairs
+of different components are tested, from the likeliest on, unless a link has joined the two
+by then.  Of buckets with the same members one is dealt, and a pair is tested in the first
+bucket that it shares.
 So no link that could join two components goes untested, and pairs are never listed.
 """
 
@@ -160,6 +161,7 @@ def _joining(least: float, bits: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _by_cell(batches):
             rid, texts, out = pdf["rid"].to_numpy(), pdf["_text"].tolist(), []
+            bucket, buckets = pdf["_bucket"].to_numpy(), pdf["_buckets"].tolist()
             for a, b, differ in _apart(pdf, least, bits):
                 up: dict = {r: r for r in pdf["_root"].to_numpy()[np.r_[a, b]].tolist()}
                 root = pdf["_root"].to_numpy()
@@ -171,11 +173,17 @@ def _joining(least: float, bits: int, percent: int):
                     return x
 
                 sets: dict[int, frozenset] = {}
+                own: dict[int, frozenset] = {}
                 for i in np.argsort(differ, kind="stable").tolist():
                     x, y = int(a[i]), int(b[i])
                     p, q = find(int(root[x])), find(int(root[y]))
                     if p == q:
                         continue
+                    for m in (x, y):
+                        if m not in own:
+                            own[m] = frozenset(buckets[m])
+                    if min(own[x] & own[y]) != bucket[x]:
+                        continue  # the pair meets in that bucket's cell, too
                     for m in (x, y):
                         if m not in sets:
                             sets[m] = frozenset(shingle_set(texts[m]).tolist())
@@ -235,12 +243,14 @@ def _rooted(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFr
     roots = cut(components(links).select(F.col("node").alias("_node"), F.col("root").alias("_to")))
     rooted = cut(light.join(roots, light["rid"] == roots["_node"], "left").select("rid", "_n_shingles", "_sketch", F.coalesce("_to", "rid").alias("_root")))
     placed = member.join(rooted.select("rid", "_root"), "rid")
-    apart = cut(placed.groupBy(F.col("_bucket").alias("_mb")).agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi")).where("_lo <> _hi").select("_mb"))
-    # buckets that share members make a cluster; any two of it may be linked
-    placed = placed.join(apart, placed["_bucket"] == apart["_mb"]).where("rid <> _hub")
-    cluster = components(placed.select(F.col("rid").alias("a"), F.col("_hub").alias("b")))
-    cluster = cut(cluster.select(F.col("node").alias("rid"), F.col("root").alias("_cluster")))
-    dealt = cells(cluster, "_cluster", "rid", per_block=512).drop("_cluster").join(rooted, "rid").join(found, "rid")
+    same = [F.bit_xor(F.xxhash64("rid", F.lit(k))).alias(f"_s{k}") for k in range(2)]
+    apart = placed.groupBy("_bucket").agg(F.min("_root").alias("_lo"), F.max("_root").alias("_hi"), F.count(F.lit(1)).alias("_n"), *same).where("_lo <> _hi")
+    apart = cut(apart.groupBy("_n", "_s0", "_s1").agg(F.min("_bucket").alias("_mb")).select("_mb"))
+    # a bucket's smallest member has met all others
+    placed = cut(placed.join(apart, placed["_bucket"] == apart["_mb"]).where("rid <> _hub").select("rid", "_bucket"))
+    mine = placed.groupBy("rid").agg(F.collect_list("_bucket").alias("_buckets"))  # BANDS at most
+    mine = cut(rooted.join(mine, "rid"))
+    dealt = cells(placed, "_bucket", "rid", per_block=512).join(mine, "rid").join(found, "rid")
     dealt = dealt.repartition("_cell").sortWithinPartitions("_cell")
     links = cut(links.unionByName(dealt.transform(map_batches, _joining(least, bits, percent), "a long, b long")))
 
