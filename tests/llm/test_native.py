@@ -137,3 +137,18 @@ def test_fingerprint_edges(docs, empty):
     assert fingerprints.fingerprint_edits(empty).count() == 0
     one = fingerprints.fingerprint_edits(docs.where("doc_id = 8")).first()
     assert one.near_next == 1.0  # the only document is its own next
+
+
+@pytest.mark.parametrize("hot", [None, 500, 0, 2**63 - 1])
+def test_fingerprint_buckets_split_equal_ids(spark, hot):
+    rows = [(hot if i % 3 == 0 else i % 900, f"text {i} " * (i % 7)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_tie", F.xxhash64("text"))
+    sizes = [r["count"] for r in fingerprints._order_buckets(docs.where("text <> ''"), "doc_id", "_tie").groupBy("_b").count().collect()]
+    assert max(sizes) < 0.1 * sum(sizes)
+    order = sorted(docs.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r._tie))
+    want = []
+    for r, after in zip(order, [*order[1:], order[0]], strict=True):
+        e = len(r.text) // 3
+        want.append((str(r.doc_id), hashlib.sha256((r.text[: len(r.text) - e] + after.text[:e]).encode()).hexdigest()))
+    got = [(str(r.doc_id), r.edited_sha256) for r in fingerprints.fingerprint_edits(docs.drop("_tie")).collect()]
+    assert sorted(got) == sorted(want)

@@ -8,6 +8,7 @@ and the number of distinct shingles.  Built-in functions only.
 
 from __future__ import annotations
 
+from collections import Counter
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,8 @@ K = 128
 WORDS = 5
 #: Distinct values of the order column per bucket, and the most buckets.
 BUCKET_ROWS, FAN = 64, 64
+#: Bits of a bucket's number that are a share of the tie hashes.
+SHARES = 13
 
 
 def with_sketch(df: DataFrame, text: str, out: str, k: int = K, words: int = WORDS) -> DataFrame:
@@ -81,32 +84,39 @@ def digest(a: Column) -> Column:
 
 def _order_buckets(docs: DataFrame, order: str, tie: str) -> DataFrame:
     """``docs`` with ``_b``, a bucket that grows as ``order`` falls, dealt by approximate
-    quantiles; rows without ``order`` come last, dealt by the tie hash's first bits."""
+    quantiles.  A value that several quantiles fall on has buckets of its own, as many as
+    quantiles at least, dealt by the tie hash's first bits; so have rows without ``order``,
+    which come last.  ``_by_tie``: whether the row's bucket is of that kind."""
     n = docs.select(order).count()
     side = max(2, min(FAN, ceil((n / BUCKET_ROWS) ** 0.5)))
-    cuts = docs.agg(F.percentile_approx(order, [i / side**2 for i in range(1, side**2)], 100_000).alias("q")).first()["q"]
-    cuts = sorted(set(cuts or []))
+    found = docs.agg(F.percentile_approx(order, [i / side**2 for i in range(1, side**2)], 100_000).alias("q"), F.count(order).alias("n")).first()
+    bits = {c: times.bit_length() for c, times in Counter(found["q"] or []).items() if times > 1}
+    cuts = sorted({*(found["q"] or []), *(c + 1 for c in bits if c < 2**63 - 1)})
     outer, inner = cuts[side - 1 :: side], [cuts[i : i + side - 1] for i in range(0, len(cuts) + 1, side)]
     longs = lambda xs: "array(" + ", ".join(f"{x}L" for x in xs) + ")" if xs else "cast(array() as array<bigint>)"
     nested = "array(" + ", ".join(longs(x) for x in inner) + ")"
     df = docs.withColumn("_c", F.expr(f"size(filter({longs(outer)}, c -> c <= `{order}`))"))
     rank = f"_c * {side} + size(filter(element_at({nested}, _c + 1), c -> c <= `{order}`))"
-    last = side * side + side
-    return df.withColumn("_b", F.expr(f"case when `{order}` is null then {last} + 32 + cast(shiftright(`{tie}`, 58) as int) else {last} - ({rank}) end")).drop("_c")
+    df = df.withColumn("_b", F.expr(f"case when `{order}` is null then {len(cuts) + 1} else {len(cuts)} - ({rank}) end"))
+    none = max(6, ((n - found["n"]) * side**2 // max(1, n)).bit_length())
+    many = F.element_at(F.create_map(*[F.lit(x) for pair in bits.items() for x in pair]), F.col(order)) if bits else F.lit(0)
+    df = df.withColumn("_bits", F.when(F.col(order).isNull(), none).otherwise(F.coalesce(many, F.lit(0))))
+    share = f"case when _bits = 0 then 0 else cast(shiftright(`{tie}`, 64 - _bits) as int) + shiftleft(1, _bits - 1) end"
+    return df.withColumn("_b", F.expr(f"_b * {1 << SHARES} + {share}")).withColumn("_by_tie", F.col("_bits") > 0).drop("_c", "_bits")
 
 
 def _with_first_of_next(dealt: DataFrame, order: str, tie: str) -> DataFrame:
     """The rows, and in each bucket a copy of the next bucket's first row (``_extra``);
     after the last bucket comes the first."""
-    firsts = dealt.groupBy("_b").agg(F.max(order).alias("o"), F.min(tie).alias("t")).orderBy("_b").collect()  # a row a bucket: FAN squared at most
+    firsts = dealt.groupBy("_b").agg(F.max(order).alias("o"), F.min(tie).alias("t")).orderBy("_b").collect()  # a row a bucket: a few times FAN squared at most
     if not firsts:
-        return dealt.withColumn("_extra", F.lit(False))
+        return dealt.drop("_by_tie").withColumn("_extra", F.lit(False))
     lookup = lambda key: F.element_at(F.create_map(*[F.lit(x) for i, r in enumerate(firsts) if r[key] is not None for x in (r["_b"], firsts[i - 1]["_b"] if key == "_b" else r[key])] or [F.lit(0), F.lit(0).cast("long")]), F.col("_b"))
-    is_first = F.when(F.col(order).isNull(), F.col(tie) == lookup("t")).otherwise(F.col(order) == lookup("o"))
+    is_first = F.when(F.col("_by_tie"), F.col(tie) == lookup("t")).otherwise(F.col(order) == lookup("o"))
     here = F.struct(F.col("_b").alias("b"), F.lit(False).alias("x"))
     there = F.struct(lookup("_b").alias("b"), F.lit(True).alias("x"))
     out = dealt.withColumn("_to", F.explode(F.when(is_first, F.array(here, there)).otherwise(F.array(here))))
-    return out.withColumn("_b", F.col("_to.b")).withColumn("_extra", F.col("_to.x")).drop("_to")
+    return out.withColumn("_b", F.col("_to.b")).withColumn("_extra", F.col("_to.x")).drop("_to", "_by_tie")
 
 
 def fingerprint_edits(docs: DataFrame, k: int = K, id_col: str = "doc_id", text: str = "text") -> DataFrame:
