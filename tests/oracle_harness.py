@@ -6,11 +6,15 @@ import datetime as dt
 import decimal
 import hashlib
 import math
+import os
 
 import duckdb
 
 from tidemark.plans.inputs import TABLES
 
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = os.environ.get("TIDEMARK_ORACLE_SF", SF_SMALL)
+
 
 def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()

@@ -4,8 +4,7 @@ TIDEMARK_ORACLE_SF=/root/testdata/sf0.01 for the driver's scale)."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_ORACLE
-from oracle_harness import compare, duck_connection
+from oracle_harness import SF_ORACLE, compare, duck_connection
 from tidemark.plans.named import QUERIES
 
 #: The loads and reconciliations; tests/llm has its own.

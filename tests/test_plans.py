@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from oracle_harness import SF_SMALL
 from tidemark.operators import compare as C
 from tidemark.operators import loads as L
 from tidemark.plans import named as N
