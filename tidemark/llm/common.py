@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 from pathlib import Path
 
@@ -79,7 +80,42 @@ def cut(df: DataFrame, compression: str | None = None) -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/table-{uuid.uuid4()}"
     df.write.parquet(at, compression=compression)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out._folder = at
+    return out
+
+
+def dropped(table: DataFrame) -> None:
+    """Deletes the files of a table that cut() made and that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession):
+    """Each query's shuffle files go when it ends, and not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    had = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if had is None else spark.conf.set(name, had)
+
+
+def ordered_offsets(df: DataFrame, order: list[str], size: str, out: str) -> DataFrame:
+    """Adds ``out``, the sum of ``size`` over all rows that come earlier by ``order``, which
+    must tell rows apart: the same however the rows lie in partitions.
+
+    Rows are range-partitioned and materialised, each range is summed in a window, and the
+    ranges' totals (one row a partition) give each range its offset."""
+    ranged = cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    upto = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range").agg(F.sum(size).alias("_s")).select(F.col("_range").alias("_of"), F.coalesce(F.sum("_s").over(upto), F.lit(0)).alias("_s0"))
+    before = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn(out, F.coalesce(F.sum(size).over(before), F.lit(0)))
+    return summed.join(totals, summed["_range"] == totals["_of"]).withColumn(out, F.col(out) + F.col("_s0")).drop("_range", "_of", "_s0")
 
 
 def q(name: str) -> str:

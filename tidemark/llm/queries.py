@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embedding_dedup, fingerprints, minhash_dedup, mixing, quality, sharding, source_audit, suffix_dedup, toxicity, training_order, whitening
+from tidemark.llm import bpe, embedding_dedup, fingerprints, minhash_dedup, mixing, quality, sharding, source_audit, substring_dedup, suffix_dedup, toxicity, training_order, whitening
 from tidemark.llm.common import read
 
 
@@ -62,6 +62,11 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
+def op11_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 20-word windows that start earlier, as digests."""
+    return substring_dedup.strip_repeated(read(spark, sf_dir, "documents"), texts=False)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings on the leading whitening directions."""
     return whitening.whiten_vectors(read(spark, sf_dir, "embeddings"))
@@ -72,6 +77,6 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit_sources(read(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op4_suffix_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op9_minhash, op10_fingerprint, op12_whitening, op13_divergence)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op4_suffix_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op9_minhash, op10_fingerprint, op11_substring, op12_whitening, op13_divergence)}
 
 LLM_ORACLE: dict[str, str] = {"op2_mix": mixing.MIX_SQL, "op3_embedding_dedup": embedding_dedup.LINK_SQL, "op13_divergence": source_audit.AUDIT_SQL}
