@@ -49,7 +49,7 @@ def test_skyband_is_all_terms_with_fewer_dominators():
 @pytest.mark.parametrize("small_parts", [False, True])
 def test_audit_equals_plain_python(spark, docs, monkeypatch, small_parts):
     if small_parts:  # many blocks of terms, many parts and merge rounds
-        for name, value in (("BLOCK_TERMS", 16), ("BLOCK_CELLS", 16), ("PART_TERMS", 2), ("FAN_IN", 2)):
+        for name, value in (("BLOCK_TERMS", 16), ("BLOCK_CELLS", 16), ("PART_TERMS", 2), ("FAN_IN", 2), ("TASK_TERMS", 3)):
             monkeypatch.setattr(A, name, value)
     rng = np.random.default_rng(2)
     words = [f"w{chr(97 + i)}" for i in range(26)] + ["É", "é", "WA", "日本"]

@@ -12,6 +12,8 @@ terms keep their skybands, these are merged in a tree, and what is left is ranke
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -19,11 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, let_workers_import
+from tidemark.llm.common import cut, let_workers_import, map_batches
 
-#: What stands between terms: all ASCII but letters (a fixed value).
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What becomes of each byte of a text: A-Z are lower-cased, other ASCII but letters stands
+#: between terms.
+TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
+#: Terms that a task counts before it passes the counts on.
+TASK_TERMS = 300_000
 LEAST_DOCS, TOP, PRIOR, SCALE = 30, 50, 5, 1_000_000_000
 #: Cells (sources x terms) and terms of a block of distances.
 BLOCK_CELLS, BLOCK_TERMS = 1 << 22, 4096
@@ -49,18 +54,32 @@ def skyband(count: np.ndarray, lang_count: np.ndarray, item: list[str], k: int =
     return kept[:n]
 
 
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Occurrences and documents of each group's terms, summed over many texts first."""
+    n, held, most = defaultdict(Counter), defaultdict(Counter), 0
+
+    def rows() -> pd.DataFrame:
+        out = [(*group, t.decode("utf-8", "replace"), c, held[group][t]) for group, found in n.items() for t, c in found.items()]
+        n.clear(), held.clear()
+        return pd.DataFrame(out, columns=["lang", "source", "term", "n", "docs"])
+
+    for pdf in batches:
+        for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["_text"], strict=True):
+            terms = text.encode("utf-8", "replace").translate(TERM_BYTES).split()
+            n[lang, source].update(terms)
+            held[lang, source].update(once := set(terms))
+            most += len(once)  # of the terms that are held, until they are counted
+            if most >= TASK_TERMS and (most := sum(map(len, n.values()))) >= TASK_TERMS:
+                yield rows()
+                most = 0
+    yield rows()
+
+
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """lang, source, term, n (occurrences), docs (documents that hold it).  Each document's
-    terms are sorted and counted first, so that one row a document and term is grouped."""
-    split = F.split(F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER), BETWEEN)
-    some = docs.select(
-        F.coalesce(F.col(lang), F.lit("")).alias("lang"),
-        F.coalesce(F.col(source), F.lit("")).alias("source"),
-        F.sort_array(F.filter(split, lambda t: t != "")).alias("_t"),
-    ).where("size(_t) > 0")
-    begins = some.withColumn("_b", F.expr("concat(filter(sequence(0, size(_t) - 1), i -> i = 0 or _t[i - 1] <> _t[i]), array(size(_t)))"))
-    each = begins.select("lang", "source", F.expr("explode(transform(sequence(0, size(_b) - 2), j -> named_struct('term', _t[_b[j]], 'n', _b[j + 1] - _b[j])))").alias("_x"))
-    return each.groupBy("lang", "source", F.col("_x.term").alias("term")).agg(F.sum("_x.n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    """lang, source, term, n (occurrences), docs (documents that hold it)."""
+    some = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "_text"))])
+    counted = some.transform(map_batches, _counted, "lang string, source string, term string, n long, docs long")
+    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _share(count: str, total: str, terms: str) -> str:
