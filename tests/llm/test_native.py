@@ -3,8 +3,10 @@ brute force."""
 
 import hashlib
 
+import duckdb
 import pytest
 import xxhash
+from oracle_harness import compare
 from pyspark.sql import functions as F
 
 from tidemark.llm import fingerprints, mixing, sharding
@@ -40,6 +42,17 @@ def test_mix_of_a_large_rate(spark):
     assert 400 < n < 620  # mean 490 copies of the one byte
 
 
+@pytest.mark.parametrize("most_broadcast", [10_000, 0])
+def test_mix_equals_its_sql_with_repeated_rows(spark, docs, tmp_path, monkeypatch, most_broadcast):
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", most_broadcast)
+    some = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    some.unionByName(some).unionByName(some.where("source = 'a'")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    ok, msg = compare(mixing.mix(spark.read.parquet(str(tmp_path / "documents.parquet"))), con, mixing.MIX_SQL)
+    assert ok, msg
+
+
 def test_mix_edges(docs, empty):
     out = mixing.mix(docs.withColumn("rate", F.lit(1)).withColumn("parts", F.lit("p")))
     assert set(docs.columns) < set(out.columns) and "parts" in out.columns

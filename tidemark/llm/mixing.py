@@ -11,6 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import cut
+
+#: Rates of up to this many sources (600 bytes each) are broadcast; those of more are joined
+#: with documents that are dealt by so many salts.
+MOST_BROADCAST, SALTS = 10_000, 64
 #: A mean above this is drawn as a sum of equal Poisson parts, each of a mean up to this.
 PART_MEAN = 16
 #: Terms of a part's distribution; the tail beyond them is below 1e-20 at PART_MEAN.
@@ -30,8 +35,8 @@ def source_rates(docs: DataFrame, weights: dict | None = None, budget_bytes: int
     Without it, weights are the square roots of the sources' bytes, which lifts small
     sources.  ``budget_bytes`` is the expected size of the mix (without it: that of the
     input).  A source without bytes has rate 1."""
-    sizes = docs.groupBy(F.col(source).alias("__source")).agg(
-        F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long")).alias("bytes")
+    sizes = cut(
+        docs.groupBy(F.col(source).alias("__source")).agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long")).alias("bytes"))
     )
     if weights is None:
         sizes = sizes.withColumn("weight", F.sqrt("bytes"))
@@ -67,9 +72,15 @@ def mix(docs: DataFrame, weights: dict | None = None, budget_bytes: int | None =
     counts.  Null or empty texts cost no bytes and are drawn like the others.  Columns
     of ``docs`` that bear the names added here are replaced."""
     docs = docs.drop("n_copies", "copy_no", "rate_millionths", "shuffle_key")
-    rates = source_rates(docs, weights, budget_bytes, source, text).select("__source", "__rate", "__parts", "__cdf")
+    rates = cut(source_rates(docs, weights, budget_bytes, source, text).select("__source", "__rate", "__parts", "__cdf"))
+    if rates.count() <= MOST_BROADCAST:
+        rated = docs.join(F.broadcast(rates), docs[source].eqNullSafe(rates["__source"]))
+    else:  # salted, so that a hot source's documents are dealt to many tasks
+        salted = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = docs.withColumn("__of", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        rated = dealt.join(salted, dealt[source].eqNullSafe(salted["__source"]) & (dealt["__of"] == salted["__salt"])).drop("__of", "__salt")
     key = f"coalesce(cast(`{id_col}` as string), concat('text ', md5(coalesce(`{text}`, ''))))"
-    drawn = docs.join(rates, docs[source].eqNullSafe(rates["__source"])).withColumn(
+    drawn = rated.withColumn(
         "n_copies",
         F.expr(
             f"""aggregate(transform(sequence(1, __parts), j -> {_uniform(f"concat('{seed}|', {key}, '|', j)")}), 0,
@@ -100,17 +111,20 @@ with recursive sizes as (
     select source, 0, rate / parts, exp(-(rate / parts)), exp(-(rate / parts)) from parted
     union all
     select source, k + 1, mean, p * mean / (k + 1), c + p * mean / (k + 1) from cdf where k < {TERMS}
+), numbered as (
+    select *, row_number() over () as row_no from documents
 ), draws as (
-    select d.doc_id, d.source, d.lang, d.text, d.n_chars, r.rate, coalesce(d.doc_id::varchar, 'text ' || md5(coalesce(d.text, ''))) as key,
+    select d.row_no, d.doc_id, d.source, d.lang, d.text, d.n_chars, r.rate, coalesce(d.doc_id::varchar, 'text ' || md5(coalesce(d.text, ''))) as key,
            unnest(generate_series(1, r.parts)) as j
-    from documents d join parted r on d.source is not distinct from r.source
+    from numbered d join parted r on d.source is not distinct from r.source
 ), counted as (
     select d.*, (select count(*) from cdf c where c.source is not distinct from d.source
                  and c.c <= ('0x' || substr(md5('mix-1|' || d.key || '|' || d.j), 1, 13))::bigint::double / 4503599627370496) as n
     from draws d
 ), copies as (
-    select doc_id, text, lang, source, n_chars, any_value(rate) as rate, any_value(key) as key, sum(n)::int as n_copies
-    from counted group by doc_id, text, lang, source, n_chars
+    select any_value(doc_id) as doc_id, any_value(text) as text, any_value(lang) as lang, any_value(source) as source,
+           any_value(n_chars) as n_chars, any_value(rate) as rate, any_value(key) as key, sum(n)::int as n_copies
+    from counted group by row_no
 )
 select doc_id, text, lang, source, n_chars, n_copies, copy_no::int as copy_no, floor(rate * 1000000)::bigint as rate_millionths,
        ('0x' || substr(md5('mix-1|order|' || key || '|' || copy_no), 1, 15))::bigint as shuffle_key
