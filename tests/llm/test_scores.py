@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark.llm import quality, toxicity
@@ -79,3 +80,44 @@ def test_marginals_match_brute_force():
             total += w
             on += w * np.array(y)
         assert np.allclose(got[at], on / total)
+
+
+def test_no_toxic_word_matches_brute_force():
+    rng = np.random.default_rng(4)
+    e, move = np.exp(rng.normal(size=7)), rng.normal(size=(2, 2))
+    chain, doc = np.array([0, 0, 0, 1, 1, 2, 3]), np.array([0, 0, 0, 0, 0, 1, 2])
+    _, r, _ = toxicity.marginals(e, chain, move)
+    got = toxicity.log_none(r, chain, doc, move, 4)
+    for d in range(4):
+        log = 0.0
+        for c in np.unique(chain[doc == d]):
+            at, total = np.flatnonzero(chain == c), 0.0
+            for bits in range(1 << len(at)):
+                y = [bits >> i & 1 for i in range(len(at))]
+                w = np.prod([e[at[i]] ** y[i] for i in range(len(at))]) * np.exp(sum(move[a, b] for a, b in zip(y, y[1:], strict=False)))
+                total += w
+                none = w if bits == 0 else none
+            log += np.log(none / total)
+        assert got[d] == pytest.approx(log)
+
+
+def test_words_never_seen_are_tagged_by_their_beginnings():
+    """No list of words: planted ones are found from document labels, and held-out ones
+    with the same beginning."""
+    rng = np.random.default_rng(6)
+    plain = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "ru") for b in ("be", "do", "fi") for c in ("n", "s", "t", "l")]
+    stems, ends = ("grobu", "vexat"), [f"{a}{b}" for a in "aeiou" for b in "klmnprst"]
+    texts, y = [], []
+    for i in range(500):
+        words = rng.choice(plain, 25).tolist()
+        if i % 2:
+            for _ in range(rng.integers(1, 4)):
+                words[rng.integers(25)] = rng.choice(stems) + rng.choice(ends[:30])
+        texts.append(" ".join(words))
+        y.append(i % 2)
+    model = toxicity.fit(pd.DataFrame({"text": texts, "y": y, "weight": 1.0}))
+    new = " ".join(plain[:10]) + f" grobu{ends[35]} " + " ".join(plain[10:20]) + f". Vexat{ends[36]}"
+    score, spans = toxicity.tag([new, " ".join(plain), texts[1]], model)
+    assert [new[a:b] for a, b in spans[0]] == [f"grobu{ends[35]}", f"Vexat{ends[36]}"] and spans[1] == []
+    assert [texts[1][a:b] for a, b in spans[2]] == [w for w in texts[1].split() if w.startswith(stems)]
+    assert score[0] > 0.7 > score[1]

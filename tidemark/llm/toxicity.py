@@ -1,11 +1,18 @@
 """Toxic spans by a linear-chain conditional random field over words.
 
-Labels are known per document only, so the words of labelled texts are tagged first: in
-a toxic document, a word is toxic if it, or its beginning, occurs in toxic documents far
-more often than in others; all other words, and all words of other documents, aren't.  A
-two-state chain with word and beginning features is fitted to those tags.  Forward-backward marginals give each word's probability; the sum
-of their squares (near the number of toxic words, and near 0 however many unlikely words
-a text has) becomes a document score, and runs of likely words its offending offsets.  Chains end at line ends and after . ! ? so that they stay short.
+A two-state chain scores each word by the word itself, its beginnings and its neighbours.
+Labels are known per document only, so the tags of words are hidden: a document that isn't
+toxic has no toxic word, and a toxic one has at least one.  Forward-backward gives the
+expected features of each document, and the probability that it has no toxic word, which
+turns them into those under that constraint; the difference of the two is the gradient of
+the labels' likelihood.  Words need no list to start from: what tells documents apart
+raises some words' weights, and these then explain their documents and leave other words
+alone.
+
+The sum of the squared marginals (near the number of toxic words, and near 0 however many
+unlikely words a text has) becomes a document score, calibrated on models that haven't seen
+the document; runs of likely words are its offending offsets.  Chains end at line ends and
+after . ! ? so that they stay short.
 """
 
 from __future__ import annotations
@@ -24,18 +31,16 @@ from tidemark.llm.labels import labelled_sample, remainder
 from tidemark.llm.quality import logistic
 
 PER_CLASS, MAX_CHARS = 1500, 10_000
-#: A word or beginning marks toxic words if it stands between at least this many different
-#: pairs of neighbours in toxic sample documents (and this share of their number), and this
-#: many times as often, by different neighbours, as in other documents.  Neighbours are
-#: counted and not documents, because all words of a document with copies, toxic or not,
-#: are in many documents, but always between the same neighbours.
-LEAST_CONTEXTS, LEAST_SHARE, LEAST_LIFT = 5, 0.01, 25.0
+#: Features are hashed to so many bits; those that stand in fewer different places (pairs of
+#: neighbours) of the sample have no weight.  Neighbours are counted and not documents,
+#: because all words of a document with copies are in many documents, but always between
+#: the same neighbours.
+BITS, LEAST_CONTEXTS = 20, 3
 #: Lengths in bytes of the beginnings that are features beside the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-EPOCHS, RATE, RIDGE = 80, 1.0, 1e-6
-#: The log potential of a word without markers, so low that the many words of a long text
-#: don't add up to a toxic one; and where the weights of the markers start.
-OTHER_WORDS, START = -14.0, 4.0
+EPOCHS, RATE, RIDGE, LASSO = 40, 0.5, 1e-6, 0.1
+#: The bias to begin with: about one likely word a document.
+START = -6.0
 #: Added to a document's sum before its logarithm.
 LEAST_SUM = 1e-3
 #: Text is read in pieces of about this many bytes (whole documents) to bound memory.
@@ -104,22 +109,49 @@ def words_in_parts(texts: list[str]) -> Words:
     return Words(*(np.concatenate([getattr(w, f) for w in found]) for f in ("hash", "start", "end", "doc", "chain")))
 
 
+def features(w: Words) -> np.ndarray:
+    """Features by words: places in the table of weights (0: none), of the whole word, its
+    beginnings, and the words before and after it in its document."""
+    whole = w.hash[:, 0]
+    same = np.diff(w.doc, prepend=-1) == 0
+    before = np.where(same, np.roll(whole, 1), np.uint64(0))
+    after = np.where(np.roll(same, -1), np.roll(whole, -1), np.uint64(0))
+    out = np.empty((2 + w.hash.shape[1], len(whole)), np.int32)
+    with np.errstate(over="ignore"):
+        for k, h in enumerate([*w.hash.T, before * np.uint64(3), after * np.uint64(5)]):
+            out[k] = np.where(h == 0, 0, (h * _MULT) >> np.uint64(64 - BITS))
+    return out
+
+
+def _contexts(w: Words) -> np.ndarray:
+    """A hash of each word between its neighbours."""
+    whole = w.hash[:, 0]
+    with np.errstate(over="ignore"):
+        return (np.roll(whole, 1) * np.uint64(7) + whole) * _MULT + np.roll(whole, -1)
+
+
 @dataclass(frozen=True)
 class ToxicModel:
-    known: np.ndarray  # sorted hashes of the features with weights
-    weight: np.ndarray  # log potential of the toxic state that each adds
-    other: float  # that of any word
+    weight: np.ndarray  # log potential of the toxic state that each feature adds
+    bias: float  # that of any word
     move: np.ndarray  # 2 x 2 transition potentials
     slope: float
     offset: float
 
-    def potentials(self, hashes: np.ndarray) -> np.ndarray:
-        return np.exp(self.other + np.append(self.weight, 0.0)[_columns_known(self.known, hashes)].sum(1))
+    def marginals(self, w: Words) -> np.ndarray:
+        return marginals(potentials(features(w), self.weight, self.bias), w.chain, self.move)[0]
 
     def score(self, expected: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.log(expected + LEAST_SUM) + self.offset, -40, 40)))
 
 
+def potentials(feature: np.ndarray, weight: np.ndarray, bias: float) -> np.ndarray:
+    total = np.full(feature.shape[1], bias)
+    for row in feature:
+        total += weight[row]
+    return np.exp(np.clip(total, -30, 30))
+
+
 def _columns(chain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First position and length of each chain, the longest first."""
     first = np.flatnonzero(np.diff(chain, prepend=chain[0] - 1 if len(chain) else 0))
@@ -153,93 +185,82 @@ def marginals(e: np.ndarray, chain: np.ndarray, move: np.ndarray) -> tuple[np.nd
     return odds / (1 + odds), r, s
 
 
-def _columns_known(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Positions of the hashes in ``known``; len(known) for others."""
-    out = np.full(hashes.shape, len(known), np.int32)
-    for k in range(hashes.shape[1] if len(known) else 0):
-        h = hashes[:, k]
-        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        hit = known[at] == h
-        out[hit, k] = at[hit]
-    return out
-
-
-def _markers(w: Words, y: np.ndarray) -> np.ndarray:
-    """Sorted feature hashes that mark toxic words, see LEAST_CONTEXTS."""
-    whole = w.hash[:, 0]
-    same = np.diff(w.doc, prepend=-1) == 0
-    before = np.where(same, np.roll(whole, 1), np.uint64(0))
-    after = np.where(np.roll(same, -1), np.roll(whole, -1), np.uint64(0))
-    counts = []
-    for k in (0, 1):
-        use = (y[w.doc] == k) & (before != whole) & (after != whole)
-        with np.errstate(over="ignore"):
-            context = (before[use] * np.uint64(3) + whole[use]) * _MULT + after[use]
-        _, one = np.unique(context, return_index=True)
-        one = np.flatnonzero(use)[one]
-        found = [np.unique(w.hash[one, c], return_counts=True) for c in range(w.hash.shape[1])]
-        f, n = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(f)  # a hash belongs to one length of beginning
-        f, n = f[order], n[order]
-        counts.append((f[f != 0], n[f != 0], len(one)))
-    (f0, n0, all0), (f1, n1, all1) = counts
-    at = np.minimum(np.searchsorted(f0, f1), max(0, len(f0) - 1))
-    clean = np.where(f0[at] == f1, n0[at], 0) if len(f0) else np.zeros(len(f1))
-    lift = ((n1 + 0.1) / (all1 + 1)) / ((clean + 0.1) / (all0 + 1))
-    return f1[(n1 >= max(LEAST_CONTEXTS, LEAST_SHARE * int((y == 1).sum()))) & (lift >= LEAST_LIFT)]
+def log_none(r: np.ndarray, chain: np.ndarray, doc: np.ndarray, move: np.ndarray, n_docs: int) -> np.ndarray:
+    """Log probability that a document has no toxic word, from the forward odds."""
+    inner = np.diff(chain) == 0
+    m = np.exp(move)
+    step = np.where(np.append(inner, False), move[0, 0] - np.log(m[0, 0] + r * m[1, 0]), -np.log1p(r))
+    return np.bincount(doc, weights=step, minlength=n_docs)
+
+
+def _chain_weights(feature: np.ndarray, contexts: np.ndarray, chain: np.ndarray, doc: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights, bias and transitions that make the documents' labels likely: gradient
+    ascent, scaled by past gradients, with weights drawn to 0."""
+    _, one = np.unique(contexts, return_index=True)
+    places = np.bincount(feature[:, one].ravel(), minlength=1 << BITS)
+    places[0] = 0
+    used = np.flatnonzero(places >= LEAST_CONTEXTS)
+    at = np.zeros(1 << BITS, np.int32)
+    at[used] = np.arange(1, len(used) + 1)
+    feature = at[feature]
+    theta, bias, move = np.zeros(len(used) + 1), START, np.zeros((2, 2))
+    past, past_bias, past_move = np.full(len(theta), 1e-8), 1e-8, np.full((2, 2), 1e-8)
+    inner = np.flatnonzero(np.diff(chain) == 0)  # words followed by one of the same chain
+    for _ in range(EPOCHS):
+        e = potentials(feature, theta, bias)
+        p, r, s = marginals(e, chain, move)
+        none = np.exp(np.minimum(log_none(r, chain, doc, move, len(y)), -1e-9))
+        # expectations under the constraint less plain ones, as a share of the plain ones
+        pull = np.where(y == 1, np.minimum(none / (1 - none), 1e3), -1.0)
+        miss = pull[doc] * p
+        grad = sum(np.bincount(row, weights=miss, minlength=len(theta)) for row in feature) - RIDGE * len(doc) * theta
+        grad[0] = 0.0
+        m, share = np.exp(move), pull[doc[inner]]
+        a, b = r[inner], e[inner + 1] * s[inner + 1]
+        pairs = [m[0, 0] + np.zeros(len(inner)), m[0, 1] * b, m[1, 0] * a, m[1, 1] * a * b]
+        total = sum(pairs)
+        grad_move = np.array([(share * x / total).sum() for x in pairs]).reshape(2, 2)
+        grad_move[0, 0] -= share.sum()  # without toxic words all pairs are of this kind
+        past += grad**2
+        past_bias += miss.sum() ** 2
+        past_move += grad_move**2
+        theta += RATE * grad / np.sqrt(past)
+        theta = np.sign(theta) * np.maximum(np.abs(theta) - LASSO * RATE / np.sqrt(past), 0.0)
+        bias += RATE * miss.sum() / np.sqrt(past_bias)
+        move = move + 0.2 * RATE * grad_move / np.sqrt(past_move)
+    weight = np.zeros(1 << BITS)
+    weight[used] = theta[1:]
+    return weight, float(bias), move
 
 
 def fit(sample: pd.DataFrame) -> ToxicModel:
-    """A model of (text, y, weight) rows.  Without rows of one class, or without words
-    that mark toxic ones, every text scores the labelled share of 1 (0.5 without any)."""
+    """A model of (text, y, weight) rows.  Without rows of one class, or without words,
+    every text scores the labelled share of 1 (0.5 without any)."""
     sample = sample[sample["text"].notna()].reset_index(drop=True)
     share = (float(sample.loc[sample["y"] == 1, "weight"].sum()) + 0.5) / (float(sample["weight"].sum()) + 1)
-    none = ToxicModel(np.empty(0, np.uint64), np.empty(0), OTHER_WORDS, np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))
+    none = ToxicModel(np.zeros(1 << BITS), 2 * START, np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))
     if sample["y"].nunique() < 2:
         return none
     w = words_in_parts(list(sample["text"]))
-    y = sample["y"].to_numpy()
-    known = _markers(w, y)
-    if not len(known):
+    if not len(w.doc):
         return none
-    feature = _columns_known(known, w.hash)
-    marked = (feature < len(known)).any(1)
-    tags = marked & (y[w.doc] == 1)
-    # chains with a marked word, and as many again plus a thousand without one
-    chain = w.chain
-    with_mark = np.unique(chain[marked])
-    rest = np.setdiff1d(np.unique(chain), with_mark)
-    rest = rest[:: max(1, len(rest) // (len(with_mark) + 1000))]
-    use = np.isin(chain, np.concatenate([with_mark, rest]))
-    feature, tags, chain = feature[use], tags[use].astype(float), chain[use]
-    theta, move = np.full(len(known), START), np.zeros((2, 2))
-    inner = np.flatnonzero(np.diff(chain) == 0)  # words followed by one of the same chain
-    gold = np.zeros((2, 2))
-    for i in (0, 1):
-        for j in (0, 1):
-            gold[i, j] = ((tags[inner] == i) & (tags[inner + 1] == j)).sum()
-    step_w, step_m = np.full(len(theta), 1e-8), np.full((2, 2), 1e-8)
-    for _ in range(EPOCHS):  # gradient ascent on the log likelihood, scaled by past gradients
-        e = np.exp(OTHER_WORDS + np.append(theta, 0.0)[feature].sum(1))
-        p, r, s = marginals(e, chain, move)
-        miss = tags - p
-        grad = sum(np.bincount(feature[:, k], weights=miss, minlength=len(theta) + 1)[: len(theta)] for k in range(feature.shape[1]))
-        grad -= RIDGE * len(tags) * theta
-        pair = np.empty((len(inner), 2, 2))
-        m = np.exp(move)
-        a, b = r[inner], e[inner + 1] * s[inner + 1]
-        pair[:, 0, 0], pair[:, 0, 1], pair[:, 1, 0], pair[:, 1, 1] = m[0, 0], m[0, 1] * b, m[1, 0] * a, m[1, 1] * a * b
-        pair /= pair.sum((1, 2), keepdims=True)
-        grad_m = gold - pair.sum(0) - RIDGE * len(tags) * move
-        step_w += grad**2
-        step_m += grad_m**2
-        theta = theta + RATE * grad / np.sqrt(step_w)
-        move = move + RATE * grad_m / np.sqrt(step_m)
-    model = ToxicModel(known, theta, OTHER_WORDS, move, 1.0, 0.0)
-    p, _, _ = marginals(model.potentials(w.hash), w.chain, move)
-    x = np.log(np.bincount(w.doc, weights=p**2, minlength=len(sample)) + LEAST_SUM)
-    slope, offset = logistic(x, y, sample["weight"].to_numpy())
-    return ToxicModel(known, theta, OTHER_WORDS, move, slope, offset)
+    y, doc, chain, feature, contexts = sample["y"].to_numpy(), w.doc, w.chain, features(w), _contexts(w)
+    del w
+
+    def part(of: np.ndarray):
+        some = of[doc]
+        rank = np.cumsum(of) - 1
+        return feature[:, some], contexts[some], chain[some], rank[doc[some]], y[of]
+
+    whole = _chain_weights(feature, contexts, chain, doc, y)
+    fold = np.where(y == 1, np.cumsum(y == 1), np.cumsum(y == 0)) % 2
+    expected = np.zeros(len(y))
+    for k in (0, 1):  # each half is scored by a model of the other, if that has both classes
+        model = _chain_weights(*part(fold != k)) if len(np.unique(y[fold != k])) == 2 and (fold[doc] != k).any() else whole
+        here = fold[doc] == k
+        p, _, _ = marginals(potentials(feature[:, here], *model[:2]), chain[here], model[2])
+        expected += np.bincount(doc[here], weights=p**2, minlength=len(y))
+    return ToxicModel(*whole, *logistic(np.log(expected + LEAST_SUM), y, sample["weight"].to_numpy()))
 
 
 def tag(texts: list[str | None], model: ToxicModel, likely: float = 0.5) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
@@ -247,7 +268,7 @@ def tag(texts: list[str | None], model: ToxicModel, likely: float = 0.5) -> tupl
     words with marginals of ``likely`` or more in one chain."""
     raws = [(t or "").encode("utf-8", "replace") for t in texts]
     w = words_of(raws)
-    p, _, _ = marginals(model.potentials(w.hash), w.chain, model.move)
+    p = model.marginals(w)
     expected = np.bincount(w.doc, weights=p**2, minlength=len(raws)) if len(p) else np.zeros(len(raws))
     spans: list[list[tuple[int, int]]] = [[] for _ in raws]
     begins = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])])
@@ -274,7 +295,7 @@ def _parts(texts: list[str | None]) -> Iterator[slice]:
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, mod: int, held_out: int, per_class: int, max_chars: int):
-    """A broadcast model: a few words and weights, bounded by the sample."""
+    """A broadcast model: a table of weights of fixed size."""
     return docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(docs, labels, "toxic", mod, held_out, per_class, max_chars)))
 
 
