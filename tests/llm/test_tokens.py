@@ -134,3 +134,25 @@ def test_shards_need_whole_partitions(spark):
     out = training_order.training_order(read(spark, "/root/testdata/sf0.001", "documents"), RANKS, length=64, shard_slots=50)
     with pytest.raises(Exception, match="whole shards in slot order"):
         training_order.write_shards(out.where("slot <> 60"), "file://" + tempfile.mkdtemp(prefix="shards-")).collect()
+
+
+def test_slots_follow_from_corpus_and_key(spark, docs):
+    """Not from partitions; and a restart keeps the shards that are finished."""
+    df = docs.select("doc_id", "text").unionByName(read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text"))
+    df = df.unionByName(df.where("doc_id = 1"))
+    places = lambda rows: sorted((r.slot, r.doc_id or -1, r.part, bytes(r.record)) for r in rows)
+    want, *others = [places(training_order.training_order(df.repartition(n), RANKS, length=64, shard_slots=50).collect()) for n in (2, 3, 211)]
+    assert all(x == want for x in others)
+    assert want != places(training_order.training_order(df, RANKS, key="other", length=64, shard_slots=50).collect())
+    at = Path(tempfile.mkdtemp(prefix="shards-"))
+    run = lambda frame, **more: training_order.materialise(frame, RANKS, f"file://{at}", length=64, shard_slots=50, **more)
+    assert places(run(df.repartition(5)).collect()) == want
+    (at / "shard-00000001.bin").unlink()
+    (at / "shard-00000002.bin").write_bytes(b"kept")
+    first = {p.name: p.stat().st_mtime_ns for p in at.glob("shard-*.bin")}
+    run(df.repartition(9))
+    assert {p.name: p.stat().st_mtime_ns for p in at.glob("shard-*.bin") if p.name != "shard-00000001.bin"} == first
+    assert (at / "shard-00000001.bin").stat().st_size == 50 * 128
+    for other in ({"key": "other"},), ({},):
+        with pytest.raises(ValueError, match="another order"):
+            run(df.limit(3) if not other[0] else df, **other[0])

@@ -2,7 +2,9 @@
 fixed-stride records.
 
 Every text becomes token ids, cut into sequences of a fixed length (the last one padded);
-every sequence has a number, gapless from 0, and a keyed Feistel permutation with
+every sequence has a number, gapless from 0, in the order of documents (by id, rows without
+one last, then by text) and of parts in them.  So numbers, and what follows from them,
+depend on the corpus and not on how it lies in files or partitions.  A keyed Feistel permutation with
 cycle-walking maps the numbers one to one to global slots.  Slots are range-partitioned
 into shards, whose files the partitions write; a record's place in its shard follows from
 its slot alone, so that a reader can seek to any step and go on from there, and a shard can
@@ -13,9 +15,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import uuid
+import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -27,8 +30,9 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import cut, map_arrow, map_batches, shared_dir
+from tidemark.llm.common import cut, dropped, map_arrow, map_batches, shared_dir, shuffles_go
 
 SEQUENCE, SHARD_SLOTS, ROUNDS = 512, 8192, 6
 #: Shards are written in up to so many waves, each of so many shards at least: the shuffle
@@ -94,9 +98,11 @@ class Permutation:
 
 def sequences(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
     """doc_id, part, n_tokens, record (``length`` little-endian 16-bit ids, padded with the
-    id after the vocabulary's last), and the number of the sequence as a pair (_task, _nth).
+    id after the vocabulary's last), its checksum, and the number of the sequence as a pair
+    (_task, _nth) whose order is that of documents.
 
-    A null or empty text has no sequence.  Equal ids and repeated rows have theirs each."""
+    A null or empty text has no sequence.  Equal ids and repeated rows have theirs each;
+    repeated rows are dealt by where they lie, which tells nothing but equal sequences apart."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, task, nth = encoder(path), TaskContext.get().partitionId(), 0
@@ -110,37 +116,47 @@ def sequences(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
                 for part, at in enumerate(range(0, len(ids), length)):
                     some = ids[at : at + length]
                     record = some if len(some) == length else np.concatenate([some, np.full(length - len(some), pad, "<u2")])
-                    rows.append((pd.NA if pd.isna(doc_id) else int(doc_id), part, len(some), record.tobytes(), task, nth))
+                    raw = record.tobytes()
+                    rows.append((pd.NA if pd.isna(doc_id) else int(doc_id), part, len(some), raw, zlib.crc32(raw), task, nth))
                     nth += 1
                     if len(rows) >= 2000:
                         yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
                         rows = []
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
-    columns = ["doc_id", "part", "n_tokens", "record", "_task", "_nth"]
-    schema = "doc_id long, part int, n_tokens int, record binary, _task int, _nth long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).transform(map_batches, run, schema)
+    columns = ["doc_id", "part", "n_tokens", "record", "_crc", "_task", "_nth"]
+    schema = "doc_id long, part int, n_tokens int, record binary, _crc long, _task int, _nth long"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text <> ''")
+    order = [F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64(F.lit("order"), "text"), "_row"]
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.select("doc_id", "text").transform(map_batches, run, schema)
 
 
-def _placed(docs: DataFrame, path: str, key: str, length: int, shard_slots: int) -> tuple[DataFrame, int]:
-    """Every sequence with its slot, shard and byte_offset, where it was encoded; and their number.
+def _numbered(docs: DataFrame, path: str, length: int) -> tuple[DataFrame, dict[int, int], int, int]:
+    """Every sequence, written to the shared folder once, so that the numbers stay as they
+    are if an executor is lost; the first number of each task (all that the driver sees is
+    a count a task); how many there are, and a checksum of all."""
+    spark = docs.sparkSession
+    with shuffles_go(spark):
+        made = cut(sequences(docs, path, length), compression="zstd")
+    counts = made.groupBy("_task").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id", "part", "_crc")).alias("x")).collect()
+    base, total, check = {}, 0, 0
+    for r in sorted(counts, key=lambda r: r["_task"]):
+        base[r["_task"]], total, check = total, total + r["n"], check ^ r["x"]
+    return made, base, total, check
+
 
-    The encoded sequences are written to the shared folder once, so that the numbers stay
-    as they are if an executor is lost; their count per task is all that the driver sees."""
-    made = cut(sequences(docs, path, length), compression="zstd")
-    counts = {r["_task"]: r["n"] for r in made.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row an input task
-    base, total = {}, 0
-    for task in sorted(counts):
-        base[task], total = total, total + counts[task]
-    stride = 2 * length
+def _placed(made: DataFrame, base: dict[int, int], total: int, key: str, length: int, shard_slots: int) -> DataFrame:
+    """Every sequence with its slot, shard and byte_offset, where it was encoded."""
 
     @F.pandas_udf("long")
     def slot_of(task: pd.Series, nth: pd.Series) -> pd.Series:
         return pd.Series(Permutation(total, key).slots(task.map(base).to_numpy(np.int64) + nth.to_numpy(np.int64)))
 
-    placed = made.withColumn("slot", slot_of("_task", "_nth")).drop("_task", "_nth")
-    placed = placed.withColumn("shard", F.expr(f"slot div {shard_slots}")).withColumn("byte_offset", F.expr(f"slot % {shard_slots} * {stride}"))
-    return placed.select("slot", "shard", "byte_offset", *INDEX, "record"), total
+    placed = made.withColumn("slot", slot_of("_task", "_nth"))
+    placed = placed.withColumn("shard", F.expr(f"slot div {shard_slots}")).withColumn("byte_offset", F.expr(f"slot % {shard_slots} * {2 * length}"))
+    return placed.select("slot", "shard", "byte_offset", *INDEX, "record")
 
 
 def _tasks(spark: SparkSession, n_shards: int) -> int:
@@ -158,8 +174,8 @@ def _ranged(placed: DataFrame, first: int, end: int) -> DataFrame:
 def training_order(docs: DataFrame, path: str, key: str = "order-1", length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """slot, shard, byte_offset (in the shard), doc_id, part, n_tokens, record: every sequence
     in its place, range-partitioned by slot at the bounds of shards, and sorted."""
-    placed, total = _placed(docs, path, key, length, shard_slots)
-    return _ranged(placed, 0, -(-total // shard_slots))
+    made, base, total, _ = _numbered(docs, path, length)
+    return _ranged(_placed(made, base, total, key, length, shard_slots), 0, -(-total // shard_slots))
 
 
 def write_shards(ordered: DataFrame, uri: str, done: set[int] | None = None) -> DataFrame:
@@ -238,33 +254,51 @@ def read_shards(spark: SparkSession, uri: str, n_shards: int, length: int = SEQU
     return shards.transform(map_arrow, run, "slot long, shard long, byte_offset long, doc_id long, part int, n_tokens int, record binary")
 
 
-@contextmanager
-def _shuffles_go(spark: SparkSession):
-    """Each query's shuffle files go when it ends, and not when the driver collects garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    had = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if had is None else spark.conf.set(name, had)
+def _claim(uri: str, order: dict) -> set[int]:
+    """The shards under ``uri`` that are complete.  The folder says which order it is for;
+    one that holds another is an error."""
+    fs, root = pafs.FileSystem.from_uri(uri)
+    fs.create_dir(root, recursive=True)
+    text = json.dumps(order, sort_keys=True)
+    if fs.get_file_info(f"{root}/order.json").type == pafs.FileType.NotFound:
+        with fs.open_output_stream(f"{root}/order.json") as f:
+            f.write(text.encode())
+    with fs.open_input_stream(f"{root}/order.json") as f:
+        if f.read().decode() != text:
+            raise ValueError(f"{uri} holds shards of another order")
+    names = (x.base_name for x in fs.get_file_info(pafs.FileSelector(root)))
+    return {int(x[6:14]) for x in names if x.startswith("shard-")}
 
 
 def materialise(docs: DataFrame, path: str, uri: str | None = None, key: str = "order-1", length: int = SEQUENCE, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """Writes every sequence to its place in the shards under ``uri`` (by default a new
-    folder in the shared one), and returns what read_shards() reads there."""
+    folder in the shared one), and returns what read_shards() reads there.  Shards that an
+    earlier run of the same corpus, key and sizes has finished there stay as they are."""
     spark = docs.sparkSession
     uri = uri or f"{shared_dir(spark)}/shards-{uuid.uuid4()}"
-    placed, total = _placed(docs, path, key, length, shard_slots)
+    made, base, total, check = _numbered(docs, path, length)
     n_shards = -(-total // shard_slots)
+    done = _claim(uri, {"sequences": total, "checksum": check, "key": hashlib.sha256(key.encode()).hexdigest(), "length": length, "shard_slots": shard_slots})
     waves = min(WAVES, -(-n_shards // WAVE_SHARDS))
-    written = 0
-    with _shuffles_go(spark):
+    bounds = [n_shards * k // waves for k in range(waves + 1)] if waves else []
+    placed = _placed(made, base, total, key, length, shard_slots)
+    if waves > 1:  # slots are worked out once, and a wave reads its own part
+        wave = " + ".join(f"cast(shard >= {b} as int)" for b in bounds[1:-1])
+        at = f"{shared_dir(spark)}/waves-{uuid.uuid4()}"
+        placed.withColumn("_wave", F.expr(wave)).write.partitionBy("_wave").parquet(at, compression="zstd")
+        placed = spark.read.schema(T.StructType([*placed.schema.fields, T.StructField("_wave", T.IntegerType())])).parquet(at)
+        placed._folder = at
+        dropped(made)
+    with shuffles_go(spark):
         for k in range(waves):
-            wave = write_shards(_ranged(placed, n_shards * k // waves, n_shards * (k + 1) // waves), uri)
-            written += wave.agg(F.sum("n_records")).first()[0]
-    if written != total:
-        raise ValueError(f"{written} of {total} sequences were written")
+            rest = [n for n in range(bounds[k], bounds[k + 1]) if n not in done]
+            if rest:
+                some = placed.where(f"_wave = {k}").drop("_wave") if waves > 1 else placed
+                wave = write_shards(_ranged(some, bounds[k], bounds[k + 1]), uri, done & set(range(bounds[k], bounds[k + 1])))
+                written = wave.agg(F.sum("n_records")).first()[0]
+                if written != sum(min(shard_slots, total - n * shard_slots) for n in rest):
+                    raise ValueError(f"{written} sequences were written to the shards {rest[0]} to {rest[-1]}")
+    dropped(placed if waves > 1 else made)
     return read_shards(spark, uri, n_shards, length, shard_slots)
 
 
