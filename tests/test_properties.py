@@ -209,4 +209,4 @@ def test_incremental_tagged_agrees_with_new_rows(spark, tgt_keys, batch_keys):
     b = spark.createDataFrame([(k, i) for i, k in enumerate(batch_keys)], "k int, i int")
     tagged = L.incremental_tagged(t, b, ["k"]).collect()
     assert len(tagged) == len(batch_keys)
-    assert sorted(r.i for r in tagged if r._new) == sorted(r.i for r in L.incremental_new_rows(t, b, ["k"]).collect())
+    assert sorted(r._row.i for r in tagged if r._new) == sorted(r.i for r in L.incremental_new_rows(t, b, ["k"]).collect())

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the separator the fingerprint joins columns with.
 SEPARATOR = "||"
@@ -54,16 +55,63 @@ def sql_string(value) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def change_hash_sql(columns: Sequence[str], exact: bool = False, prefix: str | None = None) -> str:
-    """Hex SHA-256 of the columns as SQL text: one expression, parsed once by
-    Spark.  ``prefix`` qualifies the names (``"s"`` -> ``s.col``)."""
-    refs = [f"{prefix}.{quote(c)}" if prefix else quote(c) for c in columns]
+def unused(name: str, columns: Sequence[str]) -> str:
+    """``name``, with underscores before it until no column is called that."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def column_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
+    """The types of the columns, under the names they are asked by."""
+    return {c: df.schema[resolve(df, c)].dataType for c in columns}
+
+
+def canonical_sql(ref: str, kind: T.DataType, depth: int = 0) -> str:
+    """A value of any type as text that is equal for equal values and differs
+    for others: NULL is ``N;``, anything else its length, ``:`` and its text,
+    at every level.  Structs are their fields in order, arrays their elements,
+    maps their entries by the order of their keys' texts, however they were
+    put in."""
+    mark = lambda text: f"coalesce(concat(length({text}), ':', {text}), 'N;')"
+    x, y = f"x{depth}", f"y{depth}"
+    if isinstance(kind, T.StructType):
+        fields = [canonical_sql(f"{ref}.{quote(f.name)}", f.dataType, depth) for f in kind.fields] or ["''"]
+        return mark(f"CASE WHEN {ref} IS NOT NULL THEN concat({', '.join(fields)}) END")
+    if isinstance(kind, T.ArrayType):
+        return mark(f"array_join(transform({ref}, {x} -> {canonical_sql(x, kind.elementType, depth + 1)}), '')")
+    if isinstance(kind, T.MapType):
+        entry = f"{canonical_sql(x, kind.keyType, depth + 1)}, {canonical_sql(y, kind.valueType, depth + 1)}"
+        entries = f"map_values(transform_values({ref}, ({x}, {y}) -> concat({entry})))"
+        return mark(f"array_join(sort_array({entries}), '')")
+    return mark(f"CAST({ref} AS STRING)")
+
+
+def _text_sql(ref: str, kind: T.DataType | None) -> str:
+    """A value's text in a plain fingerprint: its cast, but for types that hold
+    a map, whose entries have no order."""
+    if kind is not None and "map<" in kind.simpleString():
+        return f"CASE WHEN {ref} IS NOT NULL THEN {canonical_sql(ref, kind)} END"
+    return f"CAST({ref} AS STRING)"
+
+
+def change_text_sql(columns: Sequence[str], exact: bool = False, prefix: str | None = None, types: dict[str, T.DataType] | None = None) -> str:
+    """What a fingerprint hashes, as SQL text: one expression, parsed once by
+    Spark.  ``prefix`` qualifies the names (``"s"`` -> ``s.col``).  With
+    ``types``, maps are equal whatever the order of their entries, and an exact
+    fingerprint marks lengths and NULLs inside nested values, too."""
+    refs = {c: f"{prefix}.{quote(c)}" if prefix else quote(c) for c in columns}
+    kind = (types or {}).get
     if exact:
-        text = lambda r: f"CAST({r} AS STRING)"
-        body = "concat(" + ", ".join(f"coalesce(concat(length({text(r)}), ':', {text(r)}), 'N;')" for r in refs) + ")"
-    else:
-        body = "concat_ws('" + SEPARATOR + "', " + ", ".join(f"CAST({r} AS STRING)" for r in refs) + ")"
-    return f"sha2({body}, 256)"
+        flat = lambda c: not isinstance(kind(c), T.StructType | T.ArrayType | T.MapType)
+        return "concat(" + ", ".join(canonical_sql(r, T.StringType() if flat(c) else kind(c)) for c, r in refs.items()) + ")"
+    return "concat_ws('" + SEPARATOR + "', " + ", ".join(_text_sql(r, kind(c)) for c, r in refs.items()) + ")"
+
+
+def change_hash_sql(columns: Sequence[str], exact: bool = False, prefix: str | None = None, types: dict[str, T.DataType] | None = None) -> str:
+    """Hex SHA-256 of ``change_text_sql``."""
+    return f"sha2({change_text_sql(columns, exact, prefix, types)}, 256)"
 
 
 def keys_equal(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
@@ -85,8 +133,6 @@ def all_not_null(keys: Sequence[str]) -> Column:
 
 def ts_type(value):
     """Spark type of ``ts_literal(value)``."""
-    from pyspark.sql import types as T
-
     if value is None or (isinstance(value, _dt.datetime) and value.tzinfo is not None):
         return T.TimestampType()
     return T.TimestampNTZType()

@@ -21,6 +21,11 @@ hash`` without the quadratic fan-out on duplicated keys.
 
 The issue listings (missing, extra, duplicates, mismatches) are filters
 over the same profile; the summary is one global aggregate over it.
+
+Inside, a key column ``x`` is called ``k__x``, so that no key can be taken for
+a helper column, whatever it is called.  Where a result names its keys and a
+key is called like one of the result's own columns, that one gets an
+underscore.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.fingerprint import case_sensitive, change_hash_sql, quote, sql_string
+from tidemark.functions.fingerprint import case_sensitive, change_hash_sql, column_types, quote, sql_string, unused
 
 # Status words and texts of the reconciliation report.
 PASSED = "PASSED"
@@ -108,28 +113,41 @@ def compare_columns(
     return sorted(name for name, decision in made.items() if decision == COMPARED)
 
 
-def _fingerprint_sql(columns: Sequence[str], exact: bool) -> str:
+def _fingerprint_sql(df: DataFrame, columns: Sequence[str], exact: bool) -> str:
     # 32 raw bytes instead of 64 hex characters halves what the first exchange moves.
     if not columns:
         return "CAST(NULL AS BINARY)"
-    return f"unhex({change_hash_sql(columns, exact=exact)})"
+    return f"unhex({change_hash_sql(columns, exact=exact, types=column_types(df, columns))})"
+
+
+KEY_PREFIX = "k__"
 
 
 def _names(keys: Sequence[str]) -> list[str]:
+    """The key columns' names inside a profile, quoted."""
     if not keys:
         raise ValueError("reconciliation needs at least one key column")
-    return [quote(k) for k in keys]
+    return [quote(KEY_PREFIX + k) for k in keys]
+
+
+def _keyed(df: DataFrame, keys: Sequence[str], *more: str) -> DataFrame:
+    return df.selectExpr(*[f"{quote(k)} AS {n}" for k, n in zip(keys, _names(keys), strict=True)], *more)
+
+
+def _out(df: DataFrame, keys: Sequence[str], **more: str) -> DataFrame:
+    """The keys under their own names, and further columns by name."""
+    own = [f"{n} AS {quote(k)}" for k, n in zip(keys, _names(keys), strict=True)]
+    return df.selectExpr(*own, *[f"{expr} AS {quote(unused(name, keys))}" for name, expr in more.items()])
 
 
 def fingerprint_counts(
     source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], exact: bool = False
 ) -> DataFrame:
-    """Rows per side (``_ns``, ``_nt``) of every key and fingerprint (``_h``,
-    32 bytes)."""
-    kq, fp = _names(keys), _fingerprint_sql(columns, exact)
-    tagged = source.selectExpr(*kq, f"{fp} AS _h", "1 AS _s", "0 AS _t").unionByName(
-        target.selectExpr(*kq, f"{fp} AS _h", "0 AS _s", "1 AS _t")
-    )
+    """Rows per side (``_ns``, ``_nt``) of every key (``k__x``) and fingerprint
+    (``_h``, 32 bytes)."""
+    kq = _names(keys)
+    sides = [_keyed(df, keys, f"{_fingerprint_sql(df, columns, exact)} AS _h", f"{s} AS _s", f"{1 - s} AS _t") for df, s in ((source, 1), (target, 0))]
+    tagged = sides[0].unionByName(sides[1])
     return tagged.groupBy(*[F.col(k) for k in kq], "_h").agg(
         F.expr("CAST(sum(_s) AS BIGINT) AS _ns"), F.expr("CAST(sum(_t) AS BIGINT) AS _nt")
     )
@@ -144,7 +162,7 @@ def key_profile(
 ) -> DataFrame:
     """One row per key seen on either side.
 
-    Columns: keys, ``source_rows``, ``target_rows`` and, when ``columns`` is
+    Columns: keys (``k__x``), ``source_rows``, ``target_rows`` and, when ``columns`` is
     given, ``same_pairs`` (source x target pairs with equal fingerprints; 0 for
     NULL keys), ``source_versions`` / ``target_versions`` (distinct
     fingerprints per side), ``source_hash`` / ``target_hash`` (the hex
@@ -157,13 +175,16 @@ def key_profile(
     """
     kq = _names(keys)
     if not columns:
-        tagged = source.selectExpr(*kq, "1 AS _s", "0 AS _t").unionByName(
-            target.selectExpr(*kq, "0 AS _s", "1 AS _t")
-        )
+        tagged = _keyed(source, keys, "1 AS _s", "0 AS _t").unionByName(_keyed(target, keys, "0 AS _s", "1 AS _t"))
         return tagged.groupBy(*[F.col(k) for k in kq]).agg(
             F.expr("CAST(sum(_s) AS BIGINT) AS source_rows"), F.expr("CAST(sum(_t) AS BIGINT) AS target_rows")
         )
-    per_hash = fingerprint_counts(source, target, keys, columns, exact)
+    return profile_from_counts(fingerprint_counts(source, target, keys, columns, exact), keys)
+
+
+def profile_from_counts(per_hash: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``key_profile`` from the rows per side of every key and fingerprint."""
+    kq = _names(keys)
     # The fingerprint of a side's only version is carried as four 64-bit
     # chunks under XOR: with one version that is the chunk itself, and the
     # fixed-width buffers keep this a hash aggregation.
@@ -207,19 +228,20 @@ def _as_long(expr: str) -> str:
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once (NULL is a key value); column ``cnt``."""
-    return df.groupBy(*[F.col(k) for k in _names(keys)]).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
+    counts = _keyed(df, keys).groupBy(*_names(keys)).agg(F.count(F.lit(1)).alias("_n"))
+    return _out(counts.filter("_n > 1"), keys, cnt="_n")
 
 
 def missing_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct source keys absent from the target (NULL matches NULL)."""
     prof = key_profile(source, target, keys)
-    return prof.filter((F.col("source_rows") > 0) & (F.col("target_rows") == 0)).select(*_names(keys))
+    return _out(prof.filter("source_rows > 0 AND target_rows = 0"), keys)
 
 
 def extra_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct target keys absent from the source (NULL matches NULL)."""
     prof = key_profile(source, target, keys)
-    return prof.filter((F.col("target_rows") > 0) & (F.col("source_rows") == 0)).select(*_names(keys))
+    return _out(prof.filter("target_rows > 0 AND source_rows = 0"), keys)
 
 
 def mismatches(
@@ -238,32 +260,30 @@ def mismatches(
     ``source_versions`` / ``target_versions`` say how many there are;
     ``mismatch_versions`` lists them.
     """
-    kq = _names(keys)
     if not columns:
         none = key_profile(source, target, keys).filter(F.lit(False))
         types = {"source_hash": "STRING", "target_hash": "STRING", "mismatched_pairs": "BIGINT",
                  "source_versions": "BIGINT", "target_versions": "BIGINT"}
-        return none.selectExpr(*kq, *[f"CAST(NULL AS {t}) AS {c}" for c, t in types.items()])
-    prof = key_profile(source, target, keys, columns, exact)
-    return prof.filter(F.col("mismatched_pairs") > 0).selectExpr(
-        *kq, "source_hash", "target_hash", f"{_as_long('mismatched_pairs')} AS mismatched_pairs",
-        "source_versions", "target_versions"
-    )
+        return _out(none, keys, **{c: f"CAST(NULL AS {t})" for c, t in types.items()})
+    prof = key_profile(source, target, keys, columns, exact).filter("mismatched_pairs > 0")
+    same = {c: c for c in ("source_versions", "target_versions")}
+    return _out(prof, keys, source_hash="source_hash", target_hash="target_hash", mismatched_pairs=_as_long("mismatched_pairs"), **same)
 
 
 def _versions_of(per_hash: DataFrame, prof: DataFrame, keys: Sequence[str], only: str) -> DataFrame:
-    """Fingerprints of the mismatched keys in ``prof`` that fulfil ``only``,
-    with a differing row on the other side."""
+    """Fingerprints of the mismatched keys (``k__x``) in ``prof`` that fulfil
+    ``only``, with a differing row on the other side.
+
+    Mismatched keys have no NULL.  They are joined null-safely all the same:
+    a plain join would filter NULL keys in this reading of both sides and not
+    in the profile's, and the two could not share their first exchange."""
     kq = _names(keys)
     held = [f"_k{i}" for i in range(len(kq))]
     picked = prof.filter(f"mismatched_pairs > 0 AND ({only})").selectExpr(
         *[f"{k} AS {h}" for k, h in zip(kq, held)], "source_rows AS _N", "target_rows AS _M"
     )
-    on = None
-    for k, h in zip(kq, held):
-        c = per_hash[k] == picked[h]
-        on = c if on is None else on & c
-    return per_hash.join(picked, on).filter("(_ns > 0 AND _M > _nt) OR (_nt > 0 AND _N > _ns)").selectExpr(
+    on = " AND ".join(f"{k} <=> {h}" for k, h in zip(kq, held))
+    return per_hash.join(picked, F.expr(on)).filter("(_ns > 0 AND _M > _nt) OR (_nt > 0 AND _N > _ns)").selectExpr(
         *kq, "lower(hex(_h)) AS fingerprint", "_ns AS source_rows", "_nt AS target_rows"
     )
 
@@ -279,7 +299,8 @@ def mismatch_versions(
     The rows of a key are joined with its totals, never gathered, so that the
     planner can split a hot key."""
     per_hash = fingerprint_counts(source, target, keys, columns, exact)
-    return _versions_of(per_hash, key_profile(source, target, keys, columns, exact), keys, "true")
+    found = _versions_of(per_hash, key_profile(source, target, keys, columns, exact), keys, "true")
+    return _out(found, keys, **{c: c for c in ("fingerprint", "source_rows", "target_rows")})
 
 
 def row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -440,7 +461,7 @@ def with_thresholds(summary: DataFrame, thresholds: dict | None = None, schema_s
 def _keys_json_sql(keys: Sequence[str], extra: dict[str, str] | None = None) -> str:
     """The keys (and ``extra``: name -> column) as a JSON object: NULL fields
     kept, times to the microsecond."""
-    named = [*((k, k) for k in keys), *(extra or {}).items()]
+    named = [*((k, KEY_PREFIX + k) for k in keys), *(extra or {}).items()]
     fields = ", ".join(f"{sql_string(n)}, {quote(c)}" for n, c in named)
     options = {
         "ignoreNullFields": "false",

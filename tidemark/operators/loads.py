@@ -18,6 +18,9 @@ Scale notes
   hash of the row for others, spreads them (``_spread``).
 * A changed key emits two rows (closed + new version) from one joined row
   via ``explode``; the join is computed once.
+* Columns of the two sides are renamed ``t__x`` / ``s__x`` before any helper
+  column is added, and joined frames carry rows in structs, so that no column
+  of a table can be taken for a helper's, whatever it is called.
 """
 
 from __future__ import annotations
@@ -31,13 +34,14 @@ from pyspark.sql import types as T
 from tidemark.functions.fingerprint import (
     all_not_null,
     change_hash_sql,
-    keys_equal,
+    column_types,
     quote,
     resolve,
     sql_string,
     ts_literal,
     ts_sql,
     ts_type,
+    unused,
 )
 
 # SCD2 metadata columns and flag values.
@@ -80,12 +84,24 @@ def _validate(keys: Sequence[str], columns: Sequence[str] | None, source: DataFr
 
 
 SPREAD = "_spread"
+T_PREFIX, S_PREFIX = "t__", "s__"
+
+
+def _prefixed(df: DataFrame, prefix: str, columns: Sequence[str] | None = None, *more: str) -> DataFrame:
+    """The columns (all of them by default), renamed, and further SQL expressions."""
+    return df.selectExpr(*[f"{quote(c)} AS {quote(prefix + c)}" for c in (df.columns if columns is None else columns)], *more)
+
+
+def _plain(df: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
+    """The columns under their own names again."""
+    return df.selectExpr(*[f"{quote(prefix + c)} AS {quote(c)}" for c in columns])
 
 
 def _with_spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Adds ``_spread``: 0 where every key is set, else a hash of the row.  As
-    a join and window column it leaves what matches as it is (a NULL key
-    matches nothing) and deals the rows with NULL keys to all tasks."""
+    """Adds ``_spread`` to a frame of renamed columns: 0 where every key is set,
+    else a hash of the row.  As a join and window column it leaves what matches
+    as it is (a NULL key matches nothing) and deals the rows with NULL keys to
+    all tasks."""
     row = ", ".join(quote(f.name) for f in df.schema.fields if not _holds_map(f.dataType))
     complete = " AND ".join(f"{quote(k)} IS NOT NULL" for k in keys)
     return df.withColumn(SPREAD, F.expr(f"CASE WHEN {complete} THEN 0L ELSE xxhash64({row}) END"))
@@ -96,8 +112,8 @@ def _holds_map(dtype: T.DataType) -> bool:
 
 
 def guard_unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` with ``_spread``; fails the query (``raise_error``) at the
-    second row of a complete key.
+    """``source``, a frame of renamed columns, with ``_spread``; fails the query
+    (``raise_error``) at the second row of a complete key.
 
     The row number is partitioned by the keys and ``_spread``, which is what
     the following sort-merge join on them requires, so Spark reuses the
@@ -117,17 +133,30 @@ def _cast_sql(expr: str, dtype: T.DataType | None) -> str:
     return f"CAST({expr} AS {dtype.simpleString()})" if dtype is not None else expr
 
 
+def _on_keys(keys: Sequence[str], right_prefix: str) -> str:
+    """The join condition of renamed sides ``l`` (source) and ``r``: plain ``=``,
+    so that NULL keys never match, and ``_spread``."""
+    pairs = [(S_PREFIX + k, right_prefix + k) for k in keys] + [(SPREAD, SPREAD)]
+    return " AND ".join(f"l.{quote(a)} = r.{quote(b)}" for a, b in pairs)
+
+
 def _join_flat(t: DataFrame, s: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``t FULL OUTER JOIN s`` on the keys (plain ``=``: NULL keys never
-    match) and ``_spread``, with every column renamed ``t__x`` / ``s__x`` so
-    the output expressions can be written as plain SQL text."""
-    t = _with_spread(t, keys)
-    on = keys_equal("t", "s", [*keys, SPREAD])
-    j = t.alias("t").join(s.alias("s"), on, "full_outer")
-    return j.selectExpr(
-        *[f"t.{quote(c)} AS {quote('t__' + c)}" for c in t.columns if c != SPREAD],
-        *[f"s.{quote(c)} AS {quote('s__' + c)}" for c in s.columns if c != SPREAD],
-    )
+    """Renamed target ``t`` FULL OUTER JOIN renamed source ``s`` (which has
+    ``_spread``), without ``_spread``."""
+    t = _with_spread(t, [T_PREFIX + k for k in keys])
+    j = s.alias("l").join(t.alias("r"), F.expr(_on_keys(keys, T_PREFIX)), "full_outer")
+    return j.selectExpr(*[f"{side}.{quote(c)}" for side, df in (("r", t), ("l", s)) for c in df.columns if c != SPREAD])
+
+
+def _keys_in(rows: DataFrame, batch: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """The distinct keys (``k__x``) of ``rows`` that ``batch`` has, with ``flag``
+    (true) and ``_spread`` (0).  When the planner's size estimate of the
+    batch's distinct keys is under the broadcast threshold the (large) other
+    side's keys stream through a hash lookup without being shuffled; otherwise
+    it is a sort-merge join."""
+    some = _prefixed(batch, "k__", keys).dropDuplicates()
+    found = _prefixed(rows, "k__", keys).join(some, ["k__" + k for k in keys], "left_semi").dropDuplicates()
+    return found.selectExpr("*", f"true AS {flag}", f"0L AS {SPREAD}")
 
 
 # ---------------------------------------------------------------- full refresh
@@ -147,28 +176,24 @@ def incremental_new_rows(target: DataFrame | None, source: DataFrame, keys: Sequ
     duplicates inside the batch are all appended)."""
     if target is None or not keys:
         return source
-    # Target keys that occur in the batch, found by a semi join against the
-    # batch's distinct keys: when the planner's size estimate of those keys
-    # is under the broadcast threshold the (large) target's keys stream
-    # through a hash lookup without being shuffled; otherwise it is a
-    # sort-merge join.  The anti join then runs on batch-sized inputs.
-    batch_keys = source.select(*[quote(k) for k in keys]).dropDuplicates()
-    hits = target.select(*[quote(k) for k in keys]).join(batch_keys, list(keys), "left_semi").withColumn(SPREAD, F.lit(0).cast("long"))
-    return _with_spread(source, keys).join(hits, [*keys, SPREAD], "left_anti").select(*[quote(c) for c in source.columns])
+    tagged = _tagged(target, source, keys).filter("_hit IS NULL")
+    return _plain(tagged, S_PREFIX, source.columns)
+
+
+def _tagged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The renamed source with ``_hit``: true where the target has the key."""
+    s = _with_spread(_prefixed(source, S_PREFIX), [S_PREFIX + k for k in keys])
+    hits = _keys_in(target, source, keys, "_hit")
+    return s.alias("l").join(hits.alias("r"), F.expr(_on_keys(keys, "k__")), "left").selectExpr("l.*", "r._hit")
 
 
 def incremental_tagged(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Every source row with ``_new``: true when it would be appended.  One
-    plan gives both the rows to append and the counters."""
+    """Every source row, as the struct ``_row``, with ``_new``: true when it
+    would be appended.  One plan gives both the rows to append and the counters."""
+    fields = lambda prefix: ", ".join(f"{sql_string(c)}, {quote(prefix + c)}" for c in source.columns)
     if target is None or not keys:
-        return source.withColumn("_new", F.lit(True))
-    batch_keys = source.select(*[quote(k) for k in keys]).dropDuplicates()
-    hits = (
-        target.select(*[quote(k) for k in keys]).join(batch_keys, list(keys), "left_semi").dropDuplicates()
-        .withColumn("_hit", F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long"))
-    )
-    tagged = _with_spread(source, keys).join(hits, [*keys, SPREAD], "left").withColumn("_new", F.col("_hit").isNull())
-    return tagged.select(*[quote(c) for c in source.columns], "_new")
+        return source.selectExpr(f"named_struct({fields('')}) AS _row", "true AS _new")
+    return _tagged(target, source, keys).selectExpr(f"named_struct({fields(S_PREFIX)}) AS _row", "_hit IS NULL AS _new")
 
 
 def incremental(target: DataFrame | None, source: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -209,22 +234,22 @@ def _scd1_source(source: DataFrame, keys, columns, as_of) -> DataFrame:
 def scd1_joined(
     target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str], as_of=None
 ) -> DataFrame:
-    """Full outer join of target and source on the keys, with ``_action``
-    (matched_changed / matched_equal / inserted / target_only) and the
-    output columns of the new state already computed."""
+    """Full outer join of target and source on the keys: ``_action``
+    (matched_changed / matched_equal / inserted / target_only), ``_sp`` (the
+    source has the key) and ``_row``, the row of the new state as a struct."""
     _validate(keys, columns, source)
     ts = ts_sql(as_of)
     src = _scd1_source(source, keys, columns, as_of)
-    ins_cols = [*keys, *columns, CREATED_AT, UPDATED_AT]
-    s = guard_unique_keys(src.select(*[quote(c) for c in ins_cols]), keys).withColumn("_sp", F.lit(True))
-    t = target.withColumn("_tp", F.lit(True))
+    ins_cols = list(dict.fromkeys([*keys, *columns, CREATED_AT, UPDATED_AT]))
+    s = guard_unique_keys(_prefixed(src, S_PREFIX, ins_cols, "true AS _sp"), [S_PREFIX + k for k in keys])
+    t = _prefixed(target, T_PREFIX, None, "true AS _tp")
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     absent = [c for c in [*keys, *columns] if c not in ttypes]
     if absent:
         raise ValueError(f"target lacks key or tracked columns {absent}")
     j = _join_flat(t, s, keys)
-    T_, S_ = (lambda c: quote("t__" + c)), (lambda c: quote("s__" + c))
-    tp, sp = f"{T_('_tp')} IS NOT NULL", f"{S_('_sp')} IS NOT NULL"
+    T_, S_ = (lambda c: quote(T_PREFIX + c)), (lambda c: quote(S_PREFIX + c))
+    tp, sp = "_tp IS NOT NULL", "_sp IS NOT NULL"
     differ = " OR ".join(f"NOT ({T_(c)} <=> {_cast_sql(S_(c), ttypes[c])})" for c in columns) or "false"
     action = (
         f"CASE WHEN {tp} AND {sp} AND ({differ}) THEN '{MATCHED_CHANGED}' WHEN {tp} AND {sp} THEN '{MATCHED_EQUAL}' "
@@ -244,14 +269,22 @@ def scd1_joined(
                  f"ELSE {T_(c)} END")
         else:
             v = f"CASE WHEN {tp} THEN {T_(c)} ELSE {_cast_sql('NULL', dt)} END"
-        outs.append(f"{v} AS {quote(c)}")
-    return j.selectExpr(*outs, f"{action} AS _action", f"{sp} AS _sp")
+        outs.append(f"{sql_string(c)}, {v}")
+    return j.selectExpr(f"{action} AS _action", f"{sp} AS _sp", f"named_struct({', '.join(outs)}) AS _row")
+
 
 def scd1_changes(joined: DataFrame) -> DataFrame:
     """Only the rows an SCD1 load writes: every matched key (its update
     time moves even when nothing else changed) and every inserted key, with
-    ``_action``.  What a table format with MERGE needs: O(batch) to write."""
-    return joined.filter(F.col("_action") != TARGET_ONLY).drop("_sp")
+    their action in a last column, ``action`` unless a column is called that.
+    What a table format with MERGE needs: O(batch) to write."""
+    return _with_action(joined.filter(F.col("_action") != TARGET_ONLY))
+
+
+def _with_action(rows: DataFrame) -> DataFrame:
+    """The fields of ``_row``, and its action."""
+    label = unused("action", rows.schema["_row"].dataType.fieldNames())
+    return rows.selectExpr("_row.*", f"_action AS {quote(label)}")
 
 
 def scd1(
@@ -261,8 +294,9 @@ def scd1(
     ``updated_at`` (= ``as_of``) when it lacks them."""
     if target is None:
         _validate(keys, columns, source)
-        return guard_unique_keys(_scd1_source(source, keys, columns, as_of), keys).drop(SPREAD)
-    return scd1_joined(target, source, keys, columns, as_of).drop("_action", "_sp")
+        rows = _scd1_source(source, keys, columns, as_of)
+        return _plain(guard_unique_keys(_prefixed(rows, S_PREFIX), [S_PREFIX + k for k in keys]), S_PREFIX, rows.columns)
+    return scd1_joined(target, source, keys, columns, as_of).select("_row.*")
 
 
 def scd1_stats(target, source, keys, columns, as_of=None) -> DataFrame:
@@ -284,26 +318,25 @@ def scd1_stats(target, source, keys, columns, as_of=None) -> DataFrame:
 
 
 def _scd2_source(source, keys, columns, delete_column, delete_value, exact) -> tuple[DataFrame, list[str]]:
-    """Keys, tracked columns, the delete column, hash and flag.  The delete
-    column is resolved as the session resolves names; a name that the source
-    lacks is an error, not a load without deletes."""
+    """Keys, tracked columns and the delete column, renamed; ``_new_hash`` and
+    ``_flag``.  The delete column is resolved as the session resolves names; a
+    name that the source lacks is an error, not a load without deletes.  So is
+    a key or tracked column that is called like one of the target's own."""
     _validate(keys, columns, source)
     carry = [resolve(source, delete_column)] if delete_column else []
-    src_cols = [*keys, *columns, *[c for c in carry if c not in columns]]
+    src_cols = list(dict.fromkeys([*keys, *columns, *carry]))
+    if clash := [c for c in src_cols if c.lower() in SCD2_META]:
+        raise ValueError(f"columns {clash} are called like columns that an SCD2 table has for itself")
     flag = f"{quote(carry[0])} <=> {sql_string(delete_value)}" if carry and delete_value is not None else "false"
-    s = source.selectExpr(*[quote(c) for c in src_cols], f"{change_hash_sql(columns, exact)} AS {HASH}",
-                          f"{flag} AS _flag")
-    return s, src_cols
+    return _prefixed(source, S_PREFIX, src_cols, f"{change_hash_sql(columns, exact, types=column_types(source, columns))} AS _new_hash", f"{flag} AS _flag"), src_cols
 
-def _new_version(src_cols, out_types, ts, batch_id, prefix=""):
-    """SQL expressions (name, text) of a fresh active version built from source columns."""
-    def ref(c):
-        return quote(prefix + c)
 
-    vals = {c: ref(c) for c in src_cols}
+def _new_version(src_cols, out_types, ts, batch_id):
+    """SQL expressions (name, text) of a fresh active version built from renamed source columns."""
+    vals = {c: quote(S_PREFIX + c) for c in src_cols}
     vals.update(
         {
-            HASH: ref(HASH),
+            HASH: "_new_hash",
             BATCH: f"CAST({sql_string(batch_id)} AS STRING)",
             START: ts,
             END: "NULL",
@@ -328,9 +361,10 @@ def scd2_joined(
 ) -> DataFrame:
     """Active target rows FULL OUTER JOIN source on the keys.
 
-    One row per joined pair with ``_action`` and ``_rows``: the 0-2 output
-    rows of the new state for that pair (closed or kept target row; new
-    version), as an array of structs in the target's column order.
+    One row per joined pair: ``_keys`` (a struct), ``_action``, ``_sp`` (the
+    source has the key) and ``_rows``: the 0-2 output rows of the new state for
+    that pair (closed or kept target row; new version), as an array of structs
+    in the target's column order.
 
     With ``label_reactivated`` a new key that has a closed version is tagged
     ``reactivated``: the source is left-joined with the history keys, first
@@ -339,29 +373,25 @@ def scd2_joined(
     """
     ts = ts_sql(as_of)
     s, src_cols = _scd2_source(source, keys, columns, delete_column, delete_value, exact)
-    s = guard_unique_keys(s, keys).withColumn("_sp", F.lit(True))
+    s = guard_unique_keys(s, [S_PREFIX + k for k in keys]).withColumn("_sp", F.lit(True))
     if label_reactivated:
-        hk = (
-            _history(target).select(*[quote(k) for k in keys])
-            .join(s.select(*[quote(k) for k in keys]).dropDuplicates(), list(keys), "left_semi")
-            .dropDuplicates().withColumn("_h", F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long"))
-        )
-        s = s.join(hk, [*keys, SPREAD], "left")
+        hk = _keys_in(_history(target), source, keys, "_h")
+        s = s.alias("l").join(hk.alias("r"), F.expr(_on_keys(keys, "k__")), "left").selectExpr("l.*", "r._h")
     else:
         s = s.withColumn("_h", F.lit(None).cast("boolean"))
     out_types = {f.name: f.dataType for f in target.schema.fields}
-    active = target.filter(F.col(ACTIVE) == F.lit(YES)).withColumn("_tp", F.lit(True))
+    active = _prefixed(target.filter(F.col(ACTIVE) == F.lit(YES)), T_PREFIX, None, "true AS _tp")
     j = _join_flat(active, s, keys)
-    T_, S_ = (lambda c: quote("t__" + c)), (lambda c: quote("s__" + c))
-    tp, sp = f"{T_('_tp')} IS NOT NULL", f"{S_('_sp')} IS NOT NULL"
-    flag = f"coalesce({S_('_flag')}, false)"
-    differ = f"NOT ({T_(HASH)} <=> {S_(HASH)})"
+    T_, S_ = (lambda c: quote(T_PREFIX + c)), (lambda c: quote(S_PREFIX + c))
+    tp, sp = "_tp IS NOT NULL", "_sp IS NOT NULL"
+    flag = "coalesce(_flag, false)"
+    differ = f"NOT ({T_(HASH)} <=> _new_hash)"
     action = (
         f"CASE WHEN {tp} AND {sp} AND {flag} THEN '{DELETED}' "
         f"WHEN {tp} AND {sp} AND {differ} THEN '{CHANGED}' "
         f"WHEN {tp} AND {sp} THEN '{UNCHANGED}' "
         f"WHEN {sp} AND {flag} THEN '{SKIPPED}' "
-        f"WHEN {sp} AND {S_('_h')} IS NOT NULL THEN '{REACTIVATED}' "
+        f"WHEN {sp} AND _h IS NOT NULL THEN '{REACTIVATED}' "
         f"WHEN {sp} THEN '{NEW}' ELSE '{TARGET_ONLY}' END"
     )
     j = j.selectExpr("*", f"{action} AS _action")
@@ -375,22 +405,23 @@ def scd2_joined(
             v = f"CASE WHEN {closing} THEN '{NO}' ELSE {v} END"
         kept.append(f"{sql_string(c)}, {v}")
     first = f"CASE WHEN {tp} THEN named_struct({', '.join(kept)}) END"
-    new = [f"{sql_string(c)}, {v}" for c, v in _new_version(src_cols, out_types, ts, batch_id, "s__")]
+    new = [f"{sql_string(c)}, {v}" for c, v in _new_version(src_cols, out_types, ts, batch_id)]
     second = f"CASE WHEN _action IN ('{CHANGED}', '{NEW}', '{REACTIVATED}') THEN named_struct({', '.join(new)}) END"
-    key_out = [f"coalesce({T_(k)}, {S_(k)}) AS {quote(k)}" for k in keys]
-    if not with_rows:  # actions and counters only: skip building the output rows
-        return j.selectExpr(*key_out, "_action", f"{sp} AS _sp")
-    return j.selectExpr(
-        *key_out, "_action", f"{sp} AS _sp", f"filter(array({first}, {second}), x -> x IS NOT NULL) AS _rows"
-    )
+    key_out = ", ".join(f"{sql_string(k)}, coalesce({T_(k)}, {S_(k)})" for k in keys)
+    out = [f"named_struct({key_out}) AS _keys", "_action", f"{sp} AS _sp"]
+    if with_rows:  # else actions and counters only: no output rows are built
+        out.append(f"filter(array({first}, {second}), x -> x IS NOT NULL) AS _rows")
+    return j.selectExpr(*out)
+
 
 def scd2_changes(joined: DataFrame) -> DataFrame:
     """Only the rows a load changes: active versions it closes and versions
-    it opens, each tagged with ``_action``.  This is what a table format with
+    it opens, each with its action in a last column (``action``, unless a
+    column is called that).  This is what a table format with
     MERGE needs (match closed rows on keys + ``effective_start_date``, insert
     the rest): O(batch) to write instead of the whole state."""
     touched = joined.filter(F.col("_action").isin(CHANGED, DELETED, NEW, REACTIVATED))
-    return touched.selectExpr("inline(_rows)", "_action")
+    return _with_action(touched.selectExpr("explode(_rows) AS _row", "_action"))
 
 
 def _history(target: DataFrame) -> DataFrame:
@@ -407,7 +438,7 @@ def scd2_first(source, keys, columns, as_of=None, batch_id=None, delete_column=N
     (a flagged row is skipped, as it would be when loading into an empty
     target)."""
     s, src_cols = _scd2_source(source, keys, columns, delete_column, delete_value, exact)
-    s = guard_unique_keys(s, keys).filter("NOT _flag")
+    s = guard_unique_keys(s, [S_PREFIX + k for k in keys]).filter("NOT _flag")
     types = {c: None for c in [*src_cols, *SCD2_META]}
     types[END] = ts_type(as_of)
     return s.selectExpr(*[f"{v} AS {quote(c)}" for c, v in _new_version(src_cols, types, ts_sql(as_of), batch_id)])
@@ -434,12 +465,15 @@ def scd2_state_from_joined(
     joined: DataFrame, target: DataFrame, with_action: bool = False, history: DataFrame | None = None
 ) -> DataFrame:
     """History (``history``: the closed rows of ``target``, if they are at
-    hand) and the rows that the joined pairs give."""
-    cols = [quote(c) for c in target.columns]
-    emitted = joined.selectExpr("inline(_rows)", "_action")
-    hist = (history if history is not None else _history(target)).select(*cols, F.lit(HISTORY).alias("_action"))
-    out = emitted.unionByName(hist)
-    return out if with_action else out.drop("_action")
+    hand) and the rows that the joined pairs give; with their action as
+    ``scd2_changes`` gives it, if it is asked for."""
+    closed = history if history is not None else _history(target)
+    emitted = joined.selectExpr("explode(_rows) AS _row", "_action")
+    if not with_action:
+        return emitted.selectExpr("_row.*").unionByName(closed)
+    label = unused("action", target.columns)
+    return _with_action(emitted).unionByName(closed.selectExpr("*", f"'{HISTORY}' AS {quote(label)}"))
+
 
 def scd2_actions(
     target: DataFrame,
@@ -455,10 +489,11 @@ def scd2_actions(
 ) -> DataFrame:
     """One row per key touched by the load: keys, ``action`` and, with
     ``label_reactivated``, ``has_history`` (the key has a closed version);
-    a new key that has history is then labelled ``reactivated``."""
+    a new key that has history is then labelled ``reactivated``.  A key that is
+    called like one of these gives it an underscore."""
     j = scd2_joined(target, source, keys, columns, as_of, batch_id, delete_column, delete_value, exact,
                     label_reactivated=label_reactivated, with_rows=False)
-    acts = j.select(*[quote(k) for k in keys], F.col("_action").alias("action"))
+    acts = j.select("_keys.*", F.col("_action").alias(unused("action", keys)))
     if not label_reactivated:
         return acts
     return with_history_flag(acts, target, keys)
@@ -468,13 +503,11 @@ def with_history_flag(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -
     """Adds ``has_history``: the key has a closed version.  History keys are
     first reduced to the keys in ``rows`` by a semi join, so long histories
     are not shuffled whole."""
-    kq = [quote(k) for k in keys]
-    hk = (
-        _history(target).select(*kq).join(rows.select(*kq).dropDuplicates(), list(keys), "left_semi").dropDuplicates()
-        .withColumn("has_history", F.lit(True)).withColumn(SPREAD, F.lit(0).cast("long"))
-    )
-    flagged = _with_spread(rows, keys).join(hk, [*keys, SPREAD], "left")
-    return flagged.select(*[quote(c) for c in rows.columns], F.coalesce("has_history", F.lit(False)).alias("has_history"))
+    hk = _keys_in(_history(target), rows, keys, "_h")
+    s = _with_spread(_prefixed(rows, S_PREFIX), [S_PREFIX + k for k in keys])
+    flagged = s.alias("l").join(hk.alias("r"), F.expr(_on_keys(keys, "k__")), "left")
+    names = [f"l.{quote(S_PREFIX + c)} AS {quote(c)}" for c in rows.columns]
+    return flagged.selectExpr(*names, f"coalesce(r._h, false) AS {quote(unused('has_history', rows.columns))}")
 
 
 def counter_exprs(kind: str) -> list[str]:

@@ -48,6 +48,8 @@ def match_rate_trend(results: DataFrame) -> DataFrame:
 
 
 def issue_counts(details: DataFrame, day: str) -> DataFrame:
-    """Issues of one day counted by reconciliation and type."""
-    d = details.filter(F.to_date("execution_time") == F.to_date(F.lit(day)))
+    """Issues of one day counted by reconciliation and type.  Of a table that
+    is partitioned by day, that day's files are read."""
+    ran = F.col("execution_day") if "execution_day" in details.columns else F.to_date("execution_time")
+    d = details.filter(ran == F.to_date(F.lit(day)))
     return d.groupBy("recon_name", "issue_type").agg(F.count(F.lit(1)).alias("issue_count"))

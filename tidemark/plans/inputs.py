@@ -319,6 +319,22 @@ def scd1_source_sql(d: Dialect) -> str:
     return f"SELECT * FROM ({part_source_sql(d)}) p WHERE p_partkey % 9 <> 4"
 
 
+# ---------------------------------------------------------------- names that helper columns have
+# The inputs of the keyed append, the upsert, the history load and the raw line
+# items, with columns called like columns that the operators add on the way.
+CLASH_EVENTS = {"event_id": "_spread", "user_id": "_new", "value": "_hit", "event_type": "k__spread", "ts": "_row", "props": "s__ts"}
+CLASH_PART = {"p_partkey": "_spread", "p_name": "_sp", "p_brand": "_tp", "p_type": "_action", "p_size": "_row", "p_retailprice": "s__p"}
+CLASH_CUSTOMER = {"c_custkey": "_key_rows", "c_name": "_flag", "c_nationkey": "_rows", "c_mktsegment": "_h", "is_deleted": "_sp"}
+CLASH_LINE_KEYS = {"l_orderkey": "_h", "l_linenumber": "source_rows"}
+
+
+def renamed_sql(sql: str, names: dict[str, str], rest: str = "") -> str:
+    return f"SELECT {', '.join(f'{a} AS {b}' for a, b in names.items())}{rest} FROM ({sql}) r"
+
+
+META_REST = ", _hash, batch_id, effective_start_date, effective_end_date, is_active, updated_timestamp"
+
+
 # ---------------------------------------------------------------- customer with a delete flag (X2, X3)
 
 def customer_flagged_sql(d: Dialect) -> str:

@@ -362,7 +362,7 @@ def scd2_delete_case(spark, sf):
 def scd1_change_set(spark, sf):
     t, s = scd1_pair(spark, sf)
     j = L.scd1_joined(t, s, I.SCD1_KEYS, I.SCD1_COLUMNS, as_of=I.AS_OF)
-    return L.scd1_changes(j).withColumnRenamed("_action", "action")
+    return L.scd1_changes(j)
 
 
 @query("scd1_actions")
@@ -392,7 +392,7 @@ def _scd2_rows_for(spark, sf, wanted: str):
     t, s = scd2_pair(spark, sf)
     j = L.scd2_joined(t, s, **SCD2_ARGS, label_reactivated=wanted in (L.NEW, L.REACTIVATED))
     rows = L.scd2_state_from_joined(j, t, with_action=True)
-    return rows.filter(F.col("_action") == wanted).withColumnRenamed("_action", "action")
+    return rows.filter(F.col("action") == wanted)
 
 
 @query("scd2_change")
@@ -418,7 +418,7 @@ def scd2_reactivate(spark, sf):
 @query("scd2_change_set")
 def scd2_change_set(spark, sf):
     t, s = scd2_pair(spark, sf)
-    return L.scd2_changes(L.scd2_joined(t, s, **SCD2_ARGS)).withColumnRenamed("_action", "action")
+    return L.scd2_changes(L.scd2_joined(t, s, **SCD2_ARGS))
 
 
 @query("scd2_counts")
@@ -665,7 +665,7 @@ def load_job_config(db: str) -> dict:
     }
 
 
-def run_load_job(spark, sf):
+def run_load_job(spark, sf, parallel=None):
     """Stage the previous target states as tables, then run the job."""
     I.register_tables(spark, sf, ["events", "part", "customer"])
     db = _job_database(spark)
@@ -676,15 +676,17 @@ def run_load_job(spark, sf):
         ("part_history", I.scd2_part_target_sql),
     ):
         TB.create_table(spark, spark.sql(fn(I.SPARK)), f"{db}.{name}")
-    JB.run_loads(spark, load_job_config(db), as_of=I.AS_OF, audit_table=f"{db}.audit", user=I.AUDIT_USER).collect()
+    config = load_job_config(db)
+    config["job"]["parallel_execution"] = parallel
+    JB.run_loads(spark, config, as_of=I.AS_OF, audit_table=f"{db}.audit", user=I.AUDIT_USER).collect()
     return db
 
 
 @query("load_job")
-def load_job(spark, sf):
+def load_job(spark, sf, parallel=None):
     from pyspark.sql import functions as F
 
-    db = run_load_job(spark, sf)
+    db = run_load_job(spark, sf, parallel)
     a = spark.read.table(f"{db}.audit")
     return a.select(
         F.substring_index("table_name", ".", -1).alias("table_name"),
@@ -786,3 +788,137 @@ def table_lifecycle(spark, sf):
     )
     TB.drop_table(spark, f"{name}_scratch")
     return spark.read.table(name)
+
+
+# ---------------------------------------------------------------- clashing names, nested columns, digests, other ways to run
+
+from tidemark.operators import digest as DG  # noqa: E402
+from tidemark.sinks import buckets as BK  # noqa: E402
+
+
+@query("incremental_clash")
+def incremental_clash(spark, sf):
+    """A keyed append whose columns are called like helper columns."""
+    t, b = (_in(spark, sf, I.renamed_sql(f(I.SPARK), I.CLASH_EVENTS)) for f in (I.events_target_sql, I.events_batch_sql))
+    return L.incremental(t, b, ["_spread"])
+
+
+@query("scd1_clash")
+def scd1_clash(spark, sf):
+    t = _in(spark, sf, I.renamed_sql(I.scd1_target_sql(I.SPARK), I.CLASH_PART, ", created_at, updated_at"))
+    s = _in(spark, sf, I.renamed_sql(I.scd1_source_sql(I.SPARK), I.CLASH_PART))
+    return L.scd1(t, s, ["_spread"], list(I.CLASH_PART.values())[1:], as_of=I.AS_OF)
+
+
+@query("scd2_clash")
+def scd2_clash(spark, sf):
+    t = _in(spark, sf, I.renamed_sql(I.scd2_target_sql(I.SPARK), I.CLASH_CUSTOMER, I.META_REST))
+    s = _in(spark, sf, I.renamed_sql(I.scd2_source_sql(I.SPARK), I.CLASH_CUSTOMER))
+    return L.scd2(t, s, **{**SCD2_ARGS, "keys": ["_key_rows"], "columns": ["_flag", "_rows", "_h"], "delete_column": "_sp"})
+
+
+@query("recon_clash")
+def recon_clash(spark, sf):
+    s, t = (df.withColumnsRenamed(I.CLASH_LINE_KEYS) for df in lineitem_raw_pair(spark, sf))
+    keys = list(I.CLASH_LINE_KEYS.values())
+    return C.mismatch_versions(s, t, keys, C.compare_columns(s.columns, t.columns, keys))
+
+
+@query("recon_mismatch_nested")
+def recon_mismatch_nested(spark, sf):
+    """Maps, in an array in a struct, whose entries were put in in another order."""
+    s, t = customer_pair(spark, sf)
+    nested = lambda df, entries: df.selectExpr("c_custkey", f"named_struct('all', array(map({entries}))) AS nested")
+    entries = ["'segment', c_mktsegment", "'nation', CAST(c_nationkey AS STRING)"]
+    s, t = nested(s, ", ".join(entries)), nested(t, ", ".join(reversed(entries)))
+    return C.mismatches(s, t, CUST_KEYS, ["nested"]).select("c_custkey", "mismatched_pairs", "source_versions", "target_versions")
+
+
+def _digest_pairs(spark, sf):
+    raw, changed = lineitem_raw_pair(spark, sf)
+    return [
+        (*customer_pair(spark, sf), CUST_KEYS, "customer_source", "customer_target"),
+        (*customer_nullkey_pair(spark, sf), CUST_KEYS, "customer_source", "customer_target_nk"),
+        (raw, changed, LI_KEYS, "lineitem_raw", "lineitem_raw_target"),
+        (raw, raw, LI_KEYS, "lineitem_raw", "lineitem_raw"),
+    ]
+
+
+@query("recon_summary_digest")
+def recon_summary_digest(spark, sf):
+    """Summaries by digest drill-down, of pairs that differ little, much and not at all."""
+    out = None
+    for s, t, keys, sn, tn in _digest_pairs(spark, sf):
+        one = DG.reconcile_digest(s, t, keys, source_name=sn, target_name=tn)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("recon_issues_digest")
+def recon_issues_digest(spark, sf):
+    out = None
+    for s, t, keys, _, _ in _digest_pairs(spark, sf):
+        one = DG.issue_rows_digest(s, t, keys)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("load_job_parallel")
+def load_job_parallel(spark, sf):
+    """The load job with four specs at a time, one of which fails."""
+    return load_job(spark, sf, parallel=4)
+
+
+@query("load_job_rerun")
+def load_job_rerun(spark, sf):
+    """An append without keys, whose batch is run three times."""
+    db = _job_database(spark)
+    I.register_tables(spark, sf, ["events"])
+    TB.create_table(spark, spark.sql(I.events_target_sql(I.SPARK)), f"{db}.events_all")
+    spec = {"name": "all", "source": {"sql": I.events_batch_sql(I.SPARK)}, "target": {"table_name": f"{db}.events_all"}, "load_type": "incremental"}
+    config = {"job": {"name": "appends", "batch_id": I.BATCH_ID, "rerun_safe": True}, "tables": [spec]}
+    for _ in range(3):
+        JB.run_loads(spark, config, as_of=I.AS_OF, audit_table=f"{db}.audit").collect()
+    return spark.read.table(f"{db}.events_all")
+
+
+@query("load_job_buckets")
+def load_job_buckets(spark, sf):
+    """The customer history kept in key buckets, of which the load rewrites those of its batch."""
+    db = _job_database(spark)
+    I.register_tables(spark, sf, ["customer"])
+    BK.create_state(spark, spark.sql(I.scd2_target_sql(I.SPARK)), f"{db}.customer_history", I.SCD2_KEYS, 16)
+    spec = load_job_config(db)["tables"][2]
+    spec["target"]["key_buckets"] = 16
+    JB.run_loads(spark, {"job": {"name": "buckets", "batch_id": I.BATCH_ID}, "tables": [spec]}, as_of=I.AS_OF, audit_table=f"{db}.audit").collect()
+    return spark.read.table(f"{db}.customer_history")
+
+
+#: Source queries that depend on a clock, with markers for it.
+ACTIVE_TIER_AT = f"""
+SELECT c.c_custkey, upper(c.c_name) AS c_name_upper, c.c_nationkey,
+       CASE WHEN o.n > 10 THEN 'VIP' WHEN o.n > 5 THEN 'Regular' ELSE 'New' END AS customer_tier
+FROM ({I.customer_flagged_sql(I.SPARK)}) c
+JOIN (SELECT o_custkey, count(1) AS n, max(o_orderdate) AS latest FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+WHERE c.is_deleted = 'N' AND o.latest >= CAST(:as_of AS DATE) - INTERVAL 30 DAYS"""
+ENRICHED_EVENTS_AT = """
+SELECT e.event_id, e.event_type, e.ts AS event_date, e.user_id AS customer_id, c.c_name, c.c_mktsegment,
+       CAST(e.value AS DECIMAL(18,2)) AS event_value
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey WHERE e.ts >= to_timestamp_ntz(:as_of)"""
+
+
+def _source_at(spark, sf, tables, sql, as_of):
+    from tidemark.sources.tables import load_source
+
+    I.register_tables(spark, sf, tables)
+    return load_source(spark, {"sql": sql}, {"as_of": as_of, "batch_id": I.BATCH_ID})
+
+
+@query("src_active_tier_at")
+def src_active_tier_at(spark, sf):
+    return _source_at(spark, sf, ["customer", "orders"], ACTIVE_TIER_AT, I.ORDERS_END)
+
+
+@query("src_enriched_events_at")
+def src_enriched_events_at(spark, sf):
+    return _source_at(spark, sf, ["customer", "events"], ENRICHED_EVENTS_AT, I.EVENTS_LAST_DAY)

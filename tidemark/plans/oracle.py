@@ -99,7 +99,7 @@ ORACLE["scd1_composite"] = OL.scd1_state_sql(
 )
 ORACLE["scd1_upsert"] = OL.scd1_state_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS)
 ORACLE["scd1_change_set"] = OL.scd1_state_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS, change_set=True)
-ORACLE["scd1_actions"] = OL.scd1_actions_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS)
+ORACLE["scd1_actions"] = OL.scd1_actions_sql(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS)
 ORACLE["scd2_first"] = OL.scd2_first_sql(csrc1, I.SCD2_KEYS, I.SCD2_COLUMNS, DEL)
 ORACLE["scd2_full"] = OL.scd2_state_sql(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)
 ORACLE["scd2_delete_case"] = ORACLE["scd2_full"]
@@ -128,12 +128,11 @@ ORACLE["load_stats"] = "\nUNION ALL\n".join(
             f"{_n(et)} + {_n(OL.incremental_new_sql(et, eb, EV_KEYS))}",
         ),
         OL.simple_stats_select("events_first", "INCREMENTAL", *[_n("SELECT * FROM events")] * 2, 0, _n("SELECT * FROM events")),
-        f"SELECT * FROM (WITH {OL.scd1_join_cte(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS)} "
-        "SELECT 'part_current' AS table_name, 'SCD1' AS operation_type, "
-        "CAST(count(*) FILTER (WHERE _sp) AS BIGINT) AS source_count, "
-        "CAST(count(*) FILTER (WHERE _sp AND _tp IS NULL) AS BIGINT) AS inserted, "
-        "CAST(count(*) FILTER (WHERE _sp AND _tp) AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted, "
-        "CAST(count(*) AS BIGINT) AS active_count, CAST(0 AS BIGINT) AS historical_count FROM j)",
+        f"SELECT * FROM (WITH {OL.scd1_cte(pt, ps, I.SCD1_KEYS, I.SCD1_COLUMNS, SCD1_TCOLS)} "
+        + OL.simple_stats_select(
+            "part_current", "SCD1", "(SELECT count(*) FROM s)", "(SELECT count(*) FROM inserted)", "(SELECT count(*) FROM matched)",
+            "(SELECT count(*) FROM matched) + (SELECT count(*) FROM inserted) + (SELECT count(*) FROM target_only)",
+        ) + ")",
         OL.simple_stats_select("part_first", "SCD1", _n(ps1), _n(ps1), 0, _n(ps1)),
         f"SELECT * FROM (WITH {OL.scd2_cte(ct, csrc, I.SCD2_KEYS, I.SCD2_COLUMNS, SCD2_TCOLS, DEL)} "
         f"{OL.scd2_stats_select('customer_history', 'SCD2')})",
@@ -297,6 +296,36 @@ ORACLE["table_lifecycle"] = """WITH t AS (
 SELECT c_mktsegment, loaded_on, CAST(2 * sum(c_acctbal) AS DOUBLE) AS balance, CAST(2 * count(*) AS BIGINT) AS n_rows
 FROM t GROUP BY c_mktsegment, loaded_on"""
 
+# ---------------------------------------------------------------- clashing names, nested columns, digests, other ways to run
+def _renamed(sql: str, names: dict[str, str]) -> str:
+    return f"SELECT {', '.join(f'{a} AS {b}' for a, b in names.items())} FROM ({sql}) r"
+
+
+ORACLE["incremental_clash"] = _renamed(ORACLE["incremental_keyed"], I.CLASH_EVENTS)
+ORACLE["scd1_clash"] = _renamed(ORACLE["scd1_upsert"], I.CLASH_PART | {c: c for c in ("created_at", "updated_at")})
+ORACLE["scd2_clash"] = _renamed(ORACLE["scd2_full"], I.CLASH_CUSTOMER | {c: c for c in OL.META})
+ORACLE["recon_clash"] = _renamed(
+    ORACLE["recon_mismatch_versions_lineitem"],
+    {**I.CLASH_LINE_KEYS, "fingerprint": "fingerprint", "source_rows": "_source_rows", "target_rows": "target_rows"},
+)
+ORACLE["recon_mismatch_nested"] = (
+    "SELECT c_custkey, mismatched_pairs, source_versions, target_versions FROM "
+    f"({R.mismatches_sql(I.recon_source_sql(D), I.recon_target_sql(D), CUST_KEYS, ['c_mktsegment', 'c_nationkey'])}) m"
+)
+_digest_pairs = [
+    (I.recon_source_sql(D), I.recon_target_sql(D), CUST_KEYS, CUST_COLS, "customer_source", "customer_target"),
+    (ns, nt, CUST_KEYS, CUST_COLS, "customer_source", "customer_target_nk"),
+    (rs, rt, LI_KEYS, LI_COLS, "lineitem_raw", "lineitem_raw_target"),
+    (rs, rs, LI_KEYS, LI_COLS, "lineitem_raw", "lineitem_raw"),
+]
+ORACLE["recon_summary_digest"] = "\nUNION ALL\n".join(f"SELECT * FROM ({R.reconcile_sql(*x)})" for x in _digest_pairs)
+ORACLE["recon_issues_digest"] = "\nUNION ALL\n".join(f"SELECT * FROM ({R.issue_rows_sql(*x[:4])})" for x in _digest_pairs)
+ORACLE["load_job_parallel"] = ORACLE["load_job"]
+ORACLE["load_job_buckets"] = ORACLE["scd2_full"]
+ORACLE["load_job_rerun"] = f"SELECT * FROM ({et}) a UNION ALL SELECT * FROM ({eb}) b"
+ORACLE["src_active_tier_at"] = ORACLE["src_active_tier"]
+ORACLE["src_enriched_events_at"] = ORACLE["src_enriched_events"]
+
 # ---------------------------------------------------------------- output portability
 # Decimal output columns per query.  Both sides present them as DOUBLE at the
 # registered-query boundary (``__spark_entry__``): the two engines convert a
@@ -316,6 +345,8 @@ DECIMAL_OUTPUTS = {
     "src_customer_orders": ["total_amount"],
     "src_customer_360": ["lifetime_value"],
     "src_enriched_events": ["event_value"],
+    "src_enriched_events_at": ["event_value"],
+    "scd1_clash": ["s__p"],
 }
 
 

@@ -34,45 +34,34 @@ def scd1_first_sql(src):
     return f"SELECT *, {AS_OF} AS created_at, {AS_OF} AS updated_at FROM ({src}) s"
 
 
-def scd1_join_cte(tgt, src, keys, cols):
-    s_cols = ", ".join([*keys, *cols])
-    return f"""t AS (SELECT *, TRUE AS _tp FROM ({tgt}) t0),
-s AS (SELECT {s_cols}, {AS_OF} AS created_at, {AS_OF} AS updated_at, TRUE AS _sp FROM ({src}) s0),
-j AS (SELECT t.*, {", ".join(f"s.{c} AS s_{c}" for c in [*keys, *cols, "created_at", "updated_at"])}, s._sp
-      FROM t FULL OUTER JOIN s ON {_on(keys, 't', 's')})"""
+# One relation per outcome, from an inner join and two anti joins.
+
+def scd1_cte(tgt, src, keys, cols, target_cols):
+    """CTEs: t, s, matched (changed or equal), inserted, target_only: rows of
+    the new state with their action."""
+    own = {"created_at": "t.created_at", "updated_at": AS_OF}
+    both = ", ".join(f"{f's.{c}' if c in cols else own.get(c, f't.{c}')} AS {c}" for c in target_cols)
+    new = ", ".join(f"{c if c in {*keys, *cols} else AS_OF if c in own else 'NULL'} AS {c}" for c in target_cols)
+    differ = " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in cols)
+    return f"""t AS ({tgt}), s AS ({src}),
+matched AS (SELECT {both}, CASE WHEN {differ} THEN 'matched_changed' ELSE 'matched_equal' END AS action
+            FROM t JOIN s ON {_on(keys, 't', 's')}),
+inserted AS (SELECT {new}, 'inserted' AS action FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE {_on(keys, 't', 's')})),
+target_only AS (SELECT {', '.join(target_cols)}, 'target_only' AS action FROM t
+                WHERE NOT EXISTS (SELECT 1 FROM s WHERE {_on(keys, 't', 's')}))"""
 
 
 def scd1_state_sql(tgt, src, keys, cols, target_cols, change_set=False):
-    outs = []
-    for c in target_cols:
-        if c in keys:
-            outs.append(f"CASE WHEN _tp THEN {c} ELSE s_{c} END AS {c}")
-        elif c in cols:
-            outs.append(f"CASE WHEN _sp THEN s_{c} ELSE {c} END AS {c}")
-        elif c == "created_at":
-            outs.append(f"CASE WHEN _tp THEN created_at ELSE s_created_at END AS created_at")
-        elif c == "updated_at":
-            outs.append(f"CASE WHEN _tp AND _sp THEN {AS_OF} WHEN _sp THEN s_updated_at ELSE updated_at END AS updated_at")
-        else:
-            outs.append(f"CASE WHEN _tp THEN {c} END AS {c}")
-    if change_set:  # the rows a MERGE writes: matched and inserted keys, with their action
-        outs.append(f"{scd1_action_expr(cols)} AS action")
-        return f"WITH {scd1_join_cte(tgt, src, keys, cols)}\nSELECT {', '.join(outs)} FROM j WHERE _sp"
-    return f"WITH {scd1_join_cte(tgt, src, keys, cols)}\nSELECT {', '.join(outs)} FROM j"
-
-
-def scd1_action_expr(cols):
-    differ = " OR ".join(f"{c} IS DISTINCT FROM s_{c}" for c in cols)
-    return (
-        f"CASE WHEN _tp AND _sp AND ({differ}) THEN 'matched_changed' WHEN _tp AND _sp THEN 'matched_equal' "
-        "WHEN _sp THEN 'inserted' ELSE 'target_only' END"
-    )
+    parts = ["matched", "inserted"] + ([] if change_set else ["target_only"])  # a MERGE writes the first two
+    out = ", ".join(target_cols) + (", action" if change_set else "")
+    return f"WITH {scd1_cte(tgt, src, keys, cols, target_cols)}\n" + " UNION ALL ".join(f"SELECT {out} FROM {p}" for p in parts)
 
 
-def scd1_actions_sql(tgt, src, keys, cols):
+def scd1_actions_sql(tgt, src, keys, cols, target_cols):
+    rows = " UNION ALL ".join(f"SELECT action FROM {p}" for p in ("matched", "inserted", "target_only"))
     return (
-        f"WITH {scd1_join_cte(tgt, src, keys, cols)}\nSELECT {scd1_action_expr(cols)} AS action, "
-        "CAST(count(*) AS BIGINT) AS n_keys FROM j GROUP BY 1"
+        f"WITH {scd1_cte(tgt, src, keys, cols, target_cols)}\n"
+        f"SELECT action, CAST(count(*) AS BIGINT) AS n_keys FROM ({rows}) a GROUP BY action"
     )
 
 

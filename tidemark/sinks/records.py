@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.fingerprint import ts_literal
+from tidemark.sinks.tables import ensure_table
 
 # The schemas of the audit, result and detail tables.
 AUDIT_SCHEMA = T.StructType(
@@ -215,3 +216,15 @@ def details_rows(issues: DataFrame, recon_id: str, recon_name: str, batch_id: st
         "target_values",
         "details",
     )
+
+
+#: The column that record tables partitioned by day have besides their own.
+DAY = "execution_day"
+
+
+def ensure_records(spark, table: str, schema: T.StructType, root: str | None = None, days: bool = False) -> bool:
+    """Makes a record table unless it exists; with ``days`` it is partitioned
+    by the day of ``execution_time``, so that a report of some days reads
+    their files alone."""
+    full = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())]) if days else schema
+    return ensure_table(spark, table, full, root, DAY if days else None)

@@ -7,8 +7,8 @@ the rows of that micro-batch.
 What a replay of a micro-batch after a failure does: rows with complete keys
 are safe, since keyed appends find them in the target and SCD1 / SCD2 find the
 target already changed.  Rows with NULL keys, and appends without keys, match
-nothing by definition, so a replay writes them again; give such streams a key,
-or a sink that knows epochs.
+nothing by definition, so a replay writes them again, unless ``stream`` names
+the stream: then an epoch that was applied is recognised and passed over.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ from tidemark.plans.jobs import run_load
 
 
 def load_each_batch(spec: dict, batch_id: str | None = None, as_of=None, root: str | None = None,
-                    on_stats: Callable[[int, dict], None] | None = None):
+                    on_stats: Callable[[int, dict], None] | None = None, stream: str | None = None):
     """A ``foreachBatch`` function applying ``spec`` to every micro-batch.
 
     ``batch_id`` defaults to the stream's epoch id; ``on_stats`` receives
-    (epoch_id, counters) after each batch."""
+    (epoch_id, counters) after each batch.  ``stream`` is a name that stays
+    with the stream's checkpoint: epochs count from 0 in each checkpoint."""
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        stats = run_load(batch.sparkSession, spec, batch, batch_id or str(epoch_id), as_of, root)
-        if on_stats is not None:
+        tag = f"{stream}|{spec.get('name')}|{epoch_id}" if stream else None
+        stats = run_load(batch.sparkSession, spec, batch, batch_id or str(epoch_id), as_of, root, tag)
+        if on_stats is not None and stats is not None:
             on_stats(epoch_id, stats)
 
     return apply
