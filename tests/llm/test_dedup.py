@@ -90,8 +90,9 @@ def test_minhash_edges(docs, empty):
     assert by[(7, by[(6, max(n for d, n in by if d == 6))].n_shingles)].component_id == 6
     assert all(r.component_id == r.doc_id for r in rows if r.n_shingles == 0)
     assert any(r.doc_id == 2**60 + 1 and r.kept for r in rows)
-    kept = minhash_dedup.keep_one(docs)
-    assert kept.columns == docs.columns
+    named = docs.withColumn("_dkey", F.lit("mine")).withColumn("_doc", F.lit(7)).withColumn("_hash", F.col("score"))
+    kept = minhash_dedup.keep_one(named)
+    assert kept.columns == named.columns and {(r._dkey, r._doc, r._hash == r.score) for r in kept.collect()} == {("mine", 7, True)}
     left = [r.doc_id for r in kept.collect()]
     assert sorted(x for x in left if x is not None) == [1, 2, 3, 4, 5, 6, 8, 9, 2**60 + 1] and left.count(None) == 2
     assert minhash_dedup.link_documents(empty).count() == 0

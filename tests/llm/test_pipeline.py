@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert {"pipeline"} | {f"op{n}" for n in range(1, 11)} == {"pipeline"} | {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
+    assert {"pipeline"} | {f"op{n}" for n in range(1, 14)} == {"pipeline"} | {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
 
 
@@ -50,3 +50,15 @@ def test_stages_take_effect(spark):
     for r in out.join(mixed.dropDuplicates(["doc_id"]), "doc_id").orderBy(F.rand(1)).limit(30).collect():
         assert np.frombuffer(r.ids, "<u4").tolist() == lib.encode(r.text or "", add_special_tokens=False).ids
         assert r.ids_sha256 == hashlib.sha256(r.ids).hexdigest()
+
+
+def test_edge_tables_run_through(spark, docs, empty, labels, tmp_path):
+    """Null texts and ids, texts without words, repeated rows, further columns; and nothing at all."""
+    for name, table in (("odd", docs), ("none", empty)):
+        at = tmp_path / name
+        table.write.parquet(str(at / "documents.parquet"))
+        labels.write.parquet(str(at / "labels.parquet"))
+        out = corpus_pipeline.run(spark, str(at)).collect()
+        assert bool(out) == (name == "odd")
+        if out:
+            assert {1, None} <= {r.doc_id for r in out} and all(r.n_tokens == len(r.ids) // 4 for r in out)

@@ -61,7 +61,7 @@ def test_keep_clean_returns_rows_as_they_are(spark, docs):
     score, spans = toxicity.tag(["all is well", "Ünï: you IDIOT!", None], model)
     assert score[1] > 0.7 > max(score[0], score[2]) and spans[1] == [(9, 14)] and spans[0] == []
     kept = toxicity.keep_clean(both.unionByName(train.selectExpr("doc_id + 1000 AS doc_id", "text", "'e' AS lang", "'s' AS source", "1L AS n_chars", "1 AS score", "'x' AS shard")), marks.selectExpr("doc_id + 1000 AS doc_id", "toxic"))
-    assert kept.columns == both.columns
+    assert kept.columns == both.columns and toxicity.keep_clean(docs.limit(0), marks).count() == 0
     left = {r.doc_id for r in kept.collect()}
     assert 77 not in left and 8 not in left and {1, 3, 4, 2**60 + 1, None} <= left
 

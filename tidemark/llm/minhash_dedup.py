@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cells, components, cut, map_batches
@@ -196,9 +196,9 @@ def _joining(least: float, bits: int, percent: int):
     return run
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with _dkey, which tells rows apart that differ in id or text."""
-    return docs.withColumn("_dkey", F.unhex(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"))))
+def _key(id_col: str, text_col: str):
+    """What tells rows apart that differ in id or text."""
+    return F.unhex(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary")))
 
 
 def _rooted(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -206,7 +206,7 @@ def _rooted(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFr
     share (null without shingles); component_id, the smallest id of the component."""
     least, bits = percent / 100, most_bits(percent / 100 - MARGIN)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    texts = _keyed(texts, "doc_id", "_text")
+    texts = texts.withColumn("_dkey", _key("doc_id", "_text"))
     rows = cut(texts.transform(map_batches, _described, _DESCRIBED))
 
     sets = (
@@ -276,14 +276,16 @@ def link_documents(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", t
 
 def keep_one(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, of which one of each component stays: the one with
-    the smallest id, then (equal ids, or none) with the smallest hash, and of repeated rows
-    one.  Rows without shingles all stay."""
-    rows = cut(_rooted(docs, percent, id_col, text_col).select("doc_id", "_dkey", "_root"))
+    the smallest id, then (equal ids, or none) with the smallest hash.  Of rows with equal
+    id and text the one with the smallest hash of all columns (but maps) is taken, before
+    any shuffle.  Rows without words all stay."""
+    rows = cut(_rooted(docs, percent, id_col, text_col).where("_root is not null").select("doc_id", "_dkey", "_root"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_dkey")).alias("f")
-    stay = rows.where("_root is not null").groupBy("_root").agg(first).select(F.col("f._dkey").alias("_stay"), F.lit(True).alias("_once"))
-    bare = rows.where("_root is null").select(F.col("_dkey").alias("_stay"), F.lit(False).alias("_once")).distinct()
-    stay = cut(stay.unionByName(bare))
-    keyed = _keyed(docs, id_col, text_col)
-    nth = F.row_number().over(Window.partitionBy("_dkey").orderBy("_dkey"))
-    kept = keyed.join(stay, keyed["_dkey"] == stay["_stay"]).withColumn("_nth", nth)
-    return kept.where("_nth = 1 or not _once").select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = cut(rows.groupBy("_root").agg(first).select(F.col("f._dkey").alias("_stay")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    words = F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.select(F.struct(*columns).alias("_doc"), _key(id_col, text_col).alias("_dkey"), F.xxhash64(*plain).alias("_hash"), words.alias("_words"))
+    once = keyed.where("_words").groupBy("_dkey").agg(F.min_by("_doc", "_hash").alias("_doc"))
+    kept = once.join(stay, once["_dkey"] == stay["_stay"], "left_semi").select("_doc")
+    return kept.unionByName(keyed.where("not _words").select("_doc")).select("_doc.*")
