@@ -108,7 +108,7 @@ def _run_all(spark: SparkSession, job: str, specs: Sequence[dict], parallel, run
     futures: list = []
     with ThreadPoolExecutor(workers) as pool:  # first in, first out: what a spec waits for has begun before it
         for spec, needs in zip(specs, waits_for(specs), strict=True):
-            futures.append(pool.submit(inheritable_thread_target(tagged), spec, [futures[j] for j in sorted(needs)]))
+            futures.append(pool.submit(inheritable_thread_target(spark)(tagged), spec, [futures[j] for j in sorted(needs)]))
     return [f.result() for f in futures]
 
 
@@ -460,9 +460,8 @@ def _record(spark, rows: DataFrame, table: str, schema, root: str | None, writin
         typed = spark.read.schema(typed.schema).parquet(staged)
     with writing or contextlib.nullcontext():
         RC.ensure_records(spark, table, schema, root, days)
-        if RC.DAY in spark.read.table(table).columns:
-            typed = typed.withColumn(RC.DAY, F.to_date("execution_time"))
-        TB.append_rows(typed, table)
+        by_day = RC.DAY in spark.read.table(table).columns
+        TB.append_rows(typed.withColumn(RC.DAY, F.to_date("execution_time")) if by_day else typed, table, RC.DAY if by_day else None)
     if staged:
         TB.delete_path(spark, staged)
 

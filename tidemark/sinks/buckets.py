@@ -106,7 +106,7 @@ def _write(spark: SparkSession, df: DataFrame, at: str, bucket: str, column: str
 
 def _commit(spark: SparkSession, name: str, base: str, schema, column: str, keys: Sequence[str], buckets: int, places: dict[int, dict], tag: str | None) -> str:
     """A new version of these places, and the view that shows it."""
-    stamp = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
+    stamp = f"{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
     version, manifest = f"{name}__v_{stamp}", f"{base}/manifests/{stamp}"
     spark.createDataFrame([tuple(p[c] for c in ("bucket", "path", "rows", "active", "closed")) for _, p in sorted(places.items())], MANIFEST).coalesce(1).write.parquet(manifest)
     ddl = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)

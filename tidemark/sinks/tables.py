@@ -37,7 +37,7 @@ def table_location(spark: SparkSession, name: str) -> str | None:
 
 def _snapshot_path(spark: SparkSession, name: str, root: str | None, tag: str | None = None) -> str:
     base = (root or warehouse(spark)).rstrip("/")
-    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     return f"{base}/{name.replace('.', '/')}/snapshot={stamp}-{uuid.uuid4().hex[:8]}{_mark(tag)}"
 
 
@@ -162,9 +162,11 @@ def release_snapshots(spark: SparkSession, name: str, keep: int = 2, root: str |
     return gone
 
 
-def append_rows(df: DataFrame, name: str) -> None:
-    """Append by column name."""
-    df.write.mode("append").saveAsTable(name)
+def append_rows(df: DataFrame, name: str, partition: str | None = None) -> None:
+    """Append by column name; ``partition`` is the column that the table is
+    partitioned by, if it is."""
+    writer = df.write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(name)
 
 
 def replace_state(spark: SparkSession, df: DataFrame, name: str, root: str | None = None, fmt: str = DEFAULT_FORMAT, tag: str | None = None) -> str:
