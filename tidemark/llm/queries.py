@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, embedding_dedup, fingerprints, minhash_dedup, mixing, quality, sharding, source_audit, substring_dedup, suffix_dedup, toxicity, training_order, whitening
 from tidemark.llm.common import read
+from tidemark.llm.oracle import LINK_TEXTS_SQL, STRIP_SQL
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,4 +80,10 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_mix, op3_embedding_dedup, op4_suffix_dedup, op5_training_order, op6_toxicity, op7_bpe, op8_sharding, op9_minhash, op10_fingerprint, op11_substring, op12_whitening, op13_divergence)}
 
-LLM_ORACLE: dict[str, str] = {"op2_mix": mixing.MIX_SQL, "op3_embedding_dedup": embedding_dedup.LINK_SQL, "op13_divergence": source_audit.AUDIT_SQL}
+LLM_ORACLE: dict[str, str] = {
+    "op2_mix": mixing.MIX_SQL,
+    "op3_embedding_dedup": embedding_dedup.LINK_SQL,
+    "op9_minhash": LINK_TEXTS_SQL,
+    "op11_substring": STRIP_SQL,
+    "op13_divergence": source_audit.AUDIT_SQL,
+}
