@@ -35,10 +35,11 @@ PER_CLASS, MAX_CHARS = 1500, 10_000
 #: neighbours) of the sample have no weight.  Neighbours are counted and not documents,
 #: because all words of a document with copies are in many documents, but always between
 #: the same neighbours.
-BITS, LEAST_CONTEXTS = 20, 3
+BITS, LEAST_CONTEXTS = 20, 2
 #: Lengths in bytes of the beginnings that are features beside the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-EPOCHS, RATE, RIDGE, LASSO = 40, 0.5, 1e-6, 0.1
+#: Gradients grow with the sample; the pull to 0 is so much for each document of it.
+EPOCHS, RATE, RIDGE, LASSO = 60, 0.5, 1e-6, 2e-5
 #: The bias to begin with: about one likely word a document.
 START = -6.0
 #: Added to a document's sum before its logarithm.
@@ -225,7 +226,7 @@ def _chain_weights(feature: np.ndarray, contexts: np.ndarray, chain: np.ndarray,
         past_bias += miss.sum() ** 2
         past_move += grad_move**2
         theta += RATE * grad / np.sqrt(past)
-        theta = np.sign(theta) * np.maximum(np.abs(theta) - LASSO * RATE / np.sqrt(past), 0.0)
+        theta = np.sign(theta) * np.maximum(np.abs(theta) - LASSO * len(y) * RATE / np.sqrt(past), 0.0)
         bias += RATE * miss.sum() / np.sqrt(past_bias)
         move = move + 0.2 * RATE * grad_move / np.sqrt(past_move)
     weight = np.zeros(1 << BITS)
