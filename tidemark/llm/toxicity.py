@@ -39,7 +39,7 @@ BITS, LEAST_CONTEXTS = 20, 2
 #: Lengths in bytes of the beginnings that are features beside the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: Gradients grow with the sample; the pull to 0 is so much for each document of it.
-EPOCHS, RATE, RIDGE, LASSO = 60, 0.5, 1e-6, 2e-5
+EPOCHS, RATE, RIDGE, LASSO = 100, 0.5, 1e-6, 1e-5
 #: The bias to begin with: about one likely word a document.
 START = -6.0
 #: Added to a document's sum before its logarithm.
