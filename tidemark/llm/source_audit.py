@@ -58,10 +58,16 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Occurrences and documents of each group's terms, summed over many texts first."""
     n, held, most = defaultdict(Counter), defaultdict(Counter), 0
 
-    def rows() -> pd.DataFrame:
-        out = [(*group, t.decode("utf-8", "replace"), c, held[group][t]) for group, found in n.items() for t, c in found.items()]
+    def rows() -> pd.DataFrame:  # column by column; the terms of a group are decoded at once
+        out = {c: [] for c in ("lang", "source", "term", "n", "docs")}
+        for (lang, source), found in n.items():
+            out["lang"] += [lang] * len(found)
+            out["source"] += [source] * len(found)
+            out["term"] += b" ".join(found).decode("utf-8", "replace").split(" ") if found else []
+            out["n"] += found.values()
+            out["docs"] += map(held[lang, source].__getitem__, found)
         n.clear(), held.clear()
-        return pd.DataFrame(out, columns=["lang", "source", "term", "n", "docs"])
+        return pd.DataFrame({c: pd.Series(v, dtype="int64" if c in ("n", "docs") else "object") for c, v in out.items()})
 
     for pdf in batches:
         for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["_text"], strict=True):
