@@ -30,7 +30,7 @@ underscore.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -140,17 +140,121 @@ def _out(df: DataFrame, keys: Sequence[str], **more: str) -> DataFrame:
     return df.selectExpr(*own, *[f"{expr} AS {quote(unused(name, keys))}" for name, expr in more.items()])
 
 
+def side_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], exact: bool = False) -> DataFrame:
+    """Both sides' rows: key (``k__x``), fingerprint (``_h``, 32 bytes) and how
+    many rows of either side each stands for (``_ns``, ``_nt``)."""
+    sides = [_keyed(df, keys, f"{_fingerprint_sql(df, columns, exact)} AS _h", f"{s} AS _ns", f"{1 - s} AS _nt") for df, s in ((source, 1), (target, 0))]
+    return sides[0].unionByName(sides[1])
+
+
+def counts_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per side of every key and fingerprint."""
+    return rows.groupBy(*[F.col(k) for k in _names(keys)], "_h").agg(
+        F.expr("CAST(sum(_ns) AS BIGINT) AS _ns"), F.expr("CAST(sum(_nt) AS BIGINT) AS _nt")
+    )
+
+
 def fingerprint_counts(
     source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], exact: bool = False
 ) -> DataFrame:
     """Rows per side (``_ns``, ``_nt``) of every key (``k__x``) and fingerprint
     (``_h``, 32 bytes)."""
+    return counts_of(side_rows(source, target, keys, columns, exact), keys)
+
+
+# ---------------------------------------------------------------- one exchange by key
+#
+# Dealt by key, each row is exchanged once, and its key's numbers and issues are
+# worked out where it lands.  Keys in buckets that hold far more than their part of
+# the rows are left out of that: they are combined before each exchange, by
+# fingerprint and then by key (``fingerprint_counts``, ``profile_from_counts``).
+
+#: Key buckets whose rows are counted; a crowded one holds more than one part in
+#: CROWD_PART of all rows, and at least CROWD_LEAST.
+CROWD_BUCKETS, CROWD_PART, CROWD_LEAST = 4096, 256, 100_000
+
+
+def _bucket_sql(keys: Sequence[str], buckets: int) -> str:
     kq = _names(keys)
-    sides = [_keyed(df, keys, f"{_fingerprint_sql(df, columns, exact)} AS _h", f"{s} AS _s", f"{1 - s} AS _t") for df, s in ((source, 1), (target, 0))]
-    tagged = sides[0].unionByName(sides[1])
-    return tagged.groupBy(*[F.col(k) for k in kq], "_h").agg(
-        F.expr("CAST(sum(_s) AS BIGINT) AS _ns"), F.expr("CAST(sum(_t) AS BIGINT) AS _nt")
-    )
+    return f"pmod(xxhash64({', '.join([f'{k} IS NULL' for k in kq] + kq)}), {buckets})"
+
+
+def crowded(rows: dict[int, int], bucket: str) -> str | None:
+    """The keys of buckets that hold far more rows than others, as a predicate
+    (None: there are none), from the rows of every bucket."""
+    found = sorted(b for b, n in rows.items() if n > max(CROWD_LEAST, sum(rows.values()) / CROWD_PART))
+    return f"{bucket} IN ({', '.join(map(str, found))})" if found else None
+
+
+def crowded_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> str | None:
+    """``crowded`` from one pass over the keys: a task sends a count per bucket,
+    and so many reach the driver."""
+    bucket = _bucket_sql(keys, CROWD_BUCKETS)
+    rows = _keyed(source, keys).unionByName(_keyed(target, keys))
+    return crowded(dict(rows.groupBy(F.expr(bucket).alias("_b")).count().collect()), bucket)
+
+
+def _parted(rows: DataFrame, keys: Sequence[str], inside: str | None) -> tuple[DataFrame, DataFrame | None]:
+    """Fingerprint counts of keys that are not crowded, dealt by key, and of
+    those that are (``inside``).
+
+    The first hold an aggregate of bytes, so that Spark sorts rows by key and
+    fingerprint, and what groups them by key then reads them as they lie: a task
+    needs the memory of one sort."""
+    kq = [F.col(k) for k in _names(keys)]
+    dealt = (rows.filter(f"NOT ({inside})") if inside else rows).repartition(*kq)
+    few = dealt.groupBy(*kq, "_h").agg(*[F.expr(e) for e in ("sum(_ns) AS _ns", "sum(_nt) AS _nt", "max(_h) AS _held")])
+    return few, counts_of(rows.filter(inside), keys) if inside else None
+
+
+def _pairs_sql(a: str, b: str) -> str:
+    return f"CAST({a} AS DECIMAL(19,0)) * CAST({b} AS DECIMAL(19,0))"
+
+
+def _mismatched_sql(keys: Sequence[str], source_rows: str, target_rows: str, same: str) -> str:
+    keyed = " AND ".join(f"{k} IS NOT NULL" for k in _names(keys))
+    return f"CASE WHEN {keyed} THEN {_pairs_sql(source_rows, target_rows)} - {same} ELSE CAST(0 AS DECIMAL(38,0)) END"
+
+
+def summary_of_rows(rows: DataFrame, keys: Sequence[str], with_columns: bool, inside: str | None) -> DataFrame:
+    """The one-row numeric summary of ``side_rows``."""
+    few, many = _parted(rows, keys, inside)
+    sums = ["sum(_ns) AS source_rows", "sum(_nt) AS target_rows", f"sum({_pairs_sql('_ns', '_nt')}) AS _same", "max(_held) AS _held"]
+    needed = ["source_rows", "target_rows", "mismatched_pairs"]
+    prof = few.groupBy(*[F.col(k) for k in _names(keys)]).agg(*[F.expr(e) for e in sums])
+    # the bytes are looked at, or they and the order that they bring would be left out
+    prof = prof.selectExpr(*needed[:2], f"CASE WHEN _held IS NULL OR length(_held) >= 0 THEN {_mismatched_sql(keys, *needed[:2], '_same')} END AS mismatched_pairs")
+    if many is not None:
+        prof = prof.unionByName(profile_from_counts(many, keys).select(*needed))
+    return summarize_profile(prof, keys, with_columns)
+
+
+def issues_of_rows(rows: DataFrame, keys: Sequence[str], inside: str | None, watch: Callable[[DataFrame], DataFrame] = lambda prof: prof) -> DataFrame:
+    """``issue_rows`` from ``side_rows``.  ``watch`` sees frames over which
+    ``summary_exprs`` are to be observed: together they hold each key's numbers
+    once, and NULL in rows beside."""
+    few, many = _parted(rows, keys, inside)
+    totals = {
+        "_N": "sum(_ns)", "_M": "sum(_nt)", "_vs": "count_if(_ns > 0)", "_vt": "count_if(_nt > 0)", "_first": "min(_held)",
+        "_hs": "max(CASE WHEN _ns > 0 THEN _held END)", "_ht": "max(CASE WHEN _nt > 0 THEN _held END)",
+        "_same": f"sum({_pairs_sql('_ns', '_nt')})",
+    }
+    few = few.selectExpr("*", *[f"{e} OVER (PARTITION BY {', '.join(_names(keys))}) AS {c}" for c, e in totals.items()])
+    few = few.selectExpr("*", f"{_mismatched_sql(keys, '_N', '_M', '_same')} AS _mism")
+    once = {
+        "source_rows": "_N", "target_rows": "_M", "source_versions": "_vs", "target_versions": "_vt", "mismatched_pairs": "_mism",
+        "source_hash": "CASE WHEN _vs = 1 THEN lower(hex(_hs)) END", "target_hash": "CASE WHEN _vt = 1 THEN lower(hex(_ht)) END",
+    }
+    few = few.selectExpr("*", *[f"CASE WHEN _h <=> _first THEN {e} END AS {c}" for c, e in once.items()])
+    wrong, keep = _key_issues(keys, True)
+    version = "_mism > 0 AND NOT (_vs = 1 AND _vt = 1) AND ((_ns > 0 AND _M > _nt) OR (_nt > 0 AND _N > _ns))"
+    side = lambda n: f"CASE WHEN {n} > 0 THEN lower(hex(_h)) END"
+    wrong.append(_issue(version, MISMATCH, _keys_json_sql(keys), side("_ns"), side("_nt"), sql_string(TEXT_MISMATCH)))
+    out = watch(few).filter(f"{keep} OR ({version})").selectExpr(f"inline(filter(array({', '.join(wrong)}), x -> x IS NOT NULL))")
+    if many is None:
+        return out
+    prof = profile_from_counts(many, keys)
+    return out.unionByName(issue_rows_from_profile(watch(prof), many, keys, totals=prof))
 
 
 def key_profile(
@@ -471,6 +575,42 @@ def _keys_json_sql(keys: Sequence[str], extra: dict[str, str] | None = None) ->
     return f"to_json(named_struct({fields}), map({', '.join(sql_string(x) for kv in options.items() for x in kv)}))"
 
 
+def _issue(when: str, typ: str, rec: str, src_v: str, tgt_v: str, text: str) -> str:
+    row = ", ".join(
+        f"'{n}', {v}"
+        for n, v in (("issue_type", sql_string(typ)), ("record_keys", rec), ("source_values", src_v),
+                     ("target_values", tgt_v), ("details", text))
+    )
+    return f"CASE WHEN {when} THEN named_struct({row}) END"
+
+
+def _key_issues(keys: Sequence[str], compared: bool) -> tuple[list[str], str]:
+    """What can be wrong with a key of a profile, but for rows of several
+    versions: each an issue or NULL; and a filter of keys with any of it."""
+    kj = _keys_json_sql(keys)
+    none = "CAST(NULL AS STRING)"
+
+    def repeated(side, typ, template):
+        cnt = f"{side}_rows"
+        rec = _keys_json_sql(keys, {"cnt": cnt})
+        head, tail = template.split("{n}")
+        text = f"concat({sql_string(head)}, CAST({cnt} AS STRING), {sql_string(tail)})"
+        return _issue(f"{cnt} > 1", typ, rec, rec if side == "source" else none, none if side == "source" else rec, text)
+
+    wrong = [
+        _issue("source_rows > 0 AND target_rows = 0", MISSING, kj, kj, none, sql_string(TEXT_MISSING)),
+        _issue("target_rows > 0 AND source_rows = 0", EXTRA, kj, none, kj, sql_string(TEXT_EXTRA)),
+        repeated("source", SOURCE_DUPLICATE, TEXT_SOURCE_DUPLICATE),
+        repeated("target", TARGET_DUPLICATE, TEXT_TARGET_DUPLICATE),
+    ]
+    keep = "source_rows <> 1 OR target_rows <> 1"
+    if compared:
+        wrong.append(_issue("mismatched_pairs > 0 AND source_versions = 1 AND target_versions = 1", MISMATCH, kj, "source_hash",
+                            "target_hash", sql_string(TEXT_MISMATCH)))
+        keep += " OR mismatched_pairs > 0"
+    return wrong, keep
+
+
 def issue_rows(
     source: DataFrame,
     target: DataFrame,
@@ -508,35 +648,8 @@ def issue_rows_from_profile(
     only once."""
     kq = _names(keys)
     kj = _keys_json_sql(keys)
-    none = "CAST(NULL AS STRING)"
-
-    def issue(when, typ, rec, src_v, tgt_v, text):
-        row = ", ".join(
-            f"'{n}', {v}"
-            for n, v in (("issue_type", sql_string(typ)), ("record_keys", rec), ("source_values", src_v),
-                         ("target_values", tgt_v), ("details", text))
-        )
-        return f"CASE WHEN {when} THEN named_struct({row}) END"
-
-    def repeated(side, typ, template):
-        cnt = f"{side}_rows"
-        rec = _keys_json_sql(keys, {"cnt": cnt})
-        head, tail = template.split("{n}")
-        text = f"concat({sql_string(head)}, CAST({cnt} AS STRING), {sql_string(tail)})"
-        return issue(f"{cnt} > 1", typ, rec, rec if side == "source" else none, none if side == "source" else rec, text)
-
-    wrong = [
-        issue("source_rows > 0 AND target_rows = 0", MISSING, kj, kj, none, sql_string(TEXT_MISSING)),
-        issue("target_rows > 0 AND source_rows = 0", EXTRA, kj, none, kj, sql_string(TEXT_EXTRA)),
-        repeated("source", SOURCE_DUPLICATE, TEXT_SOURCE_DUPLICATE),
-        repeated("target", TARGET_DUPLICATE, TEXT_TARGET_DUPLICATE),
-    ]
-    keep = "source_rows <> 1 OR target_rows <> 1"
+    wrong, keep = _key_issues(keys, per_hash is not None)
     single = "source_versions = 1 AND target_versions = 1"
-    if per_hash is not None:
-        wrong.append(issue(f"mismatched_pairs > 0 AND {single}", MISMATCH, kj, "source_hash", "target_hash",
-                           sql_string(TEXT_MISMATCH)))
-        keep += " OR mismatched_pairs > 0"
     # one pass over the keys with an issue: each gives its rows from one expression
     order = [f"_order{i}" for i in range(len(kq))]
     ordered = [f"{k} AS {o}" for k, o in zip(kq, order)]

@@ -17,12 +17,14 @@ repeated keys.  Then two equal sides exchange nothing but digests.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.fingerprint import case_sensitive, change_text_sql, column_types
+from tidemark.functions.fingerprint import case_sensitive, change_text_sql, column_types, quote
 from tidemark.operators import compare as C
 
 #: Buckets, and the parts that a bucket is cut into at each further level.
@@ -32,33 +34,84 @@ LEVELS = (1024, 64)
 PIECES = [(h, shift) for h in ("_h1", "_h2") for shift in (0, 24)]
 
 
+#: Types whose equal values have equal texts: where both sides have the same one, a
+#: digest hashes the values, without rendering them.
+PLAIN = (T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _hashed_sql(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> list[str] | None:
+    """What a digest hashes of a row, if that needs no text."""
+    kinds = [column_types(df, columns) for df in (source, target)]
+    if not columns or any(kinds[0][c] != kinds[1][c] or not isinstance(kinds[0][c], PLAIN) for c in columns):
+        return None
+    return [e for c in columns for e in (f"{quote(c)} IS NULL", quote(c))]
+
+
 def _bucketed(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str], exact: bool, levels: Sequence[int]) -> DataFrame:
     """Both sides' rows: keys (``k__x``), ``_text`` (what a fingerprint hashes),
+    ``_v0`` and on (what a digest hashes: as equal as the text, or more so),
     ``_side`` (1: source, -1: target) and ``_b``, the finest bucket."""
     text = lambda df: change_text_sql(columns, exact, types=column_types(df, columns)) if columns else "''"
-    sides = [C._keyed(df, keys, f"{text(df)} AS _text", f"{sign} AS _side") for df, sign in ((source, 1), (target, -1))]
-    kq, n = C._names(keys), 1
+    plain = _hashed_sql(source, target, columns)
+    values = lambda df: [f"{e} AS _v{i}" for i, e in enumerate(plain or [text(df)])]
+    sides = [C._keyed(df, keys, f"{text(df)} AS _text", *values(df), f"{sign} AS _side") for df, sign in ((source, 1), (target, -1))]
+    n = 1
     for k in levels:
         n *= k
     rows = sides[0].unionByName(sides[1])
-    return rows.selectExpr("*", f"pmod(xxhash64({', '.join([f'{k} IS NULL' for k in kq] + kq)}), {n}) AS _b")
+    return rows.selectExpr("*", f"{C._bucket_sql(keys, n)} AS _b")
 
 
 def bucket_digests(rows: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
-    """One row per ``bucket`` (an expression of ``_b``): ``bucket`` and whether
-    its sides ``differ``."""
+    """One row per ``bucket`` (an expression of ``_b``): ``bucket``, whether its
+    sides ``differ``, and its ``rows``."""
     kq = ", ".join([f"{k} IS NULL" for k in C._names(keys)] + C._names(keys))
-    hashed = rows.selectExpr(f"{bucket} AS bucket", "_side", f"xxhash64({kq}, _text) AS _h1", f"xxhash64(_text, 'digest', {kq}) AS _h2")
+    values = ", ".join(c for c in rows.columns if c.startswith("_v"))
+    hashed = rows.selectExpr(f"{bucket} AS bucket", "_side", f"xxhash64({kq}, {values}) AS _h1", f"xxhash64({values}, 'digest', {kq}) AS _h2")
     sums = [f"sum(_side * (shiftrightunsigned({h}, {shift}) & 16777215)) AS _s{i}" for i, (h, shift) in enumerate(PIECES)]
-    summed = hashed.groupBy("bucket").agg(F.expr("sum(_side) AS _n"), F.expr("bit_xor(_h1) AS _x"), *[F.expr(e) for e in sums])
+    summed = hashed.groupBy("bucket").agg(F.expr("sum(_side) AS _n"), F.expr("count(1) AS rows"), F.expr("bit_xor(_h1) AS _x"), *[F.expr(e) for e in sums])
     nought = " AND ".join(f"{c} = 0" for c in ["_n", "_x", *[f"_s{i}" for i in range(len(sums))]])
-    return summed.selectExpr("bucket", f"NOT ({nought}) AS differ")
+    return summed.selectExpr("bucket", f"NOT ({nought}) AS differ", "rows")
 
 
-def _split(rows: DataFrame, differing: DataFrame, bucket: str, how: str) -> DataFrame:
-    """The rows in differing buckets (``left_semi``) or in the others
-    (``left_anti``); the list of buckets is bounded by the levels."""
-    return rows.join(F.broadcast(differing), F.expr(bucket) == F.col("bucket"), how)
+def digest_rows(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    exact: bool = False,
+    unique_keys: bool = False,
+    levels: Sequence[int] = LEVELS,
+) -> tuple[DataFrame, str | None]:
+    """``compare.side_rows`` of the keys in buckets that differ and, unless
+    ``unique_keys``, of those in the others: read from the source, where a row
+    stands for one of either side.  With them, ``compare.crowded`` keys.
+
+    The first level's digests reach the driver, a row per bucket.  Where most of
+    the buckets differ, finer digests would set hardly a row apart and are left
+    out.  The lists of differing buckets are bounded by the levels, too."""
+    rows = _bucketed(source, target, keys, columns, exact, levels)
+    total = finer = math.prod(levels)
+    finer //= levels[0]
+    at = f"(_b div {finer})" if finer > 1 else "_b"
+    found = bucket_digests(rows, keys, at).collect()
+    inside = C.crowded({d["bucket"]: d["rows"] for d in found}, at.replace("_b", C._bucket_sql(keys, total)))
+    differ = [d["bucket"] for d in found if d["differ"]]
+    listed = f"SELECT explode(array({', '.join(f'{b}L' for b in differ)})) AS bucket" if differ else "SELECT 0L AS bucket WHERE false"
+    differing, apart = F.broadcast(rows.sparkSession.sql(listed)), rows
+    for k in levels[1:] if len(differ) <= len(found) / 2 else []:
+        apart = apart.join(differing, F.expr(at) == F.col("bucket"), "left_semi")
+        finer //= k
+        at = f"(_b div {finer})" if finer > 1 else "_b"
+        differing = F.broadcast(bucket_digests(apart, keys, at).filter("differ").select("bucket"))
+    on = F.expr(at) == F.col("bucket")
+    fingerprint = "unhex(sha2(_text, 256)) AS _h" if columns else "CAST(NULL AS BINARY) AS _h"
+    sides = ["int(_side = 1) AS _ns", "int(_side = -1) AS _nt"]
+    if not unique_keys:  # a row of the source in buckets that agree stands for the target's, too
+        rows, sides[1] = rows.join(differing, on, "left").filter("_side = 1 OR bucket IS NOT NULL"), "int(_side = -1 OR bucket IS NULL) AS _nt"
+    else:
+        rows = apart.join(differing, on, "left_semi")
+    return rows.selectExpr(*C._names(keys), fingerprint, *sides), inside
 
 
 def digest_counts(
@@ -70,26 +123,8 @@ def digest_counts(
     unique_keys: bool = False,
     levels: Sequence[int] = LEVELS,
 ) -> DataFrame:
-    """``compare.fingerprint_counts`` of the keys in buckets that differ and,
-    unless ``unique_keys``, of those in the others, read from the source."""
-    rows = _bucketed(source, target, keys, columns, exact, levels)
-    finer, apart, differing, at = 1, rows, None, "_b"
-    for k in levels[1:]:
-        finer *= k
-    for i in range(len(levels)):
-        at = f"(_b div {finer})" if finer > 1 else "_b"
-        digests = bucket_digests(apart, keys, at)
-        differing = digests.filter("differ").select("bucket")
-        apart = _split(rows, differing, at, "left_semi")
-        finer = finer // levels[i + 1] if i + 1 < len(levels) else 1
-    kq = [F.col(k) for k in C._names(keys)]
-    fingerprint = "unhex(sha2(_text, 256)) AS _h" if columns else "CAST(NULL AS BINARY) AS _h"
-    counted = apart.selectExpr(*C._names(keys), fingerprint, "_side")
-    out = counted.groupBy(*kq, "_h").agg(F.expr("count_if(_side = 1) AS _ns"), F.expr("count_if(_side = -1) AS _nt"))
-    if unique_keys:
-        return out
-    agreeing = _split(rows.filter("_side = 1"), differing, at, "left_anti").selectExpr(*C._names(keys), fingerprint)
-    return out.unionByName(agreeing.groupBy(*kq, "_h").agg(F.expr("count(1) AS _ns"), F.expr("count(1) AS _nt")))
+    """``compare.fingerprint_counts`` of ``digest_rows``."""
+    return C.counts_of(digest_rows(source, target, keys, columns, exact, unique_keys, levels)[0], keys)
 
 
 def reconcile_digest(
@@ -107,15 +142,15 @@ def reconcile_digest(
 ) -> DataFrame:
     """The one-row summary of ``compare.reconcile``."""
     cols = C.compare_columns(source.columns, target.columns, keys, include, exclude, case_sensitive(source))
-    prof = C.profile_from_counts(digest_counts(source, target, keys, cols, exact, unique_keys, levels), keys)
-    return C.finish_summary(digest_summary(prof, source, target, keys, bool(cols), unique_keys), cols, source_name, target_name, check_duplicates)
+    rows, inside = digest_rows(source, target, keys, cols, exact, unique_keys, levels)
+    counts = C.summary_of_rows(rows, keys, bool(cols), inside)
+    return C.finish_summary(digest_summary(counts, source, target, unique_keys), cols, source_name, target_name, check_duplicates)
 
 
-def digest_summary(prof: DataFrame, source: DataFrame, target: DataFrame, keys: Sequence[str], with_columns: bool, unique_keys: bool) -> DataFrame:
-    """The numbers of the summary from a profile of ``digest_counts``; with
-    ``unique_keys`` the profile lacks the rows that agree, and the sides are
-    counted by themselves."""
-    counts = C.summarize_profile(prof, keys, with_columns)
+def digest_summary(counts: DataFrame, source: DataFrame, target: DataFrame, unique_keys: bool) -> DataFrame:
+    """The numbers of the summary from those of ``digest_rows``; with
+    ``unique_keys`` these lack the rows that agree, and the sides are counted by
+    themselves."""
     if not unique_keys:
         return counts
     names = [c for c in counts.columns if c not in ("source_count", "target_count")]
@@ -137,5 +172,7 @@ def issue_rows_digest(
 ) -> DataFrame:
     """The rows of ``compare.issue_rows``."""
     cols = C.compare_columns(source.columns, target.columns, keys, include, exclude, case_sensitive(source))
-    per_hash = digest_counts(source, target, keys, cols, exact, unique_keys, levels)
-    return C.issue_rows_from_profile(C.profile_from_counts(per_hash, keys), per_hash if cols else None, keys)
+    rows, inside = digest_rows(source, target, keys, cols, exact, unique_keys, levels)
+    if cols:
+        return C.issues_of_rows(rows, keys, inside)
+    return C.issue_rows_from_profile(C.profile_from_counts(C.counts_of(rows, keys), keys), None, keys)

@@ -390,28 +390,35 @@ def run_reconciliation(
                                  cfg.get("exclude_columns"), case_sensitive(source))
         exact = bool(cfg.get("exact_compare", False))
         drill, unique = bool(cfg.get("drill_down")), bool(cfg.get("unique_keys"))
-        per_hash = None
-        if drill:
-            per_hash = DG.digest_counts(source, target, keys, cols, exact, unique)
-            prof = C.profile_from_counts(per_hash, keys)
-        else:
-            prof = C.key_profile(source, target, keys, cols or None, exact)
         unique = drill and unique
+        rows, inside = DG.digest_rows(source, target, keys, cols, exact, unique) if drill else (C.side_rows(source, target, keys, cols, exact), None)
+        if not drill and cols and not (sample and logging and details_table):
+            inside = C.crowded_keys(source, target, keys)
         duplicates, rows_too = validations.get("duplicate_check", True), validations.get("row_count_check", True)
         if logging and details_table:
-            # one job: the numbers are observed on the profile while the issues, which are
-            # all that is kept of it, stream to the details table; a sample reads it per type
-            if not cols:
-                per_hash = None
-            elif per_hash is None:
-                per_hash = C.fingerprint_counts(source, target, keys, cols, exact)
+            # one job: the numbers are observed where the keys are gathered, while the issues, which
+            # are all that is kept of it, stream to the details table; a sample reads it per type
+            seen: list[Callable[[], dict]] = []
+
+            def watch(prof: DataFrame) -> DataFrame:
+                if unique or sample:
+                    return prof
+                prof, got = _observed(prof, C.summary_exprs(bool(cols)))
+                seen.append(got)
+                return prof
+
+            if sample or unique or not cols:
+                per_hash = C.counts_of(rows, keys) if cols or drill else None
+                prof = C.profile_from_counts(per_hash, keys) if per_hash is not None else C.key_profile(source, target, keys)
+                per_hash = per_hash if cols else None
             if sample or unique:
-                counts = DG.digest_summary(prof, source, target, keys, bool(cols), unique)
+                counts = DG.digest_summary(C.summarize_profile(prof, keys, bool(cols)), source, target, unique)
             if sample:
                 issues = C.issue_rows_from_profile(prof, per_hash, keys, {C.MISMATCH: int(sample)})
+            elif cols:
+                issues = C.issues_of_rows(rows, keys, inside, watch)
             else:
-                watched, got = _observed(prof, C.summary_exprs(bool(cols))) if not unique else (prof, None)
-                issues = C.issue_rows_from_profile(watched, per_hash, keys, totals=prof)
+                issues = C.issue_rows_from_profile(watch(prof), None, keys)
             if not duplicates:
                 issues = issues.filter(~F.col("issue_type").isin(C.SOURCE_DUPLICATE, C.TARGET_DUPLICATE))
             if validations.get("null_check", False):
@@ -421,9 +428,13 @@ def run_reconciliation(
             dr = RC.details_rows(issues, recon_id, cfg["name"], batch_id, execution_time)
             _record(spark, dr, details_table, RC.DETAILS_SCHEMA, root, writing, days)
             if not sample and not unique:
-                counts = spark.createDataFrame([got()], C.SUMMARY_COUNTS)
+                parts = [got() for got in seen]
+                counts = spark.createDataFrame([{c: min(C.LONG_MAX, sum(p[c] for p in parts)) for c in parts[0]}], C.SUMMARY_COUNTS)
+        elif cols or drill:
+            counts = C.summary_of_rows(rows, keys, bool(cols), inside)
+            counts = DG.digest_summary(counts, source, target, unique)
         else:
-            counts = DG.digest_summary(prof, source, target, keys, bool(cols), unique)
+            counts = C.summarize_profile(C.key_profile(source, target, keys), keys, False)
         summ = C.finish_summary(counts, cols, src_name, tgt_name, duplicates)
         summ = C.with_thresholds(summ, cfg.get("thresholds"), schema_status)
         row = summ.collect()[0].asDict()
