@@ -412,14 +412,18 @@ PAIR_NAMES = {
 }
 
 
-def pair_sql(d: Dialect, pair: str) -> tuple[str, str]:
+def pair_sql(d: Dialect, pair: str, clean: str | None = None) -> tuple[str, str]:
+    """A pair's two sides.  ``clean`` names a table that holds the clean line
+    items, in place of working them out in each of the three places where a
+    pair of them reads them."""
     if pair == "customer":
         return recon_source_sql(d), recon_target_sql(d)
     if pair == "customer_nk":
         return recon_source_nullkey_sql(d), recon_target_nullkey_sql(d)
     if pair == "customer_same":
         return recon_source_sql(d), recon_source_sql(d)
-    base = lineitem_clean_sql(d) if pair == "lineitem" else lineitem_raw_sql(d)
+    cleaned = f"SELECT * FROM {clean}" if clean else lineitem_clean_sql(d)
+    base = cleaned if pair == "lineitem" else lineitem_raw_sql(d)
     return base, lineitem_perturbed_sql(base)
 
 

@@ -555,14 +555,20 @@ def audit_rows(spark, sf):
     return out
 
 
-def _pair_frames(spark, sf, pair):
-    s_sql, t_sql = I.pair_sql(I.SPARK, pair)
+def _pair_frames(spark, sf, pair, clean=None):
+    s_sql, t_sql = I.pair_sql(I.SPARK, pair, clean)
     return _in(spark, sf, s_sql), _in(spark, sf, t_sql)
 
 
-def _history_result(spark, sf, run):
+def _clean_line_items(spark, sf, db):
+    """The clean line items as a table of ``db``, grouped once for all that read them."""
+    TB.create_table(spark, _in(spark, sf, I.lineitem_clean_sql), f"{db}.lineitem_clean")
+    return f"{db}.lineitem_clean"
+
+
+def _history_result(spark, sf, run, clean=None):
     rid, name, pair, ts, limits = run
-    s, t = _pair_frames(spark, sf, pair)
+    s, t = _pair_frames(spark, sf, pair, clean)
     keys = I.PAIR_KEYS[pair]
     sn, tn = I.PAIR_NAMES[pair]
     summ = C.with_thresholds(C.reconcile(s, t, keys, source_name=sn, target_name=tn), limits)
@@ -730,8 +736,9 @@ def recon_job_config(db: str) -> dict:
 
 def run_recon_job(spark, sf):
     db = _job_database(spark)
+    clean = _clean_line_items(spark, sf, db)
     for rid, _, pair, _, _ in RECON_JOB_RUNS:
-        s, t = _pair_frames(spark, sf, pair)
+        s, t = _pair_frames(spark, sf, pair, clean)
         sn, tn = I.PAIR_NAMES[pair]
         s.createOrReplaceTempView(f"tm_{rid}_{sn}")
         t.createOrReplaceTempView(f"tm_{rid}_{tn}")
