@@ -583,9 +583,9 @@ def _history_details(spark, sf, run):
 
 
 def result_history(spark, sf):
-    out = None
+    out, clean = None, _clean_line_items(spark, sf, _job_database(spark))
     for run in I.HISTORY_RUNS:
-        r = _history_result(spark, sf, run)
+        r = _history_result(spark, sf, run, clean)
         out = r if out is None else out.unionByName(r)
     return out
 
