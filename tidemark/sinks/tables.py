@@ -59,17 +59,23 @@ def _layout(df: DataFrame, fmt: str, cluster: tuple[int, Sequence[str]] | None):
 
 def create_table(
     spark: SparkSession, df: DataFrame, name: str, root: str | None = None, fmt: str = DEFAULT_FORMAT,
-    cluster: tuple[int, Sequence[str]] | None = None, tag: str | None = None,
+    cluster: tuple[int, Sequence[str]] | None = None, tag: str | None = None, compression: str | None = None,
 ) -> str:
     """First load: an external table over a first snapshot directory.
     Fails when the table exists (the default save mode).  With ``cluster`` (a
     number and columns) its files are bucketed and sorted by these columns, and
     so is every later snapshot: a join on them reads the table as it lies."""
     path = _snapshot_path(spark, name, root, tag)
-    _layout(df, fmt, cluster).option("path", path).saveAsTable(name)
+    _packed(_layout(df, fmt, cluster), compression).option("path", path).saveAsTable(name)
     return path
 
 
+def _packed(writer, compression: str | None):
+    """``writer``, of files in that codec, where one is given: a table's option,
+    which later appends keep."""
+    return writer.option("compression", compression) if compression else writer
+
+
 def clustering(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
     """The buckets and columns that a table's files are clustered by."""
     info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
@@ -242,16 +248,19 @@ def commit_state(
     return replace_state(spark, df, name, root, tag=tag) if exists else create_table(spark, df, name, root, cluster=cluster, tag=tag)
 
 
-def ensure_table(spark: SparkSession, name: str, schema, root: str | None = None, partition: str | None = None) -> bool:
+def ensure_table(
+    spark: SparkSession, name: str, schema, root: str | None = None, partition: str | None = None, compression: str | None = None
+) -> bool:
     """Create an empty table with ``schema``, partitioned by one of its columns
     if one is named, unless it exists; True if created."""
     if finish_replacement(spark, name):
         return False
     empty = spark.createDataFrame([], schema)
     if partition:
-        empty.write.format(DEFAULT_FORMAT).partitionBy(partition).option("path", _snapshot_path(spark, name, root)).saveAsTable(name)
+        writer = _packed(empty.write.format(DEFAULT_FORMAT).partitionBy(partition), compression)
+        writer.option("path", _snapshot_path(spark, name, root)).saveAsTable(name)
     else:
-        create_table(spark, empty, name, root)
+        create_table(spark, empty, name, root, compression=compression)
     return True
 
 
