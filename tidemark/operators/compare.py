@@ -30,6 +30,7 @@ underscore.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -147,9 +148,14 @@ def side_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], columns
     return sides[0].unionByName(sides[1])
 
 
+def _hashes(rows: DataFrame) -> list[str]:
+    """The columns of a fingerprint: its bytes (``_h``), or two numbers."""
+    return [c for c in ("_h", "_h0", "_h1") if c in rows.columns]
+
+
 def counts_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per side of every key and fingerprint."""
-    return rows.groupBy(*[F.col(k) for k in _names(keys)], "_h").agg(
+    return rows.groupBy(*[F.col(k) for k in _names(keys)], *_hashes(rows)).agg(
         F.expr("CAST(sum(_ns) AS BIGINT) AS _ns"), F.expr("CAST(sum(_nt) AS BIGINT) AS _nt")
     )
 
@@ -172,6 +178,11 @@ def fingerprint_counts(
 #: Key buckets whose rows are counted; a crowded one holds more than one part in
 #: CROWD_PART of all rows, and at least CROWD_LEAST.
 CROWD_BUCKETS, CROWD_PART, CROWD_LEAST = 4096, 256, 100_000
+#: One that holds more than this is crowded, too: without, pairs of rows that have the
+#: same key are counted in 64 bits.
+CROWD_MOST = 2**31
+#: Rows of a task that groups counted rows by key in a table.
+TASK_ROWS = 1_000_000
 
 
 def _bucket_sql(keys: Sequence[str], buckets: int) -> str:
@@ -182,7 +193,8 @@ def _bucket_sql(keys: Sequence[str], buckets: int) -> str:
 def crowded(rows: dict[int, int], bucket: str) -> str | None:
     """The keys of buckets that hold far more rows than others, as a predicate
     (None: there are none), from the rows of every bucket."""
-    found = sorted(b for b, n in rows.items() if n > max(CROWD_LEAST, sum(rows.values()) / CROWD_PART))
+    most = min(max(CROWD_LEAST, sum(rows.values()) / CROWD_PART), CROWD_MOST)
+    found = sorted(b for b, n in rows.items() if n > most)
     return f"{bucket} IN ({', '.join(map(str, found))})" if found else None
 
 
@@ -194,16 +206,26 @@ def crowded_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> s
     return crowded(dict(rows.groupBy(F.expr(bucket).alias("_b")).count().collect()), bucket)
 
 
-def _parted(rows: DataFrame, keys: Sequence[str], inside: str | None) -> tuple[DataFrame, DataFrame | None]:
+def _parted(rows: DataFrame, keys: Sequence[str], inside: str | None, total: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Fingerprint counts of keys that are not crowded, dealt by key, and of
     those that are (``inside``).
 
     The first hold an aggregate of bytes, so that Spark sorts rows by key and
     fingerprint, and what groups them by key then reads them as they lie: a task
-    needs the memory of one sort."""
+    needs the memory of one sort.  Where no more than ``total`` rows are known to
+    come, they are dealt to so many tasks that each can group its own in a table,
+    several times as fast, and hold no bytes."""
     kq = [F.col(k) for k in _names(keys)]
-    dealt = (rows.filter(f"NOT ({inside})") if inside else rows).repartition(*kq)
-    few = dealt.groupBy(*kq, "_h").agg(*[F.expr(e) for e in ("sum(_ns) AS _ns", "sum(_nt) AS _nt", "max(_h) AS _held")])
+    rest = rows.filter(f"NOT ({inside})") if inside else rows
+    sums = ["sum(_ns) AS _ns", "sum(_nt) AS _nt"]
+    if total is None:
+        dealt = rest.repartition(*kq)
+        sums.append("max(_h) AS _held")
+    else:
+        spark, tasks = rows.sparkSession, math.ceil(total / TASK_ROWS)
+        many = tasks > min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        dealt = rest.repartition(tasks, *kq) if many else rest.repartition(*kq)
+    few = dealt.groupBy(*kq, *_hashes(rows)).agg(*[F.expr(e) for e in sums])
     return few, counts_of(rows.filter(inside), keys) if inside else None
 
 
@@ -216,16 +238,25 @@ def _mismatched_sql(keys: Sequence[str], source_rows: str, target_rows: str, sam
     return f"CASE WHEN {keyed} THEN {_pairs_sql(source_rows, target_rows)} - {same} ELSE CAST(0 AS DECIMAL(38,0)) END"
 
 
-def summary_of_rows(rows: DataFrame, keys: Sequence[str], with_columns: bool, inside: str | None) -> DataFrame:
-    """The one-row numeric summary of ``side_rows``."""
-    few, many = _parted(rows, keys, inside)
-    sums = ["sum(_ns) AS source_rows", "sum(_nt) AS target_rows", f"sum({_pairs_sql('_ns', '_nt')}) AS _same", "max(_held) AS _held"]
-    needed = ["source_rows", "target_rows", "mismatched_pairs"]
+def summary_of_rows(rows: DataFrame, keys: Sequence[str], with_columns: bool, inside: str | None, total: int | None = None) -> DataFrame:
+    """The one-row numeric summary of ``side_rows``, no more than ``total`` of
+    them, if that is known.  ``inside`` holds all crowded keys: those of the others
+    have so few rows that their pairs fit 64 bits."""
+    few, many = _parted(rows, keys, inside, total)
+    sums = ["sum(_ns) AS source_rows", "sum(_nt) AS target_rows", "sum(_ns * _nt) AS _same"]
+    needed = ["source_rows", "target_rows"]
+    keyed = " AND ".join(f"{k} IS NOT NULL" for k in _names(keys))
+    pairs = f"CASE WHEN {keyed} AND source_rows * target_rows <> _same THEN CAST(source_rows * target_rows - _same AS DECIMAL(38,0)) END"
+    if total is None:
+        sums.append("max(_held) AS _held")
+        # the bytes are looked at, or they and the order that they bring would be left out
+        pairs = f"CASE WHEN _held IS NULL OR length(_held) >= 0 THEN {pairs} END"
     prof = few.groupBy(*[F.col(k) for k in _names(keys)]).agg(*[F.expr(e) for e in sums])
-    # the bytes are looked at, or they and the order that they bring would be left out
-    prof = prof.selectExpr(*needed[:2], f"CASE WHEN _held IS NULL OR length(_held) >= 0 THEN {_mismatched_sql(keys, *needed[:2], '_same')} END AS mismatched_pairs")
+    prof = prof.selectExpr(*needed, f"{pairs} AS mismatched_pairs")
     if many is not None:
-        prof = prof.unionByName(profile_from_counts(many, keys).select(*needed))
+        sums = [*sums[:2], f"sum({_pairs_sql('_ns', '_nt')}) AS _same"]
+        crowds = many.groupBy(*[F.col(k) for k in _names(keys)]).agg(*[F.expr(e) for e in sums])
+        prof = prof.unionByName(crowds.selectExpr(*needed, f"{_mismatched_sql(keys, *needed, '_same')} AS mismatched_pairs"))
     return summarize_profile(prof, keys, with_columns)
 
 
